@@ -190,3 +190,133 @@ def q_github_raw_url(spark, sf_dir):
     fx = fixture(spark, sf_dir, "transformed_fx")
     gh = fx.filter(U.url_host("final_url").isin("github.com", "www.github.com"))
     return gh.select("ord", "final_url", U.github_raw_url(F.col("final_url")).alias("raw_url"))
+
+
+# ---------------------------------------------------------------------------
+# Stages L, F, R, T: links, fetch log and cache, review ledger, transform
+# ---------------------------------------------------------------------------
+
+from corpusmill.operators import fetch as FE  # noqa: E402
+from corpusmill.operators import links as LK  # noqa: E402
+from corpusmill.operators import review as RV  # noqa: E402
+from corpusmill.operators import transform as TR  # noqa: E402
+
+PAGE_LINK_PATTERN = r'href="(/[^"]+)"'
+BATCH_NAME = "ctftime batch/01"
+FETCHED_AT = "2026-01-01T00:00:00+00:00"
+
+
+@query("url_list")
+def q_url_list(spark, sf_dir):
+    return FE.url_list(fixture(spark, sf_dir, "urls_fx"))
+
+
+@query("extract_links")
+def q_extract_links(spark, sf_dir):
+    pages = load_tables(spark, sf_dir, ["pages"])["pages"]
+    hits = LK.extract_links(pages, "html", "page_id", PAGE_LINK_PATTERN)
+    return LK.ordered_distinct(hits, "url", "page_ord", "pos")
+
+
+@query("original_link")
+def q_original_link(spark, sf_dir):
+    d = fixture(spark, sf_dir, "detail_fx")
+    return d.select("page_id", LK.original_link(F.col("html")).alias("original_url"))
+
+
+def _link_rows(spark, sf_dir):
+    d = fixture(spark, sf_dir, "detail_fx").withColumn(
+        "agg_url", F.concat(F.lit("https://ctftime.org/writeup/"), F.col("page_id").cast("string")))
+    return LK.link_rows(d.withColumn("index", F.col("page_id") + 1), "agg_url", "html", "index")
+
+
+@query("target_urls")
+def q_target_urls(spark, sf_dir):
+    return LK.target_urls(_link_rows(spark, sf_dir), "both").select(
+        "url", F.col("index").cast("bigint").alias("index"), "pos")
+
+
+@query("enumeration_summary")
+def q_enumeration_summary(spark, sf_dir):
+    rows = _link_rows(spark, sf_dir)
+    s = LK.enumeration_summary(rows, LK.target_urls(rows, "both"))
+    return long_form(s, ["writeup_pages", "target_urls", "original_errors"])
+
+
+@query("fetch_log")
+def q_fetch_log(spark, sf_dir):
+    return FE.fetch_log(fixture(spark, sf_dir, "fetch_fx"))
+
+
+def _fetch_records(spark, sf_dir):
+    log = FE.fetch_log(fixture(spark, sf_dir, "fetch_fx"), body_dir="data/raw/scraped/batch/files")
+    ok = F.col("status") != "error"
+    return log.withColumns({
+        "fetched_at": F.lit(FETCHED_AT),
+        "status_code": F.when(ok, F.lit(200)),
+        "error": F.when(~ok, F.lit("ConnectError: connection failed")),
+    })
+
+
+def _ledger(spark, sf_dir):
+    return RV.review_ledger(_fetch_records(spark, sf_dir), BATCH_NAME, approve_training=True,
+                            review_status="approved_for_training", permission_basis="  explicit permission ")
+
+
+@query("review_ledger")
+def q_review_ledger(spark, sf_dir):
+    return _ledger(spark, sf_dir).drop("ord")
+
+
+@query("review_summary")
+def q_review_summary(spark, sf_dir):
+    led = RV.review_ledger(_fetch_records(spark, sf_dir), BATCH_NAME, approve_redistribution=True)
+    return long_form(RV.review_summary(led), ["records", "pending_reviews", "approved_for_training", "approved_for_redistribution"])
+
+
+def _reviewed(spark, sf_dir):
+    """Ledger after a reviewer revoked training approval on every 5th row."""
+    led = _ledger(spark, sf_dir)
+    return led.withColumn("allowed_for_training",
+                          F.when(F.col("ord") % 5 == 0, F.lit(False)).otherwise(F.col("allowed_for_training")))
+
+
+@query("approved_rows")
+def q_approved_rows(spark, sf_dir):
+    return RV.approved_rows(_reviewed(spark, sf_dir)).select("review_id", "source_url", "fetch_status")
+
+
+@query("approved_rows_limited")
+def q_approved_rows_limited(spark, sf_dir):
+    return RV.approved_rows_limited(_reviewed(spark, sf_dir), 25).select("review_id", "source_url", "fetch_status")
+
+
+@query("cache_lookup")
+def q_cache_lookup(spark, sf_dir):
+    urls = fixture(spark, sf_dir, "fetch_fx").select("idx", "url")
+    hits, misses = FE.cache_lookup(urls, fixture(spark, sf_dir, "cache_fx"))
+    return hits.select("idx", "url", F.lit(True).alias("hit"), F.col("cache_body_hash").alias("body_hash")).unionByName(
+        misses.select("idx", "url", F.lit(False).alias("hit"), F.lit(None).cast("string").alias("body_hash")))
+
+
+@query("cache_upsert")
+def q_cache_upsert(spark, sf_dir):
+    fx = fixture(spark, sf_dir, "fetch_fx").filter(F.col("status") == "ok")
+    updates = fx.select("url", F.lit("ok").alias("status"), F.sha1(F.col("body")).alias("body_hash"),
+                        (F.col("idx") + 2000000).alias("ord"))
+    return FE.cache_upsert(fixture(spark, sf_dir, "cache_fx"), updates).select(
+        "cache_key", "status", "body_hash", F.col("ord").cast("bigint").alias("ord"))
+
+
+@query("normalize_text")
+def q_normalize_text(spark, sf_dir):
+    fx = fixture(spark, sf_dir, "crlf_fx")
+    return TR.landed_text(fx).select("doc_id", "content", "content_sha256")
+
+
+@query("transform_summary")
+def q_transform_summary(spark, sf_dir):
+    fx = fixture(spark, sf_dir, "transformed_fx")
+    r = route_target(F.col("final_url"), None, F.col("body_path"))
+    t = fx.withColumn("transform_method", r["method"])
+    return long_form(TR.transform_summary(t, fx), ["input_rows", "selected_rows", "successes", "errors"], "methods", "method:")

@@ -271,3 +271,151 @@ ORACLE["github_raw_url"] = with_ctes(f"""
 select ord, final_url, {gh_raw(path('final_url'))} as raw_url from transformed_fx
 where {host('final_url')} in ('github.com', 'www.github.com')
 """, "transformed_fx")
+
+
+# ---------------------------------------------------------------------------
+# Stages L, F, R, T
+# ---------------------------------------------------------------------------
+
+WS_CLASS_BODY = r"\x09-\x0d\x1c-\x20\x{85}\p{Z}"
+
+ORACLE["url_list"] = with_ctes(f"""
+select url, min(ord) as ord from (select ltrim({strip('line')}, chr(65279)) as url, ord from urls_fx) t
+where url <> '' and not starts_with(url, '#') group by url
+""", "urls_fx")
+
+ORACLE["extract_links"] = f"""
+select url, page_ord, pos from (
+  select case when regexp_matches(rel, '^[a-zA-Z][a-zA-Z0-9+.-]*:') then rel
+              when starts_with(rel, '//') then 'https:' || rel
+              when starts_with(rel, '/') then 'https://ctftime.org' || rel
+              else 'https://ctftime.org/' || rel end as url, page_ord, pos
+  from (select page_id as page_ord, unnest(m) as rel, cast(generate_subscripts(m, 1) - 1 as bigint) as pos
+        from (select page_id, regexp_extract_all(html, 'href="(/[^"]+)"', 1) as m from pages) a) b
+) c qualify row_number() over (partition by url order by page_ord, pos) = 1
+"""
+
+ORIG_RE = r'(?i)Original writeup(?:</a>)?' + WS_RE + r'*\((?:<a[^>]+href=")?(https?://[^")<' + WS_CLASS_BODY + r']+)'
+
+
+def original_expr(html: str) -> str:
+    o = f"regexp_extract({html}, {q(ORIG_RE)}, 1)"
+    c = f"regexp_extract({html}, {q(C.CANONICAL_LINK_PATTERN)}, 1)"
+    return f"case when {o} <> '' and not ({c} <> '' and {o} = {c}) then {o} end"
+
+
+ORACLE["original_link"] = with_ctes(f"select page_id, {original_expr('html')} as original_url from detail_fx", "detail_fx")
+
+LINK_ROWS = f"""lr as (select page_id + 1 as idx, 'https://ctftime.org/writeup/' || cast(page_id as varchar) as agg,
+  {original_expr('html')} as orig from detail_fx),
+tg as (select agg as url, idx, 0 as pos from lr union all select orig, idx, 1 from lr where orig is not null and orig <> ''),
+td as (select * from tg qualify row_number() over (partition by url order by idx, pos) = 1)"""
+
+ORACLE["target_urls"] = with_ctes("", "detail_fx") + ",\n" + LINK_ROWS + """
+select url, cast(idx as bigint) as "index", cast(pos as bigint) as pos from td"""
+
+ORACLE["enumeration_summary"] = with_ctes("", "detail_fx") + ",\n" + LINK_ROWS + """
+select 'writeup_pages' as metric, cast(count(*) as bigint) as value from lr
+union all select 'target_urls', cast(count(*) as bigint) from td
+union all select 'original_errors', cast(0 as bigint)"""
+
+
+def ext_case(ct: str) -> str:
+    whens = " ".join(f"when {q(k)} then {q(v)}" for k, v in C.EXTENSION_BY_CONTENT_TYPE.items())
+    return f"case {ct} {whens} else {q(C.DEFAULT_EXTENSION)} end"
+
+
+def filename(idx: str, url: str, ct: str) -> str:
+    last = f"regexp_extract({path(url)}, '([^/]*)(?:/\\.?)*$', 1)"
+    base = f"coalesce(nullif({last}, ''), nullif({netloc(url)}, ''), 'page')"
+    san0 = f"trim(regexp_replace({base}, '[^A-Za-z0-9._-]+', '_', 'g'), '._-')"
+    san = f"(case when {san0} = '' then 'file' else {san0} end)"
+    return f"printf('%03d', {idx}) || '_' || (case when contains({san}, '.') then {san} else {san} || {ext_case(ct)} end)"
+
+
+_CT_MAIN = strip("split_part(content_type_raw, ';', 1)")
+CT = f"(case when coalesce(content_type_raw, '') = '' then {q(C.DEFAULT_CONTENT_TYPE)} else lower({_CT_MAIN}) end)"
+
+FETCH_LOG = f"""fl as (
+  select cast(idx as bigint) as "index", url, status, ok,
+    case when ok then final_url end as final_url, case when ok then ct end as content_type,
+    case when ok then cast(strlen(body) as bigint) end as content_length, case when ok then sha256(body) end as sha256,
+    case when ok then {filename('idx', 'final_url', 'ct')} end as filename
+  from (select *, status <> 'error' as ok, {CT} as ct from fetch_fx) a
+)"""
+
+ORACLE["fetch_log"] = with_ctes("", "fetch_fx") + ",\n" + FETCH_LOG + """
+select "index", url, status, final_url, content_type, content_length, sha256, filename from fl"""
+
+SLUG_BATCH = "trim(regexp_replace(trim('ctftime batch/01'), '[^a-zA-Z0-9._-]+', '_', 'g'), '._-')"
+
+
+def ledger_sql(approve_training: bool, approve_redistribution: bool, review_status: str | None, basis: str) -> str:
+    okst = "coalesce(nullif(status, ''), 'error') in ('ok', 'cached')"
+    rs = f"case when {okst} then {q(review_status) if review_status else q('pending_review')} else 'fetch_error' end"
+    return f"""led as (
+  select {SLUG_BATCH} || '_' || printf('%04d', "index") as review_id, 'ctftime batch/01' as batch_name,
+    url as source_url, coalesce(nullif(final_url, ''), nullif(url, '')) as final_url,
+    '2026-01-01T00:00:00+00:00' as fetched_at, case when ok then 200 end as http_status,
+    coalesce(nullif(status, ''), 'error') as fetch_status,
+    case when not ok then 'ConnectError: connection failed' end as fetch_error,
+    content_type, sha256, case when ok then 'data/raw/scraped/batch/files/' || filename end as body_path,
+    cast(null as varchar) as author_if_known, '' as license_if_known, {q(basis.strip())} as permission_basis,
+    {rs} as review_status, {okst} and {str(approve_training).lower()} as allowed_for_training,
+    {okst} and {str(approve_redistribution).lower()} as allowed_for_redistribution,
+    'review_required' as redistribution_status, 'not_started' as transformation_status, '' as notes, "index" as ord
+  from fl
+)"""
+
+
+LEDGER_COLS = ", ".join(C.LEDGER_COLUMNS)
+
+ORACLE["review_ledger"] = with_ctes("", "fetch_fx") + ",\n" + FETCH_LOG + ",\n" + ledger_sql(
+    True, False, "approved_for_training", "  explicit permission ") + f"\nselect {LEDGER_COLS} from led"
+
+ORACLE["review_summary"] = with_ctes("", "fetch_fx") + ",\n" + FETCH_LOG + ",\n" + ledger_sql(False, True, None, "") + """
+select 'records' as metric, cast(count(*) as bigint) as value from led
+union all select 'pending_reviews', cast(count(*) filter (where review_status = 'pending_review') as bigint) from led
+union all select 'approved_for_training', cast(count(*) filter (where allowed_for_training) as bigint) from led
+union all select 'approved_for_redistribution', cast(count(*) filter (where allowed_for_redistribution) as bigint) from led"""
+
+REVIEWED = with_ctes("", "fetch_fx") + ",\n" + FETCH_LOG + ",\n" + ledger_sql(
+    True, False, "approved_for_training", "  explicit permission ") + """,
+rv as (select *, case when ord % 5 = 0 then false else allowed_for_training end as allowed2 from led)"""
+
+ORACLE["approved_rows"] = REVIEWED + """
+select review_id, source_url, fetch_status from rv where fetch_status in ('ok', 'cached') and allowed2 is not distinct from true"""
+
+ORACLE["approved_rows_limited"] = REVIEWED + """
+select review_id, source_url, fetch_status from rv where fetch_status in ('ok', 'cached') and allowed2 is not distinct from true
+order by ord limit 25"""
+
+ORACLE["cache_lookup"] = with_ctes(f"""
+select f.idx, f.url, l.k is not null as hit, l.body_hash
+from fetch_fx f left join (
+  select * from (select {strip('url')} as k, arg_max(status, ord) as status, arg_max(body_hash, ord) as body_hash
+                 from cache_fx group by 1) x where status = 'ok') l
+  on {strip('f.url')} = l.k
+""", "fetch_fx", "cache_fx")
+
+ORACLE["cache_upsert"] = with_ctes(f"""
+select {strip('url')} as cache_key, arg_max(status, ord) as status, arg_max(body_hash, ord) as body_hash, cast(max(ord) as bigint) as ord
+from (select url, status, body_hash, ord from cache_fx
+      union all select url, 'ok', sha1(body), idx + 2000000 from fetch_fx where status = 'ok') u
+group by 1
+""", "fetch_fx", "cache_fx")
+
+ORACLE["normalize_text"] = with_ctes(f"""
+select doc_id, c as content, sha256(c) as content_sha256
+from (select doc_id, {strip(rx('content', chr(92) + 'r' + chr(92) + 'n?', NL))} as c from crlf_fx) t
+""", "crlf_fx")
+
+ORACLE["transform_summary"] = with_ctes("", "transformed_fx") + f""",
+m as (select transform_status, {route_method('h', 'body_path')} as method
+        from (select *, {gh_raw('p')} as gh_raw from (select *, {host('final_url')} as h, {path('final_url')} as p from transformed_fx) a) b)
+select 'input_rows' as metric, cast(count(*) as bigint) as value from transformed_fx
+union all select 'selected_rows', cast(count(*) as bigint) from m
+union all select 'successes', cast(count(*) filter (where transform_status = 'ok') as bigint) from m
+union all select 'errors', cast(count(*) filter (where transform_status = 'error') as bigint) from m
+union all select 'method:' || method, cast(count(*) as bigint) from m group by method
+"""
