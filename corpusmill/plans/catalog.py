@@ -320,3 +320,144 @@ def q_transform_summary(spark, sf_dir):
     r = route_target(F.col("final_url"), None, F.col("body_path"))
     t = fx.withColumn("transform_method", r["method"])
     return long_form(TR.transform_summary(t, fx), ["input_rows", "selected_rows", "successes", "errors"], "methods", "method:")
+
+
+# ---------------------------------------------------------------------------
+# Stage D: dataset build (QA / messages records)
+# ---------------------------------------------------------------------------
+
+from corpusmill import config as CF  # noqa: E402
+from corpusmill.operators import records as RC  # noqa: E402
+
+QA_PROMPTS = ("prompt", "question", "user_text")
+QA_ANSWERS = ("answer", "assistant", "completion")
+
+
+def _qa(spark, sf_dir):
+    """QA records with their default ids: line number = conv_id * 100 + turn + 1
+    in a file 'qa' of record 0 of source 'qa_source'."""
+    fx = fixture(spark, sf_dir, "qa_fx").withColumn("line", F.col("conv_id") * 100 + F.col("turn") + 1)
+    return fx.withColumn("raw_id", RC.default_id("id", "qa_source", "qa", F.lit(0), F.col("line")))
+
+
+def _explode_messages(df, key):
+    return df.select(key, F.posexplode("messages").alias("pos", "m")).select(
+        key, F.col("pos").cast("bigint").alias("pos"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
+
+
+@query("qa_to_messages")
+def q_qa_to_messages(spark, sf_dir):
+    qa = RC.qa_to_messages(_qa(spark, sf_dir), QA_PROMPTS, QA_ANSWERS, CF.DEFAULT_SYSTEM_PROMPT)
+    return _explode_messages(qa.withColumn("id", RC.sample_id("raw_id")), "id")
+
+
+@query("default_ids")
+def q_default_ids(spark, sf_dir):
+    return _qa(spark, sf_dir).select("conv_id", "turn", F.col("raw_id").alias("id"))
+
+
+@query("slugify_ids")
+def q_slugify_ids(spark, sf_dir):
+    return _qa(spark, sf_dir).select("conv_id", "turn", RC.sample_id("raw_id").alias("id"))
+
+
+@query("anonymize_ids")
+def q_anonymize_ids(spark, sf_dir):
+    qa = _qa(spark, sf_dir)
+    redacted = F.regexp_replace(F.col("raw_id"), "(?iu)qa", "item")
+    return qa.select("conv_id", "turn",
+                     RC.sample_id("raw_id", "category", "strict").alias("id_strict"),
+                     RC.sample_id("raw_id", mode="policy", redacted_id=redacted).alias("id_policy"))
+
+
+def _messages(spark, sf_dir):
+    return RC.normalize_message_rows(fixture(spark, sf_dir, "messages_fx"), "conv_id", "turn")
+
+
+@query("messages_normalize")
+def q_messages_normalize(spark, sf_dir):
+    return _messages(spark, sf_dir)[0]
+
+
+@query("message_quarantine")
+def q_message_quarantine(spark, sf_dir):
+    return _messages(spark, sf_dir)[1].filter(F.col("error_reason").isNotNull()).select("conv_id", "n_messages", "error_reason")
+
+
+@query("system_injection")
+def q_system_injection(spark, sf_dir):
+    return _messages(spark, sf_dir)[1].filter(F.col("error_reason").isNull()).select("conv_id", "injected")
+
+
+RECORD_DEFAULTS_SQL = """
+select record_index,
+  case record_index when 0 then 'rev' when 1 then 'pwn' end as d_category,
+  case record_index when 0 then 'easy' when 1 then 'hard' else 'medium' end as d_difficulty,
+  case record_index when 0 then 'warmup' when 2 then 'heap' end as d_challenge_family,
+  case record_index when 0 then 'train' when 1 then 'eval' end as d_split,
+  'self_authored' as d_source,
+  case when record_index = 2 then 'internal_or_permitted' end as d_license,
+  named_struct('language', case when record_index < 2 then 'python' end, 'has_code', record_index = 0) as d_artifacts
+from (select distinct conv_id % 3 as record_index from qa_fx) r
+"""
+
+
+def _merged(spark, sf_dir):
+    qa = _qa(spark, sf_dir).withColumn("record_index", F.col("conv_id") % 3)
+    qa.createOrReplaceTempView("qa_fx")
+    ctl = spark.sql(RECORD_DEFAULTS_SQL)
+    return RC.merge_defaults(qa, ctl, ["record_index"])
+
+
+@query("defaults_merge")
+def q_defaults_merge(spark, sf_dir):
+    m = _merged(spark, sf_dir)
+    return m.select(F.col("raw_id").alias("id"), "category", "difficulty", "challenge_family", "split", "source",
+                    "license", F.col("artifacts.language").alias("language"), F.col("artifacts.has_code").alias("has_code"))
+
+
+@query("duplicate_ids")
+def q_duplicate_ids(spark, sf_dir):
+    docs = load_tables(spark, sf_dir, ["documents"])["documents"]
+    ids = docs.select(F.concat(F.lit("doc_"), TX.short_hash(F.col("text"))).alias("id"))
+    return RC.duplicate_ids(ids)
+
+
+def _metric_entry(prefix):
+    def fn(e):
+        return F.struct(F.concat(F.lit(prefix), e["key"]).alias("metric"), e["value"].cast("bigint").alias("value"))
+    return fn
+
+
+@query("dataset_summary")
+def q_dataset_summary(spark, sf_dir):
+    m = _merged(spark, sf_dir).withColumn("manifest", F.concat(F.lit("m"), (F.col("conv_id") % 2).cast("string"), F.lit(".json")))
+    s = RC.dataset_summary(m)
+    parts = [F.array(F.struct(F.lit("total_samples").alias("metric"), F.col("total_samples").alias("value")))]
+    for name, prefix in (("splits", "split:"), ("categories", "category:"), ("sources", "source:"), ("manifests", "manifest:")):
+        parts.append(F.transform(F.map_entries(name), _metric_entry(prefix)))
+    return s.select(F.inline(F.concat(*parts)))
+
+
+MANIFEST_RECORDS_SQL = """
+select manifest_id, source, not (manifest_id % 10 = 9) as enabled,
+  case when manifest_id % 2 = 0
+       then array(named_struct('path', cast(null as string), 'paths', array(concat('data/m', cast(manifest_id as string), '/a.jsonl'),
+                                                                           concat('data/m', cast(manifest_id as string), '/b.jsonl')),
+                               'format', 'jsonl_messages'),
+                  named_struct('path', concat('data/m', cast(manifest_id as string), '/qa.json'), 'paths', cast(null as array<string>),
+                               'format', 'json_qa'))
+       else array(named_struct('path', concat('data/m', cast(manifest_id as string), '/qa.jsonl'), 'paths', cast(null as array<string>),
+                               'format', 'jsonl_qa')) end as records
+from manifest_fx
+"""
+
+
+@query("manifest_records")
+def q_manifest_records(spark, sf_dir):
+    fixture(spark, sf_dir, "manifest_fx").createOrReplaceTempView("manifest_fx")
+    from corpusmill.sources.manifests import manifest_records
+
+    return manifest_records(spark.sql(MANIFEST_RECORDS_SQL), "manifest_id").select(
+        "manifest_id", F.col("record_index").cast("bigint").alias("record_index"),
+        F.col("path_index").cast("bigint").alias("path_index"), "path", "format")

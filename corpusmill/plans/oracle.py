@@ -419,3 +419,101 @@ union all select 'successes', cast(count(*) filter (where transform_status = 'ok
 union all select 'errors', cast(count(*) filter (where transform_status = 'error') as bigint) from m
 union all select 'method:' || method, cast(count(*) as bigint) from m group by method
 """
+
+
+# ---------------------------------------------------------------------------
+# Stage D: dataset build
+# ---------------------------------------------------------------------------
+
+def slug(x: str, fallback: str = "sample") -> str:
+    s = f"trim(regexp_replace({strip(x)}, '[^a-zA-Z0-9._-]+', '_', 'g'), '._-')"
+    return f"(case when {s} = '' then {q(fallback)} else {s} end)"
+
+
+QA_BASE = with_ctes("", "qa_fx") + """,
+qa as (select *, conv_id * 100 + turn + 1 as line,
+         coalesce(nullif(id, ''), 'qa_source_qa_0_' || cast(conv_id * 100 + turn + 1 as varchar)) as raw_id,
+         coalesce(prompt, question, user_text) as p, coalesce(answer, assistant, completion) as a from qa_fx)"""
+
+ORACLE["qa_to_messages"] = QA_BASE + f""",
+s as (select *, {slug('raw_id')} as sid from qa)
+select sid as id, cast(0 as bigint) as pos, 'system' as role, {q(C.DEFAULT_SYSTEM_PROMPT)} as content from s
+union all select sid, cast(1 as bigint), 'user', {strip('p')} from s
+union all select sid, cast(2 as bigint), 'assistant', {strip('a')} from s"""
+
+ORACLE["default_ids"] = QA_BASE + "\nselect conv_id, turn, raw_id as id from qa"
+
+ORACLE["slugify_ids"] = QA_BASE + f"\nselect conv_id, turn, {slug('raw_id')} as id from qa"
+
+ORACLE["anonymize_ids"] = QA_BASE + f"""
+select conv_id, turn, {slug("lower(coalesce(category, 'sample'))")} || '_' || {short_hash('raw_id')} as id_strict,
+  {slug(rx('raw_id', '(?i)qa', q('item')))} || '_' || {short_hash('raw_id')} as id_policy from qa"""
+
+
+def role_norm(r: str) -> str:
+    base = f"lower({strip(f'coalesce({r}, {q(chr(78) + chr(111) + chr(110) + chr(101))})')})"
+    whens = " ".join(f"when {q(k)} then {q(v)}" for k, v in C.ROLE_ALIASES.items())
+    return f"(case {base} {whens} else {base} end)"
+
+
+ALLOWED = ", ".join(q(r) for r in C.ALLOWED_ROLES)
+
+MSG_BASE = with_ctes("", "messages_fx") + f""",
+m0 as (select conv_id, turn as pos, {role_norm('role')} as role, content as raw, {strip('content')} as content from messages_fx),
+m as (select *, case when role not in ({ALLOWED}) then 'unsupported_role'
+                     when raw is null or {strip('raw')} = '' then 'blank_content' end as err from m0),
+per as (select conv_id, cast(count(*) as bigint) as n_messages, arg_min(role, pos) as first_role,
+          arg_min(err, pos) filter (where err is not null) as first_err,
+          count(*) filter (where role = 'assistant') as n_assistant from m group by conv_id),
+smp as (select conv_id, n_messages, first_role <> 'system' as injected,
+          coalesce(first_err, case when n_assistant = 0 then 'no_assistant' end) as error_reason from per)"""
+
+ORACLE["messages_normalize"] = MSG_BASE + f"""
+select m.conv_id, cast(m.pos + cast(s.injected as integer) as bigint) as pos, m.role, m.content
+from m join smp s using (conv_id) where s.error_reason is null
+union all
+select conv_id, cast(0 as bigint), 'system', {q(C.DEFAULT_SYSTEM_PROMPT)} from smp where error_reason is null and injected"""
+
+ORACLE["message_quarantine"] = MSG_BASE + "\nselect conv_id, n_messages, error_reason from smp where error_reason is not null"
+
+ORACLE["system_injection"] = MSG_BASE + "\nselect conv_id, injected from smp where error_reason is null"
+
+MERGED = QA_BASE + """,
+ctl as (select record_index,
+  case record_index when 0 then 'rev' when 1 then 'pwn' end as d_category,
+  case record_index when 0 then 'easy' when 1 then 'hard' else 'medium' end as d_difficulty,
+  case record_index when 0 then 'warmup' when 2 then 'heap' end as d_challenge_family,
+  case record_index when 0 then 'train' when 1 then 'eval' end as d_split,
+  'self_authored' as d_source,
+  case when record_index = 2 then 'internal_or_permitted' end as d_license,
+  case when record_index < 2 then 'python' end as d_language, record_index = 0 as d_has_code
+  from (select distinct conv_id % 3 as record_index from qa_fx) r),
+mg as (select qa.conv_id, qa.raw_id as id, coalesce(qa.category, d_category, 'unknown') as category,
+  coalesce(d_difficulty, 'unknown') as difficulty, coalesce(d_challenge_family, 'unknown') as challenge_family,
+  d_split as split, coalesce(d_source, 'unknown') as source, coalesce(d_license, 'unknown') as license,
+  d_language as language, d_has_code as has_code
+  from qa left join ctl on qa.conv_id % 3 = ctl.record_index)"""
+
+ORACLE["defaults_merge"] = MERGED + "\nselect id, category, difficulty, challenge_family, split, source, license, language, has_code from mg"
+
+ORACLE["dataset_summary"] = MERGED + """
+select 'total_samples' as metric, cast(count(*) as bigint) as value from mg
+union all select 'split:' || coalesce(nullif(split, ''), 'dataset'), cast(count(*) as bigint) from mg group by 1
+union all select 'category:' || category, cast(count(*) as bigint) from mg group by 1
+union all select 'source:' || source, cast(count(*) as bigint) from mg group by 1
+union all select 'manifest:m' || cast(conv_id % 2 as varchar) || '.json', cast(count(*) as bigint) from mg group by 1"""
+
+ORACLE["duplicate_ids"] = f"""
+select 'doc_' || {short_hash('text')} as id, cast(count(*) as bigint) as n from documents group by 1 having count(*) > 1"""
+
+ORACLE["manifest_records"] = with_ctes("""
+select manifest_id, cast(0 as bigint) as record_index, cast(0 as bigint) as path_index,
+  'data/m' || cast(manifest_id as varchar) || '/a.jsonl' as path, 'jsonl_messages' as format
+from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 0
+union all select manifest_id, 0, 1, 'data/m' || cast(manifest_id as varchar) || '/b.jsonl', 'jsonl_messages'
+from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 0
+union all select manifest_id, 1, 0, 'data/m' || cast(manifest_id as varchar) || '/qa.json', 'json_qa'
+from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 0
+union all select manifest_id, 0, 0, 'data/m' || cast(manifest_id as varchar) || '/qa.jsonl', 'jsonl_qa'
+from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 1
+""", "manifest_fx")
