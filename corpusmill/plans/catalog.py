@@ -461,3 +461,62 @@ def q_manifest_records(spark, sf_dir):
     return manifest_records(spark.sql(MANIFEST_RECORDS_SQL), "manifest_id").select(
         "manifest_id", F.col("record_index").cast("bigint").alias("record_index"),
         F.col("path_index").cast("bigint").alias("path_index"), "path", "format")
+
+
+# ---------------------------------------------------------------------------
+# Redaction and the review gate
+# ---------------------------------------------------------------------------
+
+from corpusmill.operators import gate as GT  # noqa: E402
+from corpusmill.operators import redact as RD  # noqa: E402
+
+DOC_POLICY = {
+    "drop_keys": ["title", "source_path"],
+    "rules": [
+        {"pattern": 'token = "[0-9a-f]{40}"', "replacement": "<TOKEN>"},
+        {"pattern": r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "replacement": "<EMAIL>", "flags": ["IGNORECASE"]},
+    ],
+}
+
+
+@query("redact_rules")
+def q_redact_rules(spark, sf_dir):
+    docs = load_tables(spark, sf_dir, ["documents"])["documents"]
+    policy = RD.load_policy(DOC_POLICY)
+    return RD.apply_policy(docs.select("doc_id", "text", "lang", "source"), policy, keep=("doc_id",))
+
+
+def _nested_records(spark, sf_dir):
+    qa = _qa(spark, sf_dir)
+    return qa.select(
+        F.col("raw_id").alias("id"),
+        F.col("category"),
+        F.concat(F.lit("Contest "), F.col("conv_id").cast("string")).alias("contest_name"),
+        F.struct(F.lit("python").alias("language"), F.concat(F.lit("P"), F.col("turn").cast("string")).alias("problem_title"),
+                 F.struct(F.col("conv_id").cast("string").alias("event_name"), F.lit("ok").alias("state")).alias("meta")).alias("artifacts"),
+        F.array(F.struct(F.lit("t1").alias("tag"), F.lit("x").alias("title"))).alias("tags"),
+    )
+
+
+@query("drop_metadata")
+def q_drop_metadata(spark, sf_dir):
+    d = RD.drop_metadata(_nested_records(spark, sf_dir))
+    return d.select("id", F.to_json(F.struct(*[c for c in d.columns if c != "id"]), {"ignoreNullFields": "false"}).alias("doc"))
+
+
+GATE_SQL = """
+select manifest_id, source, source_bucket, allowed_for_training, allowed_for_redistribution, review_status,
+  redistribution_status,
+  case when manifest_id % 17 = 0 then concat('old/', source_ledger_path) else source_ledger_path end as source_ledger_path
+from manifest_fx
+"""
+
+
+@query("review_gate")
+def q_review_gate(spark, sf_dir):
+    fx = fixture(spark, sf_dir, "manifest_fx")
+    fx.createOrReplaceTempView("manifest_fx")
+    recs = spark.sql(GATE_SQL)
+    listing = fx.filter(F.col("source_ledger_path").isNotNull()).select("source_ledger_path")
+    g = GT.review_gate(recs, "manifest_id", listing)
+    return g.select("manifest_id", "requires_review", "gate_error")

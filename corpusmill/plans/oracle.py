@@ -517,3 +517,48 @@ from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 0
 union all select manifest_id, 0, 0, 'data/m' || cast(manifest_id as varchar) || '/qa.jsonl', 'jsonl_qa'
 from manifest_fx where manifest_id % 10 <> 9 and manifest_id % 2 = 1
 """, "manifest_fx")
+
+
+# ---------------------------------------------------------------------------
+# Redaction and the review gate
+# ---------------------------------------------------------------------------
+
+def doc_redact(x: str) -> str:
+    x = rx(x, 'token = "[0-9a-f]{40}"', q("<TOKEN>"))
+    return rx(x, r"(?i)[A-Za-z0-9._]+@[A-Za-z0-9.]+", q("<EMAIL>"))
+
+
+ORACLE["redact_rules"] = (
+    f"select doc_id, {doc_redact('text')} as text, {doc_redact('lang')} as lang, {doc_redact('source')} as source from documents")
+
+ORACLE["drop_metadata"] = QA_BASE + """
+select raw_id as id, to_json(struct_pack(category := category,
+  artifacts := struct_pack(language := 'python', meta := struct_pack(state := 'ok')),
+  tags := [struct_pack(tag := 't1')])) as doc
+from qa"""
+
+ORACLE["review_gate"] = with_ctes("", "manifest_fx") + f""",
+r as (select manifest_id, source, source_bucket, allowed_for_training, allowed_for_redistribution, review_status,
+        redistribution_status,
+        case when manifest_id % 17 = 0 then 'old/' || source_ledger_path else source_ledger_path end as ledger
+      from manifest_fx),
+listing as (select distinct source_ledger_path as p from manifest_fx where source_ledger_path is not null),
+g as (select r.*, {strip("coalesce(source, '')")} in ('transformed_scraped')
+          or max({strip("coalesce(source_bucket, '')")} in ('scraped_derivative')) over (partition by manifest_id) as requires_review,
+        l.p is not null as ledger_exists,
+        array_to_string(list_filter([case when allowed_for_training is null then 'allowed_for_training' end,
+          case when allowed_for_redistribution is null then 'allowed_for_redistribution' end,
+          case when review_status is null then 'review_status' end,
+          case when redistribution_status is null then 'redistribution_status' end,
+          case when ledger is null then 'source_ledger_path' end], lambda x: x is not null), ',') as missing
+      from r left join listing l on r.ledger = l.p)
+select manifest_id, requires_review, case when requires_review then
+  case when missing <> '' then 'missing:' || missing
+       when {strip('review_status')} = '' then 'review_status_blank'
+       when {strip('redistribution_status')} = '' then 'redistribution_status_blank'
+       when {strip('ledger')} = '' then 'source_ledger_path_blank'
+       when not ledger_exists then 'ledger_missing'
+       when allowed_for_training is distinct from true then 'not_allowed_for_training'
+       when lower({strip('review_status')}) in ('pending', 'review_required', 'unreviewed') then 'blocked_review_status'
+  end end as gate_error
+from g"""
