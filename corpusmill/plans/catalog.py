@@ -520,3 +520,64 @@ def q_review_gate(spark, sf_dir):
     listing = fx.filter(F.col("source_ledger_path").isNotNull()).select("source_ledger_path")
     g = GT.review_gate(recs, "manifest_id", listing)
     return g.select("manifest_id", "requires_review", "gate_error")
+
+
+# ---------------------------------------------------------------------------
+# Stages C and E: chat rendering and evaluation
+# ---------------------------------------------------------------------------
+
+from corpusmill.operators import evaluation as EV  # noqa: E402
+from corpusmill.operators import render as RN  # noqa: E402
+
+CASE_KEYS = {"exact": "exact_v", "contains": "contains_v", "regex": "regex_v"}
+
+
+def _cases(spark, sf_dir):
+    """Eval cases; the line index of item k is k + 1 (one case per line)."""
+    c = fixture(spark, sf_dir, "cases_fx")
+    return c.withColumn("id", EV.default_case_id("id", F.col("item_id") + 1))
+
+
+def _scored(spark, sf_dir):
+    cases = _cases(spark, sf_dir)
+    responses = fixture(spark, sf_dir, "responses_fx")
+    return EV.score_cases(cases, responses, "item_id", checks=EV.normalize_checks(cases, key_columns=CASE_KEYS))
+
+
+@query("eval_default_ids")
+def q_eval_default_ids(spark, sf_dir):
+    return _cases(spark, sf_dir).select("item_id", "id")
+
+
+@query("eval_checks")
+def q_eval_checks(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    return s.select("id", F.posexplode("checks_result").alias("pos", "r")).select(
+        "id", F.col("pos").cast("bigint").alias("pos"), F.col("r.type").alias("type"), F.col("r.expected").alias("expected"),
+        F.col("r.passed").alias("passed"), F.col("r.detail").alias("detail"))
+
+
+@query("eval_cases")
+def q_eval_cases(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    return s.select("id", "category", "passed", F.size("checks_result").cast("bigint").alias("n_checks"), "response")
+
+
+@query("eval_report")
+def q_eval_report(spark, sf_dir):
+    return EV.eval_report(_scored(spark, sf_dir)).select("category", "total", "passed", "failed", "pass_rate")
+
+
+@query("render_chat_text")
+def q_render_chat_text(spark, sf_dir):
+    s = W.build_samples(_curated(spark, sf_dir))
+    return s.select("id", RN.render_messages(F.col("messages")).alias("text"))
+
+
+@query("render_eval_prompt")
+def q_render_eval_prompt(spark, sf_dir):
+    c = _cases(spark, sf_dir)
+    with_msgs = F.when(F.col("item_id") % 7 == 3, F.array(
+        F.struct(F.lit("user").alias("role"), F.col("prompt").alias("content"))))
+    return c.select("id", RN.render_prompt(with_msgs, F.col("prompt"), CF.DEFAULT_SYSTEM_PROMPT).alias("text"),
+                    RN.render_prompt(with_msgs, F.col("prompt"), None).alias("text_no_system"))

@@ -562,3 +562,61 @@ select manifest_id, requires_review, case when requires_review then
        when lower({strip('review_status')}) in ('pending', 'review_required', 'unreviewed') then 'blocked_review_status'
   end end as gate_error
 from g"""
+
+
+# ---------------------------------------------------------------------------
+# Stages C and E
+# ---------------------------------------------------------------------------
+
+def chat(role: str, content: str) -> str:
+    return f"'<|im_start|>' || {role} || chr(10) || {content} || '<|im_end|>' || chr(10)"
+
+
+GEN = "'<|im_start|>assistant' || chr(10)"
+
+CASES = with_ctes("", "cases_fx", "responses_fx") + f""",
+cs as (select *, coalesce(id, printf('case_%04d', item_id + 1)) as cid from cases_fx),
+chk as (
+  select cid, item_id, 0 as pos, 'exact' as type, exact_v as expected from cs where exact_v is not null
+  union all select cid, item_id, 1, 'contains', contains_v from cs where contains_v is not null
+  union all select cid, item_id, 2, 'regex', regex_v from cs where regex_v is not null),
+res as (
+  select chk.*, r.response,
+    coalesce(case type when 'exact' then {strip('r.response')} = {strip('expected')}
+                       when 'contains' then contains(r.response, expected)
+                       when 'regex' then regexp_matches(r.response, expected) end, false) as passed,
+    case type when 'exact' then 'exact match' when 'contains' then 'substring match' else 'regex match' end as detail
+  from chk join responses_fx r using (item_id)),
+cres as (select cid, item_id, bool_and(passed) as passed, count(*) as n from res group by cid, item_id)"""
+
+ORACLE["eval_default_ids"] = with_ctes("select item_id, coalesce(id, printf('case_%04d', item_id + 1)) as id from cases_fx", "cases_fx")
+
+ORACLE["eval_checks"] = CASES + """
+select cid as id, cast(row_number() over (partition by cid, item_id order by pos) - 1 as bigint) as pos,
+  type, expected, passed, detail from res"""
+
+ORACLE["eval_cases"] = CASES + """
+select cs.cid as id, cs.category, cres.passed, cast(cres.n as bigint) as n_checks, r.response
+from cs join cres using (item_id) join responses_fx r using (item_id)"""
+
+ORACLE["eval_report"] = CASES + """,
+rep as (select coalesce(nullif(cs.category, ''), 'uncategorized') as category, cres.passed from cs join cres using (item_id))
+select category, cast(count(*) as bigint) as total, cast(count(*) filter (where passed) as bigint) as passed,
+  cast(count(*) filter (where not passed) as bigint) as failed,
+  round_even(count(*) filter (where passed) / count(*), 4) as pass_rate
+from rep group by category
+union all
+select '__total__', cast(count(*) as bigint), cast(count(*) filter (where passed) as bigint),
+  cast(count(*) filter (where not passed) as bigint), round_even(count(*) filter (where passed) / count(*), 4) from rep"""
+
+ORACLE["render_chat_text"] = w_query(f"""
+select category || '_' || {short_hash('group_key')} as id,
+  {chat("'system'", q(C.DEFAULT_SYSTEM_PROMPT))} || {chat("'user'", prompt_case('category'))} || {chat("'assistant'", 'final_text')} as text
+from k""")
+
+ORACLE["render_eval_prompt"] = with_ctes(f"""
+select coalesce(id, printf('case_%04d', item_id + 1)) as id,
+  case when item_id % 7 = 3 then {chat("'user'", 'prompt')} || {GEN}
+       else {chat("'system'", q(C.DEFAULT_SYSTEM_PROMPT))} || {chat("'user'", 'prompt')} || {GEN} end as text,
+  case when item_id % 7 = 3 then {chat("'user'", 'prompt')} || {GEN} else prompt end as text_no_system
+from cases_fx""", "cases_fx")
