@@ -107,21 +107,43 @@ def unescape_entities(c, mode: str = "exact") -> Column:
     return F.when(needs, _unescape_exact(F.when(needs, c))).otherwise(unescape_native(c))
 
 
-def html_to_text(c, unescape: str = "exact") -> Column:
-    """Markup removal: scripts/styles dropped, block ends become newlines,
-    remaining tags become spaces, entities decoded, whitespace tidied."""
+def html_strip_tags(c) -> Column:
+    """Scripts/styles dropped, block ends become newlines, other tags spaces."""
     v = col(c)
     v = F.regexp_replace(v, r"(?isu)<script.*?>.*?</script>", " ")
     v = F.regexp_replace(v, r"(?isu)<style.*?>.*?</style>", " ")
     v = F.regexp_replace(v, r"(?iu)<br" + WS + r"*/?>", "\n")
     v = F.regexp_replace(v, r"(?iu)</p" + WS + r"*>", "\n\n")
     v = F.regexp_replace(v, r"(?iu)</div" + WS + r"*>", "\n")
-    v = F.regexp_replace(v, r"(?isu)<[^>]+>", " ")
-    v = unescape_entities(v, unescape)
-    v = F.regexp_replace(v, r"[ \t]+", " ")
+    return F.regexp_replace(v, r"(?isu)<[^>]+>", " ")
+
+
+def html_tidy(c) -> Column:
+    """Runs of spaces/tabs -> one space, indentation after newlines removed,
+    3+ newlines -> 2, stripped."""
+    v = F.regexp_replace(col(c), r"[ \t]+", " ")
     v = F.regexp_replace(v, r"\n[ \t]+", "\n")
-    v = collapse_blank_lines(v)
-    return py_strip(v)
+    return py_strip(collapse_blank_lines(v))
+
+
+def html_to_text(c, unescape: str = "exact") -> Column:
+    """Markup removal: scripts/styles dropped, block ends become newlines,
+    remaining tags become spaces, entities decoded, whitespace tidied.
+    Prefer ``with_html_text`` on frames: it materialises the tag-stripped text
+    once instead of referencing the expression from each decoder branch."""
+    return html_tidy(unescape_entities(html_strip_tags(c), unescape))
+
+
+def with_html_text(df, src: str, out: str, unescape: str = "exact", only_when: Column | None = None):
+    """``html_to_text`` as staged projections on a frame. With ``only_when``
+    the conversion runs only for matching rows; other rows keep ``src``."""
+    stripped = html_strip_tags(F.col(src))
+    df = df.withColumn("_html_tags", F.when(only_when, stripped) if only_when is not None else stripped)
+    df = df.withColumn("_html_ent", unescape_entities(F.col("_html_tags"), unescape))
+    text = html_tidy(F.col("_html_ent"))
+    if only_when is not None:
+        text = F.when(F.col("_html_tags").isNotNull(), text).otherwise(F.col(src))
+    return df.withColumn(out, text).drop("_html_tags", "_html_ent")
 
 
 # Java forms of the flag patterns: Unicode word boundaries and case folding

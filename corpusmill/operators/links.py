@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill import config as C
+from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.functions import urls as U
 
@@ -35,10 +36,17 @@ def extract_links(pages: DataFrame, html_col: str = "html", ord_col: str = "ord"
 
 def ordered_distinct(df: DataFrame, key: str, *order_cols: str) -> DataFrame:
     """First occurrence of each ``key`` in (order_cols) order: one row per key
-    with the ordinal of its first appearance. A hash aggregate with partial
-    aggregation, so a repeated key costs one row per map task."""
-    first = F.min(F.struct(*order_cols)).alias("first")
-    return df.groupBy(key).agg(first).select(key, *[F.col("first")[c].alias(c) for c in order_cols])
+    with the ordinal(s) of its first appearance. A hash aggregate with partial
+    aggregation (one or two non-negative ordinals packed into one key), so a
+    repeated key costs one row per map task."""
+    if len(order_cols) not in (1, 2):
+        first = F.min(F.struct(*order_cols)).alias("first")
+        return df.groupBy(key).agg(first).select(key, *[F.col("first")[c].alias(c) for c in order_cols])
+    two = len(order_cols) == 2
+    k = ORD.first_key(*[F.col(c) for c in order_cols])
+    g = df.groupBy(key).agg(F.min(k).alias("_first"))
+    parts = ORD.split_first_key(F.col("_first"), two)
+    return g.select(key, *[p.alias(c) for p, c in zip(parts, order_cols)])
 
 
 def original_link(html) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.config import CurationConfig
+from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.functions import urls as U
 from corpusmill.operators.transform import route_method
@@ -138,13 +139,15 @@ def select_preferred(rows: DataFrame, links: DataFrame | None, cfg: CurationConf
 
     Returns one row per group: ord (winner), group_key, first_ord (first
     appearance of the group), group_rows. Works on keys only; max over
-    struct(prio, len, -ord) is associative, so per-URL then per-group partial
-    aggregation gives the exact winner.
+    (prio, len, -ord) is associative, so per-URL then per-group partial
+    aggregation gives the exact winner. The priority is packed into one
+    decimal key so both levels are hash aggregates.
     """
     own = cfg.null_url == "own_group"
     solo = F.when((F.col("url") == "") & F.lit(own), F.col("ord"))
-    per_url = rows.select("ord", "url", "prio", "raw_len", solo.alias("solo")).groupBy("url", "solo").agg(
-        F.max(F.struct("prio", "raw_len", (-F.col("ord")).alias("neg_ord"))).alias("best"),
+    key = ORD.best_key(F.col("prio"), F.col("raw_len"), F.col("ord"))
+    per_url = rows.select("ord", "url", key.alias("best"), solo.alias("solo")).groupBy("url", "solo").agg(
+        F.max("best").alias("best"),
         F.min("ord").alias("first_ord"),
         F.count(F.lit(1)).alias("n"),
     )
@@ -157,7 +160,7 @@ def select_preferred(rows: DataFrame, links: DataFrame | None, cfg: CurationConf
     groups = keyed.groupBy("group_key", "solo").agg(
         F.max("best").alias("best"), F.min("first_ord").alias("first_ord"), F.sum("n").alias("group_rows"))
     return groups.select(
-        (-F.col("best.neg_ord")).alias("ord"), "group_key", "first_ord", F.col("group_rows").cast("bigint").alias("group_rows"))
+        ORD.ord_of_best(F.col("best")).alias("ord"), "group_key", "first_ord", F.col("group_rows").cast("bigint").alias("group_rows"))
 
 
 def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
@@ -167,7 +170,7 @@ def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
     df = spread(rows.select("ord", "url", "host", "path", "transform_method", "content"))
     df = df.select("ord", "url", "host", "path", "transform_method", TX.py_strip(F.col("content")).alias("s0"))
     is_html = (F.coalesce(F.col("transform_method"), F.lit("")) == "local_cached_body") | TX.looks_like_html(F.col("s0"))
-    df = df.withColumn("s1", F.when(is_html, TX.html_to_text(F.col("s0"), cfg.unescape)).otherwise(F.col("s0")))
+    df = TX.with_html_text(df, "s0", "s1", cfg.unescape, only_when=is_html)
     df = df.withColumn("s2", TX.py_strip(TX.collapse_blank_lines(TX.strip_preamble(F.col("s1"), cfg.preamble_marker))))
     df = df.withColumn("text", TX.truncate(TX.redact_flags(F.col("s2")), cfg.max_chars))
     reason = (

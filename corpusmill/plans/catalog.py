@@ -108,7 +108,7 @@ def q_clean_content(spark, sf_dir):
 @query("html_to_text")
 def q_html_to_text(spark, sf_dir):
     pages = load_tables(spark, sf_dir, ["pages"])["pages"]
-    return pages.select("page_id", TX.html_to_text(F.col("html")).alias("text"))
+    return TX.with_html_text(pages.select("page_id", "html"), "html", "text").select("page_id", "text")
 
 
 @query("looks_like_html")
