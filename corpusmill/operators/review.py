@@ -17,7 +17,6 @@ def review_ledger(records: DataFrame, batch_name: str, *, index_col: str = "inde
     """One ledger row per fetch record (the 20 ledger columns, fixed order)."""
     st = F.coalesce(TX.py_truthy_str(F.col("status")), F.lit("error"))
     ok = st.isin(*C.SUCCESS_FETCH_STATUSES)
-    final_url = F.coalesce(TX.py_truthy_str(F.col("final_url")), TX.py_truthy_str(F.col("url")))
     rs = F.lit(review_status.strip()) if review_status else None
     review = F.when(ok, rs if rs is not None else F.lit("pending_review")).otherwise(F.lit("fetch_error"))
     redis = F.when(ok, F.lit(redistribution_status.strip())) if redistribution_status else None
@@ -25,6 +24,7 @@ def review_ledger(records: DataFrame, batch_name: str, *, index_col: str = "inde
     slug = TX.slugify(F.lit(batch_name), "record")
     cols = {c: F.col(c) for c in records.columns}
     get = lambda name, t="string": cols.get(name, F.lit(None).cast(t))
+    final_url = F.coalesce(TX.py_truthy_str(get("final_url")), TX.py_truthy_str(get("url")))
     out = {
         "review_id": F.concat(slug, F.lit("_"), F.format_string("%04d", F.col(index_col))),
         "batch_name": F.lit(batch_name),
