@@ -61,20 +61,25 @@ def latest_entries(cache: DataFrame, key_col: str = "url", ord_col: str = "ord")
 def cache_lookup(urls: DataFrame, cache: DataFrame, url_col: str = "url", ord_col: str = "ord") -> tuple[DataFrame, DataFrame]:
     """(hits, misses): a URL hits only when its latest entry has status ok.
 
-    The cache side is one row per key after ``latest_entries``; the join is a
-    plain equi-join (AQE broadcasts it when it is small at run time)."""
-    idx = latest_entries(cache, url_col, ord_col)
-    keyed = urls.withColumn("_key", TX.py_strip(F.col(url_col)))
-    good = idx.filter(F.col("status") == "ok")
-    j = keyed.join(good, keyed["_key"] == good["cache_key"], "left")
-    hit = good["cache_key"].isNotNull()
-    base = [keyed[c] for c in urls.columns]
-    entry_cols = [good[c].alias(f"cache_{c}") for c in idx.columns if c not in ("cache_key", url_col)]
-    hits = j.filter(hit).select(*base, F.lit("cached").alias("fetch_status"), *entry_cols)
-    misses = keyed.join(good, keyed["_key"] == good["cache_key"], "left_anti").select(*base)
+    One left join against the one-row-per-key cache index (AQE broadcasts it
+    when it is small at run time); hits and misses are two filters of it."""
+    j = cache_probe(urls, cache, url_col, ord_col)
+    entry_cols = [c for c in j.columns if c.startswith("cache_") and c != "cache_hit"]
+    hits = j.filter("cache_hit").select(*urls.columns, F.lit("cached").alias("fetch_status"), *entry_cols)
+    misses = j.filter(~F.col("cache_hit")).select(*urls.columns)
     return hits, misses
 
 
+def cache_probe(urls: DataFrame, cache: DataFrame, url_col: str = "url", ord_col: str = "ord") -> DataFrame:
+    """Every URL with ``cache_hit`` and, for hits, the entry's fields as
+    ``cache_<field>``."""
+    idx = latest_entries(cache, url_col, ord_col).filter(F.col("status") == "ok")
+    keyed = urls.withColumn("_key", TX.py_strip(F.col(url_col)))
+    j = keyed.join(idx, keyed["_key"] == idx["cache_key"], "left")
+    entry_cols = [idx[c].alias(f"cache_{c}") for c in idx.columns if c not in ("cache_key", url_col)]
+    return j.select(*[keyed[c] for c in urls.columns], idx["cache_key"].isNotNull().alias("cache_hit"), *entry_cols)
+
+
 def cache_upsert(cache: DataFrame, updates: DataFrame, key_col: str = "url", ord_col: str = "ord") -> DataFrame:
     """New cache index: entries of ``updates`` replace older ones per key."""
     return latest_entries(cache.unionByName(updates, allowMissingColumns=True), key_col, ord_col)

@@ -59,8 +59,11 @@ def with_category(df: DataFrame, url: str, text: str, out: str = "category", cfg
     df = df.withColumn("_hay", hay)
     names = [f"_score_{i}" for i in range(len(cfg.category_keywords))]
     df = df.withColumns({n: sc for n, (_, sc) in zip(names, _scores(F.col("_hay"), cfg))})
-    picked = _pick([(cat, F.col(n)) for n, cat in zip(names, cfg.category_keywords)], cfg)
-    return df.withColumn(out, picked).drop("_hay", *names)
+    df = df.withColumn("_best", F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0]))
+    picked = F.when(F.col("_best") <= 0, F.lit(cfg.fallback_category))
+    for n, cat in zip(names, cfg.category_keywords):
+        picked = picked.when(F.col(n) == F.col("_best"), F.lit(cat))
+    return df.withColumn(out, picked).drop("_hay", "_best", *names)
 
 
 def keep_record(url, content, cfg: CurationConfig = DEFAULT) -> Column:

@@ -19,7 +19,7 @@ from corpusmill.functions import urls as U
 from corpusmill.operators import writeups as W
 from corpusmill.operators.transform import route_target
 from corpusmill.plans.fixtures import fixture
-from corpusmill.session import load_tables
+from corpusmill.session import load_tables, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,7 +69,10 @@ def q_writeup_flagship(spark, sf_dir):
 @query("build_samples")
 def q_build_samples(spark, sf_dir):
     s = W.build_samples(_curated(spark, sf_dir))
-    return s.select("id", F.posexplode("messages").alias("pos", "m")).select(
+    # outer: a built sample always has 3 messages, and the outer form keeps
+    # Catalyst from inferring (and pushing down) a size(messages) > 0 filter
+    # that would re-derive the whole message array below the join.
+    return s.select("id", F.posexplode_outer("messages").alias("pos", "m")).select(
         "id", F.col("pos").cast("bigint").alias("pos"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
 
 
@@ -107,7 +110,7 @@ def q_clean_content(spark, sf_dir):
 
 @query("html_to_text")
 def q_html_to_text(spark, sf_dir):
-    pages = load_tables(spark, sf_dir, ["pages"])["pages"]
+    pages = spread(load_tables(spark, sf_dir, ["pages"])["pages"])
     return TX.with_html_text(pages.select("page_id", "html"), "html", "text").select("page_id", "text")
 
 
@@ -121,13 +124,13 @@ def q_looks_like_html(spark, sf_dir):
 
 @query("strip_preamble")
 def q_strip_preamble(spark, sf_dir):
-    fx = fixture(spark, sf_dir, "transformed_fx")
+    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
     return fx.select("ord", TX.strip_preamble(F.col("content")).alias("content"))
 
 
 @query("redact_flags")
 def q_redact_flags(spark, sf_dir):
-    fx = fixture(spark, sf_dir, "transformed_fx")
+    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
     red = TX.redact_flags(F.col("content"))
     return fx.select("ord", red.alias("content"), F.contains(red, F.lit("<FLAG>")).alias("has_flag"))
 
@@ -150,7 +153,7 @@ def q_low_signal_filter(spark, sf_dir):
 
 @query("infer_category")
 def q_infer_category(spark, sf_dir):
-    fx = fixture(spark, sf_dir, "transformed_fx")
+    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
     return fx.select("ord", W.infer_category(F.col("final_url"), F.col("content")).alias("category"))
 
 
@@ -220,7 +223,7 @@ def q_extract_links(spark, sf_dir):
 
 @query("original_link")
 def q_original_link(spark, sf_dir):
-    d = fixture(spark, sf_dir, "detail_fx")
+    d = spread(fixture(spark, sf_dir, "detail_fx"))
     return d.select("page_id", LK.original_link(F.col("html")).alias("original_url"))
 
 
@@ -294,9 +297,8 @@ def q_approved_rows_limited(spark, sf_dir):
 @query("cache_lookup")
 def q_cache_lookup(spark, sf_dir):
     urls = fixture(spark, sf_dir, "fetch_fx").select("idx", "url")
-    hits, misses = FE.cache_lookup(urls, fixture(spark, sf_dir, "cache_fx"))
-    return hits.select("idx", "url", F.lit(True).alias("hit"), F.col("cache_body_hash").alias("body_hash")).unionByName(
-        misses.select("idx", "url", F.lit(False).alias("hit"), F.lit(None).cast("string").alias("body_hash")))
+    probe = FE.cache_probe(urls, fixture(spark, sf_dir, "cache_fx"))
+    return probe.select("idx", "url", F.col("cache_hit").alias("hit"), F.col("cache_body_hash").alias("body_hash"))
 
 
 @query("cache_upsert")
@@ -310,7 +312,7 @@ def q_cache_upsert(spark, sf_dir):
 
 @query("normalize_text")
 def q_normalize_text(spark, sf_dir):
-    fx = fixture(spark, sf_dir, "crlf_fx")
+    fx = spread(fixture(spark, sf_dir, "crlf_fx"))
     return TR.landed_text(fx).select("doc_id", "content", "content_sha256")
 
 
@@ -341,7 +343,7 @@ def _qa(spark, sf_dir):
 
 
 def _explode_messages(df, key):
-    return df.select(key, F.posexplode("messages").alias("pos", "m")).select(
+    return df.select(key, F.posexplode_outer("messages").alias("pos", "m")).filter(F.col("m").isNotNull()).select(
         key, F.col("pos").cast("bigint").alias("pos"), F.col("m.role").alias("role"), F.col("m.content").alias("content"))
 
 
@@ -481,7 +483,7 @@ DOC_POLICY = {
 
 @query("redact_rules")
 def q_redact_rules(spark, sf_dir):
-    docs = load_tables(spark, sf_dir, ["documents"])["documents"]
+    docs = spread(load_tables(spark, sf_dir, ["documents"])["documents"])
     policy = RD.load_policy(DOC_POLICY)
     return RD.apply_policy(docs.select("doc_id", "text", "lang", "source"), policy, keep=("doc_id",))
 
