@@ -119,7 +119,9 @@ def prepare_rows(transformed: DataFrame, cfg: CurationConfig = DEFAULT) -> DataF
     src = F.col("source_url") if "source_url" in cols else None
     body = F.col("body_path") if "body_path" in cols else F.lit(None).cast("string")
     method = F.col("transform_method") if "transform_method" in cols else F.lit(None).cast("string")
-    df = transformed.filter(F.col("transform_status") == "ok").select(
+    # Inputs with fewer splits than task slots are spread once here, so the
+    # key side and the text side share (and Spark reuses) one exchange.
+    df = spread(transformed.filter(F.col("transform_status") == "ok")).select(
         F.col("ord").cast("bigint").alias("ord"),
         U.row_url(F.col("final_url"), src).alias("url"),
         method.alias("transform_method"),
@@ -170,8 +172,7 @@ def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
     """Per-row text work, staged as narrow projections (each step one column,
     so every stage stays small enough for whole-stage codegen): final content,
     drop reason, category, has_code. Dropped rows keep no text."""
-    df = spread(rows.select("ord", "url", "host", "path", "transform_method", "content"))
-    df = df.select("ord", "url", "host", "path", "transform_method", TX.py_strip(F.col("content")).alias("s0"))
+    df = rows.select("ord", "url", "host", "path", "transform_method", TX.py_strip(F.col("content")).alias("s0"))
     is_html = (F.coalesce(F.col("transform_method"), F.lit("")) == "local_cached_body") | TX.looks_like_html(F.col("s0"))
     df = TX.with_html_text(df, "s0", "s1", cfg.unescape, only_when=is_html)
     df = df.withColumn("s2", TX.py_strip(TX.collapse_blank_lines(TX.strip_preamble(F.col("s1"), cfg.preamble_marker))))

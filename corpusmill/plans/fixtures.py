@@ -8,9 +8,11 @@ grows with them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.session import load_tables
+from corpusmill.session import TABLES, load_tables
 
 FIXTURES: dict[str, str] = {}
 
@@ -123,9 +125,14 @@ from labels
 """
 
 
+def tables_of(sql: str) -> list[str]:
+    return [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived fixture as a DataFrame (driver tables registered first)."""
-    load_tables(spark, sf_dir)
+    """A derived fixture as a DataFrame (the driver tables it reads are
+    registered first)."""
+    load_tables(spark, sf_dir, tables_of(FIXTURES[name]))
     return spark.sql(FIXTURES[name])
 
 

@@ -58,14 +58,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_REGISTERED: dict[tuple[int, str], tuple[str, DataFrame]] = {}
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """Read the parquet tables of one scale factor and register them as temp views."""
+    """Read the parquet tables of one scale factor and register them as temp
+    views. A table already registered from the same path in this session is
+    reused, so repeated calls do not re-read parquet footers."""
     out = {}
     for name in names:
         path = os.path.join(sf_dir, f"{name}.parquet")
+        key = (id(spark), name)
+        hit = _REGISTERED.get(key)
+        if hit and hit[0] == path and spark.catalog.tableExists(name):
+            out[name] = hit[1]
+            continue
         if os.path.exists(path) or "://" in sf_dir:
             df = spark.read.parquet(path)
             df.createOrReplaceTempView(name)
+            _REGISTERED[key] = (path, df)
             out[name] = df
     return out
 
