@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ARTIFACTS = T.StructType([T.StructField("language", T.StringType()), T.StructField("has_code", T.BooleanType())])
-DEFAULTS = T.StructType([
-    T.StructField("category", T.StringType()), T.StructField("difficulty", T.StringType()),
-    T.StructField("challenge_family", T.StringType()), T.StructField("split", T.StringType()),
-    T.StructField("artifacts", ARTIFACTS),
-])
 RECORD_DEFAULTS = T.StructType([
     T.StructField("system_prompt", T.StringType()), T.StructField("source_bucket", T.StringType()),
     T.StructField("source_ledger_path", T.StringType()), T.StructField("review_status", T.StringType()),
@@ -26,6 +21,9 @@ RECORD_DEFAULTS = T.StructType([
     T.StructField("challenge_family", T.StringType()), T.StructField("split", T.StringType()),
     T.StructField("artifacts", ARTIFACTS),
 ])
+# Manifest-level defaults may carry any record-default field; record defaults
+# override them field by field.
+DEFAULTS = RECORD_DEFAULTS
 RECORD = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("paths", T.ArrayType(T.StringType())),
     T.StructField("format", T.StringType()), T.StructField("defaults", RECORD_DEFAULTS),
@@ -72,8 +70,7 @@ def manifest_records(manifests: DataFrame, key: str = "manifest") -> DataFrame:
     path_index, path, format (default jsonl_messages), record defaults, and
     ``error_reason`` for records without any path."""
     m = manifests.filter(F.coalesce(F.col("enabled"), F.lit(True)))
-    r = m.select(key, *[c for c in ("source", "license", "defaults") if c in m.columns],
-                 F.posexplode("records").alias("record_index", "record"))
+    r = m.select(*[c for c in m.columns if c != "records"], F.posexplode("records").alias("record_index", "record"))
     paths = F.coalesce(F.when(F.col("record.path").isNotNull(), F.array(F.col("record.path"))), F.col("record.paths"))
     r = r.withColumn("error_reason", F.when(paths.isNull(), F.lit("record_without_path")))
     r = r.select("*", F.posexplode_outer(paths).alias("path_index", "path"))
