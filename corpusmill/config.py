@@ -186,3 +186,6 @@ class CurationConfig:
     # "exact": unknown HTML entities go through the stdlib decoder (Arrow UDF,
     # only for rows that need it); "native": only the built-in entity table.
     unescape: str = "exact"
+    # "substring": keywords match anywhere (as specified, "ida" hits
+    # "validate"); "word": keywords must stand as whole words.
+    keyword_match: str = "substring"

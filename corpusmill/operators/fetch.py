@@ -28,10 +28,16 @@ def url_list(lines: DataFrame, line_col: str = "line", ord_col: str = "ord") ->
     return ordered_distinct(kept, "url", "ord")
 
 
-def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None = None) -> DataFrame:
+def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None = None,
+              max_http_status: int | None = None) -> DataFrame:
     """Fetch records for landed payloads: content type, byte length, SHA-256,
-    body file name; error rows keep only url/index/status/error."""
+    body file name, response headers; error rows keep only url/index/status.
+
+    Any HTTP status counts as a successful fetch (as specified) unless
+    ``max_http_status`` is given and ``status_code`` exceeds it."""
     ok = F.col("status") != "error"
+    if max_http_status is not None and "status_code" in payloads.columns:
+        ok = ok & (F.coalesce(F.col("status_code"), F.lit(0)) <= max_http_status)
     ctype = U.normalize_content_type(F.col("content_type_raw"))
     body = F.col("body").cast("binary")
     fname = U.body_filename(F.col(index_col), F.col("final_url"), ctype)
@@ -45,6 +51,12 @@ def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None
         "sha256": F.when(ok, F.sha2(body, 256)),
         "filename": F.when(ok, fname),
     }
+    if "headers" in payloads.columns:  # MAP<STRING,STRING> of raw response headers
+        hdr = F.col("headers")
+        cols["headers"] = F.when(ok, F.struct(*[F.try_element_at(hdr, F.lit(k)).alias(n) for n, k in (
+            ("content_type", "Content-Type"), ("content_length", "Content-Length"),
+            ("last_modified", "Last-Modified"), ("etag", "ETag"))]))
+    cols["status"] = F.when(ok | (F.col("status") == "error"), F.col("status")).otherwise(F.lit("error"))
     if body_dir is not None:
         cols["body_path"] = F.when(ok, F.concat(F.lit(body_dir.rstrip("/") + "/"), fname))
     return payloads.select(*[v.alias(k) for k, v in cols.items()])

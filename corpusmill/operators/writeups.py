@@ -15,6 +15,8 @@ Plan shape (see README "write-up curation"):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,13 @@ DEFAULT = CurationConfig()
 # --------------------------------------------------------------------------
 
 def _scores(hay: Column, cfg: CurationConfig):
+    if cfg.keyword_match == "word":
+        def hits(kws):
+            total = F.lit(0)
+            for k in kws:
+                total = total + hay.rlike(r"(?U)\b" + re.escape(k) + r"\b").cast("int")
+            return total
+        return [(cat, hits(kws)) for cat, kws in cfg.category_keywords.items()]
     return [(cat, TX.count_contains(hay, kws)) for cat, kws in cfg.category_keywords.items()]
 
 

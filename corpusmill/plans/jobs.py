@@ -234,11 +234,15 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     df = df.drop("system_prompt")
     good = df.filter(F.col("error_reason").isNull())
     quarantine = df.filter(F.col("error_reason").isNotNull())
-    samples = good.drop("error_reason", "original_id", "source_id", "file", "item", "record_index")
+    samples = good.withColumns({"_o1": F.col("record_index"), "_o2": F.col("file"), "_o3": F.col("item")}).drop(
+        "error_reason", "original_id", "source_id", "file", "item", "record_index")
     summary = RC.dataset_summary(samples)
     return DatasetBuildResult(samples, quarantine, summary)
 
 
+
+
+
 def _strip_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
@@ -273,7 +277,8 @@ def write_dataset(result: DatasetBuildResult, output_dir: str, overwrite: bool =
         dup = RC.duplicate_ids(result.samples).limit(1).collect()
         if dup:
             raise BuildError(f"Duplicate sample id detected: {dup[0]['id']}")
-    S.write_split_jsonl(result.samples.drop("manifest"), os.path.join(output_dir, "samples"), overwrite=overwrite)
+    S.write_split_jsonl(result.samples.withColumnRenamed("manifest", "_manifest"), os.path.join(output_dir, "samples"),
+                        overwrite=overwrite, order_by=["_manifest", "_o1", "_o2", "_o3"])
     S.write_summary(result.summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
 
 
@@ -298,8 +303,9 @@ def build_writeup_dataset(spark: SparkSession, transformed_path: str, output_dir
     if enumeration_path:
         links = J.read_jsonl(spark, enumeration_path, LINK).withColumn("ord", F.col("line"))
     cur = W.curate_writeups(t, links, cfg)
-    samples = W.build_samples(cur, cfg).drop("first_ord")
-    S.write_split_jsonl(samples, os.path.join(output_dir, "samples"), overwrite=overwrite, keep_split_in_body=True)
+    samples = W.build_samples(cur, cfg).withColumnRenamed("first_ord", "_first_ord")
+    S.write_split_jsonl(samples, os.path.join(output_dir, "samples"), overwrite=overwrite, keep_split_in_body=True,
+                        order_by="_first_ord")
     summary = W.curation_summary(cur)
     S.write_summary(summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
     return summary

@@ -16,14 +16,23 @@ def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
 
-def write_jsonl(df: DataFrame, path: str, overwrite: bool = False, keep_nulls: bool = True) -> None:
+def _ordered(df: DataFrame, order_by) -> DataFrame:
+    """Input order restored at the sink: a range-partitioned global sort, so
+    part files concatenated in name order follow ``order_by``."""
+    if not order_by:
+        return df
+    cols = [order_by] if isinstance(order_by, str) else list(order_by)
+    return df.orderBy(*cols).drop(*[c for c in cols if c.startswith("_") and c not in ("_split",)])
+
+
+def write_jsonl(df: DataFrame, path: str, overwrite: bool = False, keep_nulls: bool = True, order_by=None) -> None:
     """JSON lines, UTF-8 kept as is; null fields written out for a stable shape."""
-    (df.write.mode(_mode(overwrite)).option("ignoreNullFields", str(not keep_nulls).lower())
+    (_ordered(df, order_by).write.mode(_mode(overwrite)).option("ignoreNullFields", str(not keep_nulls).lower())
      .option("compression", "none").json(path))
 
 
 def write_split_jsonl(samples: DataFrame, path: str, overwrite: bool = False, keep_split_in_body: bool = False,
-                      default_split: str = "dataset") -> None:
+                      default_split: str = "dataset", order_by=None) -> None:
     """One folder per split (``split=<name>/``). The dataset build drops the
     split from the record body; the write-up build keeps it
     (``keep_split_in_body``). Missing split -> ``default_split``."""
@@ -34,7 +43,11 @@ def write_split_jsonl(samples: DataFrame, path: str, overwrite: bool = False, ke
     else:
         df = samples.withColumn("split", split)
         part = "split"
-    (df.write.mode(_mode(overwrite)).partitionBy(part).option("ignoreNullFields", "false")
+    if order_by:
+        # split first: the writer needs rows grouped by the partition column,
+        # and a sort that already starts with it is kept as is
+        order_by = [part] + ([order_by] if isinstance(order_by, str) else list(order_by))
+    (_ordered(df, order_by).write.mode(_mode(overwrite)).partitionBy(part).option("ignoreNullFields", "false")
      .option("compression", "none").json(path))
 
 

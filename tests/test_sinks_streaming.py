@@ -45,3 +45,12 @@ def test_streaming_cache_ingest_latest_wins(spark, tmp_dir):
     idx = {r["cache_key"]: (r["sha256"], r["status"]) for r in CI.cache_index(spark, log).collect()}
     assert idx == {"https://a": ("3", "ok"), "https://b": ("2", "error")}
     assert spark.read.parquet(log).count() == 3
+
+
+def test_ordered_split_output(spark, tmp_dir):
+    df = spark.range(0, 2000).select(F.col("id").alias("_o"), (F.col("id") % 2).cast("string").alias("split"),
+                                     F.col("id").alias("v")).repartition(7)
+    S.write_split_jsonl(df, f"{tmp_dir}/ord", order_by="_o")
+    for sp in ("0", "1"):
+        vals = [json.loads(line)["v"] for p in sorted(glob.glob(f"{tmp_dir}/ord/split={sp}/*.json")) for line in open(p)]
+        assert vals == sorted(vals) and len(vals) == 1000

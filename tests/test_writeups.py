@@ -105,3 +105,23 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["id", "category", "split", "difficulty", "source", "license", "challenge_family",
                           "user_prompt", "content", "has_code", "source_url"]
+
+
+def test_hot_group_third_of_rows_partial_aggregation(spark):
+    # one URL holds a third of all rows; the result must equal the rule and the
+    # plan must aggregate map-side before any exchange
+    n = 3000
+    data = [(i, "https://hot.example/x" if i % 3 == 0 else f"https://c.example/{i}", "ok", "t" * (i % 7 + 1)) for i in range(n)]
+    rows = W.prepare_rows(_rows(spark, data, 12))
+    sel = W.select_preferred(rows, None)
+    hot = [r for r in sel.collect() if r["group_key"] == "https://hot.example/x"]
+    best_len = max(i % 7 + 1 for i in range(0, n, 3))
+    want = min(i for i in range(0, n, 3) if i % 7 + 1 == best_len)
+    assert hot[0]["ord"] == want and hot[0]["group_rows"] == n // 3
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "SortAggregate" not in plan
+
+
+def test_word_boundary_keyword_mode(spark):
+    df = spark.createDataFrame([("ftp://x/", "validate")], "u string, c string")
+    assert df.select(W.infer_category(F.col("u"), F.col("c"), CurationConfig(keyword_match="word"))).collect()[0][0] == "misc"
