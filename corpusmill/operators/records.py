@@ -124,16 +124,23 @@ def normalize_message_rows(rows: DataFrame, key: str, pos: str, role: str = "rol
     m = rows.select(F.col(key).alias("key"), F.col(pos).alias("pos"),
                     normalize_role(F.col(role)).alias("role"), F.col(content).alias("raw"))
     m = m.withColumns({"content": TX.py_strip(F.col("raw")), "err": message_error(F.col("role"), F.col("raw"))})
+    # Hash-aggregatable sample checks: the first message's "is system" flag as
+    # min_by over a boolean, the first error as min over pos * 4 + code.
+    codes = {"unsupported_role": 1, "blank_content": 2}
+    code = F.when(F.col("err") == "unsupported_role", F.lit(codes["unsupported_role"])) \
+        .when(F.col("err") == "blank_content", F.lit(codes["blank_content"]))
     per = m.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_messages"),
-        F.min_by("role", "pos").alias("first_role"),
-        F.min(F.when(F.col("err").isNotNull(), F.struct("pos", "err"))).alias("first_err"),
+        F.min_by(F.col("role") == "system", F.col("pos")).alias("first_is_system"),
+        F.min(F.col("pos").cast("bigint") * 4 + code).alias("first_err"),
         F.count_if(F.col("role") == "assistant").alias("n_assistant"),
     )
-    err = F.coalesce(F.col("first_err.err"), F.when(F.col("n_assistant") == 0, F.lit("no_assistant")))
+    err_code = F.pmod(F.col("first_err"), F.lit(4))
+    first_err = F.when(err_code == 1, F.lit("unsupported_role")).when(err_code == 2, F.lit("blank_content"))
+    err = F.coalesce(first_err, F.when(F.col("n_assistant") == 0, F.lit("no_assistant")))
     samples = per.select(
         F.col("key").alias(key), F.col("n_messages").cast("bigint").alias("n_messages"),
-        (F.col("first_role") != "system").alias("injected"), err.alias("error_reason"))
+        (~F.col("first_is_system")).alias("injected"), err.alias("error_reason"))
     good = samples.filter(F.col("error_reason").isNull()).select(F.col(key).alias("key"), "injected")
     body = m.join(good, "key", "inner")
     # Positions are the sample's own 0-based ordinals (posexplode / turn
