@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill import config as C
 from corpusmill.functions import text as TX
 from corpusmill.functions import urls as U
 from corpusmill.operators.links import ordered_distinct

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from corpusmill import config as C
 from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
-from corpusmill.functions import urls as U
 
 
 def absolute_url(rel, base: str = C.AGGREGATOR_BASE_URL) -> Column:
@@ -96,7 +95,3 @@ def enumeration_summary(rows: DataFrame, targets: DataFrame) -> DataFrame:
         F.count_if(F.col("src") == 1).cast("bigint").alias("target_urls"),
         F.count_if((F.col("src") == 0) & F.col("err")).cast("bigint").alias("original_errors"),
     )
-
-
-__all__ = ["absolute_url", "extract_links", "ordered_distinct", "original_link", "link_rows", "target_urls",
-           "enumeration_summary", "U"]
