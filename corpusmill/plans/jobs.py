@@ -8,6 +8,7 @@ every per-record step runs on the executors.
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,7 @@ class DatasetBuildResult:
     samples: DataFrame
     quarantine: DataFrame
     summary: DataFrame
+    skipped_manifests: tuple = ()  # enabled JSON files without records (reported, not built)
 
 
 # ---------------------------------------------------------------------------
@@ -121,6 +123,10 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         policy = RD.load_policy(policy_path)
     skip = os.path.basename(policy_path) if policy_path and os.path.dirname(os.path.abspath(policy_path)) == os.path.abspath(manifest_dir) else None
     manifests = M.read_manifests(spark, manifest_dir, skip=skip)
+    heads = manifests.select("manifest", "enabled", F.size(F.coalesce("records", F.array())).alias("n")).collect()
+    if not heads:
+        raise BuildError(f"No manifest JSON files found under {manifest_dir}")
+    skipped = sorted(h["manifest"] for h in heads if h["enabled"] is not False and h["n"] == 0)
     recs = M.manifest_records(manifests.select(
         "manifest", "manifest_path", "source_id", "enabled", "records",
         F.coalesce("source", F.lit(C.UNKNOWN)).alias("source"), F.coalesce("license", F.lit(C.UNKNOWN)).alias("license"),
@@ -237,7 +243,7 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     samples = good.withColumns({"_o1": F.col("record_index"), "_o2": F.col("file"), "_o3": F.col("item")}).drop(
         "error_reason", "original_id", "source_id", "file", "item", "record_index")
     summary = RC.dataset_summary(samples)
-    return DatasetBuildResult(samples, quarantine, summary)
+    return DatasetBuildResult(samples, quarantine, summary, tuple(skipped))
 
 
 
@@ -375,3 +381,103 @@ def render_training_split(spark: SparkSession, split_path: str, out_path: str, t
         raise BuildError(f"record rejected: {bad[0]['error_reason']}")
     out.select("text").write.mode("overwrite" if overwrite else "errorifexists").json(out_path)
     return out
+
+
+# ---------------------------------------------------------------------------
+# Stages L, F, T: link enumeration, fetch batch + cache, transform selection
+# ---------------------------------------------------------------------------
+
+def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: DataFrame | None, output_dir: str,
+                    target_source: str = "ctftime", overwrite: bool = False) -> DataFrame:
+    """Landed index pages (ord, html) and optional detail pages (url, html)
+    -> link rows, first-occurrence target list and the summary."""
+    from corpusmill.operators import links as LK
+
+    found = LK.ordered_distinct(LK.extract_links(index_pages, "html", "ord"), "url", "page_ord", "pos")
+    rows = found.select(F.col("url").alias("ctftime_writeup_url"), "page_ord", "pos")
+    if detail_pages is not None:
+        det = detail_pages.select(F.col("url").alias("_u"), F.col("html").alias("_h"))
+        rows = rows.join(det, rows["ctftime_writeup_url"] == det["_u"], "left")
+        orig = LK.original_link(F.col("_h"))
+    else:
+        orig = F.lit(None).cast("string")
+    index = _first_seen_key(rows)
+    link_rows = rows.select(index.alias("index"), "ctftime_writeup_url", orig.alias("original_url"),
+                            F.lit(None).cast("string").alias("original_error"))
+    targets = LK.target_urls(link_rows, target_source)
+    S.write_target_list(targets, os.path.join(output_dir, "targets"), overwrite=overwrite)
+    S.write_jsonl(link_rows, os.path.join(output_dir, "links"), overwrite=overwrite, order_by="index")
+    summary = LK.enumeration_summary(link_rows, targets)
+    S.write_summary(summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
+    return summary
+
+
+def _first_seen_key(rows: DataFrame):
+    """Link-row index in first-appearance order: page ordinal * 10**6 + link
+    position on the page (a page with a million links or more is an error)."""
+    pos = F.col("pos")
+    guarded = F.when(pos < 10**6, pos).otherwise(F.raise_error(F.lit("more than 10**6 links on one index page")))
+    return (F.col("page_ord").cast("bigint") * F.lit(10**6) + guarded).cast("bigint")
+
+
+def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame, cache_log: str | None,
+                output_dir: str, batch_name: str, body_dir: str | None = None, cache_mode: str = "reuse",
+                batch_seq: int | None = None, overwrite: bool = False) -> DataFrame:
+    """URL lines (ord, line) + landed payloads (url, final_url, body, status,
+    content_type_raw[, status_code, headers]) -> fetch records.
+
+    ``reuse``: URLs whose latest cache entry is ok become ``cached`` records;
+    the rest take their landed payload (none landed -> an error record). New
+    ok payloads are appended to the cache log with ordinal
+    ``batch_seq * 10**9 + index`` so later batches win on read; ``batch_seq``
+    defaults to the current epoch second."""
+    from corpusmill.operators import fetch as FE
+
+    urls = FE.url_list(url_lines)
+    if cache_mode not in ("reuse", "refresh", "off"):
+        raise BuildError(f"unknown cache_mode: {cache_mode}")
+    idx = urls.select("url", F.col("ord").alias("idx"))
+    if cache_mode == "reuse" and cache_log and os.path.exists(cache_log):
+        hits, misses = FE.cache_lookup(idx, spark.read.parquet(cache_log))
+        cached = hits.select(F.col("idx").cast("bigint").alias("index"), "url", F.lit("cached").alias("status"),
+                             F.col("cache_final_url").alias("final_url"), F.col("cache_content_type").alias("content_type"),
+                             F.lit(None).cast("bigint").alias("content_length"), F.col("cache_sha256").alias("sha256"),
+                             F.lit(None).cast("string").alias("filename"))
+        todo = misses
+    else:
+        cached, todo = None, idx
+    fetched = FE.fetch_log(todo.join(payloads, "url", "left"), index_col="idx", body_dir=body_dir)
+    records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
+    S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
+                  overwrite=overwrite, order_by="index")
+    if cache_mode != "off" and cache_log:
+        new = fetched.filter(F.col("status") == "ok").select(
+            "url", "status", "final_url", "content_type", "sha256", F.lit(None).cast("string").alias("fetched_at"),
+            (F.lit(int(batch_seq if batch_seq is not None else time.time())) * F.lit(10**9) + F.col("index")).alias("ord"))
+        new.write.mode("append").parquet(cache_log)
+    return records
+
+
+def transform_selected(spark: SparkSession, ledger: DataFrame, landed_text: DataFrame, output_dir: str,
+                       include_unapproved: bool = False, limit: int | None = None, overwrite: bool = False) -> DataFrame:
+    """Approved ledger rows -> routed transform targets joined with the text
+    landed for them (transform_url, text) -> transformed rows and summary."""
+    from corpusmill.operators import transform as TR
+
+    sel = RV.approved_rows(ledger, include_unapproved) if limit is None else \
+        RV.approved_rows_limited(ledger, limit, include_unapproved)
+    routed = TR.route_targets(sel)
+    got = routed.join(landed_text.select(F.col("transform_url").alias("_t"), F.col("text")),
+                      routed["transform_url"] == F.col("_t"), "left")
+    ok = F.col("text").isNotNull()
+    out = got.select(
+        "review_id", "source_url", "final_url", "permission_basis", "transform_method", "transform_url",
+        F.when(ok, F.lit("ok")).otherwise(F.lit("error")).alias("transform_status"),
+        F.when(~ok, F.lit("MissingContent: nothing landed for transform_url")).alias("transform_error"),
+        F.col("text").alias("content"), "ord", ok.alias("_ok"))
+    out = TR.landed_text(out)
+    out = out.withColumn("content_sha256", F.when(F.col("_ok"), F.col("content_sha256"))).drop("_ok")
+    S.write_jsonl(out, os.path.join(output_dir, "transformed"), overwrite=overwrite, order_by="ord")
+    summary = TR.transform_summary(out, ledger)
+    S.write_summary(summary, os.path.join(output_dir, "transform_summary"), overwrite=overwrite)
+    return summary

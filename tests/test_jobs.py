@@ -144,3 +144,43 @@ def test_writeup_review_and_eval_jobs(spark, tmp_dir):
     resp = spark.createDataFrame([("c1", "use the decode loop"), ("case_0003", " no ")], "id string, response string")
     rep = {r["category"]: (r["total"], r["passed"]) for r in JB.run_eval(spark, f"{tmp_dir}/cases.jsonl", resp, f"{tmp_dir}/ev").collect()}
     assert rep == {"rev": (1, 1), "uncategorized": (1, 0), "__total__": (2, 1)}
+
+
+def test_enumerate_fetch_transform_jobs(spark, tmp_dir):
+    index = spark.createDataFrame([(1, '<a href="/writeup/2">x</a><a href="/writeup/1">y</a>'),
+                                   (2, '<a href="/writeup/1">again</a><a href="/writeup/3">z</a>')], "ord long, html string")
+    detail = spark.createDataFrame([
+        ("https://ctftime.org/writeup/1", 'Original writeup (https://blog.example/w/1)'),
+        ("https://ctftime.org/writeup/3", '<link rel="canonical" href="https://x/3">Original writeup (https://x/3)')],
+        "url string, html string")
+    s = JB.enumerate_links(spark, index, detail, f"{tmp_dir}/enum", target_source="both").collect()[0]
+    assert (s["writeup_pages"], s["target_urls"], s["original_errors"]) == (3, 4, 0)
+    targets = [line.strip() for p in sorted(glob.glob(f"{tmp_dir}/enum/targets/*.txt")) for line in open(p)]
+    assert targets == ["https://ctftime.org/writeup/2", "https://ctftime.org/writeup/1", "https://blog.example/w/1",
+                       "https://ctftime.org/writeup/3"]
+
+    lines = spark.createDataFrame([(1, "https://a.example/p"), (2, "# skip"), (3, "https://b.example/q.md"),
+                                   (4, "https://a.example/p"), (5, "https://c.example/")], "ord long, line string")
+    payloads = spark.createDataFrame([
+        ("https://a.example/p", "https://a.example/p", "<html>A</html>", "ok", "text/html; charset=x"),
+        ("https://b.example/q.md", "https://b.example/q.md", "# B", "ok", "text/markdown")],
+        "url string, final_url string, body string, status string, content_type_raw string")
+    log = f"{tmp_dir}/cache_log"
+    r1 = {r["url"]: r for r in JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f1", "b1", batch_seq=1).collect()}
+    assert r1["https://a.example/p"]["status"] == "ok" and r1["https://a.example/p"]["filename"] == "001_p.html"
+    assert r1["https://c.example/"]["status"] == "error"
+    r2 = {r["url"]: r["status"] for r in JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f2", "b2", batch_seq=2).collect()}
+    assert r2 == {"https://a.example/p": "cached", "https://b.example/q.md": "cached", "https://c.example/": "error"}
+
+    from corpusmill.operators.review import review_ledger
+    rec = spark.createDataFrame([(1, "https://github.com/o/r/blob/main/a.md", "ok"), (2, "https://blog.example/x", "ok"),
+                                 (3, "https://gone.example/", "error")], "index long, url string, status string")
+    led = review_ledger(rec, "b", approve_training=True)
+    landed = spark.createDataFrame([("https://raw.githubusercontent.com/o/r/main/a.md", "line1\r\nline2  ")],
+                                   "transform_url string, text string")
+    ts = JB.transform_selected(spark, led, landed, f"{tmp_dir}/t").collect()[0]
+    assert (ts["input_rows"], ts["selected_rows"], ts["successes"], ts["errors"]) == (3, 2, 1, 1)
+    assert ts["methods"] == {"github_raw": 1, "jina": 1}
+    rows = [json.loads(line) for p in glob.glob(f"{tmp_dir}/t/transformed/*.json") for line in open(p)]
+    ok = [r for r in rows if r["transform_status"] == "ok"][0]
+    assert ok["content"] == "line1\nline2" and ok["content_sha256"] == hashlib.sha256(b"line1\nline2").hexdigest()
