@@ -200,8 +200,19 @@ def contains_any(c, needles) -> Column:
     return cond
 
 
+def sql_str(s: str) -> str:
+    """Spark SQL string literal (backslash escapes are processed by the parser)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def count_contains(c, needles) -> Column:
-    c = col(c)
+    """Number of needles that occur in ``c``. With a column name the sum is
+    one SQL expression (one call into the JVM instead of three per needle);
+    the plan is the same either way."""
+    if isinstance(c, str):
+        if not needles:
+            return F.lit(0)
+        return F.expr(" + ".join(f"cast(contains(`{c}`, {sql_str(n)}) as int)" for n in needles))
     total = F.lit(0)
     for n in needles:
         total = total + F.contains(c, F.lit(n)).cast("int")

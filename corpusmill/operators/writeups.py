@@ -45,6 +45,12 @@ def _scores(hay: Column, cfg: CurationConfig):
     return [(cat, TX.count_contains(hay, kws)) for cat, kws in cfg.category_keywords.items()]
 
 
+def _scores_by_name(hay: str, cfg: CurationConfig):
+    if cfg.keyword_match == "word":
+        return _scores(F.col(hay), cfg)
+    return [(cat, TX.count_contains(hay, kws)) for cat, kws in cfg.category_keywords.items()]
+
+
 def _pick(scores, cfg: CurationConfig) -> Column:
     best = F.greatest(*[s for _, s in scores]) if len(scores) > 1 else scores[0][1]
     out = F.when(best <= 0, F.lit(cfg.fallback_category))
@@ -67,7 +73,7 @@ def with_category(df: DataFrame, url: str, text: str, out: str = "category", cfg
     hay = F.lower(F.concat(F.col(url), F.lit("\n"), F.col(text)))
     df = df.withColumn("_hay", hay)
     names = [f"_score_{i}" for i in range(len(cfg.category_keywords))]
-    df = df.withColumns({n: sc for n, (_, sc) in zip(names, _scores(F.col("_hay"), cfg))})
+    df = df.withColumns({n: sc for n, (_, sc) in zip(names, _scores_by_name("_hay", cfg))})
     df = df.withColumn("_best", F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0]))
     picked = F.when(F.col("_best") <= 0, F.lit(cfg.fallback_category))
     for n, cat in zip(names, cfg.category_keywords):

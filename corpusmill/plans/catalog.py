@@ -154,7 +154,7 @@ def q_low_signal_filter(spark, sf_dir):
 @query("infer_category")
 def q_infer_category(spark, sf_dir):
     fx = spread(fixture(spark, sf_dir, "transformed_fx"))
-    return fx.select("ord", W.infer_category(F.col("final_url"), F.col("content")).alias("category"))
+    return W.with_category(fx.select("ord", "final_url", "content"), "final_url", "content").select("ord", "category")
 
 
 @query("hash_split")
