@@ -19,8 +19,21 @@ from corpusmill.functions import text as TX
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 
 
-def read_lines(spark: SparkSession, paths, keep_blank: bool = False) -> DataFrame:
-    """(file, line, value): non-blank lines with their 1-based line numbers."""
+MAX_BROADCAST_SPLITS = 1_000_000  # one small row per input split
+
+
+def read_lines(spark: SparkSession, paths, keep_blank: bool = False,
+               max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+    """(file, line, value): non-blank lines with their 1-based line numbers.
+
+    Two passes over the input, as any exact numbering needs: a counting pass
+    writes the per-split offsets (one row per split) as a reliable checkpoint
+    under ``spark.checkpoint.dir``; the data pass joins each line to its
+    split's offset. The offsets are broadcast only when their row count is
+    checked to be at most ``max_broadcast_splits``, so lines never shuffle.
+    Beyond that bound it is a regular join."""
+    from corpusmill.session import cut_lineage
+
     raw = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -30,8 +43,9 @@ def read_lines(spark: SparkSession, paths, keep_blank: bool = False) -> DataFram
     blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first_rid"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block")
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = blocks.select("file", "block", "first_rid", before.alias("before"))
-    lines = raw.join(offsets, ["file", "block"]).select(
+    offsets = cut_lineage(blocks.select("file", "block", "first_rid", before.alias("before")))
+    side = F.broadcast(offsets) if offsets.count() <= max_broadcast_splits else offsets
+    lines = raw.join(side, ["file", "block"]).select(
         "file", (F.col("before") + F.col("rid") - F.col("first_rid") + 1).alias("line"), "value")
     if not keep_blank:
         lines = lines.filter(TX.py_strip(F.col("value")) != "")
