@@ -27,6 +27,13 @@ def url_list(lines: DataFrame, line_col: str = "line", ord_col: str = "ord") ->
     return ordered_distinct(kept, "url", "ord")
 
 
+def payload_metadata(payloads: DataFrame) -> DataFrame:
+    """Payload rows with the body replaced by its SHA-256 and byte length, so
+    later joins move metadata only."""
+    body = F.col("body").cast("binary")
+    return payloads.withColumns({"body_sha256": F.sha2(body, 256), "body_length": F.octet_length(body).cast("bigint")}).drop("body")
+
+
 def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None = None,
               max_http_status: int | None = None) -> DataFrame:
     """Fetch records for landed payloads: content type, byte length, SHA-256,
@@ -38,7 +45,11 @@ def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None
     if max_http_status is not None and "status_code" in payloads.columns:
         ok = ok & (F.coalesce(F.col("status_code"), F.lit(0)) <= max_http_status)
     ctype = U.normalize_content_type(F.col("content_type_raw"))
-    body = F.col("body").cast("binary")
+    if "body" in payloads.columns:
+        body = F.col("body").cast("binary")
+        length, digest = F.octet_length(body).cast("bigint"), F.sha2(body, 256)
+    else:  # already reduced by payload_metadata
+        length, digest = F.col("body_length"), F.col("body_sha256")
     fname = U.body_filename(F.col(index_col), F.col("final_url"), ctype)
     cols = {
         "index": F.col(index_col).cast("bigint"),
@@ -46,8 +57,8 @@ def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None
         "status": F.col("status"),
         "final_url": F.when(ok, F.col("final_url")),
         "content_type": F.when(ok, ctype),
-        "content_length": F.when(ok, F.octet_length(body).cast("bigint")),
-        "sha256": F.when(ok, F.sha2(body, 256)),
+        "content_length": F.when(ok, length),
+        "sha256": F.when(ok, digest),
         "filename": F.when(ok, fname),
     }
     if "headers" in payloads.columns:  # MAP<STRING,STRING> of raw response headers

@@ -396,9 +396,11 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     found = LK.ordered_distinct(LK.extract_links(index_pages, "html", "ord"), "url", "page_ord", "pos")
     rows = found.select(F.col("url").alias("ctftime_writeup_url"), "page_ord", "pos")
     if detail_pages is not None:
-        det = detail_pages.select(F.col("url").alias("_u"), F.col("html").alias("_h"))
+        # the original link is extracted next to the page (narrow), so only
+        # URLs take part in the join, never page HTML
+        det = detail_pages.select(F.col("url").alias("_u"), LK.original_link(F.col("html")).alias("_orig"))
         rows = rows.join(det, rows["ctftime_writeup_url"] == det["_u"], "left")
-        orig = LK.original_link(F.col("_h"))
+        orig = F.col("_orig")
     else:
         orig = F.lit(None).cast("string")
     index = _first_seen_key(rows)
@@ -446,7 +448,9 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
         todo = misses
     else:
         cached, todo = None, idx
-    fetched = FE.fetch_log(todo.join(payloads, "url", "left"), index_col="idx", body_dir=body_dir)
+    # bodies are reduced to digest and length next to the payload (narrow);
+    # only that metadata meets the URL list in the join
+    fetched = FE.fetch_log(todo.join(FE.payload_metadata(payloads), "url", "left"), index_col="idx", body_dir=body_dir)
     records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
     S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
                   overwrite=overwrite, order_by="index")
