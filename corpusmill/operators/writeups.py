@@ -187,7 +187,8 @@ def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
     """Per-row text work, staged as narrow projections (each step one column,
     so every stage stays small enough for whole-stage codegen): final content,
     drop reason, category, has_code. Dropped rows keep no text."""
-    df = rows.select("ord", "url", "host", "path", "transform_method", TX.py_strip(F.col("content")).alias("s0"))
+    df = rows.select("ord", "url", "host", "path", "transform_method", "prio", "raw_len",
+                     TX.py_strip(F.col("content")).alias("s0"))
     is_html = (F.coalesce(F.col("transform_method"), F.lit("")) == "local_cached_body") | TX.looks_like_html(F.col("s0"))
     df = TX.with_html_text(df, "s0", "s1", cfg.unescape, only_when=is_html)
     df = df.withColumn("s2", TX.py_strip(TX.collapse_blank_lines(TX.strip_preamble(F.col("s1"), cfg.preamble_marker))))
@@ -196,24 +197,38 @@ def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
         F.when(F.length("text") < cfg.min_chars, F.lit("short"))
         .when(~keep_record_parsed(F.col("host"), F.col("path"), F.col("text"), cfg), F.lit("low_signal"))
     )
-    df = df.select("ord", "url", reason.alias("drop_reason"), "text")
+    df = df.select("ord", "url", "prio", "raw_len", reason.alias("drop_reason"), "text")
     # Filters on drop_reason downstream must not be re-derived from the whole
     # text chain below this point; predicates on generator output are not
     # pushed below a Generate, so the chain is evaluated once per row.
-    df = df.select(F.inline(F.array(F.struct("ord", "url", "drop_reason", "text"))))
+    df = df.select(F.inline(F.array(F.struct("ord", "url", "prio", "raw_len", "drop_reason", "text"))))
     kept = F.col("drop_reason").isNull()
-    df = df.select("ord", "url", "drop_reason", F.when(kept, F.col("text")).alias("content"))
+    df = df.select("ord", "url", "prio", "raw_len", "drop_reason", F.when(kept, F.col("text")).alias("content"))
     df = with_category(df, "url", "content", "category", cfg)
     return df.withColumn("has_code", TX.has_code(F.col("content")))
 
 
-def curate_writeups(transformed: DataFrame, links: DataFrame | None = None, cfg: CurationConfig = DEFAULT) -> DataFrame:
+def curate_writeups(transformed: DataFrame, links: DataFrame | None = None, cfg: CurationConfig = DEFAULT,
+                    stage_dir: str | None = None) -> DataFrame:
     """One row per selected group: ord, group_key, first_ord, group_rows, url,
-    drop_reason, content, category, has_code, split."""
+    drop_reason, content, category, has_code, split.
+
+    Lazy by default: the key side and the text side each scan the input (the
+    key side reads only what it needs for the priority). With ``stage_dir``
+    (a folder under the shared checkpoint location) the input is scanned
+    once: per-row results (keys plus at most ``max_chars`` of text) are
+    written there as Parquet, and both sides read that table. This also cuts
+    lineage, so recovery never repeats the text work."""
     rows = prepare_rows(transformed, cfg)
-    winners = select_preferred(rows, links, cfg)
     text = curate_rows(rows, cfg)
-    out = text.join(winners, "ord", "inner")
+    if stage_dir is not None:
+        text.write.mode("errorifexists").parquet(stage_dir)
+        text = transformed.sparkSession.read.parquet(stage_dir)
+        keys = text.select("ord", "url", "prio", "raw_len")
+    else:
+        keys = rows
+    winners = select_preferred(keys, links, cfg)
+    out = text.drop("prio", "raw_len").join(winners, "ord", "inner")
     return out.withColumn("split", F.when(F.col("drop_reason").isNull(), split_for(F.col("group_key"), cfg)))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -308,7 +309,10 @@ def build_writeup_dataset(spark: SparkSession, transformed_path: str, output_dir
     links = None
     if enumeration_path:
         links = J.read_jsonl(spark, enumeration_path, LINK).withColumn("ord", F.col("line"))
-    cur = W.curate_writeups(t, links, cfg)
+    from corpusmill.session import checkpoint_dir
+
+    stage = os.path.join(checkpoint_dir(spark), f"writeup-rows-{uuid.uuid4().hex}")
+    cur = W.curate_writeups(t, links, cfg, stage_dir=stage)
     samples = W.build_samples(cur, cfg).withColumnRenamed("first_ord", "_first_ord")
     S.write_split_jsonl(samples, os.path.join(output_dir, "samples"), overwrite=overwrite, keep_split_in_body=True,
                         order_by="_first_ord")

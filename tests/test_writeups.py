@@ -125,3 +125,14 @@ def test_hot_group_third_of_rows_partial_aggregation(spark):
 def test_word_boundary_keyword_mode(spark):
     df = spark.createDataFrame([("ftp://x/", "validate")], "u string, c string")
     assert df.select(W.infer_category(F.col("u"), F.col("c"), CurationConfig(keyword_match="word"))).collect()[0][0] == "misc"
+
+
+def test_staged_equals_lazy(spark, tmp_dir):
+    from corpusmill.plans.fixtures import fixture
+
+    sf = "/root/testdata/sf0.001"
+    fx, en = fixture(spark, sf, "transformed_fx"), fixture(spark, sf, "enumeration_fx")
+    cols = ["ord", "group_key", "drop_reason", "content", "category", "split"]
+    lazy = sorted(tuple(r) for r in W.curate_writeups(fx, en).select(*cols).collect())
+    staged = sorted(tuple(r) for r in W.curate_writeups(fx, en, stage_dir=f"{tmp_dir}/stage").select(*cols).collect())
+    assert lazy == staged and len(lazy) > 0
