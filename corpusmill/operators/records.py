@@ -52,13 +52,15 @@ def first_value(df: DataFrame, names) -> Column:
 
 
 def qa_to_messages(df: DataFrame, prompt_aliases=C.PROMPT_ALIASES, answer_aliases=C.ANSWER_ALIASES,
-                   default_system_prompt: str | None = None) -> DataFrame:
+                   default_system_prompt: str | None = None, system_col: str | None = "system_prompt") -> DataFrame:
     """Adds ``messages`` ([system], user, assistant) and ``error_reason``
-    (missing prompt/answer). The system prompt is the record's, else the
-    record defaults'; empty strings count as absent."""
+    (missing prompt/answer). The system prompt is the record's
+    (``system_col``), else ``default_system_prompt`` (the record defaults');
+    empty strings count as absent. ``system_col=None`` leaves the system
+    message to the caller."""
     prompt = first_value(df, prompt_aliases)
     answer = first_value(df, answer_aliases)
-    sys_cols = [TX.py_truthy_str(F.col("system_prompt"))] if "system_prompt" in df.columns else []
+    sys_cols = [TX.py_truthy_str(F.col(system_col))] if system_col and system_col in df.columns else []
     if default_system_prompt:
         sys_cols.append(F.lit(default_system_prompt))
     system = F.coalesce(*sys_cols) if sys_cols else F.lit(None).cast("string")

@@ -92,7 +92,9 @@ def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None)
     else:
         raise BuildError(f"Unsupported record format: {fmt}")
     if fmt.endswith("_qa"):
-        df = RC.qa_to_messages(df, default_system_prompt=None)
+        # the system message (record's, else record defaults') is added once,
+        # after the control table is joined
+        df = RC.qa_to_messages(df, default_system_prompt=None, system_col=None)
         df = df.withColumn("error_reason", F.when(F.col("_corrupt").isNotNull(), F.lit("not_an_object")).otherwise(F.col("error_reason")))
         df = df.drop(*[c for c in C.PROMPT_ALIASES + C.ANSWER_ALIASES if c in df.columns], "_corrupt")
     return df.withColumn("file", _strip_uri(F.col("file"))).withColumn("format", F.lit(fmt))

@@ -42,6 +42,7 @@ def repo(tmp_dir):
         json.dumps({"id": "rev_warmup_0001", "prompt": "Decode the Example CTF loop?", "answer": " Lift it. ", "title": "T"}),
         "",
         json.dumps({"question": "Q2", "completion": "A2", "split": "eval"}),
+        json.dumps({"id": "own", "prompt": "P", "response": "R", "system_prompt": "OWN"}),
     ]) + "\n")
     _w(f"{root}/data/manifests/msgs.jsonl", "\n".join([
         json.dumps({"messages": [{"role": "Human", "content": "hi"}, {"role": "bot", "content": "yo"}]}),
@@ -60,7 +61,8 @@ def test_build_dataset_plain(spark, repo):
     res = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA,
                            policy_path=None)
     rows = {r["id"]: r for r in res.samples.collect()}
-    assert set(rows) == {"rev_warmup_0001", "self_qa_0_3", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"}
+    assert set(rows) == {"rev_warmup_0001", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"}
+    assert [(m["role"], m["content"]) for m in rows["own"]["messages"]] == [("system", "OWN"), ("user", "P"), ("assistant", "R")]
     r = rows["rev_warmup_0001"]
     assert [(m["role"], m["content"]) for m in r["messages"]] == [
         ("system", "SYS"), ("user", "Decode the Example CTF loop?"), ("assistant", "Lift it.")]
@@ -72,7 +74,7 @@ def test_build_dataset_plain(spark, repo):
     assert rows["x1"]["artifacts"].asDict() == {"language": "python", "has_code": False}
     assert [m["content"] for m in rows["m1"]["messages"]] == ["S", "u", "a"]
     s = res.summary.collect()[0]
-    assert s["total_samples"] == 6 and s["splits"] == {"eval": 1, "train": 5} and s["manifests"] == {"self.json": 6}
+    assert s["total_samples"] == 7 and s["splits"] == {"eval": 1, "train": 6} and s["manifests"] == {"self.json": 7}
 
 
 def test_build_dataset_policy_and_strict(spark, repo, tmp_dir):
@@ -85,7 +87,7 @@ def test_build_dataset_policy_and_strict(spark, repo, tmp_dir):
     strict = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA, strict_anonymize=True,
                               policy_path=f"{repo}/data/manifests/rules.json")
     ids = sorted(r["id"] for r in strict.samples.collect())
-    assert ids == sorted("rev_" + h(x) for x in ["rev_warmup_0001", "self_qa_0_3", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"])
+    assert ids == sorted("rev_" + h(x) for x in ["rev_warmup_0001", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"])
     assert "provenance" not in strict.samples.columns
     out = f"{tmp_dir}/out"
     JB.write_dataset(strict, out)
