@@ -54,3 +54,22 @@ def test_ordered_split_output(spark, tmp_dir):
     for sp in ("0", "1"):
         vals = [json.loads(line)["v"] for p in sorted(glob.glob(f"{tmp_dir}/ord/split={sp}/*.json")) for line in open(p)]
         assert vals == sorted(vals) and len(vals) == 1000
+
+
+def test_content_addressed_body_store(spark, tmp_dir):
+    from corpusmill.operators.fetch import new_bodies
+
+    store = f"{tmp_dir}/bodies"
+    first = spark.createDataFrame([("aa11", b"x"), ("aa11", b"x"), ("bb22", b"y")], "sha256 string, body binary")
+    S.append_bodies(new_bodies(first, spark.createDataFrame([], "sha256 string")), store)
+    second = spark.createDataFrame([("bb22", b"y"), ("cc33", b"z")], "sha256 string, body binary")
+    S.append_bodies(new_bodies(second, spark.read.parquet(store).select("sha256")), store)
+    got = sorted((r["sha256"], bytes(r["body"])) for r in spark.read.parquet(store).collect())
+    assert got == [("aa11", b"x"), ("bb22", b"y"), ("cc33", b"z")]
+
+
+def test_summary_is_one_document(spark, tmp_dir):
+    df = spark.createDataFrame([(1, {"a": 2})], "records long, methods map<string,bigint>")
+    S.write_summary(df, f"{tmp_dir}/summary")
+    files = glob.glob(f"{tmp_dir}/summary/*.json")
+    assert len(files) == 1 and json.loads(open(files[0]).read()) == {"records": 1, "methods": {"a": 2}}
