@@ -186,3 +186,21 @@ def test_enumerate_fetch_transform_jobs(spark, tmp_dir):
     rows = [json.loads(line) for p in glob.glob(f"{tmp_dir}/t/transformed/*.json") for line in open(p)]
     ok = [r for r in rows if r["transform_status"] == "ok"][0]
     assert ok["content"] == "line1\nline2" and ok["content_sha256"] == hashlib.sha256(b"line1\nline2").hexdigest()
+
+
+def test_cli_build_dataset_and_eval(spark, repo, tmp_dir, capsys):
+    from corpusmill import cli
+
+    assert cli.main(["build-dataset", "--manifest-dir", f"{repo}/data/manifests", "--repo-root", repo,
+                     "--output-dir", f"{tmp_dir}/cli_out", "--redaction-rules", f"{repo}/data/manifests/rules.json",
+                     "--strict-anonymize", "--extra-field", "title"]) == 0
+    summary = json.loads(capsys.readouterr().out)
+    assert summary["total_samples"] == 7 and summary["categories"] == {"rev": 7}
+    rows = [json.loads(line) for p in glob.glob(f"{tmp_dir}/cli_out/samples/split=*/*.json") for line in open(p)]
+    assert len(rows) == 7 and all("provenance" not in r and "title" not in r for r in rows)
+    _w(f"{tmp_dir}/cases.jsonl", json.dumps({"id": "c1", "category": "pwn", "prompt": "p", "contains": "rop"}) + "\n")
+    _w(f"{tmp_dir}/resp.jsonl", json.dumps({"id": "c1", "response": "use rop"}) + "\n")
+    assert cli.main(["eval", "--cases", f"{tmp_dir}/cases.jsonl", "--responses", f"{tmp_dir}/resp.jsonl",
+                     "--report-dir", f"{tmp_dir}/ev"]) == 0
+    rep = {r["category"]: r["pass_rate"] for r in json.loads(capsys.readouterr().out)}
+    assert rep == {"pwn": 1.0, "__total__": 1.0}
