@@ -118,3 +118,12 @@ def test_review_gate_rules(spark):
                    5: "blocked_review_status", 6: None, 7: "review_status_blank", 8: None}
     strict = {r["m"]: r["gate_error"] for r in GT.review_gate(df, "m", listing, strict=True).collect()}
     assert strict[6] == "blocked_review_status"
+
+
+def test_gate_reports_all_missing_fields(spark):
+    df = spark.createDataFrame([(1, "transformed_scraped", None, None, None, None, None, None)],
+                               "m int, source string, source_bucket string, allowed_for_training boolean, "
+                               "allowed_for_redistribution boolean, review_status string, redistribution_status string, "
+                               "source_ledger_path string")
+    got = GT.review_gate(df, "m").collect()[0]["gate_error"]
+    assert got == "missing:" + ",".join(C.REVIEW_REQUIRED_FIELDS)
