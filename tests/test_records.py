@@ -127,3 +127,15 @@ def test_gate_reports_all_missing_fields(spark):
                                "source_ledger_path string")
     got = GT.review_gate(df, "m").collect()[0]["gate_error"]
     assert got == "missing:" + ",".join(C.REVIEW_REQUIRED_FIELDS)
+
+
+def test_hot_conversation_spreads_over_salted_join(spark):
+    # one conversation holds a third of all messages
+    rows = [("hot", i, "user" if i % 2 == 0 else "assistant", f"m{i}") for i in range(600)]
+    rows += [(f"c{j}", t, "user" if t == 0 else "assistant", "x") for j in range(600) for t in range(2)]
+    df = spark.createDataFrame(rows, "sid string, turn long, role string, content string").repartition(8)
+    msgs, samples = RC.normalize_message_rows(df, "sid", "turn")
+    hot = msgs.filter("sid = 'hot'")
+    assert hot.count() == 601 and [r["pos"] for r in hot.orderBy("pos").limit(2).collect()] == [0, 1]
+    per_task = hot.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_task) < 601  # not gathered into one task
