@@ -46,10 +46,12 @@ def path(url: str) -> str:
 
 def unescape(x: str) -> str:
     table = [("&quot;", "'\"'"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&lt;", "'<'"), ("&gt;", "'>'"),
-             ("&nbsp;", "chr(160)"), ("&apos;", "''''"), ("&#39;", "''''"), ("&amp;", "'&'")]
+             ("&nbsp;", "chr(160)"), ("&apos;", "''''"), ("&#39;", "''''")]
     for ent, rep in table:
         x = f"replace({x}, {q(ent)}, {rep})"
-    return x
+    # '&amp' also decodes without its semicolon (legacy prefix rule); one
+    # left-to-right pass keeps '&amp;amp;' -> '&amp;'
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
 def html_text(x: str) -> str:
