@@ -19,7 +19,7 @@ from corpusmill.functions import urls as U
 from corpusmill.operators import writeups as W
 from corpusmill.operators.transform import route_target
 from corpusmill.plans.fixtures import fixture
-from corpusmill.session import load_tables, spread
+from corpusmill.session import load_tables, run_sql, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -406,8 +406,7 @@ from (select distinct conv_id % 3 as record_index from qa_fx) r
 
 def _merged(spark, sf_dir):
     qa = _qa(spark, sf_dir).withColumn("record_index", F.col("conv_id") % 3)
-    qa.createOrReplaceTempView("qa_fx")
-    ctl = spark.sql(RECORD_DEFAULTS_SQL)
+    ctl = run_sql(spark, RECORD_DEFAULTS_SQL, {"qa_fx": qa})
     return RC.merge_defaults(qa, ctl, ["record_index"])
 
 
@@ -457,10 +456,10 @@ from manifest_fx
 
 @query("manifest_records")
 def q_manifest_records(spark, sf_dir):
-    fixture(spark, sf_dir, "manifest_fx").createOrReplaceTempView("manifest_fx")
     from corpusmill.sources.manifests import manifest_records
 
-    return manifest_records(spark.sql(MANIFEST_RECORDS_SQL), "manifest_id").select(
+    control = run_sql(spark, MANIFEST_RECORDS_SQL, {"manifest_fx": fixture(spark, sf_dir, "manifest_fx")})
+    return manifest_records(control, "manifest_id").select(
         "manifest_id", F.col("record_index").cast("bigint").alias("record_index"),
         F.col("path_index").cast("bigint").alias("path_index"), "path", "format")
 
@@ -517,8 +516,7 @@ from manifest_fx
 @query("review_gate")
 def q_review_gate(spark, sf_dir):
     fx = fixture(spark, sf_dir, "manifest_fx")
-    fx.createOrReplaceTempView("manifest_fx")
-    recs = spark.sql(GATE_SQL)
+    recs = run_sql(spark, GATE_SQL, {"manifest_fx": fx})
     listing = fx.filter(F.col("source_ledger_path").isNotNull()).select("source_ledger_path")
     g = GT.review_gate(recs, "manifest_id", listing)
     return g.select("manifest_id", "requires_review", "gate_error")

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.session import TABLES, load_tables
+from corpusmill.session import TABLES, load_tables, run_sql
 
 FIXTURES: dict[str, str] = {}
 
@@ -132,8 +132,7 @@ def tables_of(sql: str) -> list[str]:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived fixture as a DataFrame (the driver tables it reads are
     registered first)."""
-    load_tables(spark, sf_dir, tables_of(FIXTURES[name]))
-    return spark.sql(FIXTURES[name])
+    return run_sql(spark, FIXTURES[name], load_tables(spark, sf_dir, tables_of(FIXTURES[name])))
 
 
 def with_ctes(sql: str, *names: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,29 +64,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_REGISTERED: dict[tuple[int, str], tuple[str, DataFrame]] = {}
+_LOADED: dict[tuple[int, str], DataFrame] = {}
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """Read the parquet tables of one scale factor and register them as temp
-    views. A table already registered from the same path in this session is
+    """The parquet tables of one scale factor as DataFrames (no views are
+    registered). A table already read from the same path in this session is
     reused, so repeated calls do not re-read parquet footers."""
     out = {}
     for name in names:
         path = os.path.join(sf_dir, f"{name}.parquet")
-        key = (id(spark), name)
-        hit = _REGISTERED.get(key)
-        if hit and hit[0] == path and spark.catalog.tableExists(name):
-            out[name] = hit[1]
-            continue
-        if os.path.exists(path) or "://" in sf_dir:
-            df = spark.read.parquet(path)
-            df.createOrReplaceTempView(name)
-            _REGISTERED[key] = (path, df)
-            out[name] = df
+        key = (id(spark), path)
+        if key not in _LOADED:
+            if not (os.path.exists(path) or "://" in sf_dir):
+                continue
+            _LOADED[key] = spark.read.parquet(path)
+        out[name] = _LOADED[key]
     return out
 
 
+def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Run SQL whose bare table names refer to the given DataFrames, through
+    PySpark's parameterised ``spark.sql`` (generated view names, dropped
+    afterwards), so nothing in the session's catalog is replaced."""
+    text = sql.replace("{", "{{").replace("}", "}}")
+    for name in tables:
+        text = re.sub(rf"\b{re.escape(name)}\b", "{" + name + "}", text)
+    return spark.sql(text, **tables)
+
+
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     """Round-robin a frame that has fewer input partitions than task slots
     (e.g. one small parquet file) before CPU-heavy per-row work. On a cluster
