@@ -1,9 +1,9 @@
 """Derived fixtures over the driver tables.
 
-Plain SQL text that runs unchanged in Spark and DuckDB. ``queries()`` registers
-them as temp views over the parquet tables; ``oracle_sql()`` inlines them as
-CTEs. Each one is a deterministic function of the given tables, so its size
-grows with them.
+Plain SQL text that runs unchanged in Spark and DuckDB. ``queries()`` runs it
+through parameterised ``spark.sql`` over the parquet tables (nothing is left
+in the session catalog); ``oracle_sql()`` inlines it as CTEs. Each fixture is
+a deterministic function of the given tables, so its size grows with them.
 """
 
 from __future__ import annotations
