@@ -47,7 +47,11 @@ def _java_regex(value: Column, flags: Column) -> Column:
                                        lambda f: F.coalesce(F.element_at(F.create_map(*[x for k, v in FLAG_LETTERS.items()
                                                                                         for x in (F.lit(k), F.lit(v))]), f),
                                                             F.raise_error(F.concat(F.lit("Unsupported regex flag: "), f)))), "")
-    return F.concat(F.lit("(?dU"), letters, F.lit(")"), value)
+    # Python-only syntax -> Java: named groups and their back-references, \Z
+    pat = F.regexp_replace(value, r"\(\?P<([A-Za-z_][A-Za-z0-9_]*)>", "(?<$1>")
+    pat = F.regexp_replace(pat, r"\(\?P=([A-Za-z_][A-Za-z0-9_]*)\)", "\\\\k<$1>")
+    pat = F.regexp_replace(pat, r"(?<!\\)((?:\\\\)*)\\Z", "$1\\\\z")
+    return F.concat(F.lit("(?dU"), letters, F.lit(")"), pat)
 
 
 def check_result(response: Column, check: Column) -> Column:

@@ -47,3 +47,15 @@ def test_render(spark):
     assert out[1]["p2"] == "raw" and out[2]["p2"] == "raw2"
     errs = [r["error_reason"] for r in RN.render_split(df).collect()]
     assert errs == [None, "missing_messages", "missing_messages"]
+
+
+def test_regex_checks_follow_python_re(spark):
+    import re
+
+    cases = [(1, r"(?P<w>ab)(?P=w)", "xxabab"), (2, r"end\Z", "the end"), (3, r"^b", "a\nb"), (4, r"\bword\b", "a word."),
+             (5, r"caf\w", "café"), (6, r"a.c", "a\rc"), (7, r"(?P<x>\d+)-(?P=x)$", "12-12\n")]
+    df = spark.createDataFrame([(k, [("regex", p, None)]) for k, p, _ in cases],
+                               "k int, checks array<struct<type:string,value:string,flags:array<string>>>")
+    resp = spark.createDataFrame([(k, t) for k, _, t in cases], "k int, response string")
+    got = {r["k"]: r["passed"] for r in EV.score_cases(df, resp, "k").collect()}
+    assert got == {k: re.search(p, t) is not None for k, p, t in cases}
