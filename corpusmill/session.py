@@ -29,6 +29,9 @@ def build_session(master: str | None = None, app: str = "corpusmill", shuffle_pa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
+        # rows reaching the exact entity decoder carry whole pages; smaller
+        # Arrow batches bound the Python worker's memory per batch
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
