@@ -477,7 +477,12 @@ def transform_selected(spark: SparkSession, ledger: DataFrame, landed_text: Data
     sel = RV.approved_rows(ledger, include_unapproved) if limit is None else \
         RV.approved_rows_limited(ledger, limit, include_unapproved)
     routed = TR.route_targets(sel)
-    got = routed.join(landed_text.select(F.col("transform_url").alias("_t"), F.col("text")),
+    # one landed text per target URL (duplicates collapse deterministically:
+    # the longest text, ties to the larger value); the aggregate's hash
+    # partitioning on the URL is reused by the join
+    one = landed_text.groupBy("transform_url").agg(
+        F.max_by("text", F.struct(F.length("text"), F.col("text"))).alias("text"))
+    got = routed.join(one.select(F.col("transform_url").alias("_t"), F.col("text")),
                       routed["transform_url"] == F.col("_t"), "left")
     ok = F.col("text").isNotNull()
     out = got.select(

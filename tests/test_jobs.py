@@ -178,7 +178,8 @@ def test_enumerate_fetch_transform_jobs(spark, tmp_dir):
     rec = spark.createDataFrame([(1, "https://github.com/o/r/blob/main/a.md", "ok"), (2, "https://blog.example/x", "ok"),
                                  (3, "https://gone.example/", "error")], "index long, url string, status string")
     led = review_ledger(rec, "b", approve_training=True)
-    landed = spark.createDataFrame([("https://raw.githubusercontent.com/o/r/main/a.md", "line1\r\nline2  ")],
+    landed = spark.createDataFrame([("https://raw.githubusercontent.com/o/r/main/a.md", "line1\r\nline2  "),
+                                    ("https://raw.githubusercontent.com/o/r/main/a.md", "short")],
                                    "transform_url string, text string")
     ts = JB.transform_selected(spark, led, landed, f"{tmp_dir}/t").collect()[0]
     assert (ts["input_rows"], ts["selected_rows"], ts["successes"], ts["errors"]) == (3, 2, 1, 1)
