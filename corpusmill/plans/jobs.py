@@ -456,7 +456,13 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
         cached, todo = None, idx
     # bodies are reduced to digest and length next to the payload (narrow);
     # only that metadata meets the URL list in the join
-    fetched = FE.fetch_log(todo.join(FE.payload_metadata(payloads), "url", "left"), index_col="idx", body_dir=body_dir)
+    meta = FE.payload_metadata(payloads)
+    # one payload per URL (a successful one first, then the larger digest), so
+    # a URL landed twice still yields one fetch record
+    cols = [c for c in meta.columns if c != "url"]
+    pick = F.struct(F.coalesce(F.col("status") != "error", F.lit(False)), F.coalesce(F.col("body_sha256"), F.lit("")))
+    meta = meta.groupBy("url").agg(F.max_by(F.struct(*cols), pick).alias("_m")).select("url", "_m.*")
+    fetched = FE.fetch_log(todo.join(meta, "url", "left"), index_col="idx", body_dir=body_dir)
     records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
     S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
                   overwrite=overwrite, order_by="index")

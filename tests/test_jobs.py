@@ -165,12 +165,16 @@ def test_enumerate_fetch_transform_jobs(spark, tmp_dir):
                                    (4, "https://a.example/p"), (5, "https://c.example/")], "ord long, line string")
     payloads = spark.createDataFrame([
         ("https://a.example/p", "https://a.example/p", "<html>A</html>", "ok", "text/html; charset=x"),
-        ("https://b.example/q.md", "https://b.example/q.md", "# B", "ok", "text/markdown")],
+        ("https://b.example/q.md", "https://b.example/q.md", "# B", "ok", "text/markdown"),
+        ("https://b.example/q.md", "https://b.example/q.md", None, "error", None)],
         "url string, final_url string, body string, status string, content_type_raw string")
     log = f"{tmp_dir}/cache_log"
-    r1 = {r["url"]: r for r in JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f1", "b1", batch_seq=1).collect()}
+    recs1 = JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f1", "b1", batch_seq=1).collect()
+    assert len(recs1) == 3  # a URL landed twice still gives one record
+    r1 = {r["url"]: r for r in recs1}
     assert r1["https://a.example/p"]["status"] == "ok" and r1["https://a.example/p"]["filename"] == "001_p.html"
     assert r1["https://c.example/"]["status"] == "error"
+    assert r1["https://b.example/q.md"]["status"] == "ok"
     r2 = {r["url"]: r["status"] for r in JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f2", "b2", batch_seq=2).collect()}
     assert r2 == {"https://a.example/p": "cached", "https://b.example/q.md": "cached", "https://c.example/": "error"}
 
