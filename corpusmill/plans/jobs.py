@@ -404,7 +404,8 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     if detail_pages is not None:
         # the original link is extracted next to the page (narrow), so only
         # URLs take part in the join, never page HTML
-        det = detail_pages.select(F.col("url").alias("_u"), LK.original_link(F.col("html")).alias("_orig"))
+        det = detail_pages.select(F.col("url").alias("_u"), LK.original_link(F.col("html")).alias("_orig")) \
+            .groupBy("_u").agg(F.max("_orig").alias("_orig"))  # one detail page per URL
         rows = rows.join(det, rows["ctftime_writeup_url"] == det["_u"], "left")
         orig = F.col("_orig")
     else:
