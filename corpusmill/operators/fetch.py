@@ -67,6 +67,8 @@ def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None
             ("content_type", "Content-Type"), ("content_length", "Content-Length"),
             ("last_modified", "Last-Modified"), ("etag", "ETag"))]))
     cols["status"] = F.when(ok | (F.col("status") == "error"), F.col("status")).otherwise(F.lit("error"))
+    if "error" in payloads.columns:  # the fetcher's message for failed fetches
+        cols["error"] = F.when(~F.coalesce(ok, F.lit(False)), F.col("error"))
     if body_dir is not None:
         cols["body_path"] = F.when(ok, F.concat(F.lit(body_dir.rstrip("/") + "/"), fname))
     return payloads.select(*[v.alias(k) for k, v in cols.items()])

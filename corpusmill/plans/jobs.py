@@ -463,7 +463,11 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
     cols = [c for c in meta.columns if c != "url"]
     pick = F.struct(F.coalesce(F.col("status") != "error", F.lit(False)), F.coalesce(F.col("body_sha256"), F.lit("")))
     meta = meta.groupBy("url").agg(F.max_by(F.struct(*cols), pick).alias("_m")).select("url", "_m.*")
-    fetched = FE.fetch_log(todo.join(meta, "url", "left"), index_col="idx", body_dir=body_dir)
+    joined = todo.join(meta, "url", "left")
+    landed_error = F.col("error") if "error" in meta.columns else F.lit(None).cast("string")
+    joined = joined.withColumn("error", F.when(F.col("status").isNull(), F.lit("MissingPayload: nothing landed for this URL"))
+                               .otherwise(landed_error))
+    fetched = FE.fetch_log(joined, index_col="idx", body_dir=body_dir)
     records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
     S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
                   overwrite=overwrite, order_by="index")

@@ -174,7 +174,8 @@ def test_enumerate_fetch_transform_jobs(spark, tmp_dir):
     r1 = {r["url"]: r for r in recs1}
     assert r1["https://a.example/p"]["status"] == "ok" and r1["https://a.example/p"]["filename"] == "001_p.html"
     assert r1["https://c.example/"]["status"] == "error"
-    assert r1["https://b.example/q.md"]["status"] == "ok"
+    assert r1["https://b.example/q.md"]["status"] == "ok" and r1["https://b.example/q.md"]["error"] is None
+    assert r1["https://c.example/"]["error"].startswith("MissingPayload")
     r2 = {r["url"]: r["status"] for r in JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f2", "b2", batch_seq=2).collect()}
     assert r2 == {"https://a.example/p": "cached", "https://b.example/q.md": "cached", "https://c.example/": "error"}
 
