@@ -210,3 +210,14 @@ def test_cli_build_dataset_and_eval(spark, repo, tmp_dir, capsys):
                      "--report-dir", f"{tmp_dir}/ev"]) == 0
     rep = {r["category"]: r["pass_rate"] for r in json.loads(capsys.readouterr().out)}
     assert rep == {"pwn": 1.0, "__total__": 1.0}
+
+
+def test_written_records_are_clean_and_ordered(spark, repo, tmp_dir):
+    res = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA)
+    JB.write_dataset(res, f"{tmp_dir}/o")
+    train = [json.loads(line) for p in sorted(glob.glob(f"{tmp_dir}/o/samples/split=train/*.json")) for line in open(p)]
+    assert all(not k.startswith("_") and k not in ("split", "manifest") for r in train for k in r)
+    # input order: record 0 lines 1 and 4, then record 1 lines 1-2, record 2, record 3
+    assert [r["id"] for r in train] == ["rev_warmup_0001", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"]
+    assert set(train[0]) == {"id", "category", "difficulty", "challenge_family", "source", "license", "artifacts",
+                             "messages", "title", "provenance"}
