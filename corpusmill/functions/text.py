@@ -8,6 +8,7 @@ null for every row that the native entity table already covers.
 from __future__ import annotations
 
 import html as _html
+import sys
 
 import pandas as pd
 from pyspark.sql import Column
@@ -81,11 +82,20 @@ _NATIVE_NAMES = "|".join(k[1:-1] for k in list(NATIVE_ENTITIES) + ["&amp;"])
 NEEDS_EXACT_DECODER = r"&(?!(?:" + _NATIVE_NAMES + r");)[^\t\n\f <&;]"
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_exact(s: pd.Series) -> pd.Series:
+def _unescape_series(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else _html.unescape(v))
 
 
+try:  # ship the decoder by value: executors need pandas/pyarrow, not this package
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: falls back to by-reference
+    pass
+
+_unescape_exact = F.pandas_udf(_unescape_series, T.StringType())
+
+
 def unescape_native(c) -> Column:
     c = col(c)
     for ent, ch in NATIVE_ENTITIES.items():
