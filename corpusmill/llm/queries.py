@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpusmill.llm.common import table
 from corpusmill.llm.ngram_join import jaccard_components
+from corpusmill.llm.quality import score_documents
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -14,3 +15,13 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 
 
 QUERIES["op10_ngram_jaccard_join"] = op10_ngram_jaccard_join
+
+
+def op7_quality_classifier(spark, sf_dir):
+    return score_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "labels").select("doc_id", "quality"),
+    )
+
+
+QUERIES["op7_quality_classifier"] = op7_quality_classifier
