@@ -27,12 +27,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def member_bitmap(ids: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
+def member_bitmap(ids: DataFrame, col: str, bits: int = BITMAP_BITS, hashed: bool = False) -> np.ndarray:
     """Bitmap of hashed values of ``col`` with a fixed size (``bits`` / 8 bytes),
-    whatever the number of ids. A clear bit proves absence; a set bit is only a
+    whatever the number of ids. ``hashed``: the values are hashes already. A clear bit proves absence; a set bit is only a
     maybe, so the caller still joins exactly. It spares the shuffle of rows
     that cannot match; when very many ids fill it, it only filters less."""
-    h = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(bits))
+    value = F.col(col).cast("long")
+    h = F.pmod(value if hashed else F.xxhash64(value), F.lit(bits))
     words = (
         ids.select(h.alias("h"))
         .groupBy(F.floor(F.col("h") / 64).cast("int").alias("w"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusmill.llm.common import table
+from corpusmill.llm.decontaminate import contamination
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.quality import score_documents
 
@@ -25,3 +26,13 @@ def op7_quality_classifier(spark, sf_dir):
 
 
 QUERIES["op7_quality_classifier"] = op7_quality_classifier
+
+
+def op6_benchmark_decontamination(spark, sf_dir):
+    return contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark").select("item_id", "text"),
+    )
+
+
+QUERIES["op6_benchmark_decontamination"] = op6_benchmark_decontamination
