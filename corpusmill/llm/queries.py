@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from corpusmill.llm.common import table
 from corpusmill.llm.decontaminate import contamination
+from corpusmill.llm.mixing import mix
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.quality import score_documents
+from corpusmill.llm.sharding import shard_documents
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -36,3 +38,19 @@ def op6_benchmark_decontamination(spark, sf_dir):
 
 
 QUERIES["op6_benchmark_decontamination"] = op6_benchmark_decontamination
+
+
+def op8_virtual_slot_sharding(spark, sf_dir):
+    out = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+QUERIES["op8_virtual_slot_sharding"] = op8_virtual_slot_sharding
+
+
+def op9_pivotal_mixing(spark, sf_dir):
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["op9_pivotal_mixing"] = op9_pivotal_mixing
