@@ -8,6 +8,7 @@ from corpusmill.llm.mixing import mix
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.quality import score_documents
 from corpusmill.llm.sharding import shard_documents
+from corpusmill.llm.topk import top_k
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -54,3 +55,26 @@ def op9_pivotal_mixing(spark, sf_dir):
 
 
 QUERIES["op9_pivotal_mixing"] = op9_pivotal_mixing
+
+
+def op1_exact_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), 5, 50)
+
+
+QUERIES["op1_exact_top_k"] = op1_exact_top_k
+ORACLE["op1_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
