@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from corpusmill.llm.common import table
 from corpusmill.llm.decontaminate import contamination
+from corpusmill.llm.linkgraph import judge_sql, judge_urls
 from corpusmill.llm.mixing import mix
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.quality import score_documents
+from corpusmill.llm.secrets import scan_secrets
 from corpusmill.llm.sharding import shard_documents
 from corpusmill.llm.topk import top_k
 
@@ -78,3 +80,22 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+#: (host, path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op2_secret_scan(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op2_secret_scan"] = op2_secret_scan
+
+
+def op3_link_graph_filter(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+
+
+QUERIES["op3_link_graph_filter"] = op3_link_graph_filter
+ORACLE["op3_link_graph_filter"] = judge_sql(URL_RULES)
