@@ -11,6 +11,7 @@ from corpusmill.llm.quality import score_documents
 from corpusmill.llm.secrets import scan_secrets
 from corpusmill.llm.sharding import shard_documents
 from corpusmill.llm.topk import top_k
+from corpusmill.llm.warc import archive_round_trip
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -99,3 +100,21 @@ def op3_link_graph_filter(spark, sf_dir):
 
 QUERIES["op3_link_graph_filter"] = op3_link_graph_filter
 ORACLE["op3_link_graph_filter"] = judge_sql(URL_RULES)
+
+
+def op4_warc_normaliser(spark, sf_dir):
+    return archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES["op4_warc_normaliser"] = op4_warc_normaliser
+ORACLE["op4_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), g AS (
+  SELECT digest, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY digest HAVING count(*) > 1
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN last IS NOT NULL AND (page_id IS NULL OR page_id < last) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last IS NOT NULL AND (page_id IS NULL OR page_id < last) THEN last END AS refers_to
+FROM p LEFT JOIN g ON p.digest = g.digest
+"""
