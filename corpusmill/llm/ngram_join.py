@@ -8,8 +8,10 @@ among the first ``n - ceil(t n) + 1`` of each (the prefix). Steps:
 1. Documents with equal shingle sets collapse to a class (smallest doc_id).
 2. Classes with equal prefix and equal size collapse to a group; one posting
    per group and prefix shingle finds candidate group pairs.
-3. Group pairs are filtered by size and by an upper bound of the overlap that
-   the two prefixes allow, expanded to class pairs, and verified on whole sets.
+3. Group pairs are filtered by size, expanded to class pairs, filtered by an
+   upper bound of the overlap, and verified on whole sets. The bound comes from
+   bitmaps of ``BITS`` parities of the set's hashes: the number of bits in which
+   two differ is never more than the number of shingles in which the sets do.
 4. Links form components.
 
 Candidates come in two passes, so that a large group of near copies does not
@@ -40,7 +42,8 @@ from corpusmill.llm.components import components
 #: Frequent shingles moved to the end of the order: those seen this often, and
 #: at most so many. Both bound a broadcast and change speed only, never links.
 FREQUENT = 20
-ORDER_LIMIT = 100_000
+ORDER_LIMIT = 1_000_000
+BITS = 512
 _FLUSH = 2_000_000
 
 
@@ -84,41 +87,53 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in top.select("s").collect()], dtype=np.int64).view(np.uint64))
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """BITS parity bits of a set of hashes, as int64 words."""
+    bits = np.bincount((s >> np.uint64(7)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(docs, width, percent, frequent):
-    """doc_id, n, s1/s2 (128-bit set digest), prefix (hashes, rare first)."""
+    """doc_id, n, s1/s2 (128-bit set digest), bm (parities), prefix (hashes,
+    rare first)."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def arrays(parts):
+        offsets = np.zeros(len(parts) + 1, np.int32)
+        np.cumsum([p.size for p in parts], out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+
     def run(batches):
         hasher, late = WordHasher(SPACED), sent.value
         for b in batches:
-            ns, s1, s2, pref = [], [], [], []
+            ns, s1, s2, bm, pref = [], [], [], [], []
             for s in _sets(b, hasher, width):
                 n = s.size
                 ns.append(n)
                 s1.append(int(np.bitwise_xor.reduce(s)) if n else 0)
                 s2.append(int(np.sum(s * (s >> np.uint64(29) | np.uint64(1)))) if n else 0)
+                bm.append(_parities(s))
                 if late.size and n:
                     at = np.minimum(np.searchsorted(late, s), late.size - 1)
                     common = late[at] == s
                     s = np.concatenate([s[~common], s[common]])
                 pref.append(s[: n - -(-percent * n // 100) + 1].view(np.int64) if n else np.zeros(0, np.int64))
-            offsets = np.zeros(len(ns) + 1, np.int32)
-            np.cumsum([p.size for p in pref], out=offsets[1:])
-            values = np.concatenate(pref) if pref else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"),
                     pa.array(ns, pa.int64()),
                     pa.array(np.array(s1, np.uint64).view(np.int64)),
                     pa.array(np.array(s2, np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    arrays(bm),
+                    arrays(pref),
                 ],
-                ["doc_id", "n", "s1", "s2", "prefix"],
+                ["doc_id", "n", "s1", "s2", "bm", "prefix"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, prefix array<long>"
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, n long, s1 long, s2 long, bm array<long>, prefix array<long>"
     )
+    return out.withColumn("p1", F.xxhash64("prefix")).withColumn("p2", F.hash("prefix"))
 
 
 def _full_sets(docs, width, wanted: np.ndarray):
@@ -149,21 +164,18 @@ def _enough(shared, na, nb, percent):
     return F.lit(100) * shared >= F.lit(percent) * (na + nb - shared)
 
 
-def _verify(pairs, docs, sig, width, percent):
-    """Pairs (a, b) of class ids that link. First the prefixes give an upper
-    bound of the overlap: beyond what both share, the set whose prefix ends
-    first can add at most its own rest."""
-    pairs = stage(pairs, "pairs")
-    some = stage(sig.join(_ids(pairs).distinct(), "id", "left_semi").select("id", "n", "prefix"), "prefixes")
-    left = some.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
-    right = some.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
-    shared = F.size(F.array_intersect("pa", "pb"))
-    most = shared + F.greatest(F.col("na") - F.size("pa"), F.col("nb") - F.size("pb"))
-    most = F.least(most, F.col("na"), F.col("nb"))
-    near = stage(
-        pairs.join(left, "a").join(right, "b").filter(_enough(most, F.col("na"), F.col("nb"), percent)).select("a", "b"),
-        "near",
-    )
+def _bounded(na, nb, ba, bb, percent):
+    """Size filter and bitmap filter: false only if the pair cannot link."""
+    differ = sum((F.bit_count(F.col(ba)[i].bitwiseXOR(F.col(bb)[i])) for i in range(BITS // 64)), F.lit(0))
+    a, b = F.col(na), F.col(nb)
+    return _enough(F.least(F.floor((a + b - differ) / 2), a, b), a, b, percent)
+
+
+def _verify(pairs, docs, facts, width, percent):
+    """Pairs (a, b) of class ids that link. ``facts``: (id, n, bm)."""
+    left = facts.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bm").alias("ba"))
+    right = facts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bm").alias("bb"))
+    near = stage(pairs.join(left, "a").join(right, "b").filter(_bounded("na", "nb", "ba", "bb", percent)).select("a", "b").distinct(), "near")
     sets = stage(_full_sets(docs, width, member_bitmap(_ids(near), "id")), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
@@ -173,10 +185,6 @@ def _verify(pairs, docs, sig, width, percent):
     return stage(both.filter(_enough(F.col("s"), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct(), "links")
 
 
-def _sized(na, nb, percent):
-    return (F.lit(100) * F.least(na, nb)) >= (F.lit(percent) * F.greatest(na, nb))
-
-
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per input row; see the
     module's text for the method and for defined results."""
@@ -185,68 +193,51 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     has = rows.filter("n > 0 AND doc_id IS NOT NULL")
 
     # 1: one class for each set, one group for each (prefix, size)
-    classes = stage(has.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id")), "classes")
-    sig = stage(
-        has.join(classes.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi")
-        .select(F.col("doc_id").alias("id"), "n", "prefix", F.xxhash64("n", "prefix").alias("p1"),
-                F.hash("prefix").alias("p2")),
-        "sig",
-    )
-    groups = stage(sig.groupBy("p1", "p2", "n").agg(F.min("id").alias("g")), "groups")
-    member = stage(sig.select("id", "p1", "p2", "n").join(groups, ["p1", "p2", "n"]).select("id", "g", "n"), "members")
+    same = [F.min(c).alias(c) for c in ("p1", "p2", "bm")]  # equal in a class
+    classes = stage(has.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), *same), "classes")
+    facts = classes.select("id", "n", "bm")
+    groups = stage(classes.groupBy("p1", "p2", "n").agg(F.min("id").alias("g"), (F.count("*") > 1).alias("several")), "groups")
+    member = stage(classes.select("id", "s1", "s2", "n", "p1", "p2").join(groups, ["p1", "p2", "n"]).drop("p1", "p2"), "members")
 
     # 2: postings of group representatives; a list with one group makes no pair
-    leads = sig.join(groups.select("g", "p1", "p2"), (sig["id"] == groups["g"]) & (sig["p1"] == groups["p1"])
-                     & (sig["p2"] == groups["p2"]), "left_semi")
-    postings = leads.select(F.explode("prefix").alias("t"), F.col("id").alias("g"), "n").repartition("t")
-    lists = postings.groupBy("t").agg(F.min("g").alias("r1"), F.max("g").alias("last"),
-                                      F.min_by("g", F.xxhash64("t", "g")).alias("r2"))
-    shared = stage(postings.join(lists.filter("r1 <> last").drop("last"), "t"), "postings")
+    leads = member.filter("id = g").select(F.col("id").alias("doc_id"), "s1", "s2")
+    entry = F.struct(F.col("doc_id").alias("g"), "n")
+    one = has.join(leads, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
+    postings = one.select(F.explode("prefix").alias("t"), entry.alias("e")).repartition("t")
+    lists = postings.groupBy("t").agg(F.min("e").alias("r1"), F.max("e").alias("last"), F.min_by("e", F.xxhash64("t", "e.g")).alias("r2"))
+    shared = stage(postings.join(lists.filter("r1.g <> last.g").drop("last"), "t").select("t", "e.g", "e.n", "r1", "r2"), "postings")
 
     # 3a: representatives of lists and of groups
-    first = shared.select("g", F.explode(F.array("r1", "r2")).alias("r"), "n").filter("g <> r").select(
-        F.least("g", "r").alias("a"), F.greatest("g", "r").alias("b")
-    )
+    sized = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+    first = shared.select("g", "n", F.explode(F.array("r1", "r2")).alias("r")).filter((F.col("g") != F.col("r.g")) & sized(F.col("n"), F.col("r.n")))
+    first = first.select(F.least("g", "r.g").alias("a"), F.greatest("g", "r.g").alias("b"))
     inner = member.filter("id <> g").select(F.least("id", "g").alias("a"), F.greatest("id", "g").alias("b"))
-    size = member.select("id", "n").distinct()
-    first = first.unionByName(inner).distinct()
-    first = (
-        first.join(size.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
-        .join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-        .filter(_sized(F.col("na"), F.col("nb"), percent))
-        .select("a", "b").distinct()
-    )
-    links = _verify(first, docs, sig, width, percent)
+    links = _verify(first.unionByName(inner).distinct(), docs, facts, width, percent)
 
     # 3b: every pair of a list that is still in two components
     comp = stage(components(links), "components")
     placed = stage(
-        member.join(comp, F.col("id") == F.col("node"), "left")
-        .select("id", "g", "n", F.coalesce("comp", "id").alias("comp")), "placed"
-    )
-    state = stage(placed.groupBy("g").agg(F.min("comp").alias("c"), (F.min("comp") != F.max("comp")).alias("mixed")), "state")
-    lists = shared.select("t", "g", "n").join(state, "g")
+        member.join(comp, F.col("id") == F.col("node"), "left").select("id", "g", F.coalesce("comp", "id").alias("comp"), "several"), "placed")
+    state = stage(placed.groupBy("g").agg(F.min("comp").alias("c"), (F.min("comp") != F.max("comp")).alias("mixed"), F.max("several").alias("several")), "state")
+    lists = stage(shared.select("t", "g", "n").join(state, "g"), "lists")
     votes = lists.groupBy("t", "c").agg(F.count("*").alias("k"), F.max("mixed").alias("mixed"))
-    votes = votes.groupBy("t").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("cs"),
-                                   F.max("mixed").alias("any_mixed"))
-    votes = stage(votes.filter("cs > 1 OR any_mixed"), "votes")
-    lists = stage(lists.join(votes.select("t", "main"), "t"), "lists")
-    few = lists.filter("c <> main OR mixed").select("t", "n", F.col("g").alias("ga"), F.col("c").alias("ca"), F.col("mixed").alias("xa"))
-    every = lists.select("t", F.col("n").alias("n2"), F.col("g").alias("gb"), F.col("c").alias("cb"), F.col("mixed").alias("xb"),
-                         F.col("main"))
-    cross = few.join(every, "t").filter(
-        ((F.col("ca") != F.col("cb")) | F.col("xa") | F.col("xb"))
-        & ((F.col("ga") < F.col("gb")) | ((F.col("cb") == F.col("main")) & ~F.col("xb") & (F.col("ga") != F.col("gb"))))
-        & _sized(F.col("n"), F.col("n2"), percent)
-    ).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct()
+    votes = votes.groupBy("t").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("cs"), F.max("mixed").alias("mixed"))
+    votes = stage(votes.filter("cs > 1 OR mixed").select("t", "main"), "votes")
+    bits = facts.select(F.col("id").alias("g"), "bm")
+    lists = stage(lists.join(votes, "t").join(bits, "g"), "open-lists")
+    few = lists.filter("c <> main OR mixed").select("t", *[F.col(c).alias(c + "1") for c in ("g", "n", "c", "mixed", "several", "bm")])
+    every = lists.select("t", "main", *[F.col(c).alias(c + "2") for c in ("g", "n", "c", "mixed", "several", "bm")])
+    apart = (F.col("c1") != F.col("c2")) | F.col("mixed1") | F.col("mixed2")
+    once = (F.col("g1") < F.col("g2")) | ((F.col("c2") == F.col("main")) & ~F.col("mixed2"))  # the other is not among the few
+    bound = F.when(F.col("several1") | F.col("several2"), sized(F.col("n1"), F.col("n2"))).otherwise(_bounded("n1", "n2", "bm1", "bm2", percent))
+    cross = few.join(every, (few["t"] == every["t"]) & (F.col("g1") != F.col("g2")) & apart & once & bound)
+    cross = cross.select(F.least("g1", "g2").alias("ga"), F.greatest("g1", "g2").alias("gb")).distinct()
     inside = state.filter("mixed").select(F.col("g").alias("ga"), F.col("g").alias("gb"))
     cross = stage(cross.unionByName(inside), "group-pairs")
     left = placed.select(F.col("id").alias("x"), F.col("g").alias("ga"), F.col("comp").alias("cx"))
     right = placed.select(F.col("id").alias("y"), F.col("g").alias("gb"), F.col("comp").alias("cy"))
-    second = cross.join(left, "ga").join(right, "gb").filter("cx <> cy").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct()
-    links = stage(links.unionByName(_verify(second, docs, sig, width, percent)), "all-links")
+    second = cross.join(left, "ga").join(right, "gb").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    links = stage(links.unionByName(_verify(second.distinct(), docs, facts, width, percent)), "all-links")
 
     # 4
     comp = stage(components(links), "components")
@@ -254,12 +245,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         classes.join(comp, F.col("id") == F.col("node"), "left").select("s1", "s2", "n", F.coalesce("comp", "id").alias("comp")),
         "class-components",
     )
-    # a doc_id whose rows fall in several classes joins them through its node
     out = rows.select("doc_id", "n", "s1", "s2").join(final, ["s1", "s2", "n"], "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("comp", "doc_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"),
     )
 
 
