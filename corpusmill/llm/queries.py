@@ -12,6 +12,7 @@ from corpusmill.llm.secrets import scan_secrets
 from corpusmill.llm.sharding import shard_documents
 from corpusmill.llm.topk import top_k
 from corpusmill.llm.warc import archive_round_trip
+from corpusmill.llm.windows import repeated_passages
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -118,3 +119,10 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
        CASE WHEN last IS NOT NULL AND (page_id IS NULL OR page_id < last) THEN last END AS refers_to
 FROM p LEFT JOIN g ON p.digest = g.digest
 """
+
+
+def op5_compact_windows(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op5_compact_windows"] = op5_compact_windows
