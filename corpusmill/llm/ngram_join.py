@@ -201,11 +201,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
     # 2: postings of group representatives; a list with one group makes no pair
     leads = member.filter("id = g").select(F.col("id").alias("doc_id"), "s1", "s2")
-    entry = F.struct(F.col("doc_id").alias("g"), "n")
     one = has.join(leads, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
-    postings = one.select(F.explode("prefix").alias("t"), entry.alias("e")).repartition("t")
-    lists = postings.groupBy("t").agg(F.min("e").alias("r1"), F.max("e").alias("last"), F.min_by("e", F.xxhash64("t", "e.g")).alias("r2"))
-    shared = stage(postings.join(lists.filter("r1.g <> last.g").drop("last"), "t").select("t", "e.g", "e.n", "r1", "r2"), "postings")
+    postings = one.select(F.explode("prefix").alias("t"), F.col("doc_id").alias("g"), "n").repartition("t")
+    e = F.struct("g", "n")  # both uses of the postings read the same columns: one exchange serves them
+    lists = postings.groupBy("t").agg(F.min(e).alias("r1"), F.max("g").alias("last"), F.min_by(e, F.xxhash64("t", "g")).alias("r2"))
+    shared = stage(postings.join(lists.filter("r1.g <> last").drop("last"), "t"), "postings")
 
     # 3a: representatives of lists and of groups
     sized = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
@@ -214,17 +214,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     inner = member.filter("id <> g").select(F.least("id", "g").alias("a"), F.greatest("id", "g").alias("b"))
     links = _verify(first.unionByName(inner).distinct(), docs, facts, width, percent)
 
-    # 3b: every pair of a list that is still in two components
+    # 3b: every pair of a list that is still in two components. The first pass
+    # has met all pairs of lists of two groups, and of three with two representatives
     comp = stage(components(links), "components")
     placed = stage(
         member.join(comp, F.col("id") == F.col("node"), "left").select("id", "g", F.coalesce("comp", "id").alias("comp"), "several"), "placed")
     state = stage(placed.groupBy("g").agg(F.min("comp").alias("c"), (F.min("comp") != F.max("comp")).alias("mixed"), F.max("several").alias("several")), "state")
-    lists = stage(shared.select("t", "g", "n").join(state, "g"), "lists")
-    votes = lists.groupBy("t", "c").agg(F.count("*").alias("k"), F.max("mixed").alias("mixed"))
-    votes = votes.groupBy("t").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("cs"), F.max("mixed").alias("mixed"))
-    votes = stage(votes.filter("cs > 1 OR mixed").select("t", "main"), "votes")
+    met = F.when(F.col("r1.g") == F.col("r2.g"), 2).otherwise(3)
+    lists = stage(shared.select("t", "g", "n", met.alias("met")).join(state, "g"), "lists")
+    votes = lists.groupBy("t", "c").agg(F.count("*").alias("k"), F.max("mixed").alias("mixed"), F.max("several").alias("several"), F.max("met").alias("met"))
+    votes = votes.groupBy("t").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("cs"), F.max("mixed").alias("mixed"),
+                                   F.max("several").alias("several"), F.sum("k").alias("k"), F.max("met").alias("met"))
+    votes = stage(votes.filter("(cs > 1 OR mixed) AND (k > met OR several)").select("t", "main"), "votes")
     bits = facts.select(F.col("id").alias("g"), "bm")
-    lists = stage(lists.join(votes, "t").join(bits, "g"), "open-lists")
+    lists = stage(lists.drop("met").join(votes, "t").join(bits, "g"), "open-lists")
     few = lists.filter("c <> main OR mixed").select("t", *[F.col(c).alias(c + "1") for c in ("g", "n", "c", "mixed", "several", "bm")])
     every = lists.select("t", "main", *[F.col(c).alias(c + "2") for c in ("g", "n", "c", "mixed", "several", "bm")])
     apart = (F.col("c1") != F.col("c2")) | F.col("mixed1") | F.col("mixed2")
