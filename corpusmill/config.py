@@ -40,17 +40,11 @@ CATEGORY_KEYWORDS = {
 }
 FALLBACK_CATEGORY = "misc"
 
-# Flag redaction patterns (Python syntax as specified; see functions.text for
-# the Java form) and their replacement.
-FLAG_PATTERNS_PY = (
-    r"(?i)\b[a-z0-9_]{0,32}\{[^{}\n]{4,200}\}",
-    r"(?i)\bflag\s*[:=]\s*[^\s`]+",
-)
+# Replacement of redacted flags (patterns: functions.text).
 FLAG_REPLACEMENT = "<FLAG>"
 
 LOW_SIGNAL_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com", "youtu.be")
 MEDIUM_HOST_SUFFIX = "medium.com"
-MEDIUM_PROFILE_PATH = r"^/@[^/]+/?$"
 GITHUB_HOSTS = ("github.com", "www.github.com")
 GITHUB_RAW_HOST = "raw.githubusercontent.com"
 AGGREGATOR_HOST_SUFFIX = "ctftime.org"
@@ -151,7 +145,6 @@ LEDGER_COLUMNS = (
     "notes",
 )
 WRITEUP_LINK_PATTERN = r'href="(/writeup/\d+)"'
-ORIGINAL_LINK_PATTERN = r'Original writeup(?:</a>)?\s*\((?:<a[^>]+href=")?(https?://[^")<\s]+)'
 CANONICAL_LINK_PATTERN = r'<link rel="canonical" href="([^"]+)"'
 AGGREGATOR_BASE_URL = "https://ctftime.org/writeups"
 EVAL_CASE_ID_FORMAT = "case_%04d"

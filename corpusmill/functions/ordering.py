@@ -4,10 +4,11 @@ aggregate). Components must be non-negative longs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import col
+from corpusmill.session import staged
 
 DEC = "decimal(38,0)"
 E19 = 10**19  # one non-negative long fits in 19 decimal digits
@@ -41,6 +42,18 @@ def first_key(a, b=None) -> Column:
     return (a * _d(E19) + _nonneg(col(b).cast("bigint"), "ordinal").cast(DEC)).cast(DEC)
 
 
+def numbered(df: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """Adds ``name``: 1..n in the order of ``cols``. The rows are range-sorted
+    and staged; one count a partition gives each partition's first number."""
+    part = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    part = staged(part.withColumn("_p", F.spark_partition_id()).withColumn("_r", F.monotonically_increasing_id()), "numbered")
+    counts = part.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_r").alias("_f"))
+    before = F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_p", "_f", F.coalesce(before, F.lit(0)).alias("_b"))
+    out = part.join(counts, "_p").withColumn(name, (F.col("_b") + F.col("_r") - F.col("_f") + 1).cast("bigint"))
+    return out.drop("_p", "_r", "_f", "_b")
+
+
 def split_first_key(key, two: bool):
     if not two:
         return [col(key).cast("bigint")]

@@ -72,16 +72,18 @@ def check_result(response: Column, check: Column) -> Column:
 def score_cases(cases: DataFrame, responses: DataFrame, on: str, response_col: str = "response",
                 checks: Column | None = None) -> DataFrame:
     """Cases joined to responses; adds ``checks_result`` (array), ``passed``
-    (all checks) and ``error_reason`` ('no_checks')."""
+    (all checks) and ``error_reason``: 'no_checks', or 'missing_response' for a
+    case without a response, which fails."""
     chk = checks if checks is not None else normalize_checks(cases)
     c = cases.withColumn("_checks", chk)
-    j = c.join(responses, on, "inner")
+    j = c.join(responses.withColumn("_answered", F.lit(True)), on, "left")
     resp = F.coalesce(F.col(response_col), F.lit(""))
     res = F.transform(F.col("_checks"), lambda x: check_result(resp, x))
-    out = j.withColumn("checks_result", res).withColumn("error_reason",
-                                                        F.when(F.size("_checks") <= 0, F.lit("no_checks")))
-    return out.withColumn("passed", F.when(F.col("error_reason").isNull(),
-                                           F.forall("checks_result", lambda r: r["passed"]))).drop("_checks")
+    reason = F.when(F.size("_checks") <= 0, F.lit("no_checks")).when(F.col("_answered").isNull(), F.lit("missing_response"))
+    out = j.withColumn("checks_result", res).withColumn("error_reason", reason)
+    passed = F.when(F.col("error_reason").isNull(), F.forall("checks_result", lambda r: r["passed"])).when(
+        F.col("error_reason") == "missing_response", F.lit(False))
+    return out.withColumn("passed", passed).drop("_checks", "_answered")
 
 
 def eval_report(scored: DataFrame, category_col: str = "category") -> DataFrame:

@@ -61,6 +61,8 @@ def fetch_log(payloads: DataFrame, index_col: str = "idx", body_dir: str | None
         "sha256": F.when(ok, digest),
         "filename": F.when(ok, fname),
     }
+    if "status_code" in payloads.columns:
+        cols["status_code"] = F.col("status_code").cast("int")
     if "headers" in payloads.columns:  # MAP<STRING,STRING> of raw response headers
         hdr = F.col("headers")
         cols["headers"] = F.when(ok, F.struct(*[F.try_element_at(hdr, F.lit(k)).alias(n) for n, k in (

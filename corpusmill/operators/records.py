@@ -114,15 +114,16 @@ def normalize_messages_nested(messages, sample_system_prompt=None,
 def normalize_message_rows(rows: DataFrame, key: str, pos: str, role: str = "role", content: str = "content",
                            system_prompts: DataFrame | None = None,
                            default_system_prompt: str = C.DEFAULT_SYSTEM_PROMPT,
-                           salt_buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+                           salt_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Exploded messages -> (messages, samples).
 
     ``messages``: key, pos (0-based after injection), role, content for valid
     samples. ``samples``: key, n_messages, injected (system prepended),
     error_reason for every sample. Sample checks are partial aggregates over
     the message rows (first message by pos, first error by pos, assistant
-    count), then a salted join on the sample key brings them back to the
-    messages. ``pos`` must be the 0-based message ordinal within its sample.
+    count), then a join on the sample key brings them back to the messages.
+    ``salt_buckets`` spreads each key's messages over that many join keys, for
+    corpora with very long samples. ``pos`` must be the 0-based message ordinal within its sample.
     """
     m = rows.select(F.col(key).alias("key"), F.col(pos).alias("pos"),
                     normalize_role(F.col(role)).alias("role"), F.col(content).alias("raw"))
@@ -145,11 +146,12 @@ def normalize_message_rows(rows: DataFrame, key: str, pos: str, role: str = "rol
         F.col("key").alias(key), F.col("n_messages").cast("bigint").alias("n_messages"),
         (~F.col("first_is_system")).alias("injected"), err.alias("error_reason"))
     good = samples.filter(F.col("error_reason").isNull()).select(F.col(key).alias("key"), "injected")
-    # Salted join: a conversation holding a large share of all messages is
-    # spread over ``salt_buckets`` tasks (salt = pos mod n); the narrow sample
-    # side (key, flag) is replicated once per salt value.
-    salted = good.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    body = m.withColumn("_salt", F.pmod(F.col("pos"), F.lit(salt_buckets))).join(salted, ["key", "_salt"], "inner").drop("_salt")
+    if salt_buckets:
+        # the narrow sample side (key, flag) is replicated once per salt value
+        salted = good.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        body = m.withColumn("_salt", F.pmod(F.col("pos"), F.lit(salt_buckets))).join(salted, ["key", "_salt"], "inner").drop("_salt")
+    else:
+        body = m.join(good, "key", "inner")
     # Positions are the sample's own 0-based ordinals (posexplode / turn
     # numbers); a prepended system message shifts them by one. No per-sample
     # window, so a very long sample is never gathered into one task.
@@ -173,17 +175,12 @@ SAMPLE_DEFAULT_FIELDS = ("category", "difficulty", "challenge_family", "split",
 
 
 def merge_defaults(samples: DataFrame, record_defaults: DataFrame, on: list[str],
-                   fields=SAMPLE_DEFAULT_FIELDS, artifact_fields=("language", "has_code"),
-                   max_broadcast_rows: int = 100_000) -> DataFrame:
+                   fields=SAMPLE_DEFAULT_FIELDS, artifact_fields=("language", "has_code")) -> DataFrame:
     """Layered defaults: sample value, else record default, else manifest
     default (``record_defaults`` already holds record-over-manifest values
-    with ``d_`` prefixed columns), then the fixed fills ('unknown').
-
-    The control table has one row per manifest record; it is broadcast only
-    after its row count is checked against ``max_broadcast_rows``."""
+    with ``d_`` prefixed columns), then the fixed fills ('unknown'). The join
+    strategy is left to Spark."""
     ctl = record_defaults
-    n = ctl.count()
-    ctl = F.broadcast(ctl) if n <= max_broadcast_rows else ctl
     j = samples.join(ctl, on, "left")
     out = {}
     for f in fields:

@@ -25,7 +25,6 @@ from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.functions import urls as U
 from corpusmill.operators.transform import route_method
-from corpusmill.session import spread
 
 DEFAULT = CurationConfig()
 
@@ -134,9 +133,7 @@ def prepare_rows(transformed: DataFrame, cfg: CurationConfig = DEFAULT) -> DataF
     src = F.col("source_url") if "source_url" in cols else None
     body = F.col("body_path") if "body_path" in cols else F.lit(None).cast("string")
     method = F.col("transform_method") if "transform_method" in cols else F.lit(None).cast("string")
-    # Inputs with fewer splits than task slots are spread once here, so the
-    # key side and the text side share (and Spark reuses) one exchange.
-    df = spread(transformed.filter(F.col("transform_status") == "ok")).select(
+    df = transformed.filter(F.col("transform_status") == "ok").select(
         F.col("ord").cast("bigint").alias("ord"),
         U.row_url(F.col("final_url"), src).alias("url"),
         method.alias("transform_method"),
@@ -194,7 +191,7 @@ def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
     df = df.withColumn("s2", TX.py_strip(TX.collapse_blank_lines(TX.strip_preamble(F.col("s1"), cfg.preamble_marker))))
     df = df.withColumn("text", TX.truncate(TX.redact_flags(F.col("s2")), cfg.max_chars))
     reason = (
-        F.when(F.length("text") < cfg.min_chars, F.lit("short"))
+        F.when(F.length(F.coalesce("text", F.lit(""))) < cfg.min_chars, F.lit("short"))
         .when(~keep_record_parsed(F.col("host"), F.col("path"), F.col("text"), cfg), F.lit("low_signal"))
     )
     df = df.select("ord", "url", "prio", "raw_len", reason.alias("drop_reason"), "text")

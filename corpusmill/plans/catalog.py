@@ -19,7 +19,7 @@ from corpusmill.functions import urls as U
 from corpusmill.operators import writeups as W
 from corpusmill.operators.transform import route_target
 from corpusmill.plans.fixtures import fixture
-from corpusmill.session import load_tables, run_sql, spread
+from corpusmill.session import load_tables, run_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -110,7 +110,7 @@ def q_clean_content(spark, sf_dir):
 
 @query("html_to_text")
 def q_html_to_text(spark, sf_dir):
-    pages = spread(load_tables(spark, sf_dir, ["pages"])["pages"])
+    pages = load_tables(spark, sf_dir, ["pages"])["pages"]
     return TX.with_html_text(pages.select("page_id", "html"), "html", "text").select("page_id", "text")
 
 
@@ -124,13 +124,13 @@ def q_looks_like_html(spark, sf_dir):
 
 @query("strip_preamble")
 def q_strip_preamble(spark, sf_dir):
-    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
+    fx = fixture(spark, sf_dir, "transformed_fx")
     return fx.select("ord", TX.strip_preamble(F.col("content")).alias("content"))
 
 
 @query("redact_flags")
 def q_redact_flags(spark, sf_dir):
-    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
+    fx = fixture(spark, sf_dir, "transformed_fx")
     red = TX.redact_flags(F.col("content"))
     return fx.select("ord", red.alias("content"), F.contains(red, F.lit("<FLAG>")).alias("has_flag"))
 
@@ -153,7 +153,7 @@ def q_low_signal_filter(spark, sf_dir):
 
 @query("infer_category")
 def q_infer_category(spark, sf_dir):
-    fx = spread(fixture(spark, sf_dir, "transformed_fx"))
+    fx = fixture(spark, sf_dir, "transformed_fx")
     return W.with_category(fx.select("ord", "final_url", "content"), "final_url", "content").select("ord", "category")
 
 
@@ -223,7 +223,7 @@ def q_extract_links(spark, sf_dir):
 
 @query("original_link")
 def q_original_link(spark, sf_dir):
-    d = spread(fixture(spark, sf_dir, "detail_fx"))
+    d = fixture(spark, sf_dir, "detail_fx")
     return d.select("page_id", LK.original_link(F.col("html")).alias("original_url"))
 
 
@@ -312,7 +312,7 @@ def q_cache_upsert(spark, sf_dir):
 
 @query("normalize_text")
 def q_normalize_text(spark, sf_dir):
-    fx = spread(fixture(spark, sf_dir, "crlf_fx"))
+    fx = fixture(spark, sf_dir, "crlf_fx")
     return TR.landed_text(fx).select("doc_id", "content", "content_sha256")
 
 
@@ -482,7 +482,7 @@ DOC_POLICY = {
 
 @query("redact_rules")
 def q_redact_rules(spark, sf_dir):
-    docs = spread(load_tables(spark, sf_dir, ["documents"])["documents"])
+    docs = load_tables(spark, sf_dir, ["documents"])["documents"]
     policy = RD.load_policy(DOC_POLICY)
     return RD.apply_policy(docs.select("doc_id", "text", "lang", "source"), policy, keep=("doc_id",))
 

@@ -75,9 +75,9 @@ select conv_id, turn,
   case when turn % 4 = 0 then nxt end as answer, case when turn % 4 = 2 then nxt end as assistant,
   case when turn % 4 in (1, 3) then nxt end as completion,
   case when conv_id % 5 = 0 then 'rev' when conv_id % 5 = 1 then 'pwn' end as category
-from (select *, lead(text) over (partition by conv_id order by turn) as nxt,
-             lead(role) over (partition by conv_id order by turn) as nrole from conversations) z
-where role = 'user' and nrole = 'assistant'
+from (select u.conv_id, u.turn, u.text, a.text as nxt from conversations u
+      join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1
+      where u.role = 'user' and a.role = 'assistant') z
 """
 
 FIXTURES["messages_fx"] = """

@@ -8,9 +8,11 @@ every per-record step runs on the executors.
 from __future__ import annotations
 
 import os
+import posixpath
 import time
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from corpusmill import config as C
 from corpusmill.config import CurationConfig
+from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.operators import evaluation as EV
 from corpusmill.operators import gate as GT
@@ -26,6 +29,7 @@ from corpusmill.operators import redact as RD
 from corpusmill.operators import render as RN
 from corpusmill.operators import review as RV
 from corpusmill.operators import writeups as W
+from corpusmill.session import checkpoint_dir, staged
 from corpusmill.sinks import writers as S
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import manifests as M
@@ -59,57 +63,87 @@ class DatasetBuildResult:
 # Stage D: manifests -> samples
 # ---------------------------------------------------------------------------
 
-def _resolve(repo_root: str, manifest_path: str, p: str) -> str:
-    if os.path.isabs(p):
+def _resolve(spark: SparkSession, repo_root: str, manifest_path: str, p: str) -> str:
+    if os.path.isabs(p) or "://" in p:
         return p
-    local = os.path.normpath(os.path.join(os.path.dirname(manifest_path), p))
-    return local if os.path.exists(local) else os.path.normpath(os.path.join(repo_root, p))
+    beside = posixpath.normpath(posixpath.join(posixpath.dirname(manifest_path), p))
+    return beside if _exists(spark, beside) else posixpath.normpath(posixpath.join(repo_root, p))
 
 
 def _strip_uri(c):
     return F.regexp_replace(c, r"^file:(//)?", "")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system its URI names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None) -> DataFrame:
     """Rows of one record format: file, item (1-based line for line formats,
     0-based item for whole-document formats), sample fields, messages or QA
     fields, ``error_reason``."""
     qa_schema = T.StructType(QA_FIELDS.fields + (extra.fields if extra else []))
     msg_schema = T.StructType(MSG_FIELDS.fields + (extra.fields if extra else []))
-    if fmt == "jsonl_qa":
-        df = J.read_jsonl(spark, paths, qa_schema).withColumnRenamed("line", "item")
-    elif fmt == "json_qa":
-        df = J.read_json_documents(spark, paths, qa_schema).withColumnRenamed("item_index", "item").withColumn("_corrupt", F.lit(None).cast("string"))
-    elif fmt == "jsonl_messages":
-        lines = J.read_lines(spark, paths)
-        df = _messages_from_text(lines.withColumnRenamed("line", "item"), "value", msg_schema)
-    elif fmt == "json_messages":
-        docs = spark.read.option("wholetext", True).text(paths).select(
-            F.col("_metadata.file_path").alias("file"), F.ltrim(F.regexp_replace("value", "^\ufeff", "")).alias("v"))
-        items = F.when(F.col("v").startswith("["), F.from_json("v", T.ArrayType(T.StringType()))).otherwise(F.array("v"))
-        ex = docs.select("file", F.posexplode(items).alias("item", "value"))
-        df = _messages_from_text(ex, "value", msg_schema)
+    if fmt.startswith("jsonl_"):
+        items = J.with_sequence(J.read_lines(spark, paths)).select("file", F.col("line").alias("item"), "seq", "value")
+    elif fmt in ("json_qa", "json_messages"):
+        items = J.read_json_items(spark, paths).select("file", "item", F.col("item").cast("bigint").alias("seq"), "value")
+    else:
+        raise BuildError(f"Unsupported record format: {fmt}")
+    if fmt.endswith("_qa"):
+        df = _qa_from_text(items, "value", qa_schema)
+    elif fmt.endswith("_messages"):
+        df = _messages_from_text(items, "value", msg_schema)
     else:
         raise BuildError(f"Unsupported record format: {fmt}")
     if fmt.endswith("_qa"):
         # the system message (record's, else record defaults') is added once,
         # after the control table is joined
         df = RC.qa_to_messages(df, default_system_prompt=None, system_col=None)
-        df = df.withColumn("error_reason", F.when(F.col("_corrupt").isNotNull(), F.lit("not_an_object")).otherwise(F.col("error_reason")))
-        df = df.drop(*[c for c in C.PROMPT_ALIASES + C.ANSWER_ALIASES if c in df.columns], "_corrupt")
+        df = df.withColumn("error_reason", F.coalesce("read_error", "error_reason"))
+        df = df.drop(*[c for c in C.PROMPT_ALIASES + C.ANSWER_ALIASES if c in df.columns], "read_error")
     return df.withColumn("file", _strip_uri(F.col("file"))).withColumn("format", F.lit(fmt))
 
 
+def _qa_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
+    """QA items: the first prompt and answer alias that is there must be text."""
+    v = F.col(value_col)
+    kind = F.coalesce(J.json_type(v), F.lit(""))
+    def first_not_text(names):
+        kinds = [F.coalesce(J.json_type(v, f"$.{n}"), F.lit("VOID")) for n in names]
+        return F.coalesce(*[F.when(~k.isin("VOID", ""), k) for k in kinds], F.lit("STRING")) != "STRING"
+    err = F.when(kind == "", F.lit("malformed_json")).when(kind != "OBJECT", F.lit("not_an_object")).when(
+        first_not_text(C.PROMPT_ALIASES) | first_not_text(C.ANSWER_ALIASES), F.lit("prompt_or_answer_not_text"))
+    return df.select("file", "item", "seq", F.from_json(v, schema).alias("r"), err.alias("read_error")).select("file", "item", "seq", "r.*", "read_error")
+
+
 def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
+    """Message items: an object with ``messages`` or a bare list; every entry an
+    object whose content is text."""
     v = F.ltrim(F.col(value_col))
-    is_list = v.startswith("[")
+    kind = F.coalesce(J.json_type(v), F.lit(""))
+    is_list = kind == "ARRAY"
     obj = F.from_json(v, schema)
     lst = F.from_json(v, T.ArrayType(J.MESSAGE))
     cols = [F.when(~is_list, obj[f.name]).alias(f.name) for f in schema.fields if f.name != "messages"]
-    has_msgs = F.from_json(v, T.MapType(T.StringType(), T.StringType())).getItem("messages").isNotNull()
-    err = F.when(~is_list & ~v.startswith("{"), F.lit("not_a_list_or_object")).when(
-        ~is_list & ~has_msgs, F.lit("object_without_messages"))
-    return df.select("file", "item", *cols, F.when(is_list, lst).otherwise(obj["messages"]).alias("messages"),
+    entries = F.when(is_list, F.try_variant_get(F.try_parse_json(v), "$", "array<variant>")).otherwise(
+        F.try_variant_get(F.try_parse_json(v), "$.messages", "array<variant>"))
+    entry_type = lambda x: F.regexp_extract(F.schema_of_variant(x), "^[A-Z]+", 0)
+    content_type = lambda x: F.coalesce(
+        F.regexp_extract(F.schema_of_variant(F.try_variant_get(x, "$.content", "variant")), "^[A-Z]+", 0), F.lit("VOID"))
+    held = J.json_type(v, "$.messages")
+    err = (
+        F.when(kind == "", F.lit("malformed_json"))
+        .when(~kind.isin("ARRAY", "OBJECT"), F.lit("not_a_list_or_object"))
+        .when(~is_list & held.isNull(), F.lit("object_without_messages"))
+        .when(~is_list & (held != "ARRAY"), F.lit("empty_messages"))
+        .when(F.exists(entries, lambda x: entry_type(x) != "OBJECT"), F.lit("entry_not_an_object"))
+        .when(F.exists(entries, lambda x: ~content_type(x).isin("STRING", "VOID")), F.lit("content_not_text"))
+    )
+    return df.select("file", "item", "seq", *cols, F.when(is_list, lst).otherwise(obj["messages"]).alias("messages"),
                      err.alias("error_reason"))
 
 
@@ -126,14 +160,15 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         policy = RD.load_policy(policy_path)
     skip = os.path.basename(policy_path) if policy_path and os.path.dirname(os.path.abspath(policy_path)) == os.path.abspath(manifest_dir) else None
     manifests = M.read_manifests(spark, manifest_dir, skip=skip)
-    heads = manifests.select("manifest", "enabled", F.size(F.coalesce("records", F.array())).alias("n")).collect()
+    heads = manifests.select("manifest", "enabled", "malformed", F.size(F.coalesce("records", F.array())).alias("n")).collect()
     if not heads:
         raise BuildError(f"No manifest JSON files found under {manifest_dir}")
+    broken = sorted(h["manifest"] for h in heads if h["malformed"])
+    if broken:
+        raise BuildError(f"Not a JSON object: {', '.join(broken)}")
     skipped = sorted(h["manifest"] for h in heads if h["enabled"] is not False and h["n"] == 0)
     recs = M.manifest_records(manifests.select(
-        "manifest", "manifest_path", "source_id", "enabled", "records",
-        F.coalesce("source", F.lit(C.UNKNOWN)).alias("source"), F.coalesce("license", F.lit(C.UNKNOWN)).alias("license"),
-        "defaults"), "manifest")
+        "manifest", "manifest_path", "source_id", "enabled", "records", "source", "license", "defaults"), "manifest")
     # Control rows are configuration: one per (manifest, record, path).
     ctl_rows = recs.select("manifest", "manifest_path", "source_id", "source", "license", "defaults", "record_index",
                            "path_index", "path", "format", "record", "error_reason").collect()
@@ -149,15 +184,17 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         rd = r["record"]["defaults"]
         ledger = _field(r, "source_ledger_path")
         if isinstance(ledger, str) and ledger.strip():
-            ledger = _resolve(repo_root, _strip_path(r["manifest_path"]), ledger)
-        gate_rows.append((r["manifest"], r["record_index"], r["source"], rd["source_bucket"] if rd is not None else None,
+            ledger = _resolve(spark, repo_root, _strip_path(r["manifest_path"]), ledger)
+        # the gate looks at the manifest's own source, else at its defaults'
+        source = r["source"] if r["source"] is not None else (r["defaults"]["source"] if r["defaults"] is not None else None)
+        gate_rows.append((r["manifest"], r["record_index"], source, rd["source_bucket"] if rd is not None else None,
                           _field(r, "allowed_for_training"), _field(r, "allowed_for_redistribution"),
                           _field(r, "review_status"), _field(r, "redistribution_status"), ledger))
     gate_df = spark.createDataFrame(gate_rows, "manifest string, record_index int, source string, source_bucket string, "
                                     "allowed_for_training boolean, allowed_for_redistribution boolean, review_status string, "
                                     "redistribution_status string, source_ledger_path string")
     if ledger_listing is None:
-        existing = sorted({g[8] for g in gate_rows if g[8] and os.path.exists(g[8])})
+        existing = sorted({g[8] for g in gate_rows if g[8] and _exists(spark, g[8])})
         ledger_listing = spark.createDataFrame([(p,) for p in existing], "source_ledger_path string")
     failures = GT.gate_failures(GT.review_gate(gate_df, "manifest", ledger_listing)).collect()
     if failures:
@@ -167,8 +204,8 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     # Resolve paths on the driver (bounded list), then read each format once.
     resolved = []
     for r in ctl_rows:
-        p = _resolve(repo_root, _strip_path(r["manifest_path"]), r["path"])
-        if not os.path.exists(p):
+        p = _resolve(spark, repo_root, _strip_path(r["manifest_path"]), r["path"])
+        if not _exists(spark, p):
             if allow_missing_paths:
                 continue
             raise BuildError(f"Source path does not exist: {p}")
@@ -183,7 +220,7 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
 
     # Control table: record defaults merged over manifest defaults, per path.
     ctl = spark.createDataFrame([
-        (p, r["format"], r["manifest"], r["source_id"], int(r["record_index"]), r["source"], r["license"],
+        (p, r["format"], r["manifest"], r["source_id"], int(r["record_index"]), _own(r, "source"), _own(r, "license"),
          _field(r, "category"), _field(r, "difficulty"), _field(r, "challenge_family"), _field(r, "split"),
          _field(r, "system_prompt"), _art(r, "language"), _art(r, "has_code"))
         for r, p in resolved],
@@ -192,13 +229,17 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         "d_language string, d_has_code boolean")
     ctl = ctl.withColumn("d_artifacts", F.struct(F.col("d_language").alias("language"), F.col("d_has_code").alias("has_code"))) \
         .drop("d_language", "d_has_code")
-    joined = rows.join(F.broadcast(ctl) if len(resolved) <= 100_000 else ctl, ["file", "format"], "inner")
+    # every row read must find the record that listed its file
+    joined = rows.join(ctl, ["file", "format"], "left").withColumn(
+        "error_reason", F.when(F.col("manifest").isNull(), F.lit("no_manifest_record")).otherwise(F.col("error_reason")))
 
     stem = F.regexp_extract(F.col("file"), r"([^/]+?)(?:\.[^./]*)?$", 1)
     fallback = F.concat_ws("_", F.col("source_id"), stem, F.col("record_index").cast("string"), F.col("item").cast("string"))
-    # QA ids: a falsy id is replaced; message ids: only an absent one (null).
+    # a falsy QA id and an absent message id get the record's number; an empty
+    # message id gets the sample's number in its file
+    third = F.concat_ws("_", F.col("source_id"), stem, F.col("seq").cast("string"))
     loader_id = F.when(F.col("format").endswith("_qa"), F.coalesce(TX.py_truthy_str(F.col("id")), fallback)) \
-        .otherwise(F.coalesce(F.col("id"), fallback))
+        .otherwise(F.coalesce(TX.py_truthy_str(F.coalesce(F.col("id"), fallback)), third))
     df = joined.withColumn("id", loader_id)
     # QA system prompt: record's own, else the record defaults'.
     qa_sys = F.coalesce(TX.py_truthy_str(F.col("system_prompt")), TX.py_truthy_str(F.col("d_system_prompt")))
@@ -264,6 +305,12 @@ def _field(r, name: str):
     return None
 
 
+def _own(r, name: str):
+    """source and license: record defaults, manifest defaults, the manifest's own key."""
+    value = _field(r, name)
+    return value if value is not None else r[name] if r[name] is not None else C.UNKNOWN
+
+
 def _art(r, name: str):
     rd = r["record"]["defaults"]
     if rd is not None and rd["artifacts"] is not None and rd["artifacts"][name] is not None:
@@ -302,17 +349,34 @@ LINK = T.StructType([T.StructField("index", T.LongType()), T.StructField("ctftim
                      T.StructField("original_url", T.StringType()), T.StructField("original_error", T.StringType())])
 
 
+def _parsed(rows: DataFrame, strict: bool) -> DataFrame:
+    """Rows of ``read_jsonl`` that parsed; ``strict`` fails on the first line
+    that did not."""
+    if strict:
+        bad = rows.filter(F.col("_corrupt").isNotNull()).orderBy("ord").select("file", "line").limit(1).collect()
+        if bad:
+            raise BuildError(f"Not a JSON object: {bad[0]['file']}:{bad[0]['line']}")
+    return rows.filter(F.col("_corrupt").isNull()).drop("file", "line", "_corrupt", "_not_text")
+
+
+def read_transformed(spark: SparkSession, path: str, strict: bool = True, output_dir: str | None = None, overwrite: bool = False) -> DataFrame:
+    """Transformed rows with ``ord``, unique over all files of ``path``."""
+    rows = J.read_jsonl(spark, path, TRANSFORMED)
+    if not strict and output_dir:
+        bad = rows.filter(F.col("_corrupt").isNotNull()).select("file", "line", F.col("_corrupt").alias("value"))
+        S.write_jsonl(bad, os.path.join(output_dir, "quarantine"), overwrite=overwrite, order_by=["file", "line"])
+    return _parsed(rows, strict)
+
+
 def build_writeup_dataset(spark: SparkSession, transformed_path: str, output_dir: str, enumeration_path: str | None = None,
-                          cfg: CurationConfig = W.DEFAULT, overwrite: bool = False) -> DataFrame:
+                          cfg: CurationConfig = W.DEFAULT, overwrite: bool = False, strict: bool = True) -> DataFrame:
     """Transformed JSONL (+ link JSONL) -> split folders (split kept in the
-    body) and a summary; returns the summary frame."""
-    t = J.read_jsonl(spark, transformed_path, TRANSFORMED)
-    t = t.withColumn("ord", F.col("line")).drop("file", "line", "_corrupt")
+    body) and a summary; returns the summary frame. ``strict`` stops at lines
+    that are not JSON objects; otherwise they are written to ``quarantine``."""
+    t = read_transformed(spark, transformed_path, strict, output_dir, overwrite)
     links = None
     if enumeration_path:
-        links = J.read_jsonl(spark, enumeration_path, LINK).withColumn("ord", F.col("line"))
-    from corpusmill.session import checkpoint_dir
-
+        links = _parsed(J.read_jsonl(spark, enumeration_path, LINK), strict)
     stage = os.path.join(checkpoint_dir(spark), f"writeup-rows-{uuid.uuid4().hex}")
     cur = W.curate_writeups(t, links, cfg, stage_dir=stage)
     samples = W.build_samples(cur, cfg).withColumnRenamed("first_ord", "_first_ord")
@@ -328,12 +392,14 @@ def build_writeup_dataset(spark: SparkSession, transformed_path: str, output_dir
 # ---------------------------------------------------------------------------
 
 def prepare_review(spark: SparkSession, fetch_manifest: str, output_dir: str, overwrite: bool = False, **ledger_args) -> DataFrame:
-    recs = M.read_fetch_manifest(spark, fetch_manifest)
+    """``fetch_manifest``: a manifest document, or the folder of records that
+    ``fetch_batch`` writes. The ledger keeps ``ord``."""
+    recs = M.read_fetch_manifest(spark, fetch_manifest) if fetch_manifest.endswith(".json") else M.read_fetch_records(spark, fetch_manifest)
     first = recs.select("batch_name").limit(1).collect()
     if not first:
         raise BuildError(f"Fetch manifest has no records: {fetch_manifest}")
     led = RV.review_ledger(recs, first[0]["batch_name"], index_col="ord", **ledger_args)
-    S.write_jsonl(led.drop("ord"), os.path.join(output_dir, "review_ledger"), overwrite=overwrite)
+    S.write_jsonl(led, os.path.join(output_dir, "review_ledger"), overwrite=overwrite, order_by="ord")
     S.write_ledger_csv(led, os.path.join(output_dir, "review_ledger_csv"), overwrite=overwrite)
     summary = RV.review_summary(led)
     S.write_summary(summary, os.path.join(output_dir, "review_summary"), overwrite=overwrite)
@@ -354,7 +420,11 @@ CASE = T.StructType([
 
 def load_cases(spark: SparkSession, cases_path: str) -> DataFrame:
     c = J.read_jsonl(spark, cases_path, CASE)
-    return c.withColumn("id", EV.default_case_id("id", F.col("line")))
+    bad = c.filter(F.col("_corrupt").isNotNull()).orderBy("ord").select("file", "line").limit(1).collect()
+    if bad:
+        raise BuildError(f"Not a JSON object: {bad[0]['file']}:{bad[0]['line']}")
+    # numbered over all case files, so that defaults cannot collide
+    return c.withColumn("id", EV.default_case_id("id", F.col("ord"))).drop("_corrupt", "_not_text")
 
 
 def run_eval(spark: SparkSession, cases_path: str, responses: DataFrame, report_dir: str,
@@ -395,8 +465,8 @@ def render_training_split(spark: SparkSession, split_path: str, out_path: str, t
 
 def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: DataFrame | None, output_dir: str,
                     target_source: str = "ctftime", overwrite: bool = False) -> DataFrame:
-    """Landed index pages (ord, html) and optional detail pages (url, html)
-    -> link rows, first-occurrence target list and the summary."""
+    """Landed index pages (ord, html) and optional detail pages (url, html[,
+    error]) -> link rows, first-occurrence target list and the summary."""
     from corpusmill.operators import links as LK
 
     found = LK.ordered_distinct(LK.extract_links(index_pages, "html", "ord"), "url", "page_ord", "pos")
@@ -404,15 +474,15 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     if detail_pages is not None:
         # the original link is extracted next to the page (narrow), so only
         # URLs take part in the join, never page HTML
-        det = detail_pages.select(F.col("url").alias("_u"), LK.original_link(F.col("html")).alias("_orig")) \
-            .groupBy("_u").agg(F.max("_orig").alias("_orig"))  # one detail page per URL
+        landed = F.col("error") if "error" in detail_pages.columns else F.lit(None).cast("string")
+        det = detail_pages.select(F.col("url").alias("_u"), LK.original_link(F.col("html")).alias("_orig"), landed.alias("_err")) \
+            .groupBy("_u").agg(F.max("_orig").alias("_orig"), F.max("_err").alias("_err"))  # one detail page per URL
         rows = rows.join(det, rows["ctftime_writeup_url"] == det["_u"], "left")
-        orig = F.col("_orig")
+        orig, error = F.col("_orig"), F.when(F.col("_orig").isNull(), F.col("_err"))
     else:
-        orig = F.lit(None).cast("string")
-    index = _first_seen_key(rows)
-    link_rows = rows.select(index.alias("index"), "ctftime_writeup_url", orig.alias("original_url"),
-                            F.lit(None).cast("string").alias("original_error"))
+        orig = error = F.lit(None).cast("string")
+    rows = ORD.numbered(rows, ["page_ord", "pos"], "index")
+    link_rows = rows.select("index", "ctftime_writeup_url", orig.alias("original_url"), error.alias("original_error"))
     targets = LK.target_urls(link_rows, target_source)
     S.write_target_list(targets, os.path.join(output_dir, "targets"), overwrite=overwrite)
     S.write_jsonl(link_rows, os.path.join(output_dir, "links"), overwrite=overwrite, order_by="index")
@@ -421,37 +491,33 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     return summary
 
 
-def _first_seen_key(rows: DataFrame):
-    """Link-row index in first-appearance order: page ordinal * 10**6 + link
-    position on the page (a page with a million links or more is an error)."""
-    pos = F.col("pos")
-    guarded = F.when(pos < 10**6, pos).otherwise(F.raise_error(F.lit("more than 10**6 links on one index page")))
-    return (F.col("page_ord").cast("bigint") * F.lit(10**6) + guarded).cast("bigint")
-
-
 def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame, cache_log: str | None,
                 output_dir: str, batch_name: str, body_dir: str | None = None, cache_mode: str = "reuse",
-                batch_seq: int | None = None, overwrite: bool = False) -> DataFrame:
+                batch_seq: int | None = None, overwrite: bool = False, fetched_at: str | None = None) -> DataFrame:
     """URL lines (ord, line) + landed payloads (url, final_url, body, status,
     content_type_raw[, status_code, headers]) -> fetch records.
 
     ``reuse``: URLs whose latest cache entry is ok become ``cached`` records;
     the rest take their landed payload (none landed -> an error record). New
-    ok payloads are appended to the cache log with ordinal
-    ``batch_seq * 10**9 + index`` so later batches win on read; ``batch_seq``
-    defaults to the current epoch second."""
+    ok records are appended whole to the cache log; their ordinal orders by
+    (``batch_seq``, index), so later batches win on read. ``batch_seq`` defaults
+    to the current epoch second, ``fetched_at`` to the current time. With
+    ``body_dir`` the bodies of ok payloads are stored there, once per digest,
+    and ``body_path`` names the store's entry."""
+    now = F.lit(fetched_at or datetime.now(timezone.utc).isoformat())
     from corpusmill.operators import fetch as FE
 
     urls = FE.url_list(url_lines)
     if cache_mode not in ("reuse", "refresh", "off"):
         raise BuildError(f"unknown cache_mode: {cache_mode}")
-    idx = urls.select("url", F.col("ord").alias("idx"))
-    if cache_mode == "reuse" and cache_log and os.path.exists(cache_log):
+    idx = ORD.numbered(urls, ["ord"], "idx").select("url", "idx")
+    if cache_mode == "reuse" and cache_log and _exists(spark, cache_log):
         hits, misses = FE.cache_lookup(idx, spark.read.parquet(cache_log))
+        kept = [c for c in ("final_url", "content_type", "content_length", "sha256", "filename", "status_code", "headers", "body_path")
+                if f"cache_{c}" in hits.columns]
         cached = hits.select(F.col("idx").cast("bigint").alias("index"), "url", F.lit("cached").alias("status"),
-                             F.col("cache_final_url").alias("final_url"), F.col("cache_content_type").alias("content_type"),
-                             F.lit(None).cast("bigint").alias("content_length"), F.col("cache_sha256").alias("sha256"),
-                             F.lit(None).cast("string").alias("filename"))
+                             *[F.col(f"cache_{c}").alias(c) for c in kept], now.alias("fetched_at"), F.lit(True).alias("cache_hit"),
+                             F.col("cache_fetched_at").alias("cached_from"))
         todo = misses
     else:
         cached, todo = None, idx
@@ -467,14 +533,24 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
     landed_error = F.col("error") if "error" in meta.columns else F.lit(None).cast("string")
     joined = joined.withColumn("error", F.when(F.col("status").isNull(), F.lit("MissingPayload: nothing landed for this URL"))
                                .otherwise(landed_error))
-    fetched = FE.fetch_log(joined, index_col="idx", body_dir=body_dir)
+    fetched = FE.fetch_log(joined, index_col="idx").withColumns(
+        {"fetched_at": now, "cache_hit": F.lit(False), "cached_from": F.lit(None).cast("string")})
+    if body_dir is not None:
+        ok = F.col("status") == "ok"
+        where = F.concat(F.lit(body_dir.rstrip("/") + "/sha_prefix="), F.substring("sha256", 1, 2), F.lit("/"), F.col("sha256"))
+        fetched = fetched.withColumn("body_path", F.when(ok, where))
+        bodies = payloads.filter(F.coalesce(F.col("status") != "error", F.lit(False))).select(F.sha2(F.col("body").cast("binary"), 256).alias("sha256"), "body")
+        if _exists(spark, body_dir):
+            bodies = FE.new_bodies(bodies, spark.read.parquet(body_dir).select("sha256"))
+        S.append_bodies(bodies.dropDuplicates(["sha256"]), body_dir)
+    fetched = staged(fetched, "fetched")
     records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
     S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
                   overwrite=overwrite, order_by="index")
     if cache_mode != "off" and cache_log:
-        new = fetched.filter(F.col("status") == "ok").select(
-            "url", "status", "final_url", "content_type", "sha256", F.lit(None).cast("string").alias("fetched_at"),
-            (F.lit(int(batch_seq if batch_seq is not None else time.time())) * F.lit(10**9) + F.col("index")).alias("ord"))
+        seq = F.lit(int(batch_seq if batch_seq is not None else time.time())).cast("bigint")
+        new = fetched.filter(F.col("status") == "ok").withColumn("ord", ORD.first_key(seq, F.col("index"))).drop(
+            "index", "error", "cache_hit", "cached_from")
         new.write.mode("append").parquet(cache_log)
     return records
 

@@ -453,7 +453,7 @@ select conv_id, turn, {slug("lower(coalesce(category, 'sample'))")} || '_' || {s
 
 
 def role_norm(r: str) -> str:
-    base = f"lower({strip(f'coalesce({r}, {q(chr(78) + chr(111) + chr(110) + chr(101))})')})"
+    base = f"lower({strip(f'coalesce({r}, {q("None")})')})"
     whens = " ".join(f"when {q(k)} then {q(v)}" for k, v in C.ROLE_ALIASES.items())
     return f"(case {base} {whens} else {base} end)"
 

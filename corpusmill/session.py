@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +43,9 @@ def build_session(master: str | None = None, app: str = "corpusmill", shuffle_pa
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one.
-    Sessions without a SparkContext (Spark Connect) read the setting only."""
+    A cluster names it; only a session on a local master gets a folder of its
+    own when it is unset. Sessions without a SparkContext (Spark Connect) read
+    the setting only."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
@@ -54,8 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if sc is None:
-        raise RuntimeError("spark.checkpoint.dir is not set")
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     sc.setCheckpointDir(path)
     return path
@@ -67,23 +68,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_LOADED: dict[tuple[int, str], DataFrame] = {}
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back:
+    its rows are then fixed, whatever later reads or lost executors do."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corpusmill-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """The parquet tables of one scale factor as DataFrames (no views are
-    registered). A table already read from the same path in this session is
-    reused, so repeated calls do not re-read parquet footers."""
-    out = {}
-    for name in names:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        key = (id(spark), path)
-        if key not in _LOADED:
-            if not (os.path.exists(path) or "://" in sf_dir):
-                continue
-            _LOADED[key] = spark.read.parquet(path)
-        out[name] = _LOADED[key]
-    return out
+    """The named parquet tables of one scale factor as DataFrames (no views are
+    registered)."""
+    return {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in names}
 
 
 def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -94,18 +91,3 @@ def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> Data
     for name in tables:
         text = re.sub(rf"\b{re.escape(name)}\b", "{" + name + "}", text)
     return spark.sql(text, **tables)
-
-
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin a frame that has fewer input partitions than task slots
-    (e.g. one small parquet file) before CPU-heavy per-row work. On a cluster
-    the scan already yields far more splits than slots and this is a no-op.
-    Where partition counts are not visible (Spark Connect) it does nothing."""
-    try:
-        slots = target or df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return df
-    if parts < slots:
-        return df.repartition(slots)
-    return df

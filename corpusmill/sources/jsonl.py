@@ -1,75 +1,103 @@
 """Line-oriented and whole-document JSON readers (SRC4-9, SRC14, SRC15).
 
-``read_lines`` gives every physical line its exact 1-based line number per
-file without a global sort or window over rows: the scan keeps each split's
-lines in order inside one partition, so a per-split summary (line count and
-first row id, one row per split) plus a running sum over the splits of each
-file yields the offset of every split. Blank lines keep their number and are
-dropped afterwards, as line-numbered default ids require.
+``read_lines`` numbers every physical line. The text is scanned once and staged
+with a row id that grows along each input split; the numbers are then derived
+from the staged rows alone (one summary row per split, a running sum over the
+splits), so no second scan has to agree with the first. Blank lines keep their
+number and are dropped afterwards, as line-numbered default ids require.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import text as TX
+from corpusmill.session import staged
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 
 
-MAX_BROADCAST_SPLITS = 1_000_000  # one small row per input split
+def file_path() -> Column:
+    """The input file of a row as a plain path (Spark reports it percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def read_lines(spark: SparkSession, paths, keep_blank: bool = False,
-               max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
-    """(file, line, value): non-blank lines with their 1-based line numbers.
-
-    Two passes over the input, as any exact numbering needs: a counting pass
-    writes the per-split offsets (one row per split) as a reliable checkpoint
-    under ``spark.checkpoint.dir``; the data pass joins each line to its
-    split's offset. The offsets are broadcast only when their row count is
-    checked to be at most ``max_broadcast_splits``, so lines never shuffle.
-    Beyond that bound it is a regular join."""
-    from corpusmill.session import cut_lineage
-
+def read_lines(spark: SparkSession, paths, keep_blank: bool = False) -> DataFrame:
+    """(file, line, ord, value): lines with their 1-based number in the file and
+    over all files (files in name order; unique, so it can serve as a key).
+    Blank lines are counted and then dropped unless ``keep_blank``."""
     raw = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("rid"),
-    )
-    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first_rid"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block")
-                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = cut_lineage(blocks.select("file", "block", "first_rid", before.alias("before")))
-    side = F.broadcast(offsets) if offsets.count() <= max_broadcast_splits else offsets
-    lines = raw.join(side, ["file", "block"]).select(
-        "file", (F.col("before") + F.col("rid") - F.col("first_rid") + 1).alias("line"), "value")
-    if not keep_blank:
-        lines = lines.filter(TX.py_strip(F.col("value")) != "")
-    return lines
-
-
-def read_jsonl(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
-    """JSONL objects parsed with a fixed schema, plus file and line; lines
-    that are not JSON objects get ``_corrupt`` set."""
+        "value", file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("rid"))
+    raw = raw.withColumn("blank", TX.py_strip(F.col("value")) == "")
+    raw = staged(raw, "lines")
+    kept = F.lit(True) if keep_blank else ~F.col("blank")
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first"))
+    # one row per input split
+    upto = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    start = F.min("before").over(Window.partitionBy("file"))
+    offsets = staged(blocks.select("file", "block", "first", "before", start.alias("start")), "line-offsets")
+    at = F.col("before") + F.col("rid") - F.col("first") + 1
+    lines = raw.join(offsets, ["file", "block"]).select(
+        "file", (at - F.col("start")).alias("line"), at.alias("ord"), "value", kept.alias("kept"))
+    return lines.filter("kept").drop("kept")
+
+
+def with_sequence(lines: DataFrame) -> DataFrame:
+    """Adds ``seq``: the 0-based number of the row among its file's rows, by
+    line. Rows are counted in runs of lines first, so that a long file is not
+    sorted by one task."""
+    run = F.floor(F.col("line") / 10_000)
+    counts = lines.groupBy("file", run.alias("run")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("file", "run", F.coalesce(before, F.lit(0)).alias("base"))
+    rank = F.row_number().over(Window.partitionBy("file", "run").orderBy("line"))
+    return lines.withColumn("run", run).withColumn("rank", rank).join(counts, ["file", "run"]).withColumn(
+        "seq", F.col("base") + F.col("rank") - 1).drop("run", "rank", "base")
+
+
+def json_type(value: Column, path: str = "$") -> Column:
+    """Type name of the JSON value at ``path`` (null if absent, VOID if null)."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), path, "variant"))
+    return F.regexp_extract(kind, "^[A-Z]+", 0)
+
+
+def not_text(value: Column, names) -> Column:
+    """Name of the first of the keys ``names`` whose value is there and is
+    neither a string nor null."""
+    kinds = [(n, json_type(value, f"$.{n}")) for n in names]
+    return F.coalesce(*[F.when(~k.isin("STRING", "VOID", ""), F.lit(n)) for n, k in kinds])
+
+
+def read_jsonl(spark: SparkSession, paths, schema: T.StructType, text_keys=()) -> DataFrame:
+    """JSONL objects parsed with a fixed schema, plus file, line and ord. Lines
+    that are not a JSON object keep their text in ``_corrupt``; ``_not_text``
+    names the first of ``text_keys`` that holds something else than a string."""
     lines = read_lines(spark, paths)
-    parsed = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE"})
-    is_obj = F.ltrim(F.col("value")).startswith("{")
-    return lines.select("file", "line", parsed.alias("r"), F.when(~is_obj, F.col("value")).alias("_corrupt")).select(
-        "file", "line", "r.*", "_corrupt")
+    value = F.regexp_replace("value", "^\ufeff", "")
+    is_obj = F.coalesce(json_type(value) == "OBJECT", F.lit(False))
+    bad = not_text(value, text_keys) if text_keys else F.lit(None).cast("string")
+    parsed = F.from_json(value, schema, {"mode": "PERMISSIVE"})
+    return lines.select("file", "line", "ord", parsed.alias("r"), F.when(~is_obj, F.col("value")).alias("_corrupt"), bad.alias("_not_text")).select(
+        "file", "line", "ord", "r.*", "_corrupt", "_not_text")
 
 
-def read_json_documents(spark: SparkSession, paths, item_schema: T.StructType) -> DataFrame:
-    """Whole-file JSON: one object or an array of objects -> one row per item
-    with its 0-based index (file, item_index, fields...)."""
+def read_json_items(spark: SparkSession, paths) -> DataFrame:
+    """Whole-file JSON, one value or an array of values: (file, item, value) with
+    the 0-based item number and the item's JSON text."""
     docs = spark.read.option("wholetext", True).text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.ltrim(F.regexp_replace("value", "^\ufeff", "")).alias("v"))
-    arr = F.when(F.col("v").startswith("["), F.from_json("v", T.ArrayType(item_schema))).otherwise(
-        F.array(F.from_json("v", item_schema)))
-    return docs.select("file", F.posexplode(arr).alias("item_index", "r")).select("file", "item_index", "r.*")
+        file_path().alias("file"), F.ltrim(F.regexp_replace("value", "^\ufeff", "")).alias("v"))
+    items = F.try_variant_get(F.try_parse_json("v"), "$", "array<variant>")
+    texts = F.when(items.isNotNull(), F.transform(items, lambda x: F.to_json(x))).otherwise(F.array("v"))
+    return docs.select("file", F.posexplode(texts).alias("item", "value"))
+
+
+def read_json_documents(spark: SparkSession, paths, item_schema: T.StructType) -> DataFrame:
+    """``read_json_items`` parsed with a fixed schema: (file, item_index, fields...)."""
+    items = read_json_items(spark, paths)
+    return items.select("file", F.col("item").alias("item_index"), F.from_json("value", item_schema).alias("r")).select("file", "item_index", "r.*")
 
 
 def messages_payload(value_col, schema_extra: T.StructType | None = None):
@@ -92,7 +120,7 @@ def messages_payload(value_col, schema_extra: T.StructType | None = None):
 def read_url_file(spark: SparkSession, paths) -> DataFrame:
     """URL list file -> (line_ord, line); cleaning and first-wins distinct
     are done by ``operators.fetch.url_list``."""
-    return read_lines(spark, paths, keep_blank=True).select(F.col("line").alias("ord"), F.col("value").alias("line"))
+    return read_lines(spark, paths, keep_blank=True).select("ord", F.col("value").alias("line"))
 
 
 def read_bodies(spark: SparkSession, paths) -> DataFrame:

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.sources.jsonl import file_path, json_type, read_jsonl
+
 ARTIFACTS = T.StructType([T.StructField("language", T.StringType()), T.StructField("has_code", T.BooleanType())])
 RECORD_DEFAULTS = T.StructType([
+    T.StructField("source", T.StringType()), T.StructField("license", T.StringType()),
     T.StructField("system_prompt", T.StringType()), T.StructField("source_bucket", T.StringType()),
     T.StructField("source_ledger_path", T.StringType()), T.StructField("review_status", T.StringType()),
     T.StructField("allowed_for_training", T.BooleanType()), T.StructField("allowed_for_redistribution", T.BooleanType()),
@@ -55,10 +58,14 @@ FETCH_MANIFEST = T.StructType([
 
 def read_manifests(spark: SparkSession, folder: str, skip: str | None = None) -> DataFrame:
     """All ``*.json`` manifests of a folder, one row each, with the file name
-    (sorted name order is kept in ``manifest``). ``skip`` excludes one file
-    (the redaction policy when it lives in the same folder)."""
-    df = (spark.read.schema(MANIFEST).option("multiLine", True).option("pathGlobFilter", "*.json")
-          .json(folder).withColumn("manifest_path", F.col("_metadata.file_path")))
+    (sorted name order is kept in ``manifest``) and ``malformed`` for files
+    that are not a JSON object. ``skip`` excludes one file (the redaction
+    policy when it lives in the same folder)."""
+    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("value"), file_path().alias("manifest_path"))
+    is_obj = F.coalesce(json_type(F.col("value")) == "OBJECT", F.lit(False))
+    df = raw.select(F.from_json("value", MANIFEST).alias("m"), "manifest_path", (~is_obj).alias("malformed")).select(
+        "m.*", "manifest_path", "malformed")
     df = df.withColumn("manifest", F.regexp_extract("manifest_path", r"([^/]+)$", 1))
     if skip:
         df = df.filter(F.col("manifest") != skip.rsplit("/", 1)[-1])
@@ -82,9 +89,18 @@ def read_fetch_manifest(spark: SparkSession, path: str) -> DataFrame:
     batch name (falling back to the parent folder name). A leading BOM is
     tolerated because the document is parsed from its text."""
     raw = spark.read.option("wholetext", True).text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("file"))
+        F.regexp_replace("value", "^\ufeff", "").alias("value"), file_path().alias("file"))
     doc = raw.select(F.from_json("value", FETCH_MANIFEST).alias("d"), "file")
     batch = F.coalesce(F.when(F.col("d.batch_name") != "", F.col("d.batch_name")),
                        F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
     recs = doc.select(batch.alias("batch_name"), F.posexplode("d.records").alias("pos", "r"))
     return recs.select("batch_name", (F.col("pos") + 1).alias("ord"), "r.*")
+
+
+def read_fetch_records(spark: SparkSession, path: str) -> DataFrame:
+    """What ``fetch_batch`` writes: a folder of JSONL fetch records, each with
+    its batch name, numbered from 1 by their fetch index."""
+    lines = read_jsonl(spark, path, T.StructType([*FETCH_RECORD.fields, T.StructField("batch_name", T.StringType())]))
+    bad = F.raise_error(F.concat(F.lit("not a fetch record: "), F.col("file"), F.lit(":"), F.col("line").cast("string")))
+    return lines.withColumn("ord", F.when(F.col("_corrupt").isNotNull(), bad.cast("bigint")).otherwise(
+        F.coalesce(F.col("index"), F.col("ord")))).drop("file", "line", "_corrupt", "_not_text")

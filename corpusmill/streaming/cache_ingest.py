@@ -11,6 +11,7 @@ checkpoint folder, so a rerun after a failure resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,11 @@ CACHE_ENTRY = T.StructType([
 ])
 
 
-def ingest_cache_entries(spark: SparkSession, landing_dir: str, cache_log: str, name: str = "cache_ingest") -> None:
+def ingest_cache_entries(spark: SparkSession, landing_dir: str, cache_log: str, name: str | None = None) -> None:
     """Append every newly landed entry file to the cache log (exactly once per
-    file, tracked by the stream checkpoint) and return when caught up."""
+    file, tracked by the stream checkpoint) and return when caught up. Every
+    pair of landing folder and log has a checkpoint of its own."""
+    name = name or "cache_ingest_" + hashlib.sha1(f"{landing_dir}\n{cache_log}".encode()).hexdigest()[:16]
     ckpt = os.path.join(checkpoint_dir(spark), name)
     stream = spark.readStream.schema(CACHE_ENTRY).json(landing_dir)
     q = (stream.writeStream.format("parquet").option("path", cache_log).option("checkpointLocation", ckpt)

@@ -36,10 +36,10 @@ def repo(tmp_dir):
         ]}))
     _w(f"{root}/data/manifests/disabled.json", json.dumps({"enabled": False, "records": [{"path": "nowhere.jsonl"}]}))
     _w(f"{root}/data/manifests/rules.json", json.dumps({
-        "drop_keys": ["title"], "rules": [{"pattern": "(?i)example[_ -]?ctf", "replacement": "<CTF_EVENT>"},
-                                          {"pattern": "(?i)rev[_ -]?warmup", "replacement": "<CHALLENGE_NAME>"}]}))
+        "drop_keys": ["title"], "rules": [{"pattern": "(?i)harbor[ -]?games", "replacement": "<EVENT>"},
+                                          {"pattern": "(?i)tide[_ -]?pool", "replacement": "<TASK>"}]}))
     _w(f"{root}/data/raw/qa.jsonl", "\n".join([
-        json.dumps({"id": "rev_warmup_0001", "prompt": "Decode the Example CTF loop?", "answer": " Lift it. ", "title": "T"}),
+        json.dumps({"id": "tide_pool_17", "prompt": "Explain the Harbor Games gate?", "answer": " Turn it. ", "title": "T"}),
         "",
         json.dumps({"question": "Q2", "completion": "A2", "split": "eval"}),
         json.dumps({"id": "own", "prompt": "P", "response": "R", "system_prompt": "OWN"}),
@@ -61,11 +61,11 @@ def test_build_dataset_plain(spark, repo):
     res = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA,
                            policy_path=None)
     rows = {r["id"]: r for r in res.samples.collect()}
-    assert set(rows) == {"rev_warmup_0001", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"}
+    assert set(rows) == {"tide_pool_17", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"}
     assert [(m["role"], m["content"]) for m in rows["own"]["messages"]] == [("system", "OWN"), ("user", "P"), ("assistant", "R")]
-    r = rows["rev_warmup_0001"]
+    r = rows["tide_pool_17"]
     assert [(m["role"], m["content"]) for m in r["messages"]] == [
-        ("system", "SYS"), ("user", "Decode the Example CTF loop?"), ("assistant", "Lift it.")]
+        ("system", "SYS"), ("user", "Explain the Harbor Games gate?"), ("assistant", "Turn it.")]
     assert r["title"] == "T" and r["category"] == "rev" and r["split"] == "train"
     assert r["provenance"]["source_id"] == "self" and r["provenance"]["source_path"].endswith("data/raw/qa.jsonl")
     assert rows["self_qa_0_3"]["split"] == "eval"
@@ -81,13 +81,13 @@ def test_build_dataset_policy_and_strict(spark, repo, tmp_dir):
     res = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA,
                            policy_path=f"{repo}/data/manifests/rules.json")
     rows = {r["id"]: r for r in res.samples.collect()}
-    rid = "CHALLENGE_NAME__0001_" + h("rev_warmup_0001")  # '>' + '_' -> '__'
+    rid = "TASK__17_" + h("tide_pool_17")  # '>' + '_' -> '__'
     assert rid in rows and "title" not in res.samples.columns
-    assert rows[rid]["messages"][1]["content"] == "Decode the <CTF_EVENT> loop?"
+    assert rows[rid]["messages"][1]["content"] == "Explain the <EVENT> gate?"
     strict = JB.build_dataset(spark, f"{repo}/data/manifests", repo, extra_fields=EXTRA, strict_anonymize=True,
                               policy_path=f"{repo}/data/manifests/rules.json")
     ids = sorted(r["id"] for r in strict.samples.collect())
-    assert ids == sorted("rev_" + h(x) for x in ["rev_warmup_0001", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"])
+    assert ids == sorted("rev_" + h(x) for x in ["tide_pool_17", "self_qa_0_3", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"])
     assert "provenance" not in strict.samples.columns
     out = f"{tmp_dir}/out"
     JB.write_dataset(strict, out)
@@ -139,11 +139,11 @@ def test_writeup_review_and_eval_jobs(spark, tmp_dir):
     assert sorted(r["review_id"] for r in led) == ["batch_1_0001", "batch_1_0002", "batch_1_0003"]
 
     _w(f"{tmp_dir}/cases.jsonl", "\n".join([
-        json.dumps({"id": "c1", "category": "rev", "prompt": "p", "checks": [{"type": "contains", "value": "decode loop"}]}),
+        json.dumps({"id": "c1", "category": "rev", "prompt": "p", "checks": [{"type": "contains", "value": "turn the key"}]}),
         "",
         json.dumps({"prompt": "p2", "exact": "yes"}),
     ]) + "\n")
-    resp = spark.createDataFrame([("c1", "use the decode loop"), ("case_0003", " no ")], "id string, response string")
+    resp = spark.createDataFrame([("c1", "use the turn the key"), ("case_0003", " no ")], "id string, response string")
     rep = {r["category"]: (r["total"], r["passed"]) for r in JB.run_eval(spark, f"{tmp_dir}/cases.jsonl", resp, f"{tmp_dir}/ev").collect()}
     assert rep == {"rev": (1, 1), "uncategorized": (1, 0), "__total__": (2, 1)}
 
@@ -218,6 +218,129 @@ def test_written_records_are_clean_and_ordered(spark, repo, tmp_dir):
     train = [json.loads(line) for p in sorted(glob.glob(f"{tmp_dir}/o/samples/split=train/*.json")) for line in open(p)]
     assert all(not k.startswith("_") and k not in ("split", "manifest") for r in train for k in r)
     # input order: record 0 lines 1 and 4, then record 1 lines 1-2, record 2, record 3
-    assert [r["id"] for r in train] == ["rev_warmup_0001", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"]
+    assert [r["id"] for r in train] == ["tide_pool_17", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"]
     assert set(train[0]) == {"id", "category", "difficulty", "challenge_family", "source", "license", "artifacts",
                              "messages", "title", "provenance"}
+
+
+# --- inputs that once gave wrong answers -------------------------------------
+
+
+def _transformed_rows(n):
+    return [{"final_url": f"https://h.example/{i}", "transform_status": "ok", "transform_method": "jina",
+             "content": f"topic{i} " + f"word{i} " * 150} for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 13])
+def test_part_files_do_not_mix_rows(spark, tmp_dir, parts):
+    rows = _transformed_rows(26)
+    for k in range(parts):
+        _w(f"{tmp_dir}/t/part-{k:03d}.json", "".join(json.dumps(r) + "\n" for r in rows[k::parts]))
+    s = JB.build_writeup_dataset(spark, f"{tmp_dir}/t", f"{tmp_dir}/w").collect()[0]
+    assert (s["input_ok_rows"], s["selected_rows"]) == (26, 26)
+    out = [json.loads(x) for p in glob.glob(f"{tmp_dir}/w/samples/_split=*/*.json") for x in open(p)]
+    assert len(out) == 26
+    for r in out:
+        i = r["artifacts"]["source_url"].rsplit("/", 1)[1]
+        assert r["messages"][2]["content"].startswith(f"topic{i} ")
+
+
+def test_changed_splits_lose_no_lines(spark, tmp_dir):
+    from corpusmill.sources import jsonl as J
+
+    _w(f"{tmp_dir}/in/a.txt", "".join(f"line {i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    df = J.read_lines(spark, f"{tmp_dir}/in")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        got = df.selectExpr("count(*)", "count(distinct ord)", "count_if(value <> concat('line ', line - 1))").first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(got) == (20_000, 20_000, 0)
+
+
+def test_truncated_line_is_not_lost(spark, tmp_dir):
+    _w(f"{tmp_dir}/t.jsonl", json.dumps(_transformed_rows(1)[0]) + '\n{"final_url": "https://x", "content": "cut')
+    with pytest.raises(JB.BuildError, match="t.jsonl:2"):
+        JB.build_writeup_dataset(spark, f"{tmp_dir}/t.jsonl", f"{tmp_dir}/a")
+    JB.build_writeup_dataset(spark, f"{tmp_dir}/t.jsonl", f"{tmp_dir}/b", strict=False)
+    bad = [json.loads(x) for p in glob.glob(f"{tmp_dir}/b/quarantine/*.json") for x in open(p)]
+    assert [b["line"] for b in bad] == [2]
+
+
+def test_row_without_content_is_dropped_and_counted(spark, tmp_dir):
+    rows = [*_transformed_rows(1), {"final_url": "https://none.example/", "transform_status": "ok", "transform_method": "jina", "content": None}]
+    _w(f"{tmp_dir}/t.jsonl", "".join(json.dumps(r) + "\n" for r in rows))
+    s = JB.build_writeup_dataset(spark, f"{tmp_dir}/t.jsonl", f"{tmp_dir}/w").collect()[0]
+    assert (s["input_ok_rows"], s["dropped_short"], s["train_rows"] + s["eval_rows"]) == (2, 1, 1)
+
+
+def test_odd_file_names_types_and_empty_ids(spark, tmp_dir):
+    chat = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    _w(f"{tmp_dir}/m/one.json", json.dumps({"source_id": "s", "records": [
+        {"path": "../x y+%.jsonl", "format": "jsonl_messages"}, {"path": "../qa.jsonl", "format": "jsonl_qa"}]}))
+    _w(f"{tmp_dir}/x y+%.jsonl", "".join(json.dumps(r) + "\n" for r in [
+        {"id": "", "messages": chat}, {"id": "", "messages": chat},
+        {"messages": [{"role": "user", "content": [{"type": "text"}]}, chat[1]]}, {"messages": [{"role": "user", "content": 7}, chat[1]]}]))
+    _w(f"{tmp_dir}/qa.jsonl", "".join(json.dumps(r) + "\n" for r in [{"id": "ok", "prompt": "p", "answer": "a"}, {"prompt": {"x": 1}, "answer": "a"}]) + "[1]\n{cut\n")
+    res = JB.build_dataset(spark, f"{tmp_dir}/m", tmp_dir)
+    assert sorted(r["id"] for r in res.samples.collect()) == ["ok", "s_x_y__0", "s_x_y__1"]
+    assert sorted(r["error_reason"] for r in res.quarantine.collect()) == [
+        "content_not_text", "content_not_text", "malformed_json", "not_an_object", "prompt_or_answer_not_text"]
+
+
+def test_gate_sees_the_source_of_defaults_and_any_record(spark, repo):
+    _w(f"{repo}/data/manifests/z.json", json.dumps({"source_id": "z", "defaults": {"source": "transformed_scraped"},
+                                                   "records": [{"path": "data/raw/qa.json", "format": "json_qa"}]}))
+    with pytest.raises(JB.BuildError, match="missing:"):
+        JB.build_dataset(spark, f"{repo}/data/manifests", repo)
+    _w(f"{repo}/data/manifests/z.json", json.dumps({"source_id": "z", "records": [
+        {"path": "data/raw/qa.json", "format": "json_qa"},
+        {"path": "data/raw/m.json", "format": "json_messages", "defaults": {"source_bucket": "scraped_derivative"}}]}))
+    with pytest.raises(JB.BuildError, match="z.json record #0"):
+        JB.build_dataset(spark, f"{repo}/data/manifests", repo)
+
+
+def test_default_source_and_license(spark, tmp_dir):
+    _w(f"{tmp_dir}/m/a.json", json.dumps({"source": "top", "license": "top", "defaults": {"license": "mid"}, "records": [
+        {"path": "../q.json", "format": "json_qa", "defaults": {"source": "rec"}}]}))
+    _w(f"{tmp_dir}/q.json", json.dumps({"id": "i", "prompt": "p", "answer": "a"}))
+    r = JB.build_dataset(spark, f"{tmp_dir}/m", tmp_dir).samples.collect()[0]
+    assert (r["source"], r["license"]) == ("rec", "mid")
+
+
+def test_malformed_manifest_stops_the_build(spark, repo):
+    _w(f"{repo}/data/manifests/broken.json", '{"records": [')
+    with pytest.raises(JB.BuildError, match="broken.json"):
+        JB.build_dataset(spark, f"{repo}/data/manifests", repo)
+
+
+def test_case_without_response_fails(spark, tmp_dir):
+    _w(f"{tmp_dir}/c.jsonl", "".join(json.dumps({"id": i, "prompt": "p", "contains": "x"}) + "\n" for i in "ab"))
+    rep = JB.run_eval(spark, f"{tmp_dir}/c.jsonl", spark.createDataFrame([("a", "x")], "id string, response string"), f"{tmp_dir}/e").collect()
+    total = {r["category"]: r for r in rep}["__total__"]
+    assert (total["total"], total["passed"], total["pass_rate"]) == (2, 1, 0.5)
+
+
+def test_fetch_review_transform_writeups_with_defaults(spark, tmp_dir):
+    lines = spark.createDataFrame([(i, x) for i, x in enumerate(["# head", "", "https://a.example/1", "https://b.example/2"], 1)], "ord long, line string")
+    payloads = spark.createDataFrame(
+        [(u, u, "<p>x</p>", "ok", "text/html", 200) for u in ("https://a.example/1", "https://b.example/2")],
+        "url string, final_url string, body string, status string, content_type_raw string, status_code int")
+    log, store = f"file://{tmp_dir}/log", f"{tmp_dir}/bodies"
+    first = JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f1", "one", body_dir=store).collect()
+    assert sorted((r["index"], r["status"], r["status_code"]) for r in first) == [(1, "ok", 200), (2, "ok", 200)]
+    assert spark.read.parquet(store).count() == 1 and all(r["fetched_at"] and r["body_path"] for r in first)
+    again = JB.fetch_batch(spark, lines, payloads, log, f"{tmp_dir}/f2", "two", body_dir=store).collect()
+    assert all(r["status"] == "cached" and r["cache_hit"] and r["content_length"] == 8 and r["cached_from"] for r in again)
+    JB.prepare_review(spark, f"{tmp_dir}/f1/fetch_manifest", f"{tmp_dir}/r", approve_training=True)
+    ledger = spark.read.json(f"{tmp_dir}/r/review_ledger")
+    assert sorted(r["review_id"] for r in ledger.collect()) == ["one_0001", "one_0002"]
+    from corpusmill.operators.transform import route_targets
+
+    urls = [r["transform_url"] for r in route_targets(ledger).collect()]
+    texts = spark.createDataFrame([(u, f"{u} " * 60) for u in urls], "transform_url string, text string")
+    s = JB.transform_selected(spark, ledger, texts, f"{tmp_dir}/t").collect()[0]
+    assert (s["selected_rows"], s["successes"]) == (2, 2)
+    w = JB.build_writeup_dataset(spark, f"{tmp_dir}/t/transformed", f"{tmp_dir}/w").collect()[0]
+    assert w["input_ok_rows"] == 2
