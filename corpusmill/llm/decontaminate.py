@@ -229,5 +229,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, all columns as they came."""
     rows, hits, _ = find_passages(docs, benchmark)
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    hit = hits.select(F.col("k").alias("_key")).distinct()
-    return docs.withColumn("_k", key).join(hit, F.col("_k") == F.col("_key"), "left_anti").select(*docs.columns)
+    hit = hits.select(F.col("k").alias("__key_of_hit")).distinct()
+    return docs.withColumn("__key_of_row", key).join(hit, F.col("__key_of_row") == F.col("__key_of_hit"), "left_anti").select(*docs.columns)

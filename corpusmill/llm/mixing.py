@@ -171,11 +171,11 @@ def apply_mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mixed documents: each row as often as its copies, all columns as they
     came. Rows equal in (doc_id, source, text) share out their copies evenly."""
     key = F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
-    taken = mix(docs, weights, cap).groupBy("h").agg(F.sum("copies").alias("_c"), F.count("*").alias("_n"))
-    taken = stage(taken.filter("_c > 0"), "copies").withColumnRenamed("h", "_h")
-    rows = docs.withColumn("_h", key).join(taken, "_h")
-    one = rows.filter("_n = 1").withColumn("_k", F.col("_c"))
-    few = rows.filter("_n > 1").withColumn("_r", F.row_number().over(W.partitionBy("_h").orderBy("_h")))
-    few = few.withColumn("_k", F.floor(F.col("_c") / F.col("_n")) + (F.col("_r") <= F.col("_c") % F.col("_n")).cast("long")).drop("_r")
-    every = one.unionByName(few).filter("_k > 0")
-    return every.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k")))).select(*docs.columns)
+    taken = mix(docs, weights, cap).groupBy("h").agg(F.sum("copies").alias("__mix_c"), F.count("*").alias("__mix_n"))
+    taken = stage(taken.filter("__mix_c > 0"), "copies").withColumnRenamed("h", "__mix_h")
+    rows = docs.withColumn("__mix_h", key).join(taken, "__mix_h")
+    one = rows.filter("__mix_n = 1").withColumn("__mix_k", F.col("__mix_c"))
+    few = rows.filter("__mix_n > 1").withColumn("__mix_r", F.row_number().over(W.partitionBy("__mix_h").orderBy("__mix_h")))
+    few = few.withColumn("__mix_k", F.floor(F.col("__mix_c") / F.col("__mix_n")) + (F.col("__mix_r") <= F.col("__mix_c") % F.col("__mix_n")).cast("long")).drop("__mix_r")
+    every = one.unionByName(few).filter("__mix_k > 0")
+    return every.withColumn("__mix_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_k")))).select(*docs.columns)

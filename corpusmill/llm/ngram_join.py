@@ -263,5 +263,5 @@ def keep_one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     kept = jaccard_components(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*docs.columns))
-    one = one.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")
+    one = one.withColumn("__join_row", F.row_number().over(order)).filter("__join_row = 1").drop("__join_row")
     return one.unionByName(docs.filter("doc_id IS NULL"))
