@@ -303,8 +303,8 @@ def test_link_graph(spark):
     host, rule = {}, {}
     for i, u, _ in pages:
         h, path = re.match("http://([^/]*)(/[^?#]*)", u).groups()
-        fits = [(len(a) + len(p), a + p, v) for a, p, v in rules if (h == a or h.endswith("." + a)) and path.startswith(p)]
-        host[i], rule[i] = h, max(fits)[1:] if fits else (None, None)
+        fits = [(len(a) + len(p), len(a), a + p, v) for a, p, v in rules if (h == a or h.endswith("." + a)) and path.startswith(p)]
+        host[i], rule[i] = h, max(fits)[2:] if fits else (None, None)
     edge = collections.Counter()
     for i, _, html in pages:
         edge.update({(host[i], x.lower()) for x in re.findall(r'href="[^/"]*//([^/]*)', html) if x.lower() != host[i]})
