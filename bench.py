@@ -18,6 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import corpusmill.plans.roundtrips  # noqa: E402, F401
 from corpusmill.plans.catalog import QUERIES  # noqa: E402
 from corpusmill.session import build_session  # noqa: E402
 
@@ -41,6 +42,10 @@ HEADLINE = [
     "review_gate",
     "render_chat_text",
     "eval_report",
+    "jsonl_lines",
+    "writeup_job_rows",
+    "read_quarantine",
+    "body_store",
 ]
 
 
@@ -55,6 +60,7 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", app="corpusmill-bench", shuffle_partitions=max(cpus, 2))
+    spark.conf.set("spark.corpusmill.inputTasks", str(cpus))  # the tables are single small files
     names = [n for n in HEADLINE if n in QUERIES]
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     for n in names:

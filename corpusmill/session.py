@@ -91,3 +91,12 @@ def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> Data
     for name in tables:
         text = re.sub(rf"\b{re.escape(name)}\b", "{" + name + "}", text)
     return spark.sql(text, **tables)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out before CPU-heavy work per row, if the session asks for it
+    with ``spark.corpusmill.inputTasks`` (a number of tasks). Off by default:
+    large tables come in more splits than there are task slots. It helps a
+    single small file on a machine with many cores."""
+    tasks = df.sparkSession.conf.get("spark.corpusmill.inputTasks", None)
+    return df.repartition(int(tasks)) if tasks else df
