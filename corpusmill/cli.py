@@ -6,6 +6,10 @@
     python -m corpusmill.cli prepare-review --fetch-manifest batch/fetch_manifest.json --output-dir batch/review \
         [--approve-training] [--approve-redistribution] [--review-status S] [--redistribution-status S] [--permission-basis T]
     python -m corpusmill.cli eval --cases cases.jsonl --responses responses.jsonl --report-dir out/eval
+    python -m corpusmill.cli links --index-pages pages.parquet [--detail-pages pages.parquet] --output-dir out [--target-source both]
+    python -m corpusmill.cli fetch [--url U ...] [--url-file urls.txt] --payloads landed.parquet --output-dir out --batch-name b \
+        [--cache-log log] [--cache-mode reuse|refresh|off] [--body-dir store]
+    python -m corpusmill.cli transform --ledger out/review_ledger --landed-text text.parquet --output-dir out [--limit N] [--include-unapproved]
     python -m corpusmill.cli render-split --split-file data/processed/samples/split=train --output out/train_text
 
 Each command builds one Spark plan per output on the session it finds (or a
@@ -83,6 +87,32 @@ def main(argv=None) -> int:
     s.add_argument("--output", required=True)
     s.add_argument("--overwrite", action="store_true")
 
+    li = sub.add_parser("links")
+    li.add_argument("--index-pages", required=True, help="Parquet with ord and html")
+    li.add_argument("--detail-pages", help="Parquet with url and html")
+    li.add_argument("--output-dir", required=True)
+    li.add_argument("--target-source", default="ctftime")
+    li.add_argument("--overwrite", action="store_true")
+
+    f = sub.add_parser("fetch")
+    f.add_argument("--url", action="append", default=[])
+    f.add_argument("--url-file")
+    f.add_argument("--payloads", required=True, help="Parquet of landed payloads")
+    f.add_argument("--output-dir", required=True)
+    f.add_argument("--batch-name", required=True)
+    f.add_argument("--cache-log")
+    f.add_argument("--cache-mode", default="reuse")
+    f.add_argument("--body-dir")
+    f.add_argument("--overwrite", action="store_true")
+
+    t = sub.add_parser("transform")
+    t.add_argument("--ledger", required=True, help="JSONL ledger")
+    t.add_argument("--landed-text", required=True, help="Parquet with transform_url and text")
+    t.add_argument("--output-dir", required=True)
+    t.add_argument("--limit", type=int)
+    t.add_argument("--include-unapproved", action="store_true")
+    t.add_argument("--overwrite", action="store_true")
+
     a = p.parse_args(argv)
     spark = _session()
     if a.cmd == "build-dataset":
@@ -106,6 +136,17 @@ def main(argv=None) -> int:
     elif a.cmd == "render-split":
         out = jobs.render_training_split(spark, a.split_file, a.output, overwrite=a.overwrite)
         print(json.dumps({"rows": out.count()}))
+    elif a.cmd == "links":
+        detail = spark.read.parquet(a.detail_pages) if a.detail_pages else None
+        _print(jobs.enumerate_links(spark, spark.read.parquet(a.index_pages), detail, a.output_dir, a.target_source, a.overwrite))
+    elif a.cmd == "fetch":
+        lines = jobs.url_lines(spark, a.url, a.url_file)
+        out = jobs.fetch_batch(spark, lines, spark.read.parquet(a.payloads), a.cache_log, a.output_dir, a.batch_name, a.body_dir,
+                               a.cache_mode, overwrite=a.overwrite)
+        print(json.dumps({r["status"]: r["count"] for r in out.groupBy("status").count().collect()}))
+    elif a.cmd == "transform":
+        _print(jobs.transform_selected(spark, spark.read.json(a.ledger), spark.read.parquet(a.landed_text), a.output_dir,
+                                       a.include_unapproved, a.limit, a.overwrite))
     return 0
 
 

@@ -86,6 +86,14 @@ def score_cases(cases: DataFrame, responses: DataFrame, on: str, response_col: s
     return out.withColumn("passed", passed).drop("_checks", "_answered")
 
 
+def report_document(report: DataFrame) -> DataFrame:
+    """The report as one document: the totals with one entry per category."""
+    entry = F.struct("category", "total", "passed", "failed", "pass_rate")
+    total = F.col("category") == "__total__"
+    one = report.agg(F.max(F.when(total, entry)).alias("t"), F.sort_array(F.collect_list(F.when(~total, entry))).alias("by_category"))
+    return one.select("t.total", "t.passed", "t.failed", "t.pass_rate", "by_category")
+
+
 def eval_report(scored: DataFrame, category_col: str = "category") -> DataFrame:
     """Per category and overall (category '__total__'): total, passed,
     failed, pass_rate (half-even to 4 places). Null/empty category ->

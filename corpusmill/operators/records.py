@@ -220,21 +220,31 @@ def duplicate_ids(samples: DataFrame, id_col: str = "id") -> DataFrame:
     return samples.groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias("n")).filter(F.col("n") > 1)
 
 
-def dataset_summary(samples: DataFrame, manifest_col: str = "manifest") -> DataFrame:
-    """Counts by split (missing split -> 'dataset'), category, source and
-    manifest plus the total, in one pass: a grouping-sets aggregate, then one
-    tiny aggregation into sorted maps."""
+def dataset_counts(samples: DataFrame, manifest_col: str = "manifest") -> DataFrame:
+    """(dimension, value, n): samples by split (missing -> 'dataset'), category,
+    source and manifest, and in total, in one grouping-sets aggregate."""
     split = F.coalesce(TX.py_truthy_str(F.col("split")), F.lit("dataset")).alias("split")
     base = samples.select(split, F.col("category").cast("string").alias("category"),
                           F.col("source").cast("string").alias("source"), F.col(manifest_col).cast("string").alias("manifest"))
-    g = base.groupingSets([["split"], ["category"], ["source"], ["manifest"], []],
-                          "split", "category", "source", "manifest").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
-    # grouping_id bits (split, category, source, manifest): 0b0111 -> by split, ...
-    def m(gid, col):
-        return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("gid") == gid, F.struct(F.coalesce(F.col(col), F.lit("None")), F.col("n"))))))
+    dims = ["split", "category", "source", "manifest"]
+    g = base.groupingSets([*[[d] for d in dims], []], *dims).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
+    # grouping_id has a bit for each dimension that is not grouped by
+    name = value = None
+    for k, d in enumerate(dims):
+        mine = F.col("gid") == 15 - (8 >> k)
+        name = F.when(mine, F.lit(d)) if name is None else name.when(mine, F.lit(d))
+        value = F.when(mine, F.coalesce(F.col(d), F.lit("None"))) if value is None else value.when(mine, F.coalesce(F.col(d), F.lit("None")))
+    return g.select(name.otherwise(F.lit("total")).alias("dimension"), value.alias("value"), "n")
+
+
+def dataset_summary(samples: DataFrame, manifest_col: str = "manifest") -> DataFrame:
+    """The counts as one document of sorted maps. Its size is that of the sets
+    of splits, categories, sources and manifests; ``dataset_counts`` has the
+    same as rows."""
+    g = dataset_counts(samples, manifest_col)
+    def m(d):
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("dimension") == d, F.struct("value", "n")))))
     return g.agg(
-        F.coalesce(F.sum(F.when(F.col("gid") == 15, F.col("n"))), F.lit(0)).cast("bigint").alias("total_samples"),
-        m(7, "split").alias("splits"), m(11, "category").alias("categories"),
-        m(13, "source").alias("sources"), m(14, "manifest").alias("manifests"),
+        F.coalesce(F.sum(F.when(F.col("dimension") == "total", F.col("n"))), F.lit(0)).cast("bigint").alias("total_samples"),
+        m("split").alias("splits"), m("category").alias("categories"), m("source").alias("sources"), m("manifest").alias("manifests"),
     ).withColumn("files_written", F.transform(F.map_keys("splits"), lambda s: F.concat(s, F.lit(".jsonl"))))

@@ -7,8 +7,10 @@ every per-record step runs on the executors.
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
+import re
 import time
 import uuid
 from dataclasses import dataclass
@@ -35,16 +37,14 @@ from corpusmill.sources import jsonl as J
 from corpusmill.sources import manifests as M
 
 ARTIFACTS = M.ARTIFACTS
-SAMPLE_FIELDS = T.StructType([
-    T.StructField("id", T.StringType()), T.StructField("category", T.StringType()),
-    T.StructField("difficulty", T.StringType()), T.StructField("challenge_family", T.StringType()),
-    T.StructField("split", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("license", T.StringType()), T.StructField("system_prompt", T.StringType()),
-    T.StructField("artifacts", ARTIFACTS),
-])
-QA_FIELDS = T.StructType(SAMPLE_FIELDS.fields + [T.StructField(n, T.StringType()) for n in
-                                                 C.PROMPT_ALIASES + C.ANSWER_ALIASES])
-MSG_FIELDS = T.StructType(SAMPLE_FIELDS.fields + [T.StructField("messages", T.ArrayType(J.MESSAGE))])
+TEXT_KEYS = ("id", "category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt")
+QA_KEYS = tuple(C.PROMPT_ALIASES) + tuple(C.ANSWER_ALIASES)
+MESSAGES = T.StructField("messages", T.ArrayType(J.MESSAGE))
+
+
+def _schema(artifacts: T.StructType, extra: T.StructType, *more: T.StructField) -> T.StructType:
+    text = [T.StructField(n, T.StringType()) for n in TEXT_KEYS]
+    return T.StructType([*text, T.StructField("artifacts", artifacts), *more, *extra.fields])
 
 
 class BuildError(ValueError):
@@ -74,25 +74,66 @@ def _strip_uri(c):
     return F.regexp_replace(c, r"^file:(//)?", "")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in whatever file system its URI names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+_exists = S.path_exists
+
+
+def _items(spark, fmt: str, paths: list[str]) -> DataFrame:
+    """(file, item, seq, value): the JSON items of one record format; item is the
+    1-based line for line formats and 0-based for whole documents."""
+    if fmt in ("jsonl_qa", "jsonl_messages"):
+        return J.with_sequence(J.read_lines(spark, paths)).select("file", F.col("line").alias("item"), "seq", "value")
+    if fmt in ("json_qa", "json_messages"):
+        return J.read_json_items(spark, paths).select("file", F.col("item").cast("bigint").alias("item"), F.col("item").cast("bigint").alias("seq"), "value")
+    raise BuildError(f"Unsupported record format: {fmt}")
+
+
+def _infer(values: DataFrame) -> T.StructType:
+    """The keys of the JSON objects in column ``value`` with their types, found by
+    one aggregate; keys of mixed types are read as JSON text."""
+    kind = values.filter(J.json_type(F.col("value")) == "OBJECT").select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+    if not kind or not kind.startswith("OBJECT<"):
+        return T.StructType()
+    kind = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"(: |ARRAY<)(VOID|VARIANT)\b", r"\1STRING", kind))
+    return T.DataType.fromDDL(kind)
+
+
+def _undeclared(found: T.StructType, declared: set[str]) -> list[T.StructField]:
+    return [f for f in found.fields if f.name not in declared]
+
+
+def _merge_types(a: T.StructType, b: T.StructType) -> T.StructType:
+    """Keys of both; where the types differ otherwise than in keys, text."""
+    out = {f.name: f.dataType for f in a.fields}
+    for f in b.fields:
+        have = out.get(f.name, f.dataType)
+        both = isinstance(have, T.StructType) and isinstance(f.dataType, T.StructType)
+        out[f.name] = _merge_types(have, f.dataType) if both else have if have == f.dataType else T.StringType()
+    return T.StructType([T.StructField(k, v) for k, v in out.items()])
+
 
+def _over(a, b, kind: T.DataType):
+    """Value ``a`` over default ``b``, key by key at every depth."""
+    if not isinstance(kind, T.StructType):
+        return F.coalesce(a, b)
+    each = F.struct(*[_over(a[f.name], b[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(each)
 
-def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None) -> DataFrame:
-    """Rows of one record format: file, item (1-based line for line formats,
-    0-based item for whole-document formats), sample fields, messages or QA
+
+def _merge(base, over):
+    """Configuration objects merged at every depth."""
+    if not (isinstance(base, dict) and isinstance(over, dict)):
+        return over
+    return {**base, **{k: _merge(base[k], v) if k in base else v for k, v in over.items()}}
+
+
+def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None, items: DataFrame | None = None,
+                 artifacts: T.StructType = ARTIFACTS) -> DataFrame:
+    """Rows of one record format: file, item, seq, sample fields, messages or QA
     fields, ``error_reason``."""
-    qa_schema = T.StructType(QA_FIELDS.fields + (extra.fields if extra else []))
-    msg_schema = T.StructType(MSG_FIELDS.fields + (extra.fields if extra else []))
-    if fmt.startswith("jsonl_"):
-        items = J.with_sequence(J.read_lines(spark, paths)).select("file", F.col("line").alias("item"), "seq", "value")
-    elif fmt in ("json_qa", "json_messages"):
-        items = J.read_json_items(spark, paths).select("file", "item", F.col("item").cast("bigint").alias("seq"), "value")
-    else:
-        raise BuildError(f"Unsupported record format: {fmt}")
+    extra = extra or T.StructType()
+    items = items if items is not None else _items(spark, fmt, paths)
+    qa_schema = _schema(artifacts, extra, *[T.StructField(n, T.StringType()) for n in QA_KEYS])
+    msg_schema = _schema(artifacts, extra, MESSAGES)
     if fmt.endswith("_qa"):
         df = _qa_from_text(items, "value", qa_schema)
     elif fmt.endswith("_messages"):
@@ -104,7 +145,7 @@ def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None)
         # after the control table is joined
         df = RC.qa_to_messages(df, default_system_prompt=None, system_col=None)
         df = df.withColumn("error_reason", F.coalesce("read_error", "error_reason"))
-        df = df.drop(*[c for c in C.PROMPT_ALIASES + C.ANSWER_ALIASES if c in df.columns], "read_error")
+        df = df.drop("read_error")
     return df.withColumn("file", _strip_uri(F.col("file"))).withColumn("format", F.lit(fmt))
 
 
@@ -150,12 +191,15 @@ def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) ->
 def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, policy: RD.RedactionPolicy | None = None,
                   policy_path: str | None = None, strict_anonymize: bool = False,
                   default_system_prompt: str = C.DEFAULT_SYSTEM_PROMPT, allow_missing_paths: bool = False,
-                  extra_fields: T.StructType | None = None, ledger_listing: DataFrame | None = None) -> DatasetBuildResult:
+                  extra_fields: T.StructType | None = None, ledger_listing: DataFrame | None = None,
+                  infer_extra: bool = True) -> DatasetBuildResult:
     """Manifests -> normalised samples, quarantined rows and the summary.
 
     Order per sample: defaults merge -> strict key drop -> redaction -> id ->
-    messages -> fills -> provenance -> required keys. ``extra_fields`` names
-    pass-through sample keys (they are dropped/redacted like the rest)."""
+    messages -> fills -> provenance -> required keys. Keys that no schema names,
+    of records and of defaults, pass through (dropped and redacted like the
+    rest): their types are inferred by one aggregate over the records, or given
+    as ``extra_fields``; ``infer_extra=False`` keeps only the given ones."""
     if policy is None and policy_path:
         policy = RD.load_policy(policy_path)
     skip = os.path.basename(policy_path) if policy_path and os.path.dirname(os.path.abspath(policy_path)) == os.path.abspath(manifest_dir) else None
@@ -168,10 +212,12 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         raise BuildError(f"Not a JSON object: {', '.join(broken)}")
     skipped = sorted(h["manifest"] for h in heads if h["enabled"] is not False and h["n"] == 0)
     recs = M.manifest_records(manifests.select(
-        "manifest", "manifest_path", "source_id", "enabled", "records", "source", "license", "defaults"), "manifest")
+        "manifest", "manifest_path", "source_id", "enabled", "records", "source", "license", "defaults", "defaults_json",
+        "record_defaults_json"), "manifest")
     # Control rows are configuration: one per (manifest, record, path).
     ctl_rows = recs.select("manifest", "manifest_path", "source_id", "source", "license", "defaults", "record_index",
-                           "path_index", "path", "format", "record", "error_reason").collect()
+                           "path_index", "path", "format", "record", "error_reason", "defaults_json",
+                           F.try_element_at("record_defaults_json", F.col("record_index") + 1).alias("record_json")).collect()
     if not ctl_rows:
         raise BuildError(f"No manifest records found under {manifest_dir}")
     bad = [r for r in ctl_rows if r["error_reason"]]
@@ -213,7 +259,22 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     by_format: dict[str, set[str]] = {}
     for r, p in resolved:
         by_format.setdefault(r["format"], set()).add(p)
-    frames = [_load_format(spark, fmt, sorted(ps), extra_fields) for fmt, ps in by_format.items()]
+    if not by_format:
+        raise BuildError("No record file exists")
+    items = {fmt: _items(spark, fmt, sorted(ps)) for fmt, ps in by_format.items()}
+    plain = [json.dumps(_merge(_loads(r["defaults_json"]), _loads(r["record_json"]))) for r, _ in resolved]
+    given = extra_fields or T.StructType()
+    artifacts = ARTIFACTS
+    if infer_extra:
+        found = _infer(spark.createDataFrame([(p,) for p in plain], "value string"))
+        for fmt in sorted(items):
+            found = _merge_types(found, _infer(items[fmt]))
+        named = {*TEXT_KEYS, *QA_KEYS, "messages", "artifacts", "provenance", *(f.name for f in M.RECORD_DEFAULTS.fields), *given.names}
+        own = [f for f in found.fields if f.name == "artifacts" and isinstance(f.dataType, T.StructType)]
+        if own:
+            artifacts = T.StructType([*ARTIFACTS.fields, *_undeclared(own[0].dataType, set(ARTIFACTS.names))])
+        given = T.StructType([*given.fields, *_undeclared(found, named)])
+    frames = [_load_format(spark, fmt, sorted(by_format[fmt]), given, items[fmt], artifacts) for fmt in by_format]
     rows = frames[0]
     for fr in frames[1:]:
         rows = rows.unionByName(fr, allowMissingColumns=True)
@@ -222,13 +283,12 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     ctl = spark.createDataFrame([
         (p, r["format"], r["manifest"], r["source_id"], int(r["record_index"]), _own(r, "source"), _own(r, "license"),
          _field(r, "category"), _field(r, "difficulty"), _field(r, "challenge_family"), _field(r, "split"),
-         _field(r, "system_prompt"), _art(r, "language"), _art(r, "has_code"))
-        for r, p in resolved],
+         _field(r, "system_prompt"), text)
+        for (r, p), text in zip(resolved, plain, strict=True)],
         "file string, format string, manifest string, source_id string, record_index int, d_source string, d_license string, "
-        "d_category string, d_difficulty string, d_challenge_family string, d_split string, d_system_prompt string, "
-        "d_language string, d_has_code boolean")
-    ctl = ctl.withColumn("d_artifacts", F.struct(F.col("d_language").alias("language"), F.col("d_has_code").alias("has_code"))) \
-        .drop("d_language", "d_has_code")
+        "d_category string, d_difficulty string, d_challenge_family string, d_split string, d_system_prompt string, d_json string")
+    rest = T.StructType([T.StructField("artifacts", artifacts), *given.fields])
+    ctl = ctl.withColumn("d_rest", F.from_json("d_json", rest)).drop("d_json")
     # every row read must find the record that listed its file
     joined = rows.join(ctl, ["file", "format"], "left").withColumn(
         "error_reason", F.when(F.col("manifest").isNull(), F.lit("no_manifest_record")).otherwise(F.col("error_reason")))
@@ -249,11 +309,15 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     merged = {}
     for f in ("category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt"):
         merged[f] = F.coalesce(F.col(f), F.col(f"d_{f}"))
-    merged["artifacts"] = F.struct(F.coalesce(F.col("artifacts.language"), F.col("d_artifacts.language")).alias("language"),
-                                   F.coalesce(F.col("artifacts.has_code"), F.col("d_artifacts.has_code")).alias("has_code"))
+    for f in rest.fields:
+        own_value = F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        merged[f.name] = _over(own_value, F.col("d_rest")[f.name], f.dataType)
+    # language and has_code are always there
+    merged["artifacts"] = F.struct(*[merged["artifacts"][f.name].alias(f.name) for f in artifacts.fields])
     df = df.withColumns(merged)
     df = df.withColumn("original_id", F.col("id").cast("string"))
-    extra_names = [f.name for f in extra_fields.fields] if extra_fields else []
+    kept_qa = [c for c in QA_KEYS if c in df.columns] if infer_extra else []
+    extra_names = [*given.names, *kept_qa]
     body_cols = ["id", "category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt",
                  "artifacts", "messages"] + extra_names
     keep = ["original_id", "manifest", "source_id", "file", "error_reason", "item", "record_index"]
@@ -305,22 +369,17 @@ def _field(r, name: str):
     return None
 
 
+def _loads(text: str | None) -> dict:
+    value = json.loads(text) if text else {}
+    return value if isinstance(value, dict) else {}
+
+
 def _own(r, name: str):
     """source and license: record defaults, manifest defaults, the manifest's own key."""
     value = _field(r, name)
     return value if value is not None else r[name] if r[name] is not None else C.UNKNOWN
 
 
-def _art(r, name: str):
-    rd = r["record"]["defaults"]
-    if rd is not None and rd["artifacts"] is not None and rd["artifacts"][name] is not None:
-        return rd["artifacts"][name]
-    md = r["defaults"]
-    if md is not None and md["artifacts"] is not None:
-        return md["artifacts"][name]
-    return None
-
-
 def write_dataset(result: DatasetBuildResult, output_dir: str, overwrite: bool = False, fail_on_duplicates: bool = True,
                   fail_on_quarantine: bool = True) -> None:
     """Strict mode checks (bad records, duplicate ids) then one folder per
@@ -329,13 +388,17 @@ def write_dataset(result: DatasetBuildResult, output_dir: str, overwrite: bool =
         bad = result.quarantine.select("file", "item", "error_reason").limit(1).collect()
         if bad:
             raise BuildError(f"Invalid record {bad[0]['file']}:{bad[0]['item']}: {bad[0]['error_reason']}")
+    targets = [os.path.join(output_dir, x) for x in ("samples", "summary", "counts")]
+    S.require_new(result.samples.sparkSession, targets, overwrite)
+    samples = staged(result.samples, "samples")  # the text chain runs once
     if fail_on_duplicates:
-        dup = RC.duplicate_ids(result.samples).limit(1).collect()
+        dup = RC.duplicate_ids(samples).limit(1).collect()
         if dup:
             raise BuildError(f"Duplicate sample id detected: {dup[0]['id']}")
-    S.write_split_jsonl(result.samples.withColumnRenamed("manifest", "_manifest"), os.path.join(output_dir, "samples"),
+    S.write_split_jsonl(samples.withColumnRenamed("manifest", "_manifest"), targets[0],
                         overwrite=overwrite, order_by=["_manifest", "_o1", "_o2", "_o3"])
-    S.write_summary(result.summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
+    S.write_summary(RC.dataset_summary(samples), targets[1], overwrite=overwrite)
+    S.write_jsonl(RC.dataset_counts(samples), targets[2], overwrite=overwrite)
 
 
 # ---------------------------------------------------------------------------
@@ -432,6 +495,7 @@ def run_eval(spark: SparkSession, cases_path: str, responses: DataFrame, report_
              overwrite: bool = False) -> DataFrame:
     """Scores ``responses`` (id, response) and writes per-case results plus
     the per-category report; returns the report frame."""
+    S.require_new(spark, [os.path.join(report_dir, x) for x in ("results", "report", "report_document")], overwrite)
     cases = load_cases(spark, cases_path)
     if cases.limit(1).count() == 0:
         raise BuildError(f"No evaluation cases were found in {cases_path}")
@@ -442,6 +506,7 @@ def run_eval(spark: SparkSession, cases_path: str, responses: DataFrame, report_
                   os.path.join(report_dir, "results"), overwrite=overwrite)
     report = EV.eval_report(scored)
     S.write_jsonl(report, os.path.join(report_dir, "report"), overwrite=overwrite)
+    S.write_summary(EV.report_document(report), os.path.join(report_dir, "report_document"), overwrite=overwrite)
     return report
 
 
@@ -491,6 +556,14 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     return summary
 
 
+def url_lines(spark: SparkSession, urls=(), url_file: str | None = None) -> DataFrame:
+    """(ord, line): literal urls, then the lines of a file."""
+    lines = spark.createDataFrame([(i, u) for i, u in enumerate(urls, 1)], "ord bigint, line string")
+    if url_file:
+        lines = lines.unionByName(J.read_url_file(spark, url_file).withColumn("ord", F.col("ord") + len(urls)))
+    return lines
+
+
 def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame, cache_log: str | None,
                 output_dir: str, batch_name: str, body_dir: str | None = None, cache_mode: str = "reuse",
                 batch_seq: int | None = None, overwrite: bool = False, fetched_at: str | None = None) -> DataFrame:

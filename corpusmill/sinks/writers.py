@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 from corpusmill import config as C
 
 
+def path_exists(spark, path: str) -> bool:
+    """Whether a path exists in whatever file system its URI names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def require_new(spark, paths, overwrite: bool) -> None:
+    """Refuse before the first write if any output is there already."""
+    there = [] if overwrite else [p for p in paths if path_exists(spark, p)]
+    if there:
+        raise FileExistsError(f"output exists: {', '.join(there)}")
+
+
 def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 

@@ -64,8 +64,13 @@ def read_manifests(spark: SparkSession, folder: str, skip: str | None = None) ->
     raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder).select(
         F.regexp_replace("value", "^\ufeff", "").alias("value"), file_path().alias("manifest_path"))
     is_obj = F.coalesce(json_type(F.col("value")) == "OBJECT", F.lit(False))
-    df = raw.select(F.from_json("value", MANIFEST).alias("m"), "manifest_path", (~is_obj).alias("malformed")).select(
-        "m.*", "manifest_path", "malformed")
+    whole = F.try_parse_json("value")
+    # defaults as text too: they may carry keys that no schema names
+    of_records = F.transform(F.try_variant_get(whole, "$.records", "array<variant>"),
+                             lambda r: F.to_json(F.try_variant_get(r, "$.defaults", "variant")))
+    df = raw.select(F.from_json("value", MANIFEST).alias("m"), "manifest_path", (~is_obj).alias("malformed"),
+                    F.to_json(F.try_variant_get(whole, "$.defaults", "variant")).alias("defaults_json"), of_records.alias("record_defaults_json"))
+    df = df.select("m.*", "manifest_path", "malformed", "defaults_json", "record_defaults_json")
     df = df.withColumn("manifest", F.regexp_extract("manifest_path", r"([^/]+)$", 1))
     if skip:
         df = df.filter(F.col("manifest") != skip.rsplit("/", 1)[-1])

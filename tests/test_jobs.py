@@ -220,7 +220,7 @@ def test_written_records_are_clean_and_ordered(spark, repo, tmp_dir):
     # input order: record 0 lines 1 and 4, then record 1 lines 1-2, record 2, record 3
     assert [r["id"] for r in train] == ["tide_pool_17", "own", "self_msgs_1_1", "self_msgs_1_2", "x1", "m1"]
     assert set(train[0]) == {"id", "category", "difficulty", "challenge_family", "source", "license", "artifacts",
-                             "messages", "title", "provenance"}
+                             "messages", "title", "provenance", "prompt", "question", "answer", "user", "response", "completion", "assistant"}
 
 
 # --- inputs that once gave wrong answers -------------------------------------
@@ -344,3 +344,32 @@ def test_fetch_review_transform_writeups_with_defaults(spark, tmp_dir):
     assert (s["selected_rows"], s["successes"]) == (2, 2)
     w = JB.build_writeup_dataset(spark, f"{tmp_dir}/t/transformed", f"{tmp_dir}/w").collect()[0]
     assert w["input_ok_rows"] == 2
+
+
+def test_undeclared_keys_pass_and_defaults_merge_deeply(spark, tmp_dir):
+    _w(f"{tmp_dir}/m/a.json", json.dumps({"defaults": {"tags": ["d"], "meta": {"a": 1, "deep": {"x": "d"}}, "artifacts": {"has_code": True, "tool": "d"}},
+                                         "records": [{"path": "../q.jsonl", "format": "jsonl_qa", "defaults": {"meta": {"deep": {"y": "r"}}}}]}))
+    rows = [{"id": "i", "prompt": "p", "answer": "a", "writeup_year": 2021, "meta": {"a": 2}, "artifacts": {"source_url": "u"}},
+            {"id": "j", "prompt": "p", "answer": "a", "odd": [1]}, {"id": "k", "prompt": "p", "answer": "a", "odd": {"z": 1}}]
+    _w(f"{tmp_dir}/q.jsonl", "".join(json.dumps(r) + "\n" for r in rows))
+    out = {r["id"]: r.asDict(recursive=True) for r in JB.build_dataset(spark, f"{tmp_dir}/m", tmp_dir).samples.collect()}
+    i, j, k = out["i"], out["j"], out["k"]
+    assert i["writeup_year"] == 2021 and i["tags"] == ["d"] and i["meta"] == {"a": 2, "deep": {"x": "d", "y": "r"}}
+    assert i["artifacts"] == {"language": None, "has_code": True, "source_url": "u", "tool": "d"} and i["prompt"] == "p"
+    assert j["meta"] == {"a": 1, "deep": {"x": "d", "y": "r"}} and (j["odd"], k["odd"]) == ("[1]", '{"z":1}')
+    only = JB.build_dataset(spark, f"{tmp_dir}/m", tmp_dir, infer_extra=False).samples
+    assert "tags" not in only.columns and "prompt" not in only.columns
+
+
+def test_outputs_are_checked_before_the_first_write(spark, tmp_dir):
+    _w(f"{tmp_dir}/c.jsonl", json.dumps({"id": "a", "prompt": "p", "contains": "x"}) + "\n")
+    os.makedirs(f"{tmp_dir}/e/report")
+    with pytest.raises(FileExistsError):
+        JB.run_eval(spark, f"{tmp_dir}/c.jsonl", spark.createDataFrame([("a", "x")], "id string, response string"), f"{tmp_dir}/e")
+    assert not os.path.exists(f"{tmp_dir}/e/results")
+
+
+def test_url_lines_of_list_and_file(spark, tmp_dir):
+    _w(f"{tmp_dir}/u.txt", "https://b\n# c\nhttps://a\n")
+    got = JB.url_lines(spark, ["https://a", "https://x"], f"{tmp_dir}/u.txt").collect()
+    assert sorted((r["ord"], r["line"]) for r in got) == [(1, "https://a"), (2, "https://x"), (3, "https://b"), (4, "# c"), (5, "https://a")]
