@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +50,24 @@ def maybe_member(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """``hashes``: Spark's xxhash64 of the ids, as int64."""
     h = np.mod(hashes, np.int64(bitmap.size * 64)).astype(np.uint64)
     return (bitmap[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+
+
+def split_by_membership(docs: DataFrame, key, ids: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` is certainly not in ``ids.col``, the rest). ``key`` is
+    a long column; only the rest needs an exact join, so whole texts are not
+    shuffled to drop or change a few of them. ``docs`` is scanned for each part."""
+    sent = docs.sparkSession.sparkContext.broadcast(member_bitmap(ids, col))
+
+    def look(h: pd.Series) -> pd.Series:
+        return pd.Series(maybe_member(sent.value, h.to_numpy()))
+
+    maybe = F.pandas_udf(look, "boolean")(F.xxhash64(key))
+    return docs.filter(~maybe), docs.filter(maybe)
+
+
+def drop_by_id(docs: DataFrame, key, ids: DataFrame, col: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``ids.col``; null keys stay."""
+    sure, rest = split_by_membership(docs, key, ids, col)
+    gone = ids.select(F.col(col).alias("__gone"))
+    left = rest.withColumn("__key", key)
+    return sure.unionByName(left.join(gone, left["__key"] == gone["__gone"], "left_anti").select(*docs.columns))

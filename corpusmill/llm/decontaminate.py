@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.llm.bytewords import ALNUM, WordHasher, shingle_hashes
-from corpusmill.llm.common import maybe_member, member_bitmap, stage
+from corpusmill.llm.common import drop_by_id, maybe_member, member_bitmap, stage
 
 WINDOW = 10
 DEPTH = 3  # rarest terms of a window whose lists are intersected
@@ -229,5 +229,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, all columns as they came."""
     rows, hits, _ = find_passages(docs, benchmark)
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    hit = hits.select(F.col("k").alias("__key_of_hit")).distinct()
-    return docs.withColumn("__key_of_row", key).join(hit, F.col("__key_of_row") == F.col("__key_of_hit"), "left_anti").select(*docs.columns)
+    return drop_by_id(docs, key, stage(hits.select("k").distinct(), "contaminated"), "k")

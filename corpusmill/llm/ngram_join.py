@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.bytewords import SPACED, WordHasher, shingle_hashes
-from corpusmill.llm.common import maybe_member, member_bitmap, stage
+from corpusmill.llm.common import maybe_member, member_bitmap, split_by_membership, stage
 from corpusmill.llm.components import components
 
 #: Frequent shingles moved to the end of the order: those seen this often, and
@@ -260,8 +260,13 @@ def keep_one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """The documents that are their component's smallest id, all columns as
     they came; of rows that repeat such an id, one stays. Rows with null doc_id
     belong to no group and stay."""
-    kept = jaccard_components(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*docs.columns))
-    one = one.withColumn("__join_row", F.row_number().over(order)).filter("__join_row = 1").drop("__join_row")
-    return one.unionByName(docs.filter("doc_id IS NULL"))
+    comps = stage(jaccard_components(docs, width, percent).filter("doc_id IS NOT NULL").select("doc_id", "component_id"), "doc-components")
+    odd = comps.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__join_keep"), F.count("*").alias("__join_n"))
+    odd = stage(odd.filter("NOT __join_keep OR __join_n > 1").withColumnRenamed("doc_id", "__join_id"), "odd-ids")
+    key = F.col("doc_id").cast("long")
+    sure, rest = split_by_membership(docs, key, odd, "__join_id")
+    rest = rest.join(odd, key == F.col("__join_id"), "left")
+    plain = rest.filter("__join_id IS NULL")
+    order = Window.partitionBy("__join_id").orderBy(F.col("text").asc_nulls_last(), *[F.xxhash64(F.col(c)) for c in docs.columns if c in ("lang", "source", "n_chars")])
+    one = rest.filter("__join_keep").withColumn("__join_row", F.row_number().over(order)).filter("__join_row = 1")
+    return sure.unionByName(plain.select(*docs.columns)).unionByName(one.select(*docs.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from corpusmill.llm.bytewords import SPACED, WordHasher, shingle_hashes
-from corpusmill.llm.common import stage
+from corpusmill.llm.common import drop_by_id, stage
 
 #: Weight of the pooled covariance, and of its diagonal, in a class covariance.
 SHRINK_POOLED, SHRINK_DIAGONAL, RIDGE = 0.10, 0.05, 1e-4
@@ -220,5 +220,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not rejected, all columns as they came. Rows that
     repeat a doc_id stay or go by the best score of the id; rows without doc_id stay."""
-    bad = score_documents(docs, labels, threshold).groupBy("doc_id").agg(F.max("predicted").alias("p")).filter("p = 0")
-    return docs.join(bad.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    bad = score_documents(docs, labels, threshold).groupBy("doc_id").agg(F.max("predicted").alias("p")).filter("p = 0 AND doc_id IS NOT NULL")
+    return drop_by_id(docs, F.col("doc_id").cast("long"), stage(bad.select("doc_id"), "rejected"), "doc_id")
