@@ -12,6 +12,7 @@ among the first ``n - ceil(t n) + 1`` of each (the prefix). Steps:
    upper bound of the overlap, and verified on whole sets. The bound comes from
    bitmaps of ``BITS`` parities of the set's hashes: the number of bits in which
    two differ is never more than the number of shingles in which the sets do.
+   For sets larger than that, the overlap of the prefixes gives a second bound.
 4. Links form components.
 
 Candidates come in two passes, so that a large group of near copies does not
@@ -44,13 +45,15 @@ from corpusmill.llm.components import components
 FREQUENT = 20
 ORDER_LIMIT = 1_000_000
 BITS = 512
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 
 def _sets(batch, hasher, width):
-    words, offs = hasher.words(batch.column("text"))
-    for i in range(batch.num_rows):
-        yield np.unique(shingle_hashes(words[offs[i] : offs[i + 1]], width))
+    for lo in range(0, batch.num_rows, 500):
+        part = batch.column("text").slice(lo, 500)
+        words, offs = hasher.words(part)
+        for i in range(len(part)):
+            yield np.unique(shingle_hashes(words[offs[i] : offs[i + 1]], width))
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -171,11 +174,28 @@ def _bounded(na, nb, ba, bb, percent):
     return _enough(F.least(F.floor((a + b - differ) / 2), a, b), a, b, percent)
 
 
-def _verify(pairs, docs, facts, width, percent):
-    """Pairs (a, b) of class ids that link. ``facts``: (id, n, bm)."""
+def _prefix_bounded(pairs, rows, percent):
+    """Pairs whose prefixes leave room for a link: beyond what the prefixes
+    share, the set whose prefix ends first can add at most its own rest."""
+    _, some = split_by_membership(rows.select(F.col("doc_id").alias("id"), "n", "prefix"), F.col("id"), _ids(pairs), "id")
+    some = stage(some, "prefixes")
+    left = some.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+    right = some.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+    shared = F.size(F.array_intersect("pa", "pb"))
+    most = shared + F.greatest(F.col("na") - F.size("pa"), F.col("nb") - F.size("pb"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.least(most, "na", "nb").alias("most"))
+    return both.filter(_enough(F.col("most"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+
+
+def _verify(pairs, docs, rows, facts, width, percent):
+    """Pairs (a, b) of class ids that link. ``facts``: (id, n, bm). The bitmaps
+    of sets much larger than BITS say little: these meet by their prefixes first."""
     left = facts.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bm").alias("ba"))
     right = facts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bm").alias("bb"))
-    near = stage(pairs.join(left, "a").join(right, "b").filter(_bounded("na", "nb", "ba", "bb", percent)).select("a", "b").distinct(), "near")
+    near = pairs.join(left, "a").join(right, "b").filter(_bounded("na", "nb", "ba", "bb", percent))
+    near = stage(near.select("a", "b", (F.least("na", "nb") > BITS).alias("large")), "bounded")
+    large = _prefix_bounded(near.filter("large").select("a", "b").distinct(), rows, percent)
+    near = stage(near.filter("NOT large").select("a", "b").unionByName(large).distinct(), "near")
     sets = stage(_full_sets(docs, width, member_bitmap(_ids(near), "id")), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
@@ -212,7 +232,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     first = shared.select("g", "n", F.explode(F.array("r1", "r2")).alias("r")).filter((F.col("g") != F.col("r.g")) & sized(F.col("n"), F.col("r.n")))
     first = first.select(F.least("g", "r.g").alias("a"), F.greatest("g", "r.g").alias("b"))
     inner = member.filter("id <> g").select(F.least("id", "g").alias("a"), F.greatest("id", "g").alias("b"))
-    links = _verify(first.unionByName(inner).distinct(), docs, facts, width, percent)
+    links = _verify(first.unionByName(inner).distinct(), docs, has, facts, width, percent)
 
     # 3b: every pair of a list that is still in two components. The first pass
     # has met all pairs of lists of two groups, and of three with two representatives
@@ -240,7 +260,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     left = placed.select(F.col("id").alias("x"), F.col("g").alias("ga"), F.col("comp").alias("cx"))
     right = placed.select(F.col("id").alias("y"), F.col("g").alias("gb"), F.col("comp").alias("cy"))
     second = cross.join(left, "ga").join(right, "gb").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    links = stage(links.unionByName(_verify(second.distinct(), docs, facts, width, percent)), "all-links")
+    links = stage(links.unionByName(_verify(second.distinct(), docs, has, facts, width, percent)), "all-links")
 
     # 4
     comp = stage(components(links), "components")
