@@ -52,15 +52,13 @@ def main():
     print("""
 Reading notes:
 
-* `Window` nodes in the QA / defaults / summary queries come from the `qa_fx` fixture SQL (a `lead()` over
-  conversations that pairs each user turn with the next turn); the review gate's window runs over the manifest
-  control table. No operator windows over data rows.
+* The review gate's window runs over the manifest control table, line and row
+  numbers over one row per input split or partition. No operator windows over data rows.
 * `SortAggregate` appears only where the aggregated value is a string or struct (latest link per original URL,
   latest cache entry per URL); both run over small key tables, never over text. Best-copy selection, ordered
   distinct and message checks use packed numeric keys and stay hash aggregates.
 * The single `ArrowEvalPython` is the exact HTML entity decoder; rows the native table covers pass it null.
-* One round-robin exchange in the text queries is `spread()` for single-file test inputs; it is absent when the
-  scan already has as many splits as task slots.
+* Inputs are dealt out (`spread()`) only when the session sets `spark.corpusmill.inputTasks`.
 * No cartesian product or nested-loop join appears anywhere.""")
     spark.stop()
 
