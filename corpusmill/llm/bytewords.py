@@ -120,17 +120,25 @@ class WordHasher:
         return end
 
 
-_SH = [np.uint64(pow(0xA24BAED4963EE407 | 1, k + 1, 1 << 64)) for k in range(64)]
+_Q = 0xA24BAED4963EE407 | 1
+_QINV = pow(_Q, -1, 1 << 64)
+_GRAM_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the ``width``-word shingles of one text, in order. A text with
-    fewer words has its whole sequence as one shingle; none without words."""
+    fewer words has its whole sequence as one shingle; none without words.
+
+    A shingle is a polynomial in its words' hashes, taken as a difference of
+    running sums, so the cost does not depend on the width."""
     n = words.size
     if n == 0:
         return words
+    if _GRAM_POWERS[0].size < n:
+        _GRAM_POWERS[:] = _powers(_Q, 2 * n), _powers(_QINV, 2 * n)
+    power, inverse = _GRAM_POWERS
     w = min(n, width)
-    out = np.full(n - w + 1, w, dtype=np.uint64)
-    for k in range(w):
-        out = out + mix(words[k : n - w + 1 + k] ^ _SH[k]) * _SH[k]
-    return mix(out)
+    acc = np.zeros(n + 1, np.uint64)
+    np.cumsum(words * power[:n], out=acc[1:])
+    out = (acc[w:] - acc[: n - w + 1]) * inverse[: n - w + 1]
+    return mix(out + np.uint64((w * 0xD6E8FEB86659FD93) & ((1 << 64) - 1)))
