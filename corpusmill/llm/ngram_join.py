@@ -52,8 +52,10 @@ def _sets(batch, hasher, width):
     for lo in range(0, batch.num_rows, 500):
         part = batch.column("text").slice(lo, 500)
         words, offs = hasher.words(part)
-        for i in range(len(part)):
-            yield np.unique(shingle_hashes(words[offs[i] : offs[i + 1]], width))
+        every = shingle_hashes(words, width)  # also across texts; those are left out below
+        for start, end in zip(offs[:-1], offs[1:], strict=True):
+            whole = end - start >= width
+            yield np.unique(every[start : end - width + 1] if whole else shingle_hashes(words[start:end], width))
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
