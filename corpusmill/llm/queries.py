@@ -126,3 +126,35 @@ def op5_compact_windows(spark, sf_dir):
 
 
 QUERIES["op5_compact_windows"] = op5_compact_windows
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op6_benchmark_decontamination"] = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+       FROM benchmark WHERE item_id IS NOT NULL),
+bi AS (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM bw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS p FROM bi),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw JOIN (SELECT DISTINCT n FROM win) l ON len(w) >= n),
+hits AS (SELECT DISTINCT doc_id, i, di.n, item FROM di JOIN win ON win.n = di.n AND win.p = array_to_string(w[i : i + di.n - 1], ' ')),
+spots AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN spots USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+ORACLE["op10_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+di AS (SELECT doc_id, w, least(5, len(w)) AS n, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM dw WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, n || ' ' || array_to_string(w[i : i + n - 1], ' ') AS s FROM di),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT x AS node, x AS other FROM edge UNION SELECT node, y FROM reach JOIN edge ON other = x),
+comp AS (SELECT node, min(other) AS c FROM reach GROUP BY node)
+SELECT dw.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, dw.doc_id) AS component_id
+FROM dw LEFT JOIN size ON size.doc_id = dw.doc_id LEFT JOIN comp ON comp.node = dw.doc_id
+"""
