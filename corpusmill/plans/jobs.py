@@ -78,12 +78,12 @@ _exists = S.path_exists
 
 
 def _items(spark, fmt: str, paths: list[str]) -> DataFrame:
-    """(file, item, seq, value): the JSON items of one record format; item is the
+    """(file, item, value): the JSON items of one record format; item is the
     1-based line for line formats and 0-based for whole documents."""
     if fmt in ("jsonl_qa", "jsonl_messages"):
-        return J.with_sequence(J.read_lines(spark, paths)).select("file", F.col("line").alias("item"), "seq", "value")
+        return J.read_lines(spark, paths).select("file", F.col("line").alias("item"), "value")
     if fmt in ("json_qa", "json_messages"):
-        return J.read_json_items(spark, paths).select("file", F.col("item").cast("bigint").alias("item"), F.col("item").cast("bigint").alias("seq"), "value")
+        return J.read_json_items(spark, paths).select("file", F.col("item").cast("bigint").alias("item"), "value")
     raise BuildError(f"Unsupported record format: {fmt}")
 
 
@@ -128,7 +128,8 @@ def _merge(base, over):
 
 def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None, items: DataFrame | None = None,
                  artifacts: T.StructType = ARTIFACTS) -> DataFrame:
-    """Rows of one record format: file, item, seq, sample fields, messages or QA
+    """Rows of one record format: file, item, seq (the sample's 0-based number in
+    its file, where its empty id asks for it), sample fields, messages or QA
     fields, ``error_reason``."""
     extra = extra or T.StructType()
     items = items if items is not None else _items(spark, fmt, paths)
@@ -138,6 +139,12 @@ def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None,
         df = _qa_from_text(items, "value", qa_schema)
     elif fmt.endswith("_messages"):
         df = _messages_from_text(items, "value", msg_schema)
+        if fmt.startswith("jsonl_"):  # blank lines do not count; only (file, line) is shuffled for all rows
+            empty = F.coalesce(F.col("id") == "", F.lit(False))
+            place = J.with_sequence(items.select("file", F.col("item").alias("line"))).select("file", F.col("line").alias("item"), "seq")
+            df = df.filter(~empty).withColumn("seq", F.lit(None).cast("bigint")).unionByName(df.filter(empty).join(place, ["file", "item"]))
+        else:
+            df = df.withColumn("seq", F.col("item"))
     else:
         raise BuildError(f"Unsupported record format: {fmt}")
     if fmt.endswith("_qa"):
@@ -145,7 +152,7 @@ def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None,
         # after the control table is joined
         df = RC.qa_to_messages(df, default_system_prompt=None, system_col=None)
         df = df.withColumn("error_reason", F.coalesce("read_error", "error_reason"))
-        df = df.drop("read_error")
+        df = df.drop("read_error").withColumn("seq", F.lit(None).cast("bigint"))
     return df.withColumn("file", _strip_uri(F.col("file"))).withColumn("format", F.lit(fmt))
 
 
@@ -158,7 +165,7 @@ def _qa_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFr
         return F.coalesce(*[F.when(~k.isin("VOID", ""), k) for k in kinds], F.lit("STRING")) != "STRING"
     err = F.when(kind == "", F.lit("malformed_json")).when(kind != "OBJECT", F.lit("not_an_object")).when(
         first_not_text(C.PROMPT_ALIASES) | first_not_text(C.ANSWER_ALIASES), F.lit("prompt_or_answer_not_text"))
-    return df.select("file", "item", "seq", F.from_json(v, schema).alias("r"), err.alias("read_error")).select("file", "item", "seq", "r.*", "read_error")
+    return df.select("file", "item", F.from_json(v, schema).alias("r"), err.alias("read_error")).select("file", "item", "r.*", "read_error")
 
 
 def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
@@ -184,7 +191,7 @@ def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) ->
         .when(F.exists(entries, lambda x: entry_type(x) != "OBJECT"), F.lit("entry_not_an_object"))
         .when(F.exists(entries, lambda x: ~content_type(x).isin("STRING", "VOID")), F.lit("content_not_text"))
     )
-    return df.select("file", "item", "seq", *cols, F.when(is_list, lst).otherwise(obj["messages"]).alias("messages"),
+    return df.select("file", "item", *cols, F.when(is_list, lst).otherwise(obj["messages"]).alias("messages"),
                      err.alias("error_reason"))
 
 

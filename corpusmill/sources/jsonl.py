@@ -19,6 +19,9 @@ from corpusmill.session import staged
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 
 
+MAX_BROADCAST_BYTES = 256 << 20  # of the split offsets; beyond it their join is a regular one
+
+
 def file_path() -> Column:
     """The input file of a row as a plain path (Spark reports it percent-encoded)."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
@@ -39,8 +42,10 @@ def read_lines(spark: SparkSession, paths, keep_blank: bool = False) -> DataFram
     blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     start = F.min("before").over(Window.partitionBy("file"))
     offsets = staged(blocks.select("file", "block", "first", "before", start.alias("start")), "line-offsets")
+    size = offsets.agg(F.sum(F.octet_length("file") + 64)).first()[0] or 0
+    side = F.broadcast(offsets) if size <= MAX_BROADCAST_BYTES else offsets  # one row per split; lines stay where they are
     at = F.col("before") + F.col("rid") - F.col("first") + 1
-    lines = raw.join(offsets, ["file", "block"]).select(
+    lines = raw.join(side, ["file", "block"]).select(
         "file", (at - F.col("start")).alias("line"), at.alias("ord"), "value", kept.alias("kept"))
     return lines.filter("kept").drop("kept")
 
