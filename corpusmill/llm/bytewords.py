@@ -44,6 +44,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def slices(batches, rows: int = 500):
+    """Record batches of at most ``rows`` rows, so that a worker's arrays hold the
+    words of a few hundred texts at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 class WordHasher:
     """Word hashes of string columns under one byte class."""
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bytewords import ALNUM, WordHasher, shingle_hashes
+from corpusmill.llm.bytewords import ALNUM, WordHasher, shingle_hashes, slices
 from corpusmill.llm.common import drop_by_id, maybe_member, member_bitmap, stage
 
 WINDOW = 10
@@ -44,7 +44,7 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
 
     def run(batches):
         hasher = WordHasher(ALNUM)
-        for b in batches:
+        for b in slices(batches):
             words, offs = hasher.words(b.column("text"))
             ids, wids, terms = [], [], []
             for i in range(b.num_rows):
@@ -77,7 +77,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
             t, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([_long(t), pa.array(n.astype(np.int64))], ["t", "n"])
 
-        for b in batches:
+        for b in slices(batches):
             w, _ = hasher.words(b.column("text"))
             held.append(w)
             size += w.size
@@ -106,7 +106,7 @@ def positional_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFra
 
     def run(batches):
         hasher = WordHasher(ALNUM)
-        for b in batches:
+        for b in slices(batches):
             words, offs = hasher.words(b.column("text"))
             at = np.arange(words.size)
             if sent.value is not None:
@@ -140,7 +140,7 @@ def _phrases(docs: DataFrame, hits: DataFrame, windows: DataFrame, width: int) -
 
     def run(batches):
         hasher = WordHasher(ALNUM)
-        for b in batches:
+        for b in slices(batches):
             in_docs, in_wids, sizes = wanted.value
             b = b.filter(pa.array(maybe_member(in_docs, b.column("k").to_numpy())))
             words, offs = hasher.words(b.column("text"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bytewords import SPACED, WordHasher, shingle_hashes
+from corpusmill.llm.bytewords import SPACED, WordHasher, shingle_hashes, slices
 from corpusmill.llm.common import maybe_member, member_bitmap, split_by_membership, stage
 from corpusmill.llm.components import components
 
@@ -49,9 +49,8 @@ _FLUSH = 1_000_000
 
 
 def _sets(batch, hasher, width):
-    for lo in range(0, batch.num_rows, 500):
-        part = batch.column("text").slice(lo, 500)
-        words, offs = hasher.words(part)
+    for part in slices([batch]):
+        words, offs = hasher.words(part.column("text"))
         every = shingle_hashes(words, width)  # also across texts; those are left out below
         for start, end in zip(offs[:-1], offs[1:], strict=True):
             whole = end - start >= width
@@ -110,7 +109,7 @@ def _signatures(docs, width, percent, frequent):
 
     def run(batches):
         hasher, late = WordHasher(SPACED), sent.value
-        for b in batches:
+        for b in slices(batches):
             ns, s1, s2, bm, pref = [], [], [], [], []
             for s in _sets(b, hasher, width):
                 n = s.size
