@@ -1,10 +1,13 @@
 """Secret scan: three fixed patterns and a token-efficiency test.
 
 A run of key-like characters is random when a byte-pair vocabulary trained on
-ordinary text needs many tokens for it: few characters per token. Runs that are
-plain words, identifiers, numbers, or have the form of a known digest or UUID
-are left out before the test. A run that lies inside a pattern's span is not
-reported twice.
+ordinary text needs many tokens for it: few characters per token. The whole run
+is judged, and if it is not random, each stretch of parts between separators
+that have few characters per token themselves, so a path before a key does not
+hide it. Numbers and what has the form of a known digest or UUID are left out.
+Letters alone, with separators and up to four digits at the end, are identifiers
+if the words that separators and capitals part have enough characters per token.
+What lies inside a pattern's span is not reported twice.
 
 Every text is scanned whole, in its own row; nothing is shuffled. The
 vocabulary file is read once on the driver and broadcast (its size is that of
@@ -41,14 +44,16 @@ HEX_MIN = 24
 ASSIGN_MIN = 6
 
 _RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
-#: Digests (MD5, SHA-1, SHA-2 in hex), UUIDs, numbers, dates, words joined by - _ / or capitals.
+#: Digests (MD5, SHA-1, SHA-2 in hex), UUIDs, numbers, dates.
 _KNOWN = (
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
     r"|(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[0-9+/_=-]+"
-    r"|[A-Za-z]+(?:[-_/=+]+[A-Za-z]+)*[-_/=+]*(?:[0-9]{1,4})?"
 )
+_IDENTIFIER = r"[-_/=+]*[A-Za-z]+(?:[-_/=+]+[A-Za-z]+)*[-_/=+]*(?:[0-9]{1,4})?"
+_WORD = r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])"
+_PART = r"[A-Za-z0-9]+"
 
 
 class Scanner:
@@ -61,6 +66,9 @@ class Scanner:
         self.hex = re.compile(rf"[0-9a-f]{{{HEX_MIN},}}")
         self.run = re.compile(_RUN)
         self.known = re.compile(_KNOWN)
+        self.identifier = re.compile(_IDENTIFIER)
+        self.word = re.compile(_WORD)
+        self.part = re.compile(_PART)
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
         found = [(m.start(), 0, m.end()) for m in self.assign.finditer(text) if len(m[2]) >= ASSIGN_MIN]
@@ -68,17 +76,45 @@ class Scanner:
         found += [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
         return sorted(found)
 
+    def few(self, run: str) -> bool:
+        """True if the run has few characters per token."""
+        return len(run) < MAX_RATIO * sum(self.count(run[i : i + PIECE]) for i in range(0, len(run), PIECE))
+
+    def wordy(self, run: str) -> bool:
+        """True of an identifier made of words; parts of one letter say nothing."""
+        if not self.identifier.fullmatch(run):
+            return False
+        parts = [x for x in re.findall("[A-Za-z]+", run) if len(x) > 1]
+        if len(parts) == 1 and not self.few(parts[0]):
+            return True
+        words = [w.lower()[i : i + PIECE] for x in parts for w in self.word.findall(x) for i in range(0, len(w), PIECE)]
+        return sum(map(len, words)) >= MAX_RATIO * sum(map(self.count, words))
+
+    def dealt(self, run: str) -> bool:
+        return not self.known.fullmatch(run) and self.few(run) and not self.wordy(run)
+
     def random(self, text: str, base) -> list[tuple[int, int, int]]:
         out = []
         for m in self.run.finditer(text):
             s, e = m.span()
-            if self.known.fullmatch(m[0]) or any(a <= s and e <= b for a, _, b in base):
+            if self.known.fullmatch(m[0]):
                 continue
-            tokens = sum(self.count(m[0][i : i + PIECE]) for i in range(0, e - s, PIECE))
-            if e - s < MAX_RATIO * tokens:
-                out.append((s, 3, e))
+            spans = [(s, e)] if self.dealt(m[0]) else self.stretches(m[0], s)
+            out += [(i, 3, j) for i, j in spans if not any(a <= i and j <= b for a, _, b in base)]
         return out
 
+    def stretches(self, run: str, at: int) -> list[tuple[int, int]]:
+        """Spans of adjoining parts with few characters per token, if random."""
+        found = []
+        for m in self.part.finditer(run):
+            if not self.few(m[0]) or self.wordy(m[0]):
+                continue
+            if found and not self.part.search(run, found[-1][1], m.start()):
+                found[-1][1] = m.end()
+            else:
+                found.append([m.start(), m.end()])
+        return [(at + i, at + j) for i, j in found if j - i >= MIN_RUN and self.dealt(run[i:j])]
+
 
 def _written(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
