@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from corpusmill.llm.alignment import align_documents
 from corpusmill.llm.common import table
 from corpusmill.llm.decontaminate import contamination
 from corpusmill.llm.linkgraph import judge_sql, judge_urls
 from corpusmill.llm.mixing import mix
 from corpusmill.llm.ngram_join import jaccard_components
+from corpusmill.llm.prefix_trie import conversation_trie
 from corpusmill.llm.quality import score_documents
 from corpusmill.llm.secrets import scan_secrets
 from corpusmill.llm.sharding import shard_documents
+from corpusmill.llm.site_style import main_texts
 from corpusmill.llm.topk import top_k
 from corpusmill.llm.warc import archive_round_trip
 from corpusmill.llm.windows import repeated_passages
@@ -158,3 +161,69 @@ comp AS (SELECT node, min(other) AS c FROM reach GROUP BY node)
 SELECT dw.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, dw.doc_id) AS component_id
 FROM dw LEFT JOIN size ON size.doc_id = dw.doc_id LEFT JOIN comp ON comp.node = dw.doc_id
 """
+
+
+def op11_token_alignment(spark, sf_dir):
+    out = align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES["op11_token_alignment"] = op11_token_alignment
+
+
+def op12_site_style_text(spark, sf_dir):
+    return main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES["op12_site_style_text"] = op12_site_style_text
+
+
+def op13_conversation_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op13_conversation_trie"] = op13_conversation_trie
+
+# crc32 of a conv_id's decimal digits, bit by bit (polynomial 0xEDB88320)
+_CRC = """
+list_reduce(list_transform(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])), lambda v: CAST(v AS BIGINT)),
+            lambda acc, v: CASE WHEN xor(acc, v) % 2 = 1 THEN xor(xor(acc, v) >> 1, 3988292384) ELSE xor(acc, v) >> 1 END,
+            CAST(4294967295 AS BIGINT))
+"""
+ORACLE["op13_conversation_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(CAST(length(role) AS VARCHAR) || ':' || role || text
+                       ORDER BY turn NULLS FIRST, md5(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS s,
+         list(CAST(len(regexp_extract_all(text, '[^ 	-]+')) AS BIGINT)
+              ORDER BY turn NULLS FIRST, md5(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS w
+  FROM t GROUP BY conv_id
+), h AS (SELECT *, xor({_CRC}, 4294967295) % 4 AS h FROM c),
+r AS (
+  SELECT a.conv_id, list_concat(coalesce(b.s[1 : a.h], []), a.s[a.h + 1 :]) AS s,
+         list_concat(coalesce(b.w[1 : a.h], []), a.w[a.h + 1 :]) AS w
+  FROM h a LEFT JOIN c b ON b.conv_id = a.conv_id - a.conv_id % 20
+), p AS (
+  SELECT conv_id, len(s) AS n, unnest(range(0, len(s) + 1)) AS depth, s, w FROM r
+), nodes AS (
+  SELECT s[1 : depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(max(w[depth]), 0) * (count(*) - 1) AS own,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM p GROUP BY s[1 : depth], depth
+), kids AS (
+  SELECT path[1 : depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), up AS (
+  SELECT path[1 : d] AS path, d AS depth, sum(leaf) AS n_leaves, sum(own) AS saved
+  FROM (SELECT n.path, n.own, CASE WHEN k.path IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, n.depth + 1)) AS d
+        FROM nodes n LEFT JOIN kids k ON k.path = n.path AND k.depth = n.depth)
+  GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN up ON up.path = n.path AND up.depth = n.depth
+LEFT JOIN kids k ON k.path = n.path AND k.depth = n.depth
+LEFT JOIN nodes q ON n.depth > 0 AND q.depth = n.depth - 1 AND q.path = n.path[1 : n.depth - 1]
+"""
