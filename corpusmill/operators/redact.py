@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill import config as C
+from corpusmill.functions import freeform as FF
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,12 @@ class Rule:
     pattern: str          # Java regex
     replacement: str      # Java replacement
     source_pattern: str   # as written (Python syntax)
+    source_replacement: str = ""
+    flags: tuple = ()
+
+    def python(self) -> tuple[str, int, str]:
+        """(pattern, flags, replacement) for Python's ``re``."""
+        return self.source_pattern, sum(getattr(re, f) for f in set(self.flags)), self.source_replacement
 
 
 @dataclass(frozen=True)
@@ -110,7 +117,8 @@ def _rule_of(spec) -> Rule:
     match spec:
         case {"pattern": str(pattern)}:
             re.compile(pattern)
-            return Rule(java_pattern(pattern, spec.get("flags", ())), java_replacement(str(spec.get("replacement", ""))), pattern)
+            flags, replacement = tuple(spec.get("flags", ())), str(spec.get("replacement", ""))
+            return Rule(java_pattern(pattern, flags), java_replacement(replacement), pattern, replacement, flags)
     raise ValueError("want an object with a text pattern")
 
 
@@ -138,6 +146,9 @@ def _redact_string(c: Column, rules) -> Column:
 
 
 def _walk(c: Column, dtype: T.DataType, drop: frozenset, rules) -> Column:
+    if isinstance(dtype, T.VariantType) or (isinstance(dtype, (T.ArrayType, T.MapType)) and FF.has_variant(dtype)):
+        value = c if isinstance(dtype, T.VariantType) else F.to_variant_object(c)
+        return FF.rewrite_values(value, drop, [r.python() for r in rules]) if drop or rules else value
     if isinstance(dtype, T.StringType):
         return _redact_string(c, rules) if rules else c
     if isinstance(dtype, T.StructType):

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import json
 import os
-import posixpath
 import re
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 
 from corpusmill import config as C
 from corpusmill.config import CurationConfig
+from corpusmill.functions import freeform as FF
 from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.operators import evaluation as EV
@@ -32,7 +32,10 @@ from corpusmill.operators import render as RN
 from corpusmill.operators import review as RV
 from corpusmill.operators import writeups as W
 from corpusmill.session import checkpoint_dir, staged
+from corpusmill.sinks import body_store as BS
+from corpusmill.sinks import cache_log as CL
 from corpusmill.sinks import writers as S
+from corpusmill.sources import files as SF
 from corpusmill.sources import jsonl as J
 from corpusmill.sources import manifests as M
 
@@ -57,6 +60,8 @@ class DatasetBuildResult:
     quarantine: DataFrame
     summary: DataFrame
     skipped_manifests: tuple = ()  # enabled JSON files without records (reported, not built)
+    run: dict = field(default_factory=dict)  # what the summary document says about the run
+    rows: DataFrame | None = None  # samples and quarantine in one frame
 
 
 # ---------------------------------------------------------------------------
@@ -64,10 +69,12 @@ class DatasetBuildResult:
 # ---------------------------------------------------------------------------
 
 def _resolve(spark: SparkSession, repo_root: str, manifest_path: str, p: str) -> str:
-    if os.path.isabs(p) or "://" in p:
-        return p
-    beside = posixpath.normpath(posixpath.join(posixpath.dirname(manifest_path), p))
-    return beside if _exists(spark, beside) else posixpath.normpath(posixpath.join(repo_root, p))
+    """A manifest's path: its own if absolute, else beside the manifest if there is
+    something, else under the repository's root."""
+    if SF.is_absolute(p):
+        return SF.plain(p)
+    beside = SF.child_path(spark, SF.parent_path(spark, manifest_path), p)
+    return beside if _exists(spark, beside) else SF.child_path(spark, repo_root, p)
 
 
 def _strip_uri(c):
@@ -89,12 +96,19 @@ def _items(spark, fmt: str, paths: list[str]) -> DataFrame:
 
 def _infer(values: DataFrame) -> T.StructType:
     """The keys of the JSON objects in column ``value`` with their types, found by
-    one aggregate; keys of mixed types are read as JSON text."""
+    one aggregate; keys of mixed types are free-form values (VARIANT)."""
     kind = values.filter(J.json_type(F.col("value")) == "OBJECT").select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
     if not kind or not kind.startswith("OBJECT<"):
         return T.StructType()
-    kind = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"(: |ARRAY<)(VOID|VARIANT)\b", r"\1STRING", kind))
-    return T.DataType.fromDDL(kind)
+    kind = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"(: |ARRAY<)VOID\b", r"\1STRING", kind))
+    return _free(T.DataType.fromDDL(kind))
+
+
+def _free(kind: T.DataType) -> T.DataType:
+    """``kind`` with lists of free-form values taken as free-form wholes."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _free(f.dataType)) for f in kind.fields])
+    return T.VariantType() if isinstance(kind, T.ArrayType) and FF.has_variant(kind) else kind
 
 
 def _undeclared(found: T.StructType, declared: set[str]) -> list[T.StructField]:
@@ -102,23 +116,15 @@ def _undeclared(found: T.StructType, declared: set[str]) -> list[T.StructField]:
 
 
 def _merge_types(a: T.StructType, b: T.StructType) -> T.StructType:
-    """Keys of both; where the types differ otherwise than in keys, text."""
+    """Keys of both; where the types differ otherwise than in keys, free-form."""
     out = {f.name: f.dataType for f in a.fields}
     for f in b.fields:
         have = out.get(f.name, f.dataType)
         both = isinstance(have, T.StructType) and isinstance(f.dataType, T.StructType)
-        out[f.name] = _merge_types(have, f.dataType) if both else have if have == f.dataType else T.StringType()
+        out[f.name] = _merge_types(have, f.dataType) if both else have if have == f.dataType else T.VariantType()
     return T.StructType([T.StructField(k, v) for k, v in out.items()])
 
 
-def _over(a, b, kind: T.DataType):
-    """Value ``a`` over default ``b``, key by key at every depth."""
-    if not isinstance(kind, T.StructType):
-        return F.coalesce(a, b)
-    each = F.struct(*[_over(a[f.name], b[f.name], f.dataType).alias(f.name) for f in kind.fields])
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(each)
-
-
 def _merge(base, over):
     """Configuration objects merged at every depth."""
     if not (isinstance(base, dict) and isinstance(over, dict)):
@@ -130,9 +136,11 @@ def _load_format(spark, fmt: str, paths: list[str], extra: T.StructType | None,
                  artifacts: T.StructType = ARTIFACTS) -> DataFrame:
     """Rows of one record format: file, item, seq (the sample's 0-based number in
     its file, where its empty id asks for it), sample fields, messages or QA
-    fields, ``error_reason``."""
+    fields, ``error_reason``, and ``_own``: the record's other keys, as they are."""
     extra = extra or T.StructType()
     items = items if items is not None else _items(spark, fmt, paths)
+    own = FF.without_keys(F.try_parse_json("value"), ["id", "messages", *QA_KEYS])
+    items = items.withColumn("_own", F.coalesce(own, F.parse_json(F.lit("{}"))))
     qa_schema = _schema(artifacts, extra, *[T.StructField(n, T.StringType()) for n in QA_KEYS])
     msg_schema = _schema(artifacts, extra, MESSAGES)
     if fmt.endswith("_qa"):
@@ -165,7 +173,8 @@ def _qa_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFr
         return F.coalesce(*[F.when(~k.isin("VOID", ""), k) for k in kinds], F.lit("STRING")) != "STRING"
     err = F.when(kind == "", F.lit("malformed_json")).when(kind != "OBJECT", F.lit("not_an_object")).when(
         first_not_text(C.PROMPT_ALIASES) | first_not_text(C.ANSWER_ALIASES), F.lit("prompt_or_answer_not_text"))
-    return df.select("file", "item", F.from_json(v, schema).alias("r"), err.alias("read_error")).select("file", "item", "r.*", "read_error")
+    return df.select("file", "item", F.from_json(v, schema).alias("r"), "_own", err.alias("read_error")).select(
+        "file", "item", "r.*", "_own", "read_error")
 
 
 def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
@@ -192,7 +201,7 @@ def _messages_from_text(df: DataFrame, value_col: str, schema: T.StructType) ->
         .when(F.exists(entries, lambda x: ~content_type(x).isin("STRING", "VOID")), F.lit("content_not_text"))
     )
     return df.select("file", "item", *cols, F.when(is_list, lst).otherwise(obj["messages"]).alias("messages"),
-                     err.alias("error_reason"))
+                     "_own", err.alias("error_reason"))
 
 
 def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, policy: RD.RedactionPolicy | None = None,
@@ -237,7 +246,7 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
         rd = r["record"]["defaults"]
         ledger = _field(r, "source_ledger_path")
         if isinstance(ledger, str) and ledger.strip():
-            ledger = _resolve(spark, repo_root, _strip_path(r["manifest_path"]), ledger)
+            ledger = _resolve(spark, repo_root, SF.plain(r["manifest_path"]), ledger)
         # the gate looks at the manifest's own source, else at its defaults'
         source = r["source"] if r["source"] is not None else (r["defaults"]["source"] if r["defaults"] is not None else None)
         gate_rows.append((r["manifest"], r["record_index"], source, rd["source_bucket"] if rd is not None else None,
@@ -249,7 +258,7 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     if ledger_listing is None:
         existing = sorted({g[8] for g in gate_rows if g[8] and _exists(spark, g[8])})
         ledger_listing = spark.createDataFrame([(p,) for p in existing], "source_ledger_path string")
-    failures = GT.gate_failures(GT.review_gate(gate_df, "manifest", ledger_listing)).collect()
+    failures = GT.gate_failures(GT.review_gate(gate_df, "manifest", ledger_listing)).orderBy("manifest", "record_index").collect()
     if failures:
         f = failures[0]
         raise BuildError(f"Reviewed scraped manifest blocked ({f['gate_error']}): {f['manifest']} record #{f['record_index']}")
@@ -257,7 +266,7 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     # Resolve paths on the driver (bounded list), then read each format once.
     resolved = []
     for r in ctl_rows:
-        p = _resolve(spark, repo_root, _strip_path(r["manifest_path"]), r["path"])
+        p = _resolve(spark, repo_root, SF.plain(r["manifest_path"]), r["path"])
         if not _exists(spark, p):
             if allow_missing_paths:
                 continue
@@ -269,7 +278,10 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     if not by_format:
         raise BuildError("No record file exists")
     items = {fmt: _items(spark, fmt, sorted(ps)) for fmt, ps in by_format.items()}
-    plain = [json.dumps(_merge(_loads(r["defaults_json"]), _loads(r["record_json"]))) for r, _ in resolved]
+    plain = [_merge(_merge({n: r[n] if r[n] is not None else C.UNKNOWN for n in ("source", "license")},
+                           _loads(r["defaults_json"])), _loads(r["record_json"])) for r, _ in resolved]
+    levels = max(map(FF.depth_of, plain))
+    plain = [json.dumps(p) for p in plain]
     given = extra_fields or T.StructType()
     artifacts = ARTIFACTS
     if infer_extra:
@@ -288,14 +300,10 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
 
     # Control table: record defaults merged over manifest defaults, per path.
     ctl = spark.createDataFrame([
-        (p, r["format"], r["manifest"], r["source_id"], int(r["record_index"]), _own(r, "source"), _own(r, "license"),
-         _field(r, "category"), _field(r, "difficulty"), _field(r, "challenge_family"), _field(r, "split"),
-         _field(r, "system_prompt"), text)
+        (p, r["format"], r["manifest"], r["source_id"], int(r["record_index"]), _field(r, "system_prompt"), text)
         for (r, p), text in zip(resolved, plain, strict=True)],
-        "file string, format string, manifest string, source_id string, record_index int, d_source string, d_license string, "
-        "d_category string, d_difficulty string, d_challenge_family string, d_split string, d_system_prompt string, d_json string")
-    rest = T.StructType([T.StructField("artifacts", artifacts), *given.fields])
-    ctl = ctl.withColumn("d_rest", F.from_json("d_json", rest)).drop("d_json")
+        "file string, format string, manifest string, source_id string, record_index int, d_system_prompt string, d_json string")
+    ctl = ctl.withColumn("d_values", F.parse_json("d_json")).drop("d_json")
     # every row read must find the record that listed its file
     joined = rows.join(ctl, ["file", "format"], "left").withColumn(
         "error_reason", F.when(F.col("manifest").isNull(), F.lit("no_manifest_record")).otherwise(F.col("error_reason")))
@@ -313,12 +321,14 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     df = df.withColumn("messages", F.when(F.col("format").endswith("_qa") & qa_sys.isNotNull() & F.col("messages").isNotNull(),
                                           F.concat(F.array(F.struct(F.lit("system").alias("role"), qa_sys.alias("content"))), F.col("messages")))
                        .otherwise(F.col("messages")))
-    merged = {}
-    for f in ("category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt"):
-        merged[f] = F.coalesce(F.col(f), F.col(f"d_{f}"))
-    for f in rest.fields:
-        own_value = F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)
-        merged[f.name] = _over(own_value, F.col("d_rest")[f.name], f.dataType)
+    # the record over its defaults, at every depth; its own null wins
+    named = ("category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt")
+    rest = T.StructType([*[T.StructField(n, T.StringType()) for n in named], T.StructField("artifacts", artifacts), *given.fields])
+    df = df.withColumn("_all", FF.merge_values(F.col("_own"), F.coalesce("d_values", F.parse_json(F.lit("{}"))), levels))
+    df = df.withColumn("_m", F.from_json(F.to_json("_all"), rest))
+    merged = {f.name: F.col("_m")[f.name] for f in rest.fields}
+    for f in ("category", "difficulty", "challenge_family", "source", "license"):
+        merged[f"_no_{f}"] = F.try_variant_get("_all", f"$.{f}", "variant").isNull()
     # language and has_code are always there
     merged["artifacts"] = F.struct(*[merged["artifacts"][f.name].alias(f.name) for f in artifacts.fields])
     df = df.withColumns(merged)
@@ -327,14 +337,17 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     extra_names = [*given.names, *kept_qa]
     body_cols = ["id", "category", "difficulty", "challenge_family", "split", "source", "license", "system_prompt",
                  "artifacts", "messages"] + extra_names
-    keep = ["original_id", "manifest", "source_id", "file", "error_reason", "item", "record_index"]
+    unnamed = [c for c in df.columns if c.startswith("_no_")]
+    keep = ["original_id", "manifest", "source_id", "file", "error_reason", "item", "record_index", *unnamed]
     df = df.select(*keep, *body_cols)
     if strict_anonymize:
         df = RD.drop_metadata(df, C.DEFAULT_DROP_KEYS, keep=keep)
     if policy is not None:
         df = RD.apply_policy(df, policy, keep=keep)
     if strict_anonymize:
-        new_id = RC.sample_id("original_id", "category", "strict")
+        # a category that is null by the record's own word is spelt out
+        spelt = F.when(F.col("category").isNull() & ~F.col("_no_category"), F.lit("None")).otherwise(F.col("category"))
+        new_id = RC.sample_id("original_id", spelt, "strict")
     elif policy is not None:
         new_id = RC.sample_id("original_id", mode="policy", redacted_id=F.col("id"))
     else:
@@ -343,29 +356,26 @@ def build_dataset(spark: SparkSession, manifest_dir: str, repo_root: str, *, pol
     norm = RC.normalize_messages_nested(F.col("messages"), F.col("system_prompt"), default_system_prompt)
     df = df.withColumn("_n", norm).withColumn("messages", F.col("_n.messages")).withColumn(
         "error_reason", F.coalesce(F.col("error_reason"), F.col("_n.error_reason"))).drop("_n")
-    df = df.withColumns({
-        "category": F.coalesce("category", F.lit(C.UNKNOWN)),
-        "difficulty": F.coalesce("difficulty", F.lit(C.UNKNOWN)),
-        "challenge_family": F.coalesce("challenge_family", F.lit(C.UNKNOWN)),
-        "source": F.coalesce("source", F.lit(C.UNKNOWN)),
-        "license": F.coalesce("license", F.lit(C.UNKNOWN)),
-    })
+    df = df.withColumns({c[4:]: F.when(F.col(c), F.lit(C.UNKNOWN)).otherwise(F.col(c[4:])) for c in unnamed}).drop(*unnamed)
     if not strict_anonymize:
         df = df.withColumn("provenance", F.struct(F.col("source_id").alias("source_id"), F.col("file").alias("source_path")))
     df = df.drop("system_prompt")
-    good = df.filter(F.col("error_reason").isNull())
-    quarantine = df.filter(F.col("error_reason").isNotNull())
-    samples = good.withColumns({"_o1": F.col("record_index"), "_o2": F.col("file"), "_o3": F.col("item")}).drop(
-        "error_reason", "original_id", "source_id", "file", "item", "record_index")
+    absent = [k for k in C.REQUIRED_SAMPLE_KEYS if k not in df.columns]
+    if absent:
+        raise BuildError(f"Samples lack required keys: {', '.join(absent)}")
+    samples, quarantine = _split_rows(df)
     summary = RC.dataset_summary(samples)
-    return DatasetBuildResult(samples, quarantine, summary, tuple(skipped))
-
-
+    run = {"manifest_dir": SF.child_path(spark, manifest_dir, "."), "strict_anonymize": strict_anonymize,
+           "redaction_rules": SF.child_path(spark, os.getcwd(), policy_path) if policy_path else None}
+    return DatasetBuildResult(samples, quarantine, summary, tuple(skipped), run, df)
 
 
-
-def _strip_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def _split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(samples, quarantine)"""
+    good = rows.filter(F.col("error_reason").isNull())
+    samples = good.withColumns({"_o1": F.col("record_index"), "_o2": F.col("file"), "_o3": F.col("item")}).drop(
+        "error_reason", "original_id", "source_id", "file", "item", "record_index")
+    return samples, rows.filter(F.col("error_reason").isNotNull())
 
 
 def _field(r, name: str):
@@ -381,31 +391,35 @@ def _loads(text: str | None) -> dict:
     return value if isinstance(value, dict) else {}
 
 
-def _own(r, name: str):
-    """source and license: record defaults, manifest defaults, the manifest's own key."""
-    value = _field(r, name)
-    return value if value is not None else r[name] if r[name] is not None else C.UNKNOWN
-
-
 def write_dataset(result: DatasetBuildResult, output_dir: str, overwrite: bool = False, fail_on_duplicates: bool = True,
                   fail_on_quarantine: bool = True) -> None:
     """Strict mode checks (bad records, duplicate ids) then one folder per
     split and the summary document."""
-    if fail_on_quarantine:
-        bad = result.quarantine.select("file", "item", "error_reason").limit(1).collect()
-        if bad:
-            raise BuildError(f"Invalid record {bad[0]['file']}:{bad[0]['item']}: {bad[0]['error_reason']}")
-    targets = [os.path.join(output_dir, x) for x in ("samples", "summary", "counts")]
-    S.require_new(result.samples.sparkSession, targets, overwrite)
-    samples = staged(result.samples, "samples")  # the text chain runs once
-    if fail_on_duplicates:
-        dup = RC.duplicate_ids(samples).limit(1).collect()
-        if dup:
-            raise BuildError(f"Duplicate sample id detected: {dup[0]['id']}")
-    S.write_split_jsonl(samples.withColumnRenamed("manifest", "_manifest"), targets[0],
-                        overwrite=overwrite, order_by=["_manifest", "_o1", "_o2", "_o3"])
-    S.write_summary(RC.dataset_summary(samples), targets[1], overwrite=overwrite)
-    S.write_jsonl(RC.dataset_counts(samples), targets[2], overwrite=overwrite)
+    spark = result.samples.sparkSession
+    with S.RunOutput(spark, output_dir, ("samples", "summary", "counts"), overwrite) as run:
+        samples, quarantine = _split_rows(staged(result.rows, "samples"))  # the text chain runs once
+        if fail_on_quarantine:
+            bad = quarantine.orderBy("manifest", "record_index", "file", "item").select("file", "item", "error_reason").limit(1).collect()
+            if bad:
+                raise BuildError(f"Invalid record {bad[0]['file']}:{bad[0]['item']}: {bad[0]['error_reason']}")
+        if fail_on_duplicates:
+            dup = RC.duplicate_ids(samples).orderBy("id").limit(1).collect()
+            if dup:
+                raise BuildError(f"Duplicate sample id detected: {dup[0]['id']}")
+        S.write_split_jsonl(samples.withColumnRenamed("manifest", "_manifest"), run["samples"],
+                            order_by=["_manifest", "_o1", "_o2", "_o3"])
+        about = {**result.run, "output_dir": SF.child_path(spark, output_dir, ".")}
+        S.write_summary(run_document(RC.dataset_summary(samples), about), run["summary"])
+        S.write_jsonl(RC.dataset_counts(samples), run["counts"])
+
+
+def run_document(document: DataFrame, about: dict) -> DataFrame:
+    """A one-row document with what the run knows of itself (paths, flags, times)."""
+    def value(v):
+        if isinstance(v, dict):
+            return F.parse_json(F.lit(json.dumps(v)))
+        return F.lit(v) if v is not None else F.lit(None).cast("string")
+    return document.withColumns({k: value(v) for k, v in about.items()})
 
 
 # ---------------------------------------------------------------------------
@@ -429,12 +443,12 @@ def _parsed(rows: DataFrame, strict: bool) -> DataFrame:
     return rows.filter(F.col("_corrupt").isNull()).drop("file", "line", "_corrupt", "_not_text")
 
 
-def read_transformed(spark: SparkSession, path: str, strict: bool = True, output_dir: str | None = None, overwrite: bool = False) -> DataFrame:
+def read_transformed(spark: SparkSession, path: str, strict: bool = True, quarantine_path: str | None = None) -> DataFrame:
     """Transformed rows with ``ord``, unique over all files of ``path``."""
     rows = J.read_jsonl(spark, path, TRANSFORMED)
-    if not strict and output_dir:
+    if not strict and quarantine_path:
         bad = rows.filter(F.col("_corrupt").isNotNull()).select("file", "line", F.col("_corrupt").alias("value"))
-        S.write_jsonl(bad, os.path.join(output_dir, "quarantine"), overwrite=overwrite, order_by=["file", "line"])
+        S.write_jsonl(bad, quarantine_path, order_by=["file", "line"])
     return _parsed(rows, strict)
 
 
@@ -443,17 +457,18 @@ def build_writeup_dataset(spark: SparkSession, transformed_path: str, output_dir
     """Transformed JSONL (+ link JSONL) -> split folders (split kept in the
     body) and a summary; returns the summary frame. ``strict`` stops at lines
     that are not JSON objects; otherwise they are written to ``quarantine``."""
-    t = read_transformed(spark, transformed_path, strict, output_dir, overwrite)
-    links = None
-    if enumeration_path:
-        links = _parsed(J.read_jsonl(spark, enumeration_path, LINK), strict)
-    stage = os.path.join(checkpoint_dir(spark), f"writeup-rows-{uuid.uuid4().hex}")
-    cur = W.curate_writeups(t, links, cfg, stage_dir=stage)
-    samples = W.build_samples(cur, cfg).withColumnRenamed("first_ord", "_first_ord")
-    S.write_split_jsonl(samples, os.path.join(output_dir, "samples"), overwrite=overwrite, keep_split_in_body=True,
-                        order_by="_first_ord")
-    summary = W.curation_summary(cur)
-    S.write_summary(summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
+    names = ["samples", "summary"] if strict else ["quarantine", "samples", "summary"]
+    with S.RunOutput(spark, output_dir, names, overwrite) as run:
+        t = read_transformed(spark, transformed_path, strict, None if strict else run["quarantine"])
+        links = None
+        if enumeration_path:
+            links = _parsed(J.read_jsonl(spark, enumeration_path, LINK), strict)
+        stage = os.path.join(checkpoint_dir(spark), f"writeup-rows-{uuid.uuid4().hex}")
+        cur = W.curate_writeups(t, links, cfg, stage_dir=stage)
+        samples = W.build_samples(cur, cfg).withColumnRenamed("first_ord", "_first_ord")
+        S.write_split_jsonl(samples, run["samples"], keep_split_in_body=True, order_by="_first_ord")
+        summary = W.curation_summary(cur)
+        S.write_summary(summary, run["summary"])
     return summary
 
 
@@ -469,10 +484,11 @@ def prepare_review(spark: SparkSession, fetch_manifest: str, output_dir: str, ov
     if not first:
         raise BuildError(f"Fetch manifest has no records: {fetch_manifest}")
     led = RV.review_ledger(recs, first[0]["batch_name"], index_col="ord", **ledger_args)
-    S.write_jsonl(led, os.path.join(output_dir, "review_ledger"), overwrite=overwrite, order_by="ord")
-    S.write_ledger_csv(led, os.path.join(output_dir, "review_ledger_csv"), overwrite=overwrite)
-    summary = RV.review_summary(led)
-    S.write_summary(summary, os.path.join(output_dir, "review_summary"), overwrite=overwrite)
+    with S.RunOutput(spark, output_dir, ("review_ledger", "review_ledger_csv", "review_summary"), overwrite) as run:
+        S.write_jsonl(led, run["review_ledger"], order_by="ord")
+        S.write_ledger_csv(led, run["review_ledger_csv"])
+        summary = RV.review_summary(led)
+        S.write_summary(summary, run["review_summary"])
     return summary
 
 
@@ -499,21 +515,28 @@ def load_cases(spark: SparkSession, cases_path: str) -> DataFrame:
 
 def run_eval(spark: SparkSession, cases_path: str, responses: DataFrame, report_dir: str,
              default_system_prompt: str | None = None, template: RN.ChatTemplate = RN.DEFAULT_TEMPLATE,
-             overwrite: bool = False) -> DataFrame:
-    """Scores ``responses`` (id, response) and writes per-case results plus
-    the per-category report; returns the report frame."""
-    S.require_new(spark, [os.path.join(report_dir, x) for x in ("results", "report", "report_document")], overwrite)
-    cases = load_cases(spark, cases_path)
-    if cases.limit(1).count() == 0:
-        raise BuildError(f"No evaluation cases were found in {cases_path}")
-    cases = cases.withColumn("prompt_text", RN.render_prompt(F.col("messages"), F.col("prompt"), default_system_prompt, template))
-    scored = EV.score_cases(cases, responses, "id")
-    S.write_jsonl(scored.select("id", "category", "passed", F.col("checks_result").alias("checks"),
-                                F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"), "response"),
-                  os.path.join(report_dir, "results"), overwrite=overwrite)
-    report = EV.eval_report(scored)
-    S.write_jsonl(report, os.path.join(report_dir, "report"), overwrite=overwrite)
-    S.write_summary(EV.report_document(report), os.path.join(report_dir, "report_document"), overwrite=overwrite)
+             overwrite: bool = False, model: str | None = None, adapter: str | None = None,
+             generation: dict | None = None) -> DataFrame:
+    """Scores ``responses`` (id, response) and writes per-case results, the
+    per-category report, and a document with the totals and the run's own facts
+    (``model``, ``adapter`` and ``generation`` say what produced the responses;
+    ``results`` names the folder of per-case results). Returns the report frame."""
+    started = time.time()
+    with S.RunOutput(spark, report_dir, ("results", "report", "report_document"), overwrite) as run:
+        cases = load_cases(spark, cases_path)
+        if cases.limit(1).count() == 0:
+            raise BuildError(f"No evaluation cases were found in {cases_path}")
+        cases = cases.withColumn("prompt_text", RN.render_prompt(F.col("messages"), F.col("prompt"), default_system_prompt, template))
+        scored = EV.score_cases(cases, responses, "id")
+        S.write_jsonl(scored.select("id", "category", "passed", F.col("checks_result").alias("checks"),
+                                    F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"), "response"),
+                      run["results"])
+        report = EV.eval_report(scored)
+        S.write_jsonl(report, run["report"])
+        folder = SF.child_path(spark, report_dir, ".")
+        about = {"model_name_or_path": model, "adapter_path": adapter, "cases_path": cases_path, "report_path": f"{folder}/report_document",
+                 "duration_seconds": round(time.time() - started, 3), "generation": generation or {}, "results": f"{folder}/results"}
+        S.write_summary(run_document(EV.report_document(report), about), run["report_document"])
     return report
 
 
@@ -527,7 +550,8 @@ def render_training_split(spark: SparkSession, split_path: str, out_path: str, t
     bad = out.filter(F.col("error_reason").isNotNull()).limit(1).collect()
     if bad:
         raise BuildError(f"record rejected: {bad[0]['error_reason']}")
-    out.select("text").write.mode("overwrite" if overwrite else "errorifexists").json(out_path)
+    with S.RunOutput(spark, os.path.dirname(out_path.rstrip("/")), [os.path.basename(out_path.rstrip("/"))], overwrite) as run:
+        out.select("text").write.json(run[run.names[0]])
     return out
 
 
@@ -556,10 +580,11 @@ def enumerate_links(spark: SparkSession, index_pages: DataFrame, detail_pages: D
     rows = ORD.numbered(rows, ["page_ord", "pos"], "index")
     link_rows = rows.select("index", "ctftime_writeup_url", orig.alias("original_url"), error.alias("original_error"))
     targets = LK.target_urls(link_rows, target_source)
-    S.write_target_list(targets, os.path.join(output_dir, "targets"), overwrite=overwrite)
-    S.write_jsonl(link_rows, os.path.join(output_dir, "links"), overwrite=overwrite, order_by="index")
-    summary = LK.enumeration_summary(link_rows, targets)
-    S.write_summary(summary, os.path.join(output_dir, "summary"), overwrite=overwrite)
+    with S.RunOutput(spark, output_dir, ("targets", "links", "summary"), overwrite) as run:
+        S.write_target_list(targets, run["targets"])
+        S.write_jsonl(link_rows, run["links"], order_by="index")
+        summary = LK.enumeration_summary(link_rows, targets)
+        S.write_summary(summary, run["summary"])
     return summary
 
 
@@ -572,7 +597,7 @@ def url_lines(spark: SparkSession, urls=(), url_file: str | None = None) -> Data
 
 
 def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame, cache_log: str | None,
-                output_dir: str, batch_name: str, body_dir: str | None = None, cache_mode: str = "reuse",
+                output_dir: str, batch_name: str | None = None, body_dir: str | None = None, cache_mode: str = "reuse",
                 batch_seq: int | None = None, overwrite: bool = False, fetched_at: str | None = None) -> DataFrame:
     """URL lines (ord, line) + landed payloads (url, final_url, body, status,
     content_type_raw[, status_code, headers]) -> fetch records.
@@ -581,10 +606,13 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
     the rest take their landed payload (none landed -> an error record). New
     ok records are appended whole to the cache log; their ordinal orders by
     (``batch_seq``, index), so later batches win on read. ``batch_seq`` defaults
-    to the current epoch second, ``fetched_at`` to the current time. With
-    ``body_dir`` the bodies of ok payloads are stored there, once per digest,
-    and ``body_path`` names the store's entry."""
-    now = F.lit(fetched_at or datetime.now(timezone.utc).isoformat())
+    to the current epoch second, ``fetched_at`` to the current time, ``batch_name``
+    to one made of it. With ``body_dir`` the bodies of ok payloads are stored there,
+    once per digest, and ``body_path`` names the store's entry. Bodies are stored
+    first and stay if a later sink fails: the next run finds them there."""
+    clock = datetime.now(timezone.utc)
+    batch_name = batch_name or clock.strftime("scrape_%Y%m%d_%H%M%S")
+    now = F.lit(fetched_at or clock.isoformat())
     from corpusmill.operators import fetch as FE
 
     urls = FE.url_list(url_lines)
@@ -592,7 +620,7 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
         raise BuildError(f"unknown cache_mode: {cache_mode}")
     idx = ORD.numbered(urls, ["ord"], "idx").select("url", "idx")
     if cache_mode == "reuse" and cache_log and _exists(spark, cache_log):
-        hits, misses = FE.cache_lookup(idx, spark.read.parquet(cache_log))
+        hits, misses = FE.cache_lookup(idx, CL.read(spark, cache_log))
         kept = [c for c in ("final_url", "content_type", "content_length", "sha256", "filename", "status_code", "headers", "body_path")
                 if f"cache_{c}" in hits.columns]
         cached = hits.select(F.col("idx").cast("bigint").alias("index"), "url", F.lit("cached").alias("status"),
@@ -617,49 +645,61 @@ def fetch_batch(spark: SparkSession, url_lines: DataFrame, payloads: DataFrame,
         {"fetched_at": now, "cache_hit": F.lit(False), "cached_from": F.lit(None).cast("string")})
     if body_dir is not None:
         ok = F.col("status") == "ok"
-        where = F.concat(F.lit(body_dir.rstrip("/") + "/sha_prefix="), F.substring("sha256", 1, 2), F.lit("/"), F.col("sha256"))
-        fetched = fetched.withColumn("body_path", F.when(ok, where))
-        bodies = payloads.filter(F.coalesce(F.col("status") != "error", F.lit(False))).select(F.sha2(F.col("body").cast("binary"), 256).alias("sha256"), "body")
-        if _exists(spark, body_dir):
-            bodies = FE.new_bodies(bodies, spark.read.parquet(body_dir).select("sha256"))
-        S.append_bodies(bodies.dropDuplicates(["sha256"]), body_dir)
+        fetched = fetched.withColumn("body_path", F.when(ok, F.concat(F.lit(body_dir.rstrip("/") + "/"), F.col("sha256"))))
+        landed_ok = payloads.filter(F.coalesce(F.col("status") != "error", F.lit(False)))
+        S.require_new(spark, [os.path.join(output_dir, "fetch_manifest")], overwrite)
+        BS.append_bodies(landed_ok.select(F.sha2(F.col("body").cast("binary"), 256).alias("sha256"), "body"), body_dir)
     fetched = staged(fetched, "fetched")
     records = fetched if cached is None else fetched.unionByName(cached, allowMissingColumns=True)
-    S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), os.path.join(output_dir, "fetch_manifest"),
-                  overwrite=overwrite, order_by="index")
-    if cache_mode != "off" and cache_log:
-        seq = F.lit(int(batch_seq if batch_seq is not None else time.time())).cast("bigint")
-        new = fetched.filter(F.col("status") == "ok").withColumn("ord", ORD.first_key(seq, F.col("index"))).drop(
-            "index", "error", "cache_hit", "cached_from")
-        new.write.mode("append").parquet(cache_log)
+    with S.RunOutput(spark, output_dir, ("fetch_manifest",), overwrite) as run:
+        S.write_jsonl(records.withColumn("batch_name", F.lit(batch_name)), run["fetch_manifest"], order_by="index")
+        if cache_mode != "off" and cache_log:
+            seq = F.lit(int(batch_seq if batch_seq is not None else time.time())).cast("bigint")
+            new = fetched.filter(F.col("status") == "ok").withColumn("ord", ORD.first_key(seq, F.col("index"))).drop(
+                "index", "error", "cache_hit", "cached_from")
+            CL.append(new, cache_log)
     return records
 
 
 def transform_selected(spark: SparkSession, ledger: DataFrame, landed_text: DataFrame, output_dir: str,
-                       include_unapproved: bool = False, limit: int | None = None, overwrite: bool = False) -> DataFrame:
+                       include_unapproved: bool = False, limit: int | None = None, overwrite: bool = False,
+                       body_dir: str | None = None) -> DataFrame:
     """Approved ledger rows -> routed transform targets joined with the text
-    landed for them (transform_url, text) -> transformed rows and summary."""
+    landed for them (transform_url, text) -> transformed rows and summary. Rows
+    whose method is ``local_cached_body`` take the body that their ``body_path``
+    names in the store ``body_dir`` (by digest, the path's last part); without a
+    store, or for paths that are no digests, the text landed for the path."""
     from corpusmill.operators import transform as TR
 
     sel = RV.approved_rows(ledger, include_unapproved) if limit is None else \
         RV.approved_rows_limited(ledger, limit, include_unapproved)
     routed = TR.route_targets(sel)
-    # one landed text per target URL (duplicates collapse deterministically:
-    # the longest text, ties to the larger value); the aggregate's hash
-    # partitioning on the URL is reused by the join
-    one = landed_text.groupBy("transform_url").agg(
-        F.max_by("text", F.struct(F.length("text"), F.col("text"))).alias("text"))
-    got = routed.join(one.select(F.col("transform_url").alias("_t"), F.col("text")),
-                      routed["transform_url"] == F.col("_t"), "left")
+    digest = F.regexp_extract("transform_url", r"([0-9a-f]{64})$", 1)
+    stored = F.lit(False) if body_dir is None else (F.col("transform_method") == "local_cached_body") & (digest != "")
+    routed = routed.withColumn("_digest", F.when(stored, digest))
+    # one landed text per target URL (the longest, ties to the larger digest): picked
+    # by keys alone, then the picked rows' texts; equal rows collapse by digest
+    keyed = landed_text.select("transform_url", "text", F.length("text").alias("_n"), TX.sha256_hex(F.col("text")).alias("_d"))
+    best = keyed.filter(F.col("_d").isNotNull()).groupBy(F.col("transform_url").alias("_t")).agg(F.max(F.struct("_n", "_d")).alias("_best"))
+    chosen = keyed.join(best, (F.col("transform_url") == F.col("_t")) & (F.col("_d") == F.col("_best._d"))).groupBy("_t").agg(
+        F.first("text").alias("text"))
+    got = routed.join(chosen, F.when(F.col("_digest").isNull(), routed["transform_url"]) == F.col("_t"), "left")
+    if body_dir is not None:
+        bodies = BS.read_body_store(spark, body_dir).select(F.col("sha256").alias("_s"), BS.body_text(F.col("body")).alias("_body"))
+        got = got.join(bodies, F.col("_digest") == F.col("_s"), "left").withColumn("text", F.coalesce("text", "_body"))
     ok = F.col("text").isNotNull()
+    missing = F.when(F.col("_digest").isNotNull(), F.lit("MissingContent: no stored body for body_path")).otherwise(
+        F.lit("MissingContent: nothing landed for transform_url"))
     out = got.select(
         "review_id", "source_url", "final_url", "permission_basis", "transform_method", "transform_url",
         F.when(ok, F.lit("ok")).otherwise(F.lit("error")).alias("transform_status"),
-        F.when(~ok, F.lit("MissingContent: nothing landed for transform_url")).alias("transform_error"),
+        F.when(~ok, missing).alias("transform_error"),
         F.col("text").alias("content"), "ord", ok.alias("_ok"))
     out = TR.landed_text(out)
     out = out.withColumn("content_sha256", F.when(F.col("_ok"), F.col("content_sha256"))).drop("_ok")
-    S.write_jsonl(out, os.path.join(output_dir, "transformed"), overwrite=overwrite, order_by="ord")
-    summary = TR.transform_summary(out, ledger)
-    S.write_summary(summary, os.path.join(output_dir, "transform_summary"), overwrite=overwrite)
+    with S.RunOutput(spark, output_dir, ("transformed", "transform_summary"), overwrite) as run:
+        out = staged(out, "transformed")
+        S.write_jsonl(out, run["transformed"], order_by="ord")
+        summary = TR.transform_summary(out, ledger)
+        S.write_summary(summary, run["transform_summary"])
     return summary

@@ -409,7 +409,7 @@ group by 1
 
 ORACLE["normalize_text"] = with_ctes(f"""
 select doc_id, c as content, sha256(c) as content_sha256
-from (select doc_id, {strip(rx('content', chr(92) + 'r' + chr(92) + 'n?', NL))} as c from crlf_fx) t
+from (select doc_id, {strip(rx('content', r'\r\n?', NL))} as c from crlf_fx) t
 """, "crlf_fx")
 
 ORACLE["transform_summary"] = with_ctes("", "transformed_fx") + f""",

@@ -6,16 +6,14 @@ becoming visible.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill import config as C
-
-
-def path_exists(spark, path: str) -> bool:
-    """Whether a path exists in whatever file system its URI names."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from corpusmill.sinks.body_store import append_bodies  # noqa: F401 - one of the sinks
+from corpusmill.sources.files import path_exists
 
 
 def require_new(spark, paths, overwrite: bool) -> None:
@@ -90,8 +88,59 @@ def write_target_list(targets: DataFrame, path: str, order_cols=("index", "pos")
     targets.orderBy(*order_cols).select("url").write.mode(_mode(overwrite)).text(path)
 
 
-def append_bodies(bodies: DataFrame, store_path: str) -> None:
-    """Content-addressed body store: append bodies whose digest is new
-    (see ``operators.fetch.new_bodies``); partitioned by digest prefix."""
-    (bodies.withColumn("sha_prefix", F.substring("sha256", 1, 2))
-     .write.mode("append").partitionBy("sha_prefix").parquet(store_path))
+class RunOutput:
+    """All outputs of one run, or none: sinks write into a folder of the run's own
+    beside the outputs, and leaving the ``with`` block renames them into place. An
+    error in the block or while renaming removes what the run wrote and brings back
+    what it had replaced. Existing outputs are refused before the first write unless
+    ``overwrite``. A rename is one step on HDFS and local disks; object stores copy.
+
+    ``with RunOutput(spark, folder, ["a", "b"], overwrite) as run: write(run["a"])``
+    """
+
+    def __init__(self, spark, folder: str, names, overwrite: bool = False):
+        self.spark, self.names, self.overwrite = spark, list(names), overwrite
+        self.folder = folder.rstrip("/")
+        self.scratch = f"{self.folder}/_run-{uuid.uuid4().hex}"
+
+    def __getitem__(self, name: str) -> str:
+        if name not in self.names:
+            raise KeyError(name)
+        return f"{self.scratch}/new/{name}"
+
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        return self._path(self.folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def __enter__(self):
+        require_new(self.spark, [f"{self.folder}/{n}" for n in self.names], self.overwrite)
+        return self
+
+    def _rename(self, fs, source: str, target: str) -> None:
+        fs.mkdirs(self._path(target).getParent())
+        if not fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    def __exit__(self, kind, error, trace) -> bool:
+        fs, undo = self._fs(), []
+        try:
+            if kind is None:
+                for n in self.names:
+                    target = f"{self.folder}/{n}"
+                    if fs.exists(self._path(target)):
+                        if not self.overwrite:  # came up while the run was at work
+                            raise FileExistsError(f"output exists: {target}")
+                        self._rename(fs, target, f"{self.scratch}/old/{n}")
+                        undo.append((f"{self.scratch}/old/{n}", target))
+                    if fs.exists(self._path(self[n])):
+                        self._rename(fs, self[n], target)
+                        undo.append((target, self[n]))
+        except BaseException:
+            for source, target in reversed(undo):
+                self._rename(fs, source, target)
+            raise
+        finally:
+            fs.delete(self._path(self.scratch), True)
+        return False

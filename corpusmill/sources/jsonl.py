@@ -15,18 +15,12 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import text as TX
 from corpusmill.session import staged
+from corpusmill.sources.files import MAX_BROADCAST_BYTES, file_path
+from corpusmill.sources.json_items import read_json_items
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 
 
-MAX_BROADCAST_BYTES = 256 << 20  # of the split offsets; beyond it their join is a regular one
-
-
-def file_path() -> Column:
-    """The input file of a row as a plain path (Spark reports it percent-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def read_lines(spark: SparkSession, paths, keep_blank: bool = False) -> DataFrame:
     """(file, line, ord, value): lines with their 1-based number in the file and
     over all files (files in name order; unique, so it can serve as a key).
@@ -89,16 +83,6 @@ def read_jsonl(spark: SparkSession, paths, schema: T.StructType, text_keys=()) -
         "file", "line", "ord", "r.*", "_corrupt", "_not_text")
 
 
-def read_json_items(spark: SparkSession, paths) -> DataFrame:
-    """Whole-file JSON, one value or an array of values: (file, item, value) with
-    the 0-based item number and the item's JSON text."""
-    docs = spark.read.option("wholetext", True).text(paths).select(
-        file_path().alias("file"), F.ltrim(F.regexp_replace("value", "^\ufeff", "")).alias("v"))
-    items = F.try_variant_get(F.try_parse_json("v"), "$", "array<variant>")
-    texts = F.when(items.isNotNull(), F.transform(items, lambda x: F.to_json(x))).otherwise(F.array("v"))
-    return docs.select("file", F.posexplode(texts).alias("item", "value"))
-
-
 def read_json_documents(spark: SparkSession, paths, item_schema: T.StructType) -> DataFrame:
     """``read_json_items`` parsed with a fixed schema: (file, item_index, fields...)."""
     items = read_json_items(spark, paths)

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.sources.jsonl import file_path, json_type, read_jsonl
+from corpusmill.sources.files import file_path
+from corpusmill.sources.json_items import read_json_members
+from corpusmill.sources.jsonl import json_type, read_jsonl
 
 ARTIFACTS = T.StructType([T.StructField("language", T.StringType()), T.StructField("has_code", T.BooleanType())])
 RECORD_DEFAULTS = T.StructType([
@@ -91,15 +93,16 @@ def manifest_records(manifests: DataFrame, key: str = "manifest") -> DataFrame:
 
 def read_fetch_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Fetch manifest -> one row per record with its 1-based position and the
-    batch name (falling back to the parent folder name). A leading BOM is
-    tolerated because the document is parsed from its text."""
-    raw = spark.read.option("wholetext", True).text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value"), file_path().alias("file"))
-    doc = raw.select(F.from_json("value", FETCH_MANIFEST).alias("d"), "file")
-    batch = F.coalesce(F.when(F.col("d.batch_name") != "", F.col("d.batch_name")),
-                       F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
-    recs = doc.select(batch.alias("batch_name"), F.posexplode("d.records").alias("pos", "r"))
-    return recs.select("batch_name", (F.col("pos") + 1).alias("ord"), "r.*")
+    batch name (falling back to the parent folder name). The document is read in
+    splits, however many records it holds; a leading BOM is tolerated."""
+    members = read_json_members(spark, path)
+    named = members.filter((F.col("key") == "batch_name") & F.col("item").isNull()).groupBy(F.col("file").alias("_f")).agg(
+        F.try_variant_get(F.try_parse_json(F.max("value")), "$", "string").alias("named"))
+    recs = members.filter((F.col("key") == "records") & F.col("item").isNotNull())
+    batch = F.coalesce(F.when(F.col("named") != "", F.col("named")), F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
+    return recs.join(F.broadcast(named), F.col("file") == F.col("_f"), "left").select(
+        batch.alias("batch_name"), (F.col("item") + 1).alias("ord"), F.from_json("value", FETCH_RECORD).alias("r")).select(
+        "batch_name", "ord", "r.*")
 
 
 def read_fetch_records(spark: SparkSession, path: str) -> DataFrame:

@@ -356,7 +356,7 @@ def test_undeclared_keys_pass_and_defaults_merge_deeply(spark, tmp_dir):
     i, j, k = out["i"], out["j"], out["k"]
     assert i["writeup_year"] == 2021 and i["tags"] == ["d"] and i["meta"] == {"a": 2, "deep": {"x": "d", "y": "r"}}
     assert i["artifacts"] == {"language": None, "has_code": True, "source_url": "u", "tool": "d"} and i["prompt"] == "p"
-    assert j["meta"] == {"a": 1, "deep": {"x": "d", "y": "r"}} and (j["odd"], k["odd"]) == ("[1]", '{"z":1}')
+    assert j["meta"] == {"a": 1, "deep": {"x": "d", "y": "r"}} and (j["odd"].toJson(), k["odd"].toJson()) == ("[1]", '{"z":1}')
     only = JB.build_dataset(spark, f"{tmp_dir}/m", tmp_dir, infer_extra=False).samples
     assert "tags" not in only.columns and "prompt" not in only.columns
 
