@@ -180,6 +180,14 @@ def clean_content(content, method, unescape: str = "exact", marker: str = C.PREA
     return py_strip(collapse_blank_lines(s))
 
 
+def with_clean_content(df, content: str, method: str, out: str, unescape: str = "exact", marker: str = C.PREAMBLE_MARKER):
+    """``clean_content`` as staged projections on a frame, each text step once."""
+    df = df.withColumn("_s0", py_strip(F.col(content)))
+    is_html = (F.coalesce(F.col(method), F.lit("")) == "local_cached_body") | looks_like_html(F.col("_s0"))
+    df = with_html_text(df, "_s0", "_s1", unescape, only_when=is_html)
+    return df.withColumn(out, py_strip(collapse_blank_lines(strip_preamble(F.col("_s1"), marker)))).drop("_s0", "_s1")
+
+
 def truncate(c, n: int) -> Column:
     """First ``n`` code points, then stripped."""
     return py_strip(F.substring(col(c), 1, n))

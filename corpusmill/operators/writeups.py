@@ -25,7 +25,7 @@ from corpusmill.functions import ordering as ORD
 from corpusmill.functions import text as TX
 from corpusmill.functions import urls as U
 from corpusmill.operators.transform import route_method
-from corpusmill.session import spread
+from corpusmill.session import spread, staged
 
 DEFAULT = CurationConfig()
 
@@ -134,7 +134,7 @@ def prepare_rows(transformed: DataFrame, cfg: CurationConfig = DEFAULT) -> DataF
     src = F.col("source_url") if "source_url" in cols else None
     body = F.col("body_path") if "body_path" in cols else F.lit(None).cast("string")
     method = F.col("transform_method") if "transform_method" in cols else F.lit(None).cast("string")
-    df = spread(transformed.filter(F.col("transform_status") == "ok")).select(
+    df = transformed.filter(F.col("transform_status") == "ok").select(
         F.col("ord").cast("bigint").alias("ord"),
         U.row_url(F.col("final_url"), src).alias("url"),
         method.alias("transform_method"),
@@ -181,53 +181,81 @@ def select_preferred(rows: DataFrame, links: DataFrame | None, cfg: CurationConf
         ORD.ord_of_best(F.col("best")).alias("ord"), "group_key", "first_ord", F.col("group_rows").cast("bigint").alias("group_rows"))
 
 
-def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:
+def with_curated_text(df: DataFrame, out: str, cfg: CurationConfig = DEFAULT) -> DataFrame:
+    """``curated_text`` of (content, transform_method) as staged projections."""
+    df = TX.with_clean_content(df, "content", "transform_method", "_clean", cfg.unescape, cfg.preamble_marker)
+    return df.withColumn(out, TX.truncate(TX.redact_flags(F.col("_clean")), cfg.max_chars)).drop("_clean")
+
+
+def curate_rows(rows: DataFrame, cfg: CurationConfig = DEFAULT, carry=()) -> DataFrame:
     """Per-row text work, staged as narrow projections (each step one column,
     so every stage stays small enough for whole-stage codegen): final content,
-    drop reason, category, has_code. Dropped rows keep no text."""
-    df = rows.select("ord", "url", "host", "path", "transform_method", "prio", "raw_len",
-                     TX.py_strip(F.col("content")).alias("s0"))
-    is_html = (F.coalesce(F.col("transform_method"), F.lit("")) == "local_cached_body") | TX.looks_like_html(F.col("s0"))
-    df = TX.with_html_text(df, "s0", "s1", cfg.unescape, only_when=is_html)
-    df = df.withColumn("s2", TX.py_strip(TX.collapse_blank_lines(TX.strip_preamble(F.col("s1"), cfg.preamble_marker))))
-    df = df.withColumn("text", TX.truncate(TX.redact_flags(F.col("s2")), cfg.max_chars))
+    drop reason, category, has_code. Dropped rows keep no text. ``carry`` names
+    other columns that stay."""
+    names = ["ord", "url", *carry]
+    df = with_curated_text(rows.select(*names, "host", "path", "transform_method", "content"), "text", cfg)
     reason = (
         F.when(F.length(F.coalesce("text", F.lit(""))) < cfg.min_chars, F.lit("short"))
         .when(~keep_record_parsed(F.col("host"), F.col("path"), F.col("text"), cfg), F.lit("low_signal"))
     )
-    df = df.select("ord", "url", "prio", "raw_len", reason.alias("drop_reason"), "text")
+    df = df.select(*names, reason.alias("drop_reason"), "text")
     # Filters on drop_reason downstream must not be re-derived from the whole
     # text chain below this point; predicates on generator output are not
     # pushed below a Generate, so the chain is evaluated once per row.
-    df = df.select(F.inline(F.array(F.struct("ord", "url", "prio", "raw_len", "drop_reason", "text"))))
+    df = df.select(F.inline(F.array(F.struct(*names, "drop_reason", "text"))))
     kept = F.col("drop_reason").isNull()
-    df = df.select("ord", "url", "prio", "raw_len", "drop_reason", F.when(kept, F.col("text")).alias("content"))
+    df = df.select(*names, "drop_reason", F.when(kept, F.col("text")).alias("content"))
     df = with_category(df, "url", "content", "category", cfg)
     return df.withColumn("has_code", TX.has_code(F.col("content")))
 
 
+#: Winners sent to every task, with their group's facts; beyond so many rows a
+#: filter of ``FILTER_BITS`` goes there instead and the facts are joined afterwards.
+BROADCAST_WINNERS = 2_000_000
+FILTER_BITS = 1 << 27
+
+
+def _winners_only(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows whose ``ord`` may be a winner's, by a bitmap of hashed ordinals of fixed
+    size (built and probed in the JVM). It lets a few others pass."""
+    def bit(ord_col):
+        return F.pmod(F.xxhash64(ord_col), F.lit(FILTER_BITS))
+    # numbers from 1: a bucket holds 32 768 of them
+    place = (bit(F.col("ord")) + 1).alias("p")
+    maps = winners.select(place).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_map"))
+    number = bit(F.col("ord")) + 1
+    at = F.bitmap_bit_position(number)
+    probe = rows.withColumn("_in", F.bitmap_bucket_number(number)).join(F.broadcast(maps), F.col("_in") == F.col("_bucket"))
+    byte = F.conv(F.hex(F.substring("_map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return probe.filter(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def curate_writeups(transformed: DataFrame, links: DataFrame | None = None, cfg: CurationConfig = DEFAULT,
-                    stage_dir: str | None = None) -> DataFrame:
+                    stage_dir: str | None = None, broadcast_winners: int = BROADCAST_WINNERS) -> DataFrame:
     """One row per selected group: ord, group_key, first_ord, group_rows, url,
     drop_reason, content, category, has_code, split.
 
-    Lazy by default: the key side and the text side each scan the input (the
-    key side reads only what it needs for the priority). With ``stage_dir``
-    (a folder under the shared checkpoint location) the input is scanned
-    once: per-row results (keys plus at most ``max_chars`` of text) are
-    written there as Parquet, and both sides read that table. This also cuts
+    The winners are found first, from keys and text lengths, and staged; the text
+    is then scanned for them alone, so nothing else is cleaned and no raw text is
+    shuffled. ``stage_dir`` (a folder under the shared checkpoint location) keeps
+    the result as Parquet, for callers that read it more than once; it also cuts
     lineage, so recovery never repeats the text work."""
     rows = prepare_rows(transformed, cfg)
-    text = curate_rows(rows, cfg)
-    if stage_dir is not None:
-        text.write.mode("errorifexists").parquet(stage_dir)
-        text = transformed.sparkSession.read.parquet(stage_dir)
-        keys = text.select("ord", "url", "prio", "raw_len")
+    winners = staged(select_preferred(rows, links, cfg), "winners")
+    facts = winners.withColumnRenamed("ord", "_w")
+    carry = [c for c in winners.columns if c != "ord"]
+    if winners.count() <= broadcast_winners:
+        met = rows.join(F.broadcast(facts), F.col("ord") == F.col("_w")).drop("_w")
+        out = curate_rows(spread(met), cfg, carry)
     else:
-        keys = rows
-    winners = select_preferred(keys, links, cfg)
-    out = text.drop("prio", "raw_len").join(winners, "ord", "inner")
-    return out.withColumn("split", F.when(F.col("drop_reason").isNull(), split_for(F.col("group_key"), cfg)))
+        some = curate_rows(spread(_winners_only(rows, winners)), cfg)
+        out = some.join(facts, F.col("ord") == F.col("_w")).drop("_w")
+    out = out.withColumn("split", F.when(F.col("drop_reason").isNull(), split_for(F.col("group_key"), cfg)))
+    if stage_dir is not None:
+        out.write.mode("errorifexists").parquet(stage_dir)
+        out = transformed.sparkSession.read.parquet(stage_dir)
+    return out
 
 
 def build_samples(curated: DataFrame, cfg: CurationConfig = DEFAULT) -> DataFrame:

@@ -105,7 +105,8 @@ def q_link_groups(spark, sf_dir):
 @query("clean_content")
 def q_clean_content(spark, sf_dir):
     rows = _ok_rows(spark, sf_dir)
-    return rows.select("ord", "transform_method", TX.clean_content(F.col("content"), F.col("transform_method")).alias("content"))
+    clean = TX.with_clean_content(spread(rows.select("ord", "transform_method", "content")), "content", "transform_method", "clean")
+    return clean.select("ord", "transform_method", F.col("clean").alias("content"))
 
 
 @query("html_to_text")
@@ -139,7 +140,7 @@ def q_redact_flags(spark, sf_dir):
 def q_truncate_min_length(spark, sf_dir):
     rows = _ok_rows(spark, sf_dir)
     cfg = W.DEFAULT
-    t = rows.select("ord", W.curated_text(F.col("content"), F.col("transform_method"), cfg).alias("content"))
+    t = W.with_curated_text(spread(rows.select("ord", "transform_method", "content")), "content", cfg).select("ord", "content")
     n = F.length("content").cast("bigint")
     return t.select("ord", "content", n.alias("n_chars"), (n < cfg.min_chars).alias("too_short"))
 
@@ -147,7 +148,7 @@ def q_truncate_min_length(spark, sf_dir):
 @query("low_signal_filter")
 def q_low_signal_filter(spark, sf_dir):
     rows = _ok_rows(spark, sf_dir)
-    t = rows.select("ord", "url", W.curated_text(F.col("content"), F.col("transform_method")).alias("text"))
+    t = W.with_curated_text(spread(rows.select("ord", "url", "transform_method", "content")), "text")
     return t.select("ord", "url", W.keep_record(F.col("url"), F.col("text")).alias("keep"))
 
 

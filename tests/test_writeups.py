@@ -136,3 +136,22 @@ def test_staged_equals_lazy(spark, tmp_dir):
     lazy = sorted(tuple(r) for r in W.curate_writeups(fx, en).select(*cols).collect())
     staged = sorted(tuple(r) for r in W.curate_writeups(fx, en, stage_dir=f"{tmp_dir}/stage").select(*cols).collect())
     assert lazy == staged and len(lazy) > 0
+
+
+def test_winners_are_found_before_the_text_is_cleaned(spark):
+    """One scan of the text in the result's plan, no exchange of it, and the two
+    ways of sending the winners to the scan agree."""
+    from corpusmill.plans.fixtures import fixture
+
+    sf = "/root/testdata/sf0.001"
+    rows, links = fixture(spark, sf, "transformed_fx"), fixture(spark, sf, "enumeration_fx")
+    direct, filtered = W.curate_writeups(rows, links), W.curate_writeups(rows, links, broadcast_winners=0)
+    columns = sorted(direct.columns)
+    assert sorted(map(str, direct.select(*columns).collect())) == sorted(map(str, filtered.select(*columns).collect()))
+    plan = direct._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("documents.parquet") == 1 and plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+    prepared = W.prepare_rows(rows)
+    winners = W.select_preferred(prepared, links)
+    few = winners.filter(F.col("ord") % 7 == 0)
+    passed = {r["ord"] for r in W._winners_only(prepared, few).select("ord").collect()}
+    assert {r["ord"] for r in few.select("ord").collect()} <= passed and len(passed) < prepared.count() / 2
