@@ -5,8 +5,11 @@ starts with the rule's path; of the fitting rules the longest decides. Urls that
 no rule fits get their host's verdict: hosts are seeded with the share of their
 pages that rules allow (trust) or block (distrust). Trust follows links forward
 as a personalised PageRank; distrust follows them backward, from a blocked host
-to those that link to it. A host whose distrust exceeds its trust by more than
-``THRESHOLD``, on the scale of the seeds, is blocked.
+to those that link to it. What a host receives is measured against what it would
+receive if every host were a full seed, so a host that links to blocked hosts alone
+has full distrust whether they have two links or millions. The host's own rules
+count for the pages they fit, the received shares for the rest; a host whose
+distrust exceeds its trust by more than ``THRESHOLD`` is blocked.
 
 DataFrame functions only. Edges are counted per host pair before the shuffle,
 ranks are staged every round, so a hub's edges can be split in the joins, and
@@ -63,29 +66,40 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) on the scale of the seeds (host, t0, d0)."""
+    """(host, trust, distrust), both from 0 to 1, for seeds (host, t0, d0) with
+    t0 + d0 <= 1: the seed, and for the rest of the host the share of received rank
+    that comes from seeds. ``u`` and ``v`` are the ranks with every host a seed."""
     edges = stage(edges, "edges")
     outs = edges.groupBy("src").agg(F.sum("n").alias("so"))
     ins = edges.groupBy("dst").agg(F.sum("n").alias("si"))
     edges = stage(
         edges.join(stage(outs, "outs"), "src").join(stage(ins, "ins"), "dst")
         .select("src", "dst", (F.col("n") / F.col("so")).alias("forward"), (F.col("n") / F.col("si")).alias("back")), "weights")
-    seeds = stage(seeds, "seeds")
-    rank = seeds.select("host", F.col("t0").alias("t"), F.col("d0").alias("d"))
     none = F.lit(0.0)
+    linked = edges.select(F.explode(F.array("src", "dst")).alias("host")).distinct().select("host", none.alias("t0"), none.alias("d0"))
+    seeds = stage(seeds.select("host", "t0", "d0").unionByName(linked).groupBy("host").agg(F.max("t0").alias("t0"), F.max("d0").alias("d0")), "seeds")
+    start = seeds.select("host", F.col("t0").alias("t"), F.col("d0").alias("d"), F.lit(1.0).alias("u"), F.lit(1.0).alias("v"))
+    rank, names = start, ("t", "d", "u", "v")
+    moved = sum((F.sum(c) for c in names), F.lit(0.0))
     for _ in range(rounds):
+        def passed(c, weight):
+            return (F.lit(damping) * F.col(c) * F.col(weight)).alias(c)
         trust = edges.join(rank, edges["src"] == rank["host"]).select(
-            F.col("dst").alias("host"), (F.lit(damping) * F.col("t") * F.col("forward")).alias("t"), none.alias("d"))
+            F.col("dst").alias("host"), passed("t", "forward"), none.alias("d"), passed("u", "forward"), none.alias("v"))
         distrust = edges.join(rank, edges["dst"] == rank["host"]).select(
-            F.col("src").alias("host"), none.alias("t"), (F.lit(damping) * F.col("d") * F.col("back")).alias("d"))
-        again = seeds.select("host", F.col("t0").alias("t"), F.col("d0").alias("d"))
-        new = stage(again.unionByName(trust).unionByName(distrust).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "ranks")
-        moved = new.agg(F.sum(F.col("t") + F.col("d"))).first()[0]
-        before = rank.agg(F.sum(F.col("t") + F.col("d"))).first()[0]
+            F.col("src").alias("host"), none.alias("t"), passed("d", "back"), none.alias("u"), passed("v", "back"))
+        new = stage(start.unionByName(trust).unionByName(distrust).groupBy("host").agg(*[F.sum(c).alias(c) for c in names]), "ranks")
+        still = new.agg(moved).first()[0] == rank.agg(moved).first()[0]
         rank = new
-        if moved == before:
+        if still:
             break  # mass only grows from round to round: nothing moved
-    return rank.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
+    own = seeds.select(F.col("host").alias("h"), "t0", "d0")
+    rest = 1 - F.col("t0") - F.col("d0")
+
+    def share(c, every, seed):
+        got = F.when(F.col(every) > 1, (F.col(c) - F.col(seed)) / (F.col(every) - 1)).otherwise(0.0)
+        return F.col(seed) + rest * got
+    return rank.join(own, rank["host"] == own["h"]).select("host", share("t", "u", "t0").alias("trust"), share("d", "v", "d0").alias("distrust"))
 
 
 def judge_urls(pages: DataFrame, rules, threshold: float = THRESHOLD) -> DataFrame:
@@ -119,14 +133,18 @@ def judge_sql(rules, rounds: int = ROUNDS, damping: float = DAMPING, threshold:
         "e AS (SELECT src, dst, count(*) AS n FROM l WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL)",
         "w AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS f, n / sum(n) OVER (PARTITION BY dst) AS b FROM e)",
         "s0 AS (SELECT host, avg(CASE WHEN v = 'allow' THEN 1.0 ELSE 0.0 END) AS t, avg(CASE WHEN v = 'block' THEN 1.0 ELSE 0.0 END) AS d "
-        "FROM r WHERE host <> '' GROUP BY host)",
+        "FROM (SELECT host, v FROM r UNION ALL SELECT DISTINCT h, 'none' FROM (SELECT src AS h FROM e UNION SELECT dst FROM e) "
+        "WHERE h NOT IN (SELECT host FROM r)) WHERE host <> '' GROUP BY host)",
+        "q0 AS (SELECT host, t, d, 1.0::DOUBLE AS u, 1.0::DOUBLE AS v FROM s0)",
     ]
     for k in range(rounds):
         parts.append(
-            f"s{k + 1} AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT host, t, d FROM s0 UNION ALL "
-            f"SELECT dst, {damping} * t * f, 0.0 FROM w JOIN s{k} ON src = host UNION ALL "
-            f"SELECT src, 0.0, {damping} * d * b FROM w JOIN s{k} ON dst = host) GROUP BY host)")
+            f"q{k + 1} AS (SELECT host, sum(t) AS t, sum(d) AS d, sum(u) AS u, sum(v) AS v FROM (SELECT host, t, d, u, v FROM q0 UNION ALL "
+            f"SELECT dst, {damping} * t * f, 0.0, {damping} * u * f, 0.0 FROM w JOIN q{k} ON src = host UNION ALL "
+            f"SELECT src, 0.0, {damping} * d * b, 0.0, {damping} * v * b FROM w JOIN q{k} ON dst = host) GROUP BY host)")
+    share = lambda c, every: f"(s0.{c} + (1 - s0.t - s0.d) * CASE WHEN q.{every} > 1 THEN (q.{c} - s0.{c}) / (q.{every} - 1) ELSE 0 END)"
+    parts.append(f"j AS (SELECT s0.host, {share('t', 'u')} - {share('d', 'v')} AS balance FROM s0 JOIN q{rounds} q ON q.host = s0.host)")
     return (
-        "WITH " + ",\n".join(parts) + f"\nSELECT page_id, r.host, path, rule, coalesce(v, CASE WHEN t - d < {-(threshold + SLACK)!r} "
-        f"THEN 'block' ELSE 'allow' END) AS verdict FROM r LEFT JOIN s{rounds} s ON r.host = s.host"
+        "WITH " + ",\n".join(parts) + f"\nSELECT page_id, r.host, path, rule, coalesce(v, CASE WHEN balance < {-(threshold + SLACK)!r} "
+        "THEN 'block' ELSE 'allow' END) AS verdict FROM r LEFT JOIN j ON r.host = j.host"
     )

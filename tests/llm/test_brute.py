@@ -313,16 +313,42 @@ def test_link_graph(spark):
         outs[a] += k
         ins[b] += k
     seed = {v: {h: sum(host[i] == h and rule[i][1] == v for i in host) / n[h] for h in n} for v in ("allow", "block")}
-    t, d = dict(seed["allow"]), dict(seed["block"])
-    for _ in range(linkgraph.ROUNDS):
-        nt, nd = collections.Counter(seed["allow"]), collections.Counter(seed["block"])
-        for (a, b), k in edge.items():
-            nt[b] += 0.85 * t.get(a, 0) * k / outs[a]
-            nd[a] += 0.85 * d.get(b, 0) * k / ins[b]
-        t, d = nt, nd
-    want = {(i, host[i], rule[i][0], rule[i][1] or ("block" if t[host[i]] - d[host[i]] < -0.1 else "allow")) for i in host}
-    got = {(x["page_id"], x["host"], x["rule"], x["verdict"]) for x in linkgraph.judge_urls(df, rules, 0.1).collect()}
-    assert got == want and len({x[3] for x in want if x[2] is None}) == 2
+
+    def spread(start, back):
+        rank = dict(start)
+        for _ in range(linkgraph.ROUNDS):
+            new = collections.Counter(start)
+            for (a, b), k in edge.items():
+                new[a if back else b] += 0.85 * rank.get(b if back else a, 0) * k / (ins[b] if back else outs[a])
+            rank = new
+        return rank
+
+    every = {h: 1.0 for h in {*n, *outs, *ins}}
+    verdicts = {}
+    for h in n:
+        rest, balance = 1 - seed["allow"][h] - seed["block"][h], 0
+        for sign, kind, back in ((1, "allow", False), (-1, "block", True)):
+            got, most = spread(seed[kind], back)[h] - seed[kind][h], spread(every, back)[h] - 1
+            balance += sign * (seed[kind][h] + rest * (got / most if most > 0 else 0))
+        verdicts[h] = balance
+    for threshold in (linkgraph.THRESHOLD, 0.1):
+        want = {(i, host[i], rule[i][0], rule[i][1] or ("block" if verdicts[host[i]] < -threshold else "allow")) for i in host}
+        got = {(x["page_id"], x["host"], x["rule"], x["verdict"]) for x in linkgraph.judge_urls(df, rules, threshold).collect()}
+        assert got == want
+    assert len({x[3] for x in want if x[2] is None}) == 2
+
+
+@pytest.mark.parametrize("linkers", [1, 2, 10, 1000])
+def test_linkers_to_a_blocked_host_are_judged_alike(spark, linkers):
+    """With the production threshold, at every in-degree; half the links to it are not enough."""
+    link = '<a href="http://bad.net/">x</a>'
+    pages = [(0, "http://bad.net/", "")] + [(1 + i, f"http://h{i}.org/", link) for i in range(linkers)]
+    pages += [(-1, "http://half.org/", link + "<a href='//fine.org'>y</a>"), (-2, "http://fine.org/", ""), (-3, "http://liked.org/", link),
+              (-4, "http://good.com/", "<a href='//liked.org'>z</a>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in linkgraph.judge_urls(df, [("net", "/", "block"), ("good.com", "/", "allow")]).collect()}
+    assert all(got[1 + i] == "block" for i in range(linkers))
+    assert got[-2] == "allow" and got[-3] == "allow" and got[0] == "block"
 
 
 def test_warc_streams():
