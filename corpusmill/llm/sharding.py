@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage
 
+#: Equal rows written out by one step.
+CHUNK = 10_000
 SLOTS = 8192
 SHARDS = 16
 
@@ -97,7 +99,16 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -
     inside = W.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size").rowsBetween(W.unboundedPreceding, -1)
     put = recs.withColumn("at", F.coalesce(F.sum("m").over(inside), F.lit(0)).cast("long")).join(places.drop("n"), "vslot")
     first = F.col("base") + F.col("at")
-    put = put.withColumn("slot", F.explode(F.sequence(first, first + F.col("m") - 1)))
+    # equal rows come as a count: runs of CHUNK are dealt out, then written out
+    put = put.withColumn("first", first).withColumn("to", first + F.col("m")).drop("m", "at", "base")
+    put = stage(put, "runs")
+    few, many = put.filter(F.col("to") - F.col("first") <= CHUNK), put.filter(F.col("to") - F.col("first") > CHUNK)
+    # (first level of runs, for counts beyond CHUNK * CHUNK)
+    wide = F.lit(CHUNK * CHUNK).cast("long")
+    for size in (wide, F.lit(CHUNK).cast("long")):
+        many = many.withColumn("first", F.explode(F.sequence(F.col("first"), F.col("to") - 1, size)))
+        many = many.withColumn("to", F.least(F.col("to"), F.col("first") + size)).repartition(F.col("first"))
+    put = few.unionByName(many).withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("to") - 1)))
     return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), "vslot", "map_version")
 
