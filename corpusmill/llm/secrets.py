@@ -25,6 +25,8 @@ import base64
 import hashlib
 import os
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -95,12 +97,14 @@ class Scanner:
 
     def random(self, text: str, base) -> list[tuple[int, int, int]]:
         out = []
+        # of the base spans that begin no later, the one that reaches furthest
+        starts, reach = [a for a, _, _ in base], [0, *accumulate((b for _, _, b in base), max)]
         for m in self.run.finditer(text):
             s, e = m.span()
             if self.known.fullmatch(m[0]):
                 continue
             spans = [(s, e)] if self.dealt(m[0]) else self.stretches(m[0], s)
-            out += [(i, 3, j) for i, j in spans if not any(a <= i and j <= b for a, _, b in base)]
+            out += [(i, 3, j) for i, j in spans if j > reach[bisect_right(starts, i)]]
         return out
 
     def stretches(self, run: str, at: int) -> list[tuple[int, int]]:
