@@ -5,15 +5,19 @@ own size; what is cut off goes to the others by weight until none is above.
 Every document of a source then has the same fractional number of copies,
 target / size of the source. The whole part is taken as it is; the fractions
 are rounded pairwise: two documents move probability mass between them, the
-words they expect together unchanged, until one of them is 0 or 1. Each
-document is rounded up with exactly its fraction's probability, and a source's
-taken words differ from its target by less than its largest document.
+words they expect together unchanged, until one of them is 0 or 1. Long documents
+are settled first, then shorter ones: what the last open document of a tier misses
+or takes too much (nothing, in expectation) is dealt evenly over the fractions of the
+next tier. So each document is rounded up with its fraction's probability, and a
+source's taken words differ from its target by less than the longest document of
+its last tier, as long as the shorter ones can take up the difference.
 
 The pairing is a reduction tree over hash cells. Documents are dealt to cells
 of about ``CELL`` by a hash of their content; a task settles a cell and hands on
 at most one unsettled document, and cells of the next level gather those of
-``FAN`` cells. No task holds a source, and the driver holds nothing but the
-number of rows. Random numbers are hashes of (seed, level, cell, order), so
+``FAN`` cells. Equal rows are one entry with their number: the whole part of what
+they expect together is certain, the rest is one fraction. No task holds a source or
+a group of equal rows, and the driver holds nothing but the number of rows. Random numbers are hashes of (seed, level, cell, order), so
 reruns agree whatever the partitioning.
 
 Defined results: null or blank texts have size 0 and are taken 0 times; null
@@ -39,6 +43,10 @@ WEIGHTS = (5, 2, 1)  # of the sources in code-point order, repeating
 CAP = 3
 CELL, FAN = 512, 512
 SEED = 20240229
+#: A tier holds the documents longer than so many times their source's mean.
+TIERS = (1.0, 0.125, 0.0)
+#: Equal rows are told apart in so many chunks.
+CHUNKS = 64
 _EPS = 1e-9
 
 
@@ -125,42 +133,85 @@ def _settle(rows: DataFrame, last: bool, level: int) -> DataFrame:
     return rows.groupBy("sid", "cell").applyInPandas(run, StructType([*rows.schema.fields, StructField("up", LongType())]))
 
 
+def _round(todo: DataFrame) -> DataFrame:
+    """(sid, h, id, up) of the entries (sid, h, id, size, p): the reduction tree."""
+    cells = max(1, math.ceil(todo.count() / CELL))
+    todo = todo.select("sid", F.pmod("h", F.lit(cells)).alias("cell"), "h", "id", "size", "p")
+    done, level = None, 0
+    while True:
+        out = stage(_settle(todo, cells == 1, level), "settled")
+        part = out.filter("up IS NOT NULL").select("sid", "h", "id", "up")
+        done = part if done is None else done.unionByName(part)
+        if cells == 1:
+            return done
+        cells, level = math.ceil(cells / FAN), level + 1
+        todo = out.filter("up IS NULL").drop("up").withColumn("cell", F.floor(F.col("cell") / FAN).cast("long"))
+
+
+def _numbered(rows: DataFrame, keys: list[str], chunk: str) -> DataFrame:
+    """``rows`` with ``nth``, from 1, among the rows equal in ``keys``; ``chunk`` is a
+    stored number below CHUNKS that parts a large group."""
+    counts = rows.groupBy(*keys, chunk).agg(F.count("*").alias("n"))
+    upto = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(*[F.col(c).alias(f"{c}_") for c in (*keys, chunk)], F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    rank = F.row_number().over(W.partitionBy(*keys, chunk).orderBy(F.lit(0)))
+    met = rows.withColumn("nth", rank).join(counts, [F.col(c) == F.col(f"{c}_") for c in (*keys, chunk)])
+    return met.withColumn("nth", F.col("nth") + F.col("before")).drop("before", *[f"{c}_" for c in (*keys, chunk)])
+
+
+def _chunk():
+    return F.pmod(F.monotonically_increasing_id(), F.lit(CHUNKS)).cast("int")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken, h), one row for each
     document row; h is a hash of its content."""
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"),
         F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")).alias("h"),
+        _chunk().alias("chunk"),
     )
     base = stage(base, "sizes")
     goals = stage(source_targets(base, weights, cap), "targets")
-    n = base.count()
     same = F.col("source").eqNullSafe(F.col("source_"))
     rate = base.join(goals.withColumnRenamed("source", "source_"), same, "left").drop("source_")
     rate = rate.withColumn("f", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     rate = rate.withColumn("whole", F.least(F.floor(F.col("f") + _EPS), F.lit(cap))).withColumn(
         "p", F.greatest(F.col("f") - F.col("whole"), F.lit(0.0)))
-    rate = stage(rate, "rates")
-    cells = max(1, math.ceil(n / CELL))
-    todo = rate.filter((F.col("size") > 0) & (F.col("p") > _EPS)).select(
-        F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()).alias("sid"), F.pmod("h", F.lit(cells)).alias("cell"),
-        "h", F.coalesce("doc_id", F.lit(-1)).alias("id"), F.col("size"), "p",
-    )
-    done, level = None, 0
-    while True:
-        out = stage(_settle(todo, cells == 1, level), "settled")
-        part = out.filter("up IS NOT NULL").select("h", "id", "size", "up")
-        done = part if done is None else done.unionByName(part)
-        if cells == 1:
-            break
-        cells, level = math.ceil(cells / FAN), level + 1
-        todo = out.filter("up IS NULL").drop("up").withColumn("cell", F.floor(F.col("cell") / FAN).cast("long"))
-    # equal rows share a key: the i-th of them takes the i-th of their results
-    ups = stage(done.groupBy("h", "id").agg(F.sum("up").alias("ups"), F.count("*").alias("of")), "ups")
-    merged = rate.withColumn("id", F.coalesce("doc_id", F.lit(-1))).join(ups, ["h", "id"], "left")
-    alone = merged.filter("of IS NULL OR of = 1 OR ups = 0 OR ups = of").withColumn("up", F.coalesce(F.col("ups") / F.col("of"), F.lit(0)).cast("long"))
-    several = merged.filter("of > 1 AND ups > 0 AND ups < of").withColumn(
-        "up", (F.row_number().over(W.partitionBy("h", "id").orderBy("h")) <= F.col("ups")).cast("long"))
+    rate = stage(rate.withColumn("id", F.coalesce("doc_id", F.lit(-1))), "rates")
+    entries = rate.filter((F.col("size") > 0) & (F.col("p") > _EPS)).groupBy(
+        F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()).alias("sid"), "h", "id", "size", "p").agg(F.count("*").alias("m"))
+    entries = stage(entries, "entries")
+    words = F.col("m") * F.col("size")
+    means = stage(entries.groupBy("sid").agg((F.sum(words) / F.sum("m")).alias("mean")), "means")
+    entries = stage(entries.join(means, "sid"), "tiers")
+    ups = owed = None  # words expected so far and not taken, by source
+    for tier, least in enumerate(TIERS):
+        inside = F.col("size") > F.lit(least) * F.col("mean")
+        if tier:
+            inside &= F.col("size") <= F.lit(TIERS[tier - 1]) * F.col("mean")
+        part = entries.filter(inside).drop("mean")
+        if owed is not None:
+            share = part.groupBy("sid").agg(F.sum(words).alias("held")).join(owed, "sid").select("sid", (F.col("owed") / F.col("held")).alias("shift"))
+            part = part.join(share, "sid", "left").withColumn("q", F.col("p") + F.coalesce("shift", F.lit(0.0))).withColumn(
+                "q", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "q"))).drop("shift")
+        else:
+            part = part.withColumn("q", F.col("p"))
+        part = part.withColumn("sure", F.floor(F.col("m") * F.col("q") + _EPS)).withColumn("rest", F.greatest(F.lit(0.0), F.col("m") * F.col("q") - F.col("sure")))
+        part = stage(part, "tier")
+        done = _round(part.select("sid", "h", "id", "size", F.col("rest").alias("p")))
+        got = part.join(done, ["sid", "h", "id"], "left").select(
+            "sid", "h", "id", "size", "p", "m", (F.col("sure") + F.coalesce("up", F.lit(0))).cast("long").alias("ups"))
+        got = stage(got, "rounded")
+        missed = got.groupBy("sid").agg(F.sum((F.col("m") * F.col("p") - F.col("ups")) * F.col("size")).alias("owed"))
+        owed = stage((missed if owed is None else missed.unionByName(owed)).groupBy("sid").agg(F.sum("owed").alias("owed")), "owed")
+        ups = got if ups is None else ups.unionByName(got)
+    ups = stage(ups.select("h", "id", "ups", F.col("m").alias("of")), "ups")
+    # equal rows share a key: as many of them go up as their entry says
+    merged = rate.join(ups, ["h", "id"], "left")
+    alone = merged.filter("of IS NULL OR ups = 0 OR ups = of").withColumn("up", F.when(F.col("ups") > 0, 1).otherwise(0).cast("long"))
+    several = merged.filter("ups > 0 AND ups < of")
+    several = _numbered(several, ["h", "id"], "chunk").withColumn("up", (F.col("nth") <= F.col("ups")).cast("long")).drop("nth")
     out = alone.unionByName(several)
     out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("up")).otherwise(0).cast("long"))
     return out.select("doc_id", "size", F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"), "target", "copies",
@@ -175,7 +226,8 @@ def apply_mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     taken = stage(taken.filter("__mix_c > 0"), "copies").withColumnRenamed("h", "__mix_h")
     rows = docs.withColumn("__mix_h", key).join(taken, "__mix_h")
     one = rows.filter("__mix_n = 1").withColumn("__mix_k", F.col("__mix_c"))
-    few = rows.filter("__mix_n > 1").withColumn("__mix_r", F.row_number().over(W.partitionBy("__mix_h").orderBy("__mix_h")))
-    few = few.withColumn("__mix_k", F.floor(F.col("__mix_c") / F.col("__mix_n")) + (F.col("__mix_r") <= F.col("__mix_c") % F.col("__mix_n")).cast("long")).drop("__mix_r")
+    few = stage(rows.filter("__mix_n > 1").withColumn("__mix_chunk", _chunk()), "equal-rows")
+    few = _numbered(few, ["__mix_h"], "__mix_chunk").withColumn(
+        "__mix_k", F.floor(F.col("__mix_c") / F.col("__mix_n")) + (F.col("nth") <= F.col("__mix_c") % F.col("__mix_n")).cast("long")).drop("nth", "__mix_chunk")
     every = one.unionByName(few).filter("__mix_k > 0")
     return every.withColumn("__mix_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_k")))).select(*docs.columns)
