@@ -123,12 +123,14 @@ def positional_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFra
     return _keyed(docs).mapInArrow(run, "doc_id long, k long, t long, pos long")
 
 
-def rarest_terms(windows: DataFrame, counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+def rarest_terms(windows: DataFrame, counts: DataFrame, depth: int = DEPTH, whole: bool = True) -> DataFrame:
     """(wid, len, anchors): each window's ``depth`` rarest terms as (n, o, t)
-    structs, rarest first. Windows with a term that no document has are gone."""
+    structs, rarest first. ``whole``: windows with a term that no document has are
+    gone, as they occur nowhere; otherwise their other terms are ranked."""
     terms = windows.select("wid", F.size("terms").alias("len"), F.posexplode("terms").alias("o", "t")).distinct()
     ranked = terms.join(counts, "t").groupBy("wid", "len").agg(F.sort_array(F.collect_list(F.struct("n", "o", "t"))).alias("a"))
-    return ranked.filter(F.size("a") == F.col("len")).select("wid", "len", F.slice("a", 1, depth).alias("anchors"))
+    ranked = ranked.filter(F.size("a") == F.col("len")) if whole else ranked
+    return ranked.select("wid", "len", F.slice("a", 1, depth).alias("anchors"))
 
 
 def _phrases(docs: DataFrame, hits: DataFrame, windows: DataFrame, width: int) -> DataFrame:
@@ -209,11 +211,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, de
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, width: int = WINDOW) -> DataFrame:
-    """(item_id, wid, doc_id, pos1, pos2): the window's two rarest terms within
-    ``slop`` words of their distance in the window, in either direction."""
+    """(item_id, wid, doc_id, pos1, pos2): the window's two rarest terms that the
+    corpus has, within ``slop`` words of their distance in the window, in either
+    direction. A window with fewer than two such terms matches nowhere."""
     windows = stage(item_windows(benchmark, width), "windows")
     counts = term_counts(docs).join(windows.select(F.explode("terms").alias("t")).distinct(), "t", "left_semi")
-    pair = stage(rarest_terms(windows.select("wid", "terms").distinct(), counts, 2).filter("size(anchors) = 2"), "pairs")
+    pair = stage(rarest_terms(windows.select("wid", "terms").distinct(), counts, 2, whole=False).filter("size(anchors) = 2"), "pairs")
     terms = stage(pair.select(F.explode("anchors.t").alias("t")).distinct(), "terms")
     lists = stage(positional_index(docs, terms).join(terms, "t", "left_semi"), "lists")
     cell = slop + 1  # a match is in the same cell of width slop + 1 or a neighbour

@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusmill.llm import bytewords, decontaminate, linkgraph, mixing, ngram_join, queries, secrets, sharding, topk, warc, windows
@@ -128,6 +129,38 @@ def test_proximity(spark):
     assert got <= {1, 2, 3}
 
 
+def test_proximity_exactly(spark):
+    """Every place of the two rarest known terms, also of windows with unknown words."""
+    r = random.Random(4)
+    vocab = [f"w{i}" for i in range(30)]
+    texts = [(i, " ".join(r.choice(vocab) for _ in range(r.randrange(1, 60)))) for i in range(40)] + [(3, "w1 w2"), (None, "w5 w6 w7 w8"), (50, None)]
+    items = [(i, " ".join(r.choice([*vocab, "unseen", "never"]) for _ in range(r.randrange(1, 9)))) for i in range(12)] + [(99, "unseen w1"), (98, "never unseen")]
+    count, want = collections.Counter(w for _, t in set(texts) for w in (t or "").split()), set()
+    rows = list(dict.fromkeys(texts))
+    order = {w: int(np.uint64(h).view(np.int64)) for w, h in zip([*vocab, "unseen", "never"], bytewords.WordHasher(bytewords.ALNUM).words(pa.array([*vocab, "unseen", "never"]))[0])}
+    slop, width = 2, 6
+    for item, text in items:
+        words = text.split()
+        size = min(width, len(words))
+        for at in range(len(words) - size + 1):
+            window = words[at : at + size]
+            known = sorted((count[w], o, order[w], w) for o, w in enumerate(window) if count[w])[:2]
+            if len(known) < 2:
+                continue
+            (_, o1, _, a), (_, o2, _, b) = known
+            for doc, t in rows:
+                places = (t or "").split()
+                for i, x in enumerate(places):
+                    for j, y in enumerate(places):
+                        if x == a and y == b and i != j and abs(j - i - (o2 - o1)) <= slop:
+                            want.add((str(item), " ".join(window), doc, i, j))
+    got = decontaminate.proximity_matches(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), slop, width)
+    name = {w["wid"]: w["terms"] for w in decontaminate.item_windows(spark.createDataFrame(items, "item_id string, text string"), width).collect()}
+    back = {v: k for k, v in order.items()}
+    found = {(x["item_id"], " ".join(back[t] for t in name[x["wid"]]), x["doc_id"], x["pos1"], x["pos2"]) for x in got.collect()}
+    assert found == want and len(want) > 20 and any("unseen" in x[1] for x in want)
+
+
 @needs_data
 def test_passages(spark):
     r = random.Random(9)
