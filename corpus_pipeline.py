@@ -7,6 +7,13 @@ the documents that go on; the last returns where each document lies.
 3. decontaminate: documents that hold a benchmark window go.
 4. mix: each document stays as often as the mixture takes it.
 5. shard: shard, position, size and slot of every copy.
+
+Defined results: an empty table gives an empty result. A null or empty text has no
+words: the classifier scores it like any other, it is near no other text, holds no
+benchmark window, and the mixture takes it 0 times. Rows without doc_id belong to no
+group of copies and stay; rows that repeat a doc_id are one document in stage 2 and
+rows of their own elsewhere. Ties go to the smaller doc_id. Extra columns stay up to
+stage 4, whatever their names.
 """
 
 from __future__ import annotations
