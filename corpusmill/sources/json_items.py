@@ -198,6 +198,7 @@ def json_pieces(spark: SparkSession, paths, level: int, opener: str) -> DataFram
         F.min("member").alias("member"), F.max("level").alias("level"), part.alias("parts")).select(
         "file", "ord", "member", F.get(F.filter("parts", lambda p: p["begins"].isNotNull()), F.lit(0))["begins"].alias("begins"), "level",
         F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
+    edges = staged(edges, "json-edges")  # two rows a split
     sound = starts.groupBy(F.col("file").alias("_f")).agg(F.first("sound").alias("sound"))
     both = placed.filter("not edge").drop("block", "edge").unionByName(edges)
     return both.join(F.broadcast(sound) if small else sound, F.col("file") == F.col("_f")).drop("_f")

@@ -15,6 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import corpusmill.plans.roundtrips  # noqa: E402, F401
 from corpusmill.plans.catalog import QUERIES  # noqa: E402
 from corpusmill.session import build_session  # noqa: E402
 
@@ -57,7 +58,10 @@ Reading notes:
 * `SortAggregate` appears only where the aggregated value is a string or struct (latest link per original URL,
   latest cache entry per URL); both run over small key tables, never over text. Best-copy selection, ordered
   distinct and message checks use packed numeric keys and stay hash aggregates.
-* The single `ArrowEvalPython` is the exact HTML entity decoder; rows the native table covers pass it null.
+* The single `ArrowEvalPython` is the exact HTML entity decoder, whose rows the native table covers pass it null, or
+  (`redact_variant`, `deep_merge`) the walk over free-form values.
+* Queries that stage tables on the way show the plan of their last step; the write-up queries find their winners
+  in a step before, from keys alone.
 * Inputs are dealt out (`spread()`) only when the session sets `spark.corpusmill.inputTasks`.
 * No cartesian product or nested-loop join appears anywhere.""")
     spark.stop()
