@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import stage
+from corpusmill.llm.common import discard, stage
 
 MAX_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, held: list) -> DataFrame:
     """One star step. ``edges`` (u, v), u > v. The minimum of a node's
     neighbourhood is a map-side-combined aggregate; it is staged, so that the
     join back is between two plain exchanges and a hub's edges can be split."""
@@ -19,6 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         near = edges
     least = stage(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    held.append(least)
     if large:  # every larger neighbour points at the node's minimum
         out = near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:  # the node and its smaller neighbours point at the minimum
@@ -36,7 +37,9 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = None
     for _ in range(MAX_ROUNDS):
-        e = stage(_star(_star(e, True), False), "stars")
+        held = [e]
+        e = stage(_star(_star(e, True, held), False, held), "stars")
+        discard(*held)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break

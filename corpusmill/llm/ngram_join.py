@@ -13,6 +13,9 @@ among the first ``n - ceil(t n) + 1`` of each (the prefix). Steps:
    bitmaps of ``BITS`` parities of the set's hashes: the number of bits in which
    two differ is never more than the number of shingles in which the sets do.
    For sets larger than that, the overlap of the prefixes gives a second bound.
+   Where the shared shingle is the first that both have, what follows it in either
+   set bounds the overlap too (places in the prefix); a linked pair meets that bound
+   in the list of its first common shingle.
 4. Links form components.
 
 Candidates come in two passes, so that a large group of near copies does not
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.bytewords import SPACED, WordHasher, shingle_hashes, slices
-from corpusmill.llm.common import maybe_member, member_bitmap, split_by_membership, stage
+from corpusmill.llm.common import discard, maybe_member, member_bitmap, split_by_membership, stage
 from corpusmill.llm.components import components
 
 #: Frequent shingles moved to the end of the order: those seen this often, and
@@ -46,6 +49,7 @@ FREQUENT = 20
 ORDER_LIMIT = 1_000_000
 BITS = 512
 _FLUSH = 1_000_000
+SHARED_BITS = 27
 
 
 def _sets(batch, hasher, width):
@@ -160,6 +164,91 @@ def _full_sets(docs, width, wanted: np.ndarray):
     ).filter("id IS NOT NULL").mapInArrow(run, "id long, items array<long>")
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as compressed differences, low bytes first."""
+    raw = np.diff(x, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    raw = pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.uint32)
+
+
+def _tokens_of(b):
+    """(tokens of a batch's prefixes, row of each, place of each)."""
+    lists = b.column("prefix")
+    offs = lists.offsets.to_numpy().astype(np.int64)
+    t = lists.values.to_numpy(zero_copy_only=False)[offs[0] : offs[-1]]
+    sizes = np.diff(offs)
+    return t, np.repeat(np.arange(sizes.size), sizes), np.arange(t.size) - np.repeat(offs[:-1] - offs[0], sizes)
+
+
+def _bin(t: np.ndarray) -> np.ndarray:
+    return t.view(np.uint64) >> np.uint64(64 - SHARED_BITS)
+
+
+def _shared_bins(rows: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size over the tokens' high bits: set where two rows' prefixes
+    hold a token with the same 32 high bits. Tasks send sorted packed numbers, each
+    at most twice, by ranges of about ``_FLUSH`` of them."""
+    total = rows.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    log_parts = min(16, max(4, (int(total) // (2 * _FLUSH)).bit_length()))
+
+    def send(batches):
+        held, size = [], 0
+
+        def flush():
+            x = np.sort(np.concatenate(held))
+            x = x[np.concatenate([[True, True], x[2:] != x[:-2]])[: x.size]]
+            cuts = np.searchsorted(x, np.arange(1, 1 << log_parts, dtype=np.uint64) << np.uint64(32 - log_parts))
+            parts = [(k, p) for k, p in enumerate(np.split(x, cuts)) if p.size]
+            return pa.RecordBatch.from_pydict({"part": pa.array([k for k, _ in parts], pa.int32()), "data": [_packed(p) for _, p in parts]})
+
+        for b in batches:
+            t, _, _ = _tokens_of(b)
+            held.append((t.view(np.uint64) >> np.uint64(32)).astype(np.uint32))
+            size += t.size
+            if size > _FLUSH:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    width = SHARED_BITS - log_parts  # bins of a part, as a power of two
+
+    def mark(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        x = np.sort(np.concatenate([_unpacked(d) for d in table.column("data").to_pylist()]))
+        twice = x[1:][x[1:] == x[:-1]].astype(np.int64) >> (32 - SHARED_BITS)
+        bits = np.zeros(1 << width, bool)
+        bits[twice - (part << width)] = True
+        return pa.table({"part": pa.array([part], pa.int32()), "data": [pa.compress(np.packbits(bits, bitorder="little"), codec="zstd", asbytes=True)]})
+
+    sent = rows.select("prefix").mapInArrow(send, "part int, data binary")
+    out = np.zeros((1 << SHARED_BITS) // 8, np.uint8)
+    size = (1 << width) // 8
+    for part, data in sent.groupBy("part").applyInArrow(mark, "part int, data binary").collect():  # 2^log_parts rows
+        out[part * size : (part + 1) * size] = np.frombuffer(pa.decompress(bytes(data), decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    return out
+
+
+def _postings(rows: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(t, i, g, n, s1, s2): prefix tokens, with their places, that may be shared."""
+    sent = rows.sparkSession.sparkContext.broadcast(shared)
+
+    def run(batches):
+        for b in batches:
+            t, row, place = _tokens_of(b)
+            at = _bin(t)
+            keep = (sent.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            row = pa.array(row[keep])
+            columns = [pa.array(t[keep]), pa.array(place[keep].astype(np.int32)), *[b.column(c).take(row) for c in ("doc_id", "n", "s1", "s2")]]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "i", "g", "n", "s1", "s2"])
+
+    return rows.select("doc_id", "n", "s1", "s2", "prefix").mapInArrow(run, "t long, i int, g long, n long, s1 long, s2 long")
+
+
 def _ids(pairs):
     return pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
@@ -185,7 +274,7 @@ def _prefix_bounded(pairs, rows, percent):
     shared = F.size(F.array_intersect("pa", "pb"))
     most = shared + F.greatest(F.col("na") - F.size("pa"), F.col("nb") - F.size("pb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.least(most, "na", "nb").alias("most"))
-    return both.filter(_enough(F.col("most"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+    return stage(both.filter(_enough(F.col("most"), F.col("na"), F.col("nb"), percent)).select("a", "b"), "large"), some
 
 
 def _verify(pairs, docs, rows, facts, width, percent):
@@ -194,16 +283,19 @@ def _verify(pairs, docs, rows, facts, width, percent):
     left = facts.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bm").alias("ba"))
     right = facts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bm").alias("bb"))
     near = pairs.join(left, "a").join(right, "b").filter(_bounded("na", "nb", "ba", "bb", percent))
-    near = stage(near.select("a", "b", (F.least("na", "nb") > BITS).alias("large")), "bounded")
-    large = _prefix_bounded(near.filter("large").select("a", "b").distinct(), rows, percent)
-    near = stage(near.filter("NOT large").select("a", "b").unionByName(large).distinct(), "near")
+    bounded = stage(near.select("a", "b", (F.least("na", "nb") > BITS).alias("large")), "bounded")
+    large, prefixes = _prefix_bounded(bounded.filter("large").select("a", "b").distinct(), rows, percent)
+    near = stage(bounded.filter("NOT large").select("a", "b").unionByName(large).distinct(), "near")
+    discard(bounded, large, prefixes)
     sets = stage(_full_sets(docs, width, member_bitmap(_ids(near), "id")), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
     both = near.join(left, "a").join(right, "b")
     both = both.select("a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),
                        F.size(F.array_intersect("ia", "ib")).alias("s"))
-    return stage(both.filter(_enough(F.col("s"), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct(), "links")
+    links = stage(both.filter(_enough(F.col("s"), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct(), "links")
+    discard(near, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -221,10 +313,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     member = stage(classes.select("id", "s1", "s2", "n", "p1", "p2").join(groups, ["p1", "p2", "n"]).drop("p1", "p2"), "members")
 
     # 2: postings of group representatives; a list with one group makes no pair
-    leads = member.filter("id = g").select(F.col("id").alias("doc_id"), "s1", "s2")
-    one = has.join(leads, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
-    postings = one.select(F.explode("prefix").alias("t"), F.col("doc_id").alias("g"), "n").repartition("t")
-    e = F.struct("g", "n")  # both uses of the postings read the same columns: one exchange serves them
+    # only tokens of two groups' prefixes are shuffled; bitmaps spare the others, joins are exact
+    leads = member.filter("id = g").select(F.col("id").alias("g"), "s1", "s2")
+    key = F.xxhash64("doc_id", "s1", "s2")
+    _, some = split_by_membership(has, key, leads.select(F.xxhash64("g", "s1", "s2").alias("lead")), "lead")
+    open_tokens = _postings(some, _shared_bins(some)).join(leads, ["g", "s1", "s2"], "left_semi")
+    postings = open_tokens.select("t", "g", "n", "i").repartition("t").dropDuplicates(["t", "g"])
+    e = F.struct("g", "n", "i")  # both uses of the postings read the same columns: one exchange serves them
     lists = postings.groupBy("t").agg(F.min(e).alias("r1"), F.max("g").alias("last"), F.min_by(e, F.xxhash64("t", "g")).alias("r2"))
     shared = stage(postings.join(lists.filter("r1.g <> last").drop("last"), "t"), "postings")
 
@@ -242,18 +337,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         member.join(comp, F.col("id") == F.col("node"), "left").select("id", "g", F.coalesce("comp", "id").alias("comp"), "several"), "placed")
     state = stage(placed.groupBy("g").agg(F.min("comp").alias("c"), (F.min("comp") != F.max("comp")).alias("mixed"), F.max("several").alias("several")), "state")
     met = F.when(F.col("r1.g") == F.col("r2.g"), 2).otherwise(3)
-    lists = stage(shared.select("t", "g", "n", met.alias("met")).join(state, "g"), "lists")
+    lists = stage(shared.select("t", "g", "n", "i", met.alias("met")).join(state, "g"), "lists")
+    discard(shared)
     votes = lists.groupBy("t", "c").agg(F.count("*").alias("k"), F.max("mixed").alias("mixed"), F.max("several").alias("several"), F.max("met").alias("met"))
     votes = votes.groupBy("t").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("cs"), F.max("mixed").alias("mixed"),
                                    F.max("several").alias("several"), F.sum("k").alias("k"), F.max("met").alias("met"))
     votes = stage(votes.filter("(cs > 1 OR mixed) AND (k > met OR several)").select("t", "main"), "votes")
     bits = facts.select(F.col("id").alias("g"), "bm")
-    lists = stage(lists.drop("met").join(votes, "t").join(bits, "g"), "open-lists")
-    few = lists.filter("c <> main OR mixed").select("t", *[F.col(c).alias(c + "1") for c in ("g", "n", "c", "mixed", "several", "bm")])
-    every = lists.select("t", "main", *[F.col(c).alias(c + "2") for c in ("g", "n", "c", "mixed", "several", "bm")])
+    open_lists = stage(lists.drop("met").join(votes, "t").join(bits, "g"), "open-lists")
+    discard(lists, votes)
+    few = open_lists.filter("c <> main OR mixed").select("t", *[F.col(c).alias(c + "1") for c in ("g", "n", "i", "c", "mixed", "several", "bm")])
+    every = open_lists.select("t", "main", *[F.col(c).alias(c + "2") for c in ("g", "n", "i", "c", "mixed", "several", "bm")])
     apart = (F.col("c1") != F.col("c2")) | F.col("mixed1") | F.col("mixed2")
     once = (F.col("g1") < F.col("g2")) | ((F.col("c2") == F.col("main")) & ~F.col("mixed2"))  # the other is not among the few
     bound = F.when(F.col("several1") | F.col("several2"), sized(F.col("n1"), F.col("n2"))).otherwise(_bounded("n1", "n2", "bm1", "bm2", percent))
+    bound &= _enough(F.least(F.col("n1") - F.col("i1"), F.col("n2") - F.col("i2")), F.col("n1"), F.col("n2"), percent)
     cross = few.join(every, (few["t"] == every["t"]) & (F.col("g1") != F.col("g2")) & apart & once & bound)
     cross = cross.select(F.least("g1", "g2").alias("ga"), F.greatest("g1", "g2").alias("gb")).distinct()
     inside = state.filter("mixed").select(F.col("g").alias("ga"), F.col("g").alias("gb"))
@@ -261,15 +359,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     left = placed.select(F.col("id").alias("x"), F.col("g").alias("ga"), F.col("comp").alias("cx"))
     right = placed.select(F.col("id").alias("y"), F.col("g").alias("gb"), F.col("comp").alias("cy"))
     second = cross.join(left, "ga").join(right, "gb").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    links = stage(links.unionByName(_verify(second.distinct(), docs, has, facts, width, percent)), "all-links")
+    more = _verify(second.distinct(), docs, has, facts, width, percent)
+    # rows that repeat an id with other sets are one document: its classes belong together
+    texts = has.groupBy("doc_id").agg(*[(F.min(c) != F.max(c)).alias(c) for c in ("s1", "s2", "n")]).filter("s1 OR s2 OR n")
+    own = has.join(texts.select("doc_id"), "doc_id", "left_semi").join(classes, ["s1", "s2", "n"]).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    all_links = stage(links.unionByName(more).unionByName(own), "all-links")
+    ids = stage(rows.select("doc_id", "n", "s1", "s2"), "ids")
+    discard(open_lists, cross, placed, state, comp, links, more, rows)
 
     # 4
-    comp = stage(components(links), "components")
+    comp = stage(components(all_links), "components")
     final = stage(
         classes.join(comp, F.col("id") == F.col("node"), "left").select("s1", "s2", "n", F.coalesce("comp", "id").alias("comp")),
         "class-components",
     )
-    out = rows.select("doc_id", "n", "s1", "s2").join(final, ["s1", "s2", "n"], "left")
+    discard(comp, all_links, classes, groups, member)
+    out = ids.join(final, ["s1", "s2", "n"], "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
