@@ -99,7 +99,7 @@ def main(argv=None) -> int:
     f.add_argument("--url-file")
     f.add_argument("--payloads", required=True, help="Parquet of landed payloads")
     f.add_argument("--output-dir", required=True)
-    f.add_argument("--batch-name", required=True)
+    f.add_argument("--batch-name", help="made of the time if not given")
     f.add_argument("--cache-log")
     f.add_argument("--cache-mode", default="reuse")
     f.add_argument("--body-dir")
@@ -109,6 +109,7 @@ def main(argv=None) -> int:
     t.add_argument("--ledger", required=True, help="JSONL ledger")
     t.add_argument("--landed-text", required=True, help="Parquet with transform_url and text")
     t.add_argument("--output-dir", required=True)
+    t.add_argument("--body-dir", help="store of cached bodies")
     t.add_argument("--limit", type=int)
     t.add_argument("--include-unapproved", action="store_true")
     t.add_argument("--overwrite", action="store_true")
@@ -146,7 +147,7 @@ def main(argv=None) -> int:
         print(json.dumps({r["status"]: r["count"] for r in out.groupBy("status").count().collect()}))
     elif a.cmd == "transform":
         _print(jobs.transform_selected(spark, spark.read.json(a.ledger), spark.read.parquet(a.landed_text), a.output_dir,
-                                       a.include_unapproved, a.limit, a.overwrite))
+                                       a.include_unapproved, a.limit, a.overwrite, a.body_dir))
     return 0
 
 
