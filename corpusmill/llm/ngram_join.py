@@ -264,11 +264,13 @@ def _bounded(na, nb, ba, bb, percent):
     return _enough(F.least(F.floor((a + b - differ) / 2), a, b), a, b, percent)
 
 
-def _prefix_bounded(pairs, rows, percent):
+def _prefix_bounded(pairs, docs, width, percent, frequent):
     """Pairs whose prefixes leave room for a link: beyond what the prefixes
-    share, the set whose prefix ends first can add at most its own rest."""
-    _, some = split_by_membership(rows.select(F.col("doc_id").alias("id"), "n", "prefix"), F.col("id"), _ids(pairs), "id")
-    some = stage(some, "prefixes")
+    share, the set whose prefix ends first can add at most its own rest. The
+    prefixes of these few documents are made anew, so that none are kept."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    _, some = split_by_membership(docs, F.col("doc_id"), _ids(pairs), "id")
+    some = stage(_signatures(some, width, percent, frequent).select(F.col("doc_id").alias("id"), "n", "prefix"), "prefixes")
     left = some.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
     right = some.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
     shared = F.size(F.array_intersect("pa", "pb"))
@@ -277,14 +279,14 @@ def _prefix_bounded(pairs, rows, percent):
     return stage(both.filter(_enough(F.col("most"), F.col("na"), F.col("nb"), percent)).select("a", "b"), "large"), some
 
 
-def _verify(pairs, docs, rows, facts, width, percent):
+def _verify(pairs, docs, frequent, facts, width, percent):
     """Pairs (a, b) of class ids that link. ``facts``: (id, n, bm). The bitmaps
     of sets much larger than BITS say little: these meet by their prefixes first."""
     left = facts.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bm").alias("ba"))
     right = facts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bm").alias("bb"))
     near = pairs.join(left, "a").join(right, "b").filter(_bounded("na", "nb", "ba", "bb", percent))
     bounded = stage(near.select("a", "b", (F.least("na", "nb") > BITS).alias("large")), "bounded")
-    large, prefixes = _prefix_bounded(bounded.filter("large").select("a", "b").distinct(), rows, percent)
+    large, prefixes = _prefix_bounded(bounded.filter("large").select("a", "b").distinct(), docs, width, percent, frequent)
     near = stage(bounded.filter("NOT large").select("a", "b").unionByName(large).distinct(), "near")
     discard(bounded, large, prefixes)
     sets = stage(_full_sets(docs, width, member_bitmap(_ids(near), "id")), "sets")
@@ -322,13 +324,16 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     e = F.struct("g", "n", "i")  # both uses of the postings read the same columns: one exchange serves them
     lists = postings.groupBy("t").agg(F.min(e).alias("r1"), F.max("g").alias("last"), F.min_by(e, F.xxhash64("t", "g")).alias("r2"))
     shared = stage(postings.join(lists.filter("r1.g <> last").drop("last"), "t"), "postings")
+    ids = stage(rows.select("doc_id", "n", "s1", "s2"), "ids")
+    has = ids.filter("n > 0 AND doc_id IS NOT NULL")
+    discard(rows)
 
     # 3a: representatives of lists and of groups
     sized = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
     first = shared.select("g", "n", F.explode(F.array("r1", "r2")).alias("r")).filter((F.col("g") != F.col("r.g")) & sized(F.col("n"), F.col("r.n")))
     first = first.select(F.least("g", "r.g").alias("a"), F.greatest("g", "r.g").alias("b"))
     inner = member.filter("id <> g").select(F.least("id", "g").alias("a"), F.greatest("id", "g").alias("b"))
-    links = _verify(first.unionByName(inner).distinct(), docs, has, facts, width, percent)
+    links = _verify(first.unionByName(inner).distinct(), docs, frequent, facts, width, percent)
 
     # 3b: every pair of a list that is still in two components. The first pass
     # has met all pairs of lists of two groups, and of three with two representatives
@@ -359,13 +364,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     left = placed.select(F.col("id").alias("x"), F.col("g").alias("ga"), F.col("comp").alias("cx"))
     right = placed.select(F.col("id").alias("y"), F.col("g").alias("gb"), F.col("comp").alias("cy"))
     second = cross.join(left, "ga").join(right, "gb").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = _verify(second.distinct(), docs, has, facts, width, percent)
+    more = _verify(second.distinct(), docs, frequent, facts, width, percent)
     # rows that repeat an id with other sets are one document: its classes belong together
     texts = has.groupBy("doc_id").agg(*[(F.min(c) != F.max(c)).alias(c) for c in ("s1", "s2", "n")]).filter("s1 OR s2 OR n")
     own = has.join(texts.select("doc_id"), "doc_id", "left_semi").join(classes, ["s1", "s2", "n"]).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     all_links = stage(links.unionByName(more).unionByName(own), "all-links")
-    ids = stage(rows.select("doc_id", "n", "s1", "s2"), "ids")
-    discard(open_lists, cross, placed, state, comp, links, more, rows)
+    discard(open_lists, cross, placed, state, comp, links, more)
 
     # 4
     comp = stage(components(all_links), "components")
