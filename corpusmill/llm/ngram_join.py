@@ -101,10 +101,16 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _signatures(docs, width, percent, frequent):
+def _only(b: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
+    """The rows whose hash ``h`` may be in the bitmap, or all. Done in the worker that
+    goes on with them: a filter before it would need a second worker for each task."""
+    return b if wanted is None else b.filter(pa.array(maybe_member(wanted, b.column("h").to_numpy())))
+
+
+def _signatures(docs, width, percent, frequent, wanted: np.ndarray | None = None):
     """doc_id, n, s1/s2 (128-bit set digest), bm (parities), prefix (hashes,
-    rare first)."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+    rare first), of all documents or of those whose id may be ``wanted``."""
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, wanted))
 
     def arrays(parts):
         offsets = np.zeros(len(parts) + 1, np.int32)
@@ -112,8 +118,8 @@ def _signatures(docs, width, percent, frequent):
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
 
     def run(batches):
-        hasher, late = WordHasher(SPACED), sent.value
-        for b in slices(batches):
+        hasher, (late, some) = WordHasher(SPACED), sent.value
+        for b in slices(_only(x, some) for x in batches):
             ns, s1, s2, bm, pref = [], [], [], [], []
             for s in _sets(b, hasher, width):
                 n = s.size
@@ -138,7 +144,8 @@ def _signatures(docs, width, percent, frequent):
                 ["doc_id", "n", "s1", "s2", "bm", "prefix"],
             )
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    ids = F.col("doc_id").cast("long")
+    out = docs.select(ids.alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(ids).alias("h")).mapInArrow(
         run, "doc_id long, n long, s1 long, s2 long, bm array<long>, prefix array<long>"
     )
     return out.withColumn("p1", F.xxhash64("prefix")).withColumn("p2", F.hash("prefix"))
@@ -152,7 +159,7 @@ def _full_sets(docs, width, wanted: np.ndarray):
     def run(batches):
         hasher = WordHasher(SPACED)
         for b in batches:
-            b = b.filter(pa.array(maybe_member(sent.value, b.column("h").to_numpy())))
+            b = _only(b, sent.value)
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
                 sets = [s.view(np.int64) for s in _sets(part, hasher, width)]
@@ -188,12 +195,13 @@ def _bin(t: np.ndarray) -> np.ndarray:
     return t.view(np.uint64) >> np.uint64(64 - SHARED_BITS)
 
 
-def _shared_bins(rows: DataFrame) -> np.ndarray:
+def _shared_bins(rows: DataFrame, wanted: np.ndarray) -> np.ndarray:
     """Bitmap of fixed size over the tokens' high bits: set where two rows' prefixes
-    hold a token with the same 32 high bits. Tasks send sorted packed numbers, each
+    hold a token with the same 32 high bits, of the rows whose ``h`` may be ``wanted``. Tasks send sorted packed numbers, each
     at most twice, by ranges of about ``_FLUSH`` of them."""
     total = rows.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     log_parts = min(16, max(4, (int(total) // (2 * _FLUSH)).bit_length()))
+    some = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def send(batches):
         held, size = [], 0
@@ -206,7 +214,7 @@ def _shared_bins(rows: DataFrame) -> np.ndarray:
             return pa.RecordBatch.from_pydict({"part": pa.array([k for k, _ in parts], pa.int32()), "data": [_packed(p) for _, p in parts]})
 
         for b in batches:
-            t, _, _ = _tokens_of(b)
+            t, _, _ = _tokens_of(_only(b, some.value))
             held.append((t.view(np.uint64) >> np.uint64(32)).astype(np.uint32))
             size += t.size
             if size > _FLUSH:
@@ -225,7 +233,7 @@ def _shared_bins(rows: DataFrame) -> np.ndarray:
         bits[twice - (part << width)] = True
         return pa.table({"part": pa.array([part], pa.int32()), "data": [pa.compress(np.packbits(bits, bitorder="little"), codec="zstd", asbytes=True)]})
 
-    sent = rows.select("prefix").mapInArrow(send, "part int, data binary")
+    sent = rows.select("prefix", "h").mapInArrow(send, "part int, data binary")
     out = np.zeros((1 << SHARED_BITS) // 8, np.uint8)
     size = (1 << width) // 8
     for part, data in sent.groupBy("part").applyInArrow(mark, "part int, data binary").collect():  # 2^log_parts rows
@@ -233,20 +241,23 @@ def _shared_bins(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _postings(rows: DataFrame, shared: np.ndarray) -> DataFrame:
-    """(t, i, g, n, s1, s2): prefix tokens, with their places, that may be shared."""
-    sent = rows.sparkSession.sparkContext.broadcast(shared)
+def _postings(rows: DataFrame, shared: np.ndarray, wanted: np.ndarray) -> DataFrame:
+    """(t, i, g, n, s1, s2): prefix tokens, with their places, that may be shared, of
+    the rows whose ``h`` may be ``wanted``."""
+    sent = rows.sparkSession.sparkContext.broadcast((shared, wanted))
 
     def run(batches):
+        bins, some = sent.value
         for b in batches:
+            b = _only(b, some)
             t, row, place = _tokens_of(b)
             at = _bin(t)
-            keep = (sent.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            keep = (bins[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
             row = pa.array(row[keep])
             columns = [pa.array(t[keep]), pa.array(place[keep].astype(np.int32)), *[b.column(c).take(row) for c in ("doc_id", "n", "s1", "s2")]]
             yield pa.RecordBatch.from_arrays(columns, ["t", "i", "g", "n", "s1", "s2"])
 
-    return rows.select("doc_id", "n", "s1", "s2", "prefix").mapInArrow(run, "t long, i int, g long, n long, s1 long, s2 long")
+    return rows.select("doc_id", "n", "s1", "s2", "prefix", "h").mapInArrow(run, "t long, i int, g long, n long, s1 long, s2 long")
 
 
 def _ids(pairs):
@@ -269,8 +280,8 @@ def _prefix_bounded(pairs, docs, width, percent, frequent):
     share, the set whose prefix ends first can add at most its own rest. The
     prefixes of these few documents are made anew, so that none are kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    _, some = split_by_membership(docs, F.col("doc_id"), _ids(pairs), "id")
-    some = stage(_signatures(some, width, percent, frequent).select(F.col("doc_id").alias("id"), "n", "prefix"), "prefixes")
+    some = _signatures(docs, width, percent, frequent, member_bitmap(_ids(pairs), "id"))
+    some = stage(some.select(F.col("doc_id").alias("id"), "n", "prefix"), "prefixes")
     left = some.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
     right = some.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
     shared = F.size(F.array_intersect("pa", "pb"))
@@ -317,9 +328,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     # 2: postings of group representatives; a list with one group makes no pair
     # only tokens of two groups' prefixes are shuffled; bitmaps spare the others, joins are exact
     leads = member.filter("id = g").select(F.col("id").alias("g"), "s1", "s2")
-    key = F.xxhash64("doc_id", "s1", "s2")
-    _, some = split_by_membership(has, key, leads.select(F.xxhash64("g", "s1", "s2").alias("lead")), "lead")
-    open_tokens = _postings(some, _shared_bins(some)).join(leads, ["g", "s1", "s2"], "left_semi")
+    keyed = has.withColumn("h", F.xxhash64("doc_id", "s1", "s2"))
+    wanted = member_bitmap(leads.select(F.xxhash64("g", "s1", "s2").alias("lead")), "lead", hashed=True)
+    open_tokens = _postings(keyed, _shared_bins(keyed, wanted), wanted).join(leads, ["g", "s1", "s2"], "left_semi")
     postings = open_tokens.select("t", "g", "n", "i").repartition("t").dropDuplicates(["t", "g"])
     e = F.struct("g", "n", "i")  # both uses of the postings read the same columns: one exchange serves them
     lists = postings.groupBy("t").agg(F.min(e).alias("r1"), F.max("g").alias("last"), F.min_by(e, F.xxhash64("t", "g")).alias("r2"))
