@@ -1,6 +1,9 @@
 """Main texts: exact on the given pages, frames of sites, odd markup."""
 
+import collections
 import html as H
+import math
+import random
 import re
 
 import pytest
@@ -100,3 +103,73 @@ def test_deep_and_long_pages():
     assert SS.Page(deep).text() == "core"
     long = "<article>" + "".join(f"<p><b>{i}" for i in range(50_000)) + "</article>"
     assert SS.Page(long).text().count("\n") == 49_999
+
+
+def test_the_own_text_of_a_varied_element_stays(spark):
+    """The boxes' heading and lines repeat, but hardly two boxes look the same."""
+    r = random.Random(8)
+    rows, want = [], {}
+    for i in range(40):
+        box = "".join(f"<p class='k{j}'>Fact {j} of six</p>" for j in r.sample(range(6), 4))
+        page = f"<div class='q7'>We store data on this device.</div><div class='c'><p>{_words(i, 40)}</p></div><div class='z'>At a glance{box}</div>"
+        rows.append((i, f"http://s.example/{i}", page))
+        want[i] = f"{_words(i, 40)}\nAt a glance"
+    for nodes in (SS.BROADCAST_NODES, 0):
+        assert texts(spark, rows, broadcast_nodes=nodes) == want
+
+
+def _plainly(rows):
+    """The defined result, with every node's importance kept and none sorted out."""
+    pages = {i: (url.split("/")[2], SS.Page(html)) for i, url, html in rows}
+    size, shown, held = collections.Counter(h for h, _ in pages.values()), collections.defaultdict(collections.Counter), collections.Counter()
+    for h, p in pages.values():
+        at = list(p.styled())
+        for key, sequence in {(key, sequence) for _, key, sequence, _, kids in at if kids}:
+            shown[h, key][sequence] += 1
+        held.update({(h, own) for *_, own, _ in at if own})
+    out = {}
+    for i, (h, p) in pages.items():
+        base, limit = math.log(size[h] + SS.PRIOR_PAGES), SS.THRESHOLD_INSIDE if p.marked else SS.THRESHOLD
+        below = {}  # a node's importance, and whether all in it is low
+        at = list(p.styled())
+        for node, key, _, own, kids in reversed(at):
+            parts = [below[k][0] for k in kids] + ([1 - math.log(held[h, own]) / base] if own else [])
+            all_low = all(below[k][1] for k in kids) and (not own or parts[-1] < limit)
+            value = sum(parts) / len(parts) if parts else float(node.chars > 0)
+            if kids:
+                k = list(shown[h, key].values())
+                spread = -sum(x / sum(k) * math.log(x / sum(k)) for x in k) / base
+                value = (1 - SS.DECAY ** len(k)) * spread + SS.DECAY ** len(k) * value
+            below[node] = value, all_low and value < limit
+        total, gone, picked = sum(t.chars for t in p.tops), 0, []
+        for node, *_ in at:
+            if node.parent is not None and node.parent.noise:
+                node.noise = True
+            elif below[node][1] and 0 < 2 * node.chars <= total:
+                node.noise, gone = True, gone + node.chars
+                picked.append(node)
+        for node in picked if 2 * gone > total else ():
+            node.noise = False
+        out[i] = p.text()
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_node_of_the_style_tree_counts(spark, seed):
+    r = random.Random(seed)
+
+    def box(host, deep):
+        kinds = [f"<p class='k{k}'>{host} line {r.randrange(2)} {k}</p>" for k in range(r.choice((2, 3, 6)))] + ["<hr>"]
+        inner = "".join(r.choice(kinds) for _ in range(r.randrange(1, 4)))
+        own = r.choice(("", f"{host} box {r.randrange(2)}"))
+        return f"<div class='b{r.randrange(2)}'>{own}{inner}{box(host, deep - 1) if deep and r.random() < 0.6 else ''}</div>"
+
+    rows = []
+    for host, n in (("one", 3), ("few", 7), ("some", 20), ("many", 60)):
+        for _ in range(n):
+            text = f"<p>{_words(r.randrange(10**6), 30)}</p>" if r.random() < 0.9 else f"<p>{host} {'same ' * 60}</p>"
+            body = "".join(box(host, 2) for _ in range(r.randrange(4))) + f"<div>{text}</div>" + box(host, 1)
+            rows.append((len(rows), f"http://{host}/{len(rows)}", f"<article>{body}</article>" if r.random() < 0.2 else body))
+    want = _plainly(rows)
+    assert texts(spark, rows) == want == texts(spark, rows, broadcast_nodes=0)
+    assert any(SS.Page(h).text() != want[i] for i, _, h in rows)
